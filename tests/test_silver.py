@@ -1,0 +1,118 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from playlake.operators.silver import (
+    bronze_to_silver, category_bridge, clean_bronze, company_bridge, dedup_snapshots, genre_bridge,
+    silver_main,
+)
+from playlake.schemas import SILVER_MAIN_COLUMNS
+from playlake.sources.bronze import read_bronze, read_bronze_day
+
+DAY = "year=2024/month=01/day=05"
+
+
+def rec(appid, fetched_at="2024-01-05T01:00:00", success=True, **data):
+    base = {"type": "game", "name": f"g{appid}"}
+    base.update(data)
+    return {"appid": appid, "success": success, "fetched_at": fetched_at, "data": base}
+
+
+def load(spark, write_jsonl, records=None, raw_lines=None):
+    root = write_jsonl(f"bronze/{DAY}/part-0.jsonl.gz", records or [], raw_lines=raw_lines)
+    return read_bronze_day(spark, f"{root}/bronze", "2024-01-05")
+
+
+def test_success_filter_and_array_data(spark, write_jsonl):  # P1, section 1.4
+    lines = [
+        json.dumps(rec(1)),
+        json.dumps(rec(2, success=False)),
+        json.dumps({"appid": 3, "success": None, "fetched_at": "x", "data": {}}),
+        json.dumps({"appid": 4, "success": True, "fetched_at": "2024-01-05T00:00:00", "data": []}),
+    ]
+    silver = clean_bronze(load(spark, write_jsonl, raw_lines=lines))
+    rows = {r.appid: r for r in silver.collect()}
+    assert sorted(rows) == [1, 4]
+    assert rows[4].name is None and rows[4].recommendations_total == 0
+    assert rows[1].snapshot_date == dt.date(2024, 1, 5)
+    assert silver_main(silver).columns == SILVER_MAIN_COLUMNS
+
+
+def test_field_cleaning(spark, write_jsonl):  # T6, T7, T8, T20, T27
+    records = [
+        rec(1, required_age="16+", release_date={"date": "5 Nov, 2025", "coming_soon": False},
+            price_overview={"final": 999, "currency": "EUR", "discount_percent": 10},
+            recommendations={"total": 0}),
+        rec(2, fetched_at="bad", release_date={"date": "Q1 2026"}),
+    ]
+    lines = [json.dumps(r) for r in records]
+    lines.append('{"appid": 3, "success": true, "fetched_at": "2024-01-05T01:02:03.123456", '
+                 '"data": {"name": "n", "required_age": 18.0}}')
+    rows = {r.appid: r for r in clean_bronze(load(spark, write_jsonl, raw_lines=lines)).collect()}
+    assert rows[1].required_age == 16 and rows[1].price == 9.99 and rows[1].price_minor == 999
+    assert rows[1].release_date == dt.date(2025, 11, 5) and rows[1].discount_percent == 10
+    assert rows[2].fetched_at is None and rows[2].release_date is None and rows[2].price is None
+    assert rows[2].recommendations_total == 0  # T20: missing -> 0
+    assert rows[3].required_age == 180  # T7: 18.0 keeps digits "180"
+    assert rows[3].fetched_at == dt.datetime(2024, 1, 5, 1, 2, 3, 123456)
+
+
+def test_dedup_latest_wins_and_null_time_wins(spark, write_jsonl):  # W4, T9
+    records = [
+        rec(1, "2024-01-05T01:00:00", name="early"),
+        rec(1, "2024-01-05T02:00:00", name="late"),
+        rec(2, "2024-01-05T01:00:00", name="early"),
+        rec(2, "2024-01-05T02:00:00", name="late"),
+        rec(2, "not a time", name="unparseable"),
+    ]
+    out = {r.appid: r.name for r in bronze_to_silver(load(spark, write_jsonl, records)).collect()}
+    assert out == {1: "late", 2: "unparseable"}
+
+
+def test_dedup_tie_is_stable(spark):  # T10
+    rows = [(1, dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 1), f"payload-{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "appid bigint, snapshot_date date, fetched_at timestamp_ntz, p string")
+    winners = {dedup_snapshots(df.repartition(n)).first().p for n in (1, 3, 7)}
+    assert len(winners) == 1
+
+
+def test_dedup_plans_partial_limit_before_shuffle(spark):
+    df = spark.range(100).select(
+        (F.col("id") % 3).alias("appid"), F.lit(dt.date(2024, 1, 1)).alias("snapshot_date"),
+        F.col("id").cast("timestamp").cast("timestamp_ntz").alias("fetched_at"),
+    )
+    plan = dedup_snapshots(df)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_bridges_bag_set_and_nulls(spark, write_jsonl):  # F11, P7, T15, T21
+    records = [
+        rec(1, genres=None, developers=["A"], publishers=["A", "P", "P"]),
+        rec(2, genres=[], categories=[{"id": 1, "description": "Single"}, {"id": 1, "description": "Single"}]),
+        rec(3, genres=[{"id": "1", "description": None}, {"id": "2", "description": "RPG"},
+                       {"id": "2", "description": "RPG"}]),
+    ]
+    silver = bronze_to_silver(load(spark, write_jsonl, records))
+    genres = sorted((r.appid, r.genre) for r in genre_bridge(silver).collect())
+    assert genres == [(3, "RPG"), (3, "RPG")]
+    cats = [(r.appid, r.category) for r in category_bridge(silver).collect()]
+    assert cats == [(2, "Single"), (2, "Single")]
+    comps = sorted((r.appid, r.company, r.role) for r in company_bridge(silver).collect())
+    assert comps == [(1, "A", "developer"), (1, "A", "publisher"), (1, "P", "publisher")]
+
+
+def test_missing_root_and_missing_day_are_empty(spark, tmp_path, write_jsonl):  # S7, T24
+    assert read_bronze(spark, str(tmp_path / "nowhere")).count() == 0
+    root = write_jsonl(f"bronze/{DAY}/a.jsonl.gz", [rec(1)])
+    assert read_bronze_day(spark, f"{root}/bronze", "2024-01-06").count() == 0
+
+
+def test_bronze_scan_prunes_partitions(spark, write_jsonl):  # S1, section 4
+    root = write_jsonl(f"bronze/{DAY}/a.jsonl.gz", [rec(1)])
+    write_jsonl("bronze/year=2024/month=01/day=06/a.jsonl.gz", [rec(2)])
+    df = read_bronze_day(spark, f"{root}/bronze", "2024-01-06")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [" in plan
+    assert [r.appid for r in df.collect()] == [2]
+    assert df.schema["year"].dataType.typeName() == "integer"
