@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.functions.parse import to_date_param, year_month
+from playlake.sources.paths import date_folders, month_folders
 from playlake.schemas import (
     CATEGORY_DDL, COMPANY_DDL, DIM_LOG_DDL, FACT_COLUMNS, FACT_DDL, GENRE_DDL,
     SILVER_MAIN_DDL, TABLE_DDL,
@@ -65,10 +66,23 @@ def read_table(
     start: _dt.date | str | None = None,
     end: _dt.date | str | None = None,
     date_col: str = "snapshot_date",
+    layout: str | None = None,
 ) -> DataFrame:
-    """A parquet table pruned to ``[start, end]``; absent table -> empty frame."""
+    """A parquet table pruned to ``[start, end]``; absent table -> empty frame.
+
+    ``layout`` names the folder scheme (``"date"``: ``snapshot_date=``, ``"month"``:
+    ``snapshot_month=``). For a bounded range only the folders of the range are listed
+    and read, so the listing grows with the range rather than the table's history.
+    """
+    paths: list[str] = [path]
+    if start is not None and end is not None and layout is not None:
+        s, e = to_date_param(start), to_date_param(end)
+        finder = date_folders if layout == "date" else month_folders
+        paths = finder(spark, path, s, e)
+        if not paths:
+            return spark.createDataFrame([], ddl)
     try:
-        df = spark.read.schema(ddl).parquet(path)
+        df = spark.read.schema(ddl).option("basePath", path).parquet(*paths)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
             return spark.createDataFrame([], ddl)
@@ -81,7 +95,7 @@ def read_table(
 
 
 def read_silver(spark: SparkSession, root: str, table: str, start=None, end=None) -> DataFrame:
-    return read_table(spark, table_path(root, table), SILVER_TABLES[table], start, end)
+    return read_table(spark, table_path(root, table), SILVER_TABLES[table], start, end, layout="date")
 
 
 def _fact_layout(fact: DataFrame) -> DataFrame:
@@ -156,7 +170,7 @@ def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> None:
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """The fact table in contract column order (the month folder is a layout detail)."""
     ddl = FACT_DDL + ", snapshot_month int"
-    return read_table(spark, path, ddl, start, end).select(*FACT_COLUMNS)
+    return read_table(spark, path, ddl, start, end, layout="month").select(*FACT_COLUMNS)
 
 
 def replace_fact_date(fact: DataFrame, path: str, day: _dt.date | str) -> None:
