@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,17 @@ from playlake.sources.lake import (
 )
 
 
+def run_concurrently(jobs: list) -> None:
+    """Submit independent Spark jobs (e.g. writes of different tables) at the same time.
+
+    Each write is its own job with its own commit; submitting them together lets the
+    scheduler fill idle slots with the other writes' tasks. Any failure is re-raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for fut in [pool.submit(job) for job in jobs]:
+            fut.result()
+
+
 def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start, end) -> None:
     """D1+D2: bronze days in ``[start, end]`` -> the four silver tables.
 
@@ -38,10 +50,13 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start,
     bronze = read_bronze(spark, bronze_root, start, end)
     silver = bronze_to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_day_partitions(silver_main(silver), table_path(silver_root, "game_daily"))
-        write_day_partitions(genre_bridge(silver), table_path(silver_root, "game_genre"))
-        write_day_partitions(category_bridge(silver), table_path(silver_root, "game_category"))
-        write_day_partitions(company_bridge(silver), table_path(silver_root, "game_company"))
+        silver.count()  # materialise once; the four writers below then read the cached blocks
+        run_concurrently([
+            lambda: write_day_partitions(silver_main(silver), table_path(silver_root, "game_daily")),
+            lambda: write_day_partitions(genre_bridge(silver), table_path(silver_root, "game_genre")),
+            lambda: write_day_partitions(category_bridge(silver), table_path(silver_root, "game_category")),
+            lambda: write_day_partitions(company_bridge(silver), table_path(silver_root, "game_company")),
+        ])
     finally:
         silver.unpersist()
 
@@ -61,10 +76,12 @@ def load_gold(
     genres = read_silver(spark, silver_root, "game_genre", start, end)
     categories = read_silver(spark, silver_root, "game_category", start, end)
     companies = read_silver(spark, silver_root, "game_company", start, end)
-    write_fact(build_fact(main), table_path(gold_root, FACT_TABLE), mode=fact_mode)
     dim = build_dim(main, genres, categories, companies, updated_at=updated_at)
     seq = load_seq if load_seq is not None else time.time_ns() // 1000
-    append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq)
+    run_concurrently([
+        lambda: write_fact(build_fact(main), table_path(gold_root, FACT_TABLE), mode=fact_mode),
+        lambda: append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq),
+    ])
 
 
 def run_range(
