@@ -24,8 +24,14 @@ from playlake.operators.silver import (
 )
 from playlake.sources.bronze import read_bronze
 from playlake.sources.lake import (
-    DIM_TABLE, FACT_TABLE, append_dim_versions, read_dim_log, read_fact, read_silver,
-    table_path, write_day_partitions, write_fact,
+    DIM_TABLE, FACT_TABLE, append_dim_versions, read_dim_log, read_fact, read_silver, read_table,
+    table_path, write_by_month, write_day_partitions, write_fact,
+)
+from playlake.schemas import GROWTH_COLUMNS
+
+GROWTH_DDL = (
+    "snapshot_date date, appid bigint, recommendations_total bigint, "
+    "rec_growth_1d bigint, rec_growth_7d bigint, rec_growth_30d bigint"
 )
 
 
@@ -70,9 +76,15 @@ def load_gold(
     fact_mode: str = "replace_date",
     updated_at=None,
     load_seq: int | None = None,
-) -> None:
-    """D3+D4+D12: silver days in ``[start, end]`` -> fact rows and one dim version per game."""
+) -> bool:
+    """D3+D4+D12: silver days in ``[start, end]`` -> fact rows and one dim version per game.
+
+    Returns False (nothing written) when the range has no silver rows, like the
+    reference's "no main data - skipping".
+    """
     main = read_silver(spark, silver_root, "game_daily", start, end)
+    if main.isEmpty():
+        return False
     genres = read_silver(spark, silver_root, "game_genre", start, end)
     categories = read_silver(spark, silver_root, "game_category", start, end)
     companies = read_silver(spark, silver_root, "game_company", start, end)
@@ -82,6 +94,7 @@ def load_gold(
         lambda: write_fact(build_fact(main), table_path(gold_root, FACT_TABLE), mode=fact_mode),
         lambda: append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq),
     ])
+    return True
 
 
 def run_range(
@@ -143,3 +156,48 @@ def register_views(spark: SparkSession, gold_root: str) -> list[str]:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)
+
+
+def _latest_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/version=*")
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [st.getPath().toString() for st in (fs.globStatus(jpath) or []) if st.isDirectory()]
+    committed = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))]
+    if not committed:
+        return 0, None
+    best = max(committed, key=lambda p: int(p.rsplit("version=", 1)[1]))
+    return int(best.rsplit("version=", 1)[1]), best
+
+
+def advance_growth(
+    spark: SparkSession,
+    fact_path: str,
+    state_root: str,
+    growth_path: str,
+    start,
+    end,
+) -> DataFrame:
+    """SURVEY 7.5: game growth for the fact days ``[start, end]`` without rescanning history.
+
+    Reads only the batch's fact days and the per-game state (last 30 snapshots), stages
+    their combination as a table, writes the batch's growth rows (replacing those days)
+    and the next state as a new version folder (a state is never overwritten in place,
+    so a failed run leaves the previous version current). Returns the growth rows.
+    """
+    from playlake.operators.growth_state import STATE_DDL, combine, growth_rows, next_state
+    from playlake.session import scratch_path
+
+    version, current = _latest_version(spark, state_root)
+    state = spark.read.schema(STATE_DDL).parquet(current) if current else spark.createDataFrame([], STATE_DDL)
+    batch = read_fact(spark, fact_path, start, end)
+    staged_path = scratch_path(spark, "growth_combined")
+    combine(state, batch).write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    run_concurrently([
+        lambda: write_by_month(growth_rows(staged), growth_path, GROWTH_COLUMNS, GROWTH_DDL),
+        lambda: next_state(state, staged).write.mode("errorifexists").parquet(
+            f"{state_root.rstrip('/')}/version={version + 1}"),
+    ])
+    return read_table(spark, growth_path, GROWTH_DDL + ", snapshot_month int", start, end,
+                      layout="month").select(*GROWTH_COLUMNS)

@@ -24,7 +24,7 @@ from playlake.operators.silver import (
 )
 from playlake.operators.targets import daily_targets, full_load_targets, target_sample
 from playlake.plans import bindings as B
-from playlake.plans.medallion import gold_views, load_gold, load_silver, run_range
+from playlake.plans.medallion import GROWTH_DDL, advance_growth, gold_views, load_gold, load_silver, run_range
 from playlake.schemas import BRONZE_DATA_DDL, FACT_DDL
 from playlake.session import scratch_path
 from playlake.sources.bronze import (
@@ -151,6 +151,29 @@ def q_game_growth(spark, sf_dir):
     return game_growth(_fact(spark, sf_dir))
 
 
+@query("game_growth_incremental", f"WITH {FACT_CTE} SELECT * FROM growth")
+def q_game_growth_incremental(spark, sf_dir):
+    """D5 in the incremental mode of SURVEY 7.5: the fact loaded, then growth advanced
+    over three consecutive day ranges with only per-game state carried between them."""
+    base = scratch_path(spark, "growth_incr")
+    fact = _fact(spark, sf_dir)
+    fact_path = f"{base}/fact"
+    write_fact(fact.select(
+        "snapshot_date", "appid", F.lit(None).cast("double").alias("price"),
+        F.lit(None).cast("double").alias("price_usd"), F.lit("USD").alias("currency"),
+        F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
+        F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
+        F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"),
+    ), fact_path, mode="append")
+    first, last = fact.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    span = (last - first).days
+    cuts = [first, first + _dt.timedelta(days=span // 3), first + _dt.timedelta(days=2 * span // 3), last]
+    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        lo = lo if i == 0 else lo + _dt.timedelta(days=1)
+        advance_growth(spark, fact_path, f"{base}/state", f"{base}/growth", lo, hi)
+    return read_table(spark, f"{base}/growth", GROWTH_DDL + ", snapshot_month int").drop("snapshot_month")
+
+
 @query("genre_growth", f"""
 WITH {FACT_CTE}, dim AS (
   SELECT p_partkey AS appid, unnest(string_split(p_name, ' ')) AS genre FROM part

@@ -98,9 +98,9 @@ def read_silver(spark: SparkSession, root: str, table: str, start=None, end=None
     return read_table(spark, table_path(root, table), SILVER_TABLES[table], start, end, layout="date")
 
 
-def _fact_layout(fact: DataFrame) -> DataFrame:
+def _month_layout(df: DataFrame, columns: list[str]) -> DataFrame:
     return (
-        fact.select(*FACT_COLUMNS)
+        df.select(*columns)
         .withColumn("snapshot_month", year_month("snapshot_date"))
         .hint("rebalance", "snapshot_month")
         .sortWithinPartitions("snapshot_date", "appid")
@@ -119,45 +119,43 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> None:
-    """Load fact rows into month folders sorted by (snapshot_date, appid).
+def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode: str = "replace_date") -> None:
+    """Month folders, rows sorted by (snapshot_date, appid); append or replace whole days.
 
-    ``append``: rows are added (a re-run duplicates them, as the reference's loader
-    does). ``replace_date`` (default, T3): every snapshot date present in ``fact`` is
-    replaced whole, other dates stay, so a re-run gives the same rows. Only the months
-    the load touches are rewritten: (stored rows of those months minus the loaded
-    dates) + the loaded rows go to a staging table under the shared checkpoint
-    folder first, then replace those month folders with dynamic partition overwrite.
-    Each step is one job commit (T30) and the staging table cuts the lineage, so a
-    retried job never reads the folder it is overwriting.
+    ``replace_date``: every snapshot date present in ``df`` is replaced whole, other dates
+    stay. Only the months the load touches are rewritten: (stored rows of those months
+    minus the loaded dates) + the loaded rows go to a staging table under the shared
+    checkpoint folder first, then replace those month folders with dynamic partition
+    overwrite. Each step is one job commit (T30) and the staging table cuts the lineage,
+    so a retried job never reads the folder it is overwriting.
     """
     if mode not in ("replace_date", "append"):
-        raise ValueError(f"unknown fact load mode {mode!r}")
-    spark = fact.sparkSession
-    out = _fact_layout(fact)
+        raise ValueError(f"unknown load mode {mode!r}")
+    spark = df.sparkSession
     if mode == "append" or not _path_exists(spark, path):
-        out.write.mode("append").option("compression", "snappy").partitionBy("snapshot_month").parquet(path)
+        _month_layout(df, columns).write.mode("append").option("compression", "snappy").partitionBy(
+            "snapshot_month").parquet(path)
         return
     # The loaded dates: one value per calendar day of the load, bounded by its date range.
-    days = [r[0] for r in fact.select("snapshot_date").distinct().collect()]
+    days = [r[0] for r in df.select("snapshot_date").distinct().collect()]
     if not days:
         return
     months = sorted({d.year * 100 + d.month for d in days})
     kept = (
-        spark.read.schema(FACT_DDL + ", snapshot_month int").parquet(path)
+        spark.read.schema(ddl + ", snapshot_month int").parquet(path)
         .where(F.col("snapshot_month").isin(months))
         .where(~F.col("snapshot_date").isin(days))
-        .select(*FACT_COLUMNS)
+        .select(*columns)
     )
     from playlake.session import scratch_path
 
-    staging = scratch_path(spark, "fact_staging")
-    _fact_layout(kept.unionByName(fact.select(*FACT_COLUMNS))).write.mode("overwrite").option(
+    staging = scratch_path(spark, "month_staging")
+    _month_layout(kept.unionByName(df.select(*columns)), columns).write.mode("overwrite").option(
         "compression", "snappy"
     ).partitionBy("snapshot_month").parquet(staging)
     (
         spark.read.parquet(staging)
-        .select(*FACT_COLUMNS, "snapshot_month")
+        .select(*columns, "snapshot_month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -167,6 +165,16 @@ def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> None:
     _delete_path(spark, staging)
 
 
+def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> None:
+    """Load fact rows into month folders sorted by (snapshot_date, appid).
+
+    ``append``: rows are added (a re-run duplicates them, as the reference's loader
+    does). ``replace_date`` (default, T3): every snapshot date in ``fact`` is replaced
+    whole, so a re-run gives the same rows (see ``write_by_month``).
+    """
+    write_by_month(fact, path, FACT_COLUMNS, FACT_DDL, mode)
+
+
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """The fact table in contract column order (the month folder is a layout detail)."""
     ddl = FACT_DDL + ", snapshot_month int"
