@@ -4,9 +4,9 @@
 * DIM     = part: genres = words of the name, publishers = [brand], type, age = size.
 * RAW     = events: game = user, snapshot = event day, success = not an error; a real
             nested bronze record is built per event and written as gzip JSON.
-* RECORDS = lineitem per (part, ship day) with the part's attributes and lists built
-            from its line items (categories = return flags as a bag, developers = return
-            flags, publishers = line statuses).
+* RECORDS = (part, ship day) main records with the part's attributes, genres (name
+            words) and categories (type words), plus one record per line item carrying
+            developers = [return flag] and publishers = [line status].
 
 Every frame here is derived from the given tables, so its size grows with them.
 """
@@ -43,26 +43,24 @@ def dim_from_part(part: DataFrame) -> DataFrame:
 
 
 # -- RECORDS ------------------------------------------------------------------
-def records_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Silver-shaped records with list columns, one per (part, ship day).
+def part_day_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Silver-shaped main records, one per (part, ship day), with the part's attributes.
 
-    The per-record lists are bounded by the line items of one part on one day.
+    The (part, day) keys come from a ``distinct`` (a partial aggregate), so no group is
+    ever gathered whole, however many line items share a part and day.
     """
-    per_day = lineitem.groupBy(
+    keys = lineitem.select(
         F.col("l_partkey").alias("appid"), F.to_date("l_shipdate").alias("snapshot_date")
-    ).agg(
-        F.collect_list("l_returnflag").alias("categories"),
-        F.collect_list("l_returnflag").alias("developers"),
-        F.collect_list("l_linestatus").alias("publishers"),
-    )
+    ).distinct()
     attrs = part.select(
         F.col("p_partkey").alias("appid"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("type"),
         F.col("p_size").alias("p_size"),
         F.split(F.col("p_name"), " ").alias("genres"),
+        F.split(F.col("p_type"), " ").alias("categories"),
     )
-    return per_day.join(attrs, "appid", "inner").select(
+    return keys.join(attrs, "appid", "inner").select(
         "appid",
         "snapshot_date",
         "name",
@@ -72,11 +70,24 @@ def records_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.col("p_size").cast("bigint").alias("required_age"),
         "genres",
         "categories",
-        "developers",
-        "publishers",
     )
 
 
+def line_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Records carrying company lists, one per line item of a known part.
+
+    developers = [return flag], publishers = [line status]; the company bridge explodes
+    them row by row and keeps the distinct set.
+    """
+    known = part.select(F.col("p_partkey").alias("appid"))
+    return lineitem.select(
+        F.col("l_partkey").alias("appid"),
+        F.to_date("l_shipdate").alias("snapshot_date"),
+        F.array("l_returnflag").alias("developers"),
+        F.array("l_linestatus").alias("publishers"),
+    ).join(known, "appid", "left_semi")
+
+
 def silver_main_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Silver main rows (one per line item) for the fact loader."""
     li = F.col
@@ -194,6 +205,7 @@ def part_pages(part: DataFrame, page_size: int = 100) -> DataFrame:
         F.floor(c("p_partkey") / page_size).cast("bigint").alias("page_no"),
         F.struct(c("p_partkey").alias("appid"), c("p_name").alias("name")).alias("app"),
     )
+    # p_partkey is unique, so a page (a key range of page_size) holds at most page_size apps.
     pages = apps.groupBy("page_no").agg(F.sort_array(F.collect_list("app")).alias("apps"))
     last = pages.agg(F.max("page_no")).scalar()
     response = F.struct(
@@ -211,6 +223,7 @@ def part_applist_nested(part: DataFrame, chunk: int = 1000) -> DataFrame:
         F.floor(c("p_partkey") / chunk).alias("block"),
         F.struct(c("p_partkey").alias("appid"), c("p_name").alias("name")).alias("app"),
     )
+    # Unique keys: a block (a key range of ``chunk``) holds at most ``chunk`` apps.
     return apps.groupBy("block").agg(F.sort_array(F.collect_list("app")).alias("apps")).select(
         F.struct(c("apps")).alias("applist")
     )

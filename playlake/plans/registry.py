@@ -218,8 +218,12 @@ def q_silver_dedup(spark, sf_dir):
     return dedup_snapshots(ev)
 
 
-def _records(spark, sf_dir):
-    return B.records_from_lineitem(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part"))
+def _day_records(spark, sf_dir):
+    return B.part_day_records(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part"))
+
+
+def _line_records(spark, sf_dir):
+    return B.line_records(_t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part"))
 
 
 @query("bridge_genre", """
@@ -227,14 +231,15 @@ WITH k AS (SELECT DISTINCT l_partkey AS appid, CAST(l_shipdate AS DATE) AS snaps
 SELECT k.snapshot_date, k.appid, unnest(string_split(p.p_name, ' ')) AS genre
 FROM k JOIN part p ON p.p_partkey = k.appid""")
 def q_bridge_genre(spark, sf_dir):
-    return genre_bridge(_records(spark, sf_dir))
+    return genre_bridge(_day_records(spark, sf_dir))
 
 
 @query("bridge_category", """
-SELECT CAST(l_shipdate AS DATE) AS snapshot_date, l_partkey AS appid, l_returnflag AS category
-FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part)""")
+WITH k AS (SELECT DISTINCT l_partkey AS appid, CAST(l_shipdate AS DATE) AS snapshot_date FROM lineitem)
+SELECT k.snapshot_date, k.appid, unnest(string_split(p.p_type, ' ')) AS category
+FROM k JOIN part p ON p.p_partkey = k.appid""")
 def q_bridge_category(spark, sf_dir):
-    return category_bridge(_records(spark, sf_dir))
+    return category_bridge(_day_records(spark, sf_dir))
 
 
 @query("bridge_company", """
@@ -245,7 +250,7 @@ UNION
 SELECT CAST(l_shipdate AS DATE), l_partkey, l_linestatus, 'publisher'
 FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part)""")
 def q_bridge_company(spark, sf_dir):
-    return company_bridge(_records(spark, sf_dir))
+    return company_bridge(_line_records(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------- gold
@@ -262,7 +267,6 @@ WITH li AS (
   SELECT appid, max(snapshot_date) AS snapshot_date FROM li GROUP BY appid
 ), lists AS (
   SELECT li.appid,
-         list_sort(list(l_returnflag)) AS categories,
          list_sort(list(DISTINCT l_returnflag)) AS developers,
          list_sort(list(DISTINCT l_linestatus)) AS publishers
   FROM li JOIN latest USING (appid, snapshot_date) GROUP BY li.appid
@@ -271,16 +275,17 @@ SELECT latest.appid, p.p_name AS name, p.p_type AS type,
        CAST(latest.snapshot_date - p.p_size AS DATE) AS release_date,
        CAST(p.p_size AS SMALLINT) AS required_age,
        CAST(CASE WHEN p.p_size > 25 THEN 1 ELSE 0 END AS SMALLINT) AS coming_soon,
-       list_sort(string_split(p.p_name, ' ')) AS genres, lists.categories, lists.developers,
+       list_sort(string_split(p.p_name, ' ')) AS genres, list_sort(string_split(p.p_type, ' ')) AS categories,
+       lists.developers,
        lists.publishers, TIMESTAMP '2024-02-01 00:00:00' AS updated_at
 FROM latest JOIN part p ON p.p_partkey = latest.appid JOIN lists ON lists.appid = latest.appid"""
 
 
 @query("dim_build", DIM_SQL)
 def q_dim_build(spark, sf_dir):
-    rec = _records(spark, sf_dir)
+    main, lines = _day_records(spark, sf_dir), _line_records(spark, sf_dir)
     return build_dim(
-        rec, genre_bridge(rec), category_bridge(rec), company_bridge(rec), updated_at=DIM_LOAD_TIME
+        main, genre_bridge(main), category_bridge(main), company_bridge(lines), updated_at=DIM_LOAD_TIME
     )
 
 
