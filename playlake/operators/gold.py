@@ -72,8 +72,8 @@ def build_dim(
 
     Plan, chosen for scale:
 
-    1. latest day per game: ``row_number() = 1`` over ``appid`` (partial limit before
-       the shuffle);
+    1. latest day per game: ``row_number() = 1`` over ``appid`` for the attributes
+       (partial limit before the shuffle), ``max(snapshot_date)`` per game as the keys;
     2. the four bridges are stacked into one tall frame and semi-joined to the
        (appid, latest day) keys - the keys are one row per game, so AQE can broadcast
        them at run time when small, and the history of older days is dropped before
@@ -88,7 +88,9 @@ def build_dim(
     pass a value for repeatable runs.
     """
     main_latest = latest_per_key(silver_main, ["appid"], [F.col("snapshot_date").desc()])
-    keys = main_latest.select("appid", "snapshot_date")
+    # The bridge filter needs only (appid, latest day): a partial aggregate, not the window,
+    # so the copies Catalyst pushes into each bridge branch are one reusable exchange.
+    keys = silver_main.groupBy("appid").agg(F.max("snapshot_date").alias("snapshot_date"))
     tall = (
         genres.select("snapshot_date", "appid", F.lit("genre").alias("kind"), F.col("genre").alias("value"))
         .unionByName(categories.select("snapshot_date", "appid", F.lit("category").alias("kind"),

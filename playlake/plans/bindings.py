@@ -207,7 +207,7 @@ def part_pages(part: DataFrame, page_size: int = 100) -> DataFrame:
     )
     # p_partkey is unique, so a page (a key range of page_size) holds at most page_size apps.
     pages = apps.groupBy("page_no").agg(F.sort_array(F.collect_list("app")).alias("apps"))
-    last = pages.agg(F.max("page_no")).scalar()
+    last = F.lit(pages.agg(F.max("page_no")).first()[0])  # one scalar
     response = F.struct(
         c("apps"),
         (c("page_no") < last).alias("have_more_results"),

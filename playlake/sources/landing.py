@@ -21,24 +21,26 @@ def unwrap_envelopes(
 ) -> DataFrame:
     """``{"<appid>": {"success": .., "data": {..}}}`` -> bronze rows.
 
-    With ``requested_col`` the value under the requested id is taken (an absent id
-    gives nothing, like an empty object); without it every entry of the object is
-    returned. Only successful entries survive. Output: ``appid, success, fetched_at, data``.
+    With ``requested_col`` only the entry under the requested id counts (an absent id
+    gives nothing, like an empty object); without it every entry is returned. Only
+    successful entries survive. Output: ``appid, success, fetched_at, data``.
+
+    The body is parsed once per row: the object's entries are emitted by a generator,
+    and filters above a generator's output cannot be substituted back into its input
+    (a filter on a projected ``from_json`` would be, and would parse every body twice).
     """
-    parsed = F.from_json(F.col(body_col), ENVELOPE_DDL)
+    entries = landed.select(
+        *([F.col(requested_col).cast("bigint").alias("_requested")] if requested_col else []),
+        F.col(fetched_at_col).alias("fetched_at"),
+        F.explode(F.from_json(F.col(body_col), ENVELOPE_DDL)).alias("_k", "_e"),
+    )
     if requested_col:
-        entry = F.element_at(parsed, F.col(requested_col).cast("string"))
-        rows = landed.select(
-            F.col(requested_col).cast("bigint").alias("appid"),
-            entry.alias("_e"),
-            F.col(fetched_at_col).alias("fetched_at"),
-        )
+        entries = entries.where(F.col("_k") == F.col("_requested").cast("string"))
+        appid = F.col("_requested")
     else:
-        rows = landed.select(
-            F.explode(parsed).alias("_k", "_e"), F.col(fetched_at_col).alias("fetched_at")
-        ).withColumn("appid", F.col("_k").try_cast("bigint"))
-    return rows.where(F.coalesce(F.col("_e.success"), F.lit(False))).select(
-        "appid", F.lit(True).alias("success"), "fetched_at", F.col("_e.data").alias("data")
+        appid = F.col("_k").try_cast("bigint")
+    return entries.where(F.coalesce(F.col("_e.success"), F.lit(False))).select(
+        appid.alias("appid"), F.lit(True).alias("success"), "fetched_at", F.col("_e.data").alias("data")
     )
 
 
@@ -47,17 +49,21 @@ def unwrap_pages(landed: DataFrame, body_col: str = "body", page_col: str = "pag
 
     Pages count up to and including the first page that says no more results follow
     (a missing flag counts as "no more"); pages landed after it are ignored. The stop
-    page is a scalar subquery, not a join. Missing ``apps`` means an empty page.
+    page is a scalar subquery, not a join. Missing ``apps`` means an empty page. Each
+    body is parsed once (emitted by a one-element generator, see ``unwrap_envelopes``).
     """
-    pages = landed.select(F.col(page_col).alias("page_no"), F.from_json(F.col(body_col), PAGE_DDL).alias("p"))
-    pages = pages.select(
+    parsed = landed.select(
+        F.col(page_col).alias("page_no"),
+        F.explode(F.array(F.from_json(F.col(body_col), PAGE_DDL))).alias("p"),
+    )
+    pages = parsed.select(
         "page_no",
-        F.coalesce(F.col("p.response.apps"), F.array()).alias("apps"),
         F.coalesce(F.col("p.response.have_more_results"), F.lit(False)).alias("have_more"),
+        "p",
     )
     stop = pages.where(~F.col("have_more")).agg(F.min("page_no")).scalar()
     kept = pages.where(stop.isNull() | (F.col("page_no") <= stop))
-    return kept.select("page_no", F.inline("apps"))
+    return kept.select("page_no", F.inline(F.coalesce(F.col("p.response.apps"), F.array())))
 
 
 def fetch_outcomes(attempts: DataFrame, date_col: str = "snapshot_date", success_col: str = "success") -> DataFrame:
