@@ -35,29 +35,30 @@ GROWTH_DDL = (
 )
 
 
-def run_concurrently(jobs: list) -> None:
+def run_concurrently(jobs: list) -> list:
     """Submit independent Spark jobs (e.g. writes of different tables) at the same time.
 
     Each write is its own job with its own commit; submitting them together lets the
     scheduler fill idle slots with the other writes' tasks. Any failure is re-raised.
+    Returns the jobs' results in order.
     """
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for fut in [pool.submit(job) for job in jobs]:
-            fut.result()
+        return [fut.result() for fut in [pool.submit(job) for job in jobs]]
 
 
-def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start, end) -> None:
+def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start, end) -> dict[str, int]:
     """D1+D2: bronze days in ``[start, end]`` -> the four silver tables.
 
     The cleaned, deduplicated frame feeds four writes, so it is persisted once
     (memory, spilling to disk); a lost block is recomputed from the bronze files.
     Days without bronze files are simply absent (T24: skipped, not failed).
+    Returns the rows written per silver table.
     """
     bronze = read_bronze(spark, bronze_root, start, end)
     silver = bronze_to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         silver.count()  # materialise once; the four writers below then read the cached blocks
-        run_concurrently([
+        counts = run_concurrently([
             lambda: write_day_partitions(silver_main(silver), table_path(silver_root, "game_daily")),
             lambda: write_day_partitions(genre_bridge(silver), table_path(silver_root, "game_genre")),
             lambda: write_day_partitions(category_bridge(silver), table_path(silver_root, "game_category")),
@@ -65,6 +66,7 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start,
         ])
     finally:
         silver.unpersist()
+    return dict(zip(("game_daily", "game_genre", "game_category", "game_company"), counts))
 
 
 def load_gold(
@@ -76,25 +78,25 @@ def load_gold(
     fact_mode: str = "replace_date",
     updated_at=None,
     load_seq: int | None = None,
-) -> bool:
+) -> dict[str, int] | None:
     """D3+D4+D12: silver days in ``[start, end]`` -> fact rows and one dim version per game.
 
-    Returns False (nothing written) when the range has no silver rows, like the
-    reference's "no main data - skipping".
+    Returns the rows loaded per gold table, or None (nothing written) when the range
+    has no silver rows, like the reference's "no main data - skipping".
     """
     main = read_silver(spark, silver_root, "game_daily", start, end)
     if main.isEmpty():
-        return False
+        return None
     genres = read_silver(spark, silver_root, "game_genre", start, end)
     categories = read_silver(spark, silver_root, "game_category", start, end)
     companies = read_silver(spark, silver_root, "game_company", start, end)
     dim = build_dim(main, genres, categories, companies, updated_at=updated_at)
     seq = load_seq if load_seq is not None else time.time_ns() // 1000
-    run_concurrently([
+    fact_rows, dim_rows = run_concurrently([
         lambda: write_fact(build_fact(main), table_path(gold_root, FACT_TABLE), mode=fact_mode),
         lambda: append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq),
     ])
-    return True
+    return {FACT_TABLE: fact_rows, DIM_TABLE: dim_rows}
 
 
 def run_range(

@@ -29,7 +29,7 @@ from playlake.schemas import BRONZE_DATA_DDL, FACT_DDL
 from playlake.session import scratch_path
 from playlake.sources.bronze import (
     day_path, file_counts, known_ids, read_active_ids, read_applist, read_bronze,
-    read_bronze_columns, read_bronze_day, write_bronze, compact_bronze,
+    read_bronze_columns, read_bronze_day, write_applist, write_bronze, compact_bronze,
 )
 from playlake.sources.landing import fetch_outcomes, unwrap_envelopes, unwrap_pages
 from playlake.sources.lake import (
@@ -377,7 +377,7 @@ def q_full_load_targets(spark, sf_dir):
     root = _land_raw(spark, sf_dir)
     applist_root = scratch_path(spark, "applist")
     apps = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("appid"))
-    apps.write.mode("overwrite").option("compression", "gzip").json(day_path(applist_root, TARGET_DAY))
+    write_applist(apps, applist_root, TARGET_DAY)
     app_list = read_applist(spark, day_path(applist_root, TARGET_DAY))
     return full_load_targets(app_list, known_ids(spark, root))
 
@@ -493,10 +493,10 @@ def q_applist_flatten(spark, sf_dir):
 
 @query("applist_snapshot", "SELECT p_partkey AS appid, p_name AS name FROM part")
 def q_applist_snapshot(spark, sf_dir):
-    path = day_path(scratch_path(spark, "applist_flat"), TARGET_DAY)
+    root = scratch_path(spark, "applist_flat")
     flat = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
-    flat.write.mode("overwrite").option("compression", "gzip").json(path)
-    return read_applist(spark, path).select("appid", "name")
+    write_applist(flat, root, TARGET_DAY)
+    return read_applist(spark, day_path(root, TARGET_DAY)).select("appid", "name")
 
 
 # ---------------------------------------------------------------------------- landing

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.functions.parse import to_date_param, year_month
+from playlake.sources.observe import counted, rows_of
 from playlake.sources.paths import date_folders, month_folders
 from playlake.schemas import (
     CATEGORY_DDL, COMPANY_DDL, DIM_LOG_DDL, FACT_COLUMNS, FACT_DDL, GENRE_DDL,
@@ -47,8 +48,12 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def write_day_partitions(df: DataFrame, path: str, date_col: str = "snapshot_date") -> None:
-    """K1/K2: replace exactly the days present in ``df``; other days stay untouched."""
+def write_day_partitions(df: DataFrame, path: str, date_col: str = "snapshot_date") -> int:
+    """K1/K2: replace exactly the days present in ``df``; other days stay untouched.
+
+    Returns the rows written (counted inside the write job, K11).
+    """
+    df, obs = counted(df)
     (
         df.hint("rebalance", date_col)
         .write.mode("overwrite")
@@ -57,6 +62,7 @@ def write_day_partitions(df: DataFrame, path: str, date_col: str = "snapshot_dat
         .partitionBy(date_col)
         .parquet(path)
     )
+    return rows_of(obs)
 
 
 def read_table(
@@ -119,7 +125,7 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode: str = "replace_date") -> None:
+def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode: str = "replace_date") -> int:
     """Month folders, rows sorted by (snapshot_date, appid); append or replace whole days.
 
     ``replace_date``: every snapshot date present in ``df`` is replaced whole, other dates
@@ -128,18 +134,22 @@ def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode:
     checkpoint folder first, then replace those month folders with dynamic partition
     overwrite. Each step is one job commit (T30) and the staging table cuts the lineage,
     so a retried job never reads the folder it is overwriting.
+
+    Returns the loaded rows (K11: "rows inserted"), counted inside the write job.
     """
     if mode not in ("replace_date", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
     spark = df.sparkSession
     if mode == "append" or not _path_exists(spark, path):
+        df, obs = counted(df)
         _month_layout(df, columns).write.mode("append").option("compression", "snappy").partitionBy(
             "snapshot_month").parquet(path)
-        return
+        return rows_of(obs)
     # The loaded dates: one value per calendar day of the load, bounded by its date range.
     days = [r[0] for r in df.select("snapshot_date").distinct().collect()]
     if not days:
-        return
+        return 0
+    df, obs = counted(df)
     months = sorted({d.year * 100 + d.month for d in days})
     kept = (
         spark.read.schema(ddl + ", snapshot_month int").parquet(path)
@@ -163,16 +173,17 @@ def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode:
         .parquet(path)
     )
     _delete_path(spark, staging)
+    return rows_of(obs)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> None:
+def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> int:
     """Load fact rows into month folders sorted by (snapshot_date, appid).
 
     ``append``: rows are added (a re-run duplicates them, as the reference's loader
     does). ``replace_date`` (default, T3): every snapshot date in ``fact`` is replaced
     whole, so a re-run gives the same rows (see ``write_by_month``).
     """
-    write_by_month(fact, path, FACT_COLUMNS, FACT_DDL, mode)
+    return write_by_month(fact, path, FACT_COLUMNS, FACT_DDL, mode)
 
 
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
@@ -181,7 +192,7 @@ def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame
     return read_table(spark, path, ddl, start, end, layout="month").select(*FACT_COLUMNS)
 
 
-def replace_fact_date(fact: DataFrame, path: str, day: _dt.date | str) -> None:
+def replace_fact_date(fact: DataFrame, path: str, day: _dt.date | str) -> int:
     """Delete one snapshot date and insert the given rows for it.
 
     Raises when no date is given, like the reference; rows for other dates are refused.
@@ -195,17 +206,22 @@ def replace_fact_date(fact: DataFrame, path: str, day: _dt.date | str) -> None:
             F.raise_error(F.lit(f"row outside snapshot date {d}"))
         ).cast("date"),
     )
-    write_fact(checked, path, mode="replace_date")
+    return write_fact(checked, path, mode="replace_date")
 
 
-def append_dim_versions(dim: DataFrame, path: str, load_seq: int) -> None:
-    """K8: append one load's dim rows to the version log (never overwrite the dim, T31)."""
+def append_dim_versions(dim: DataFrame, path: str, load_seq: int) -> int:
+    """K8: append one load's dim rows to the version log (never overwrite the dim, T31).
+
+    Returns the versions appended (counted inside the write job).
+    """
+    dim, obs = counted(dim)
     (
         dim.withColumn("load_seq", F.lit(load_seq).cast("bigint"))
         .write.mode("append")
         .option("compression", "snappy")
         .parquet(path)
     )
+    return rows_of(obs)
 
 
 def read_dim_log(spark: SparkSession, path: str) -> DataFrame:

@@ -116,3 +116,17 @@ def test_ensure_tables_is_idempotent(spark, tmp_path):  # K9
     contract = {(r.table, r.column): r.type for r in table_contract(spark, root).collect()}
     assert contract[("fact_game_daily", "discount_percent")] == "smallint"
     assert contract[("dim_game", "genres")] == "array<string>"
+
+
+def test_usd_rate_parameter(spark):  # F7, T17
+    df = silver_rows(spark, [{"appid": 1, "snapshot_date": D1, "price": 10.0}])
+    assert build_fact(df).first().price_usd == 10.0
+    assert build_fact(df, usd_rate=1.1).first().price_usd == pytest.approx(11.0)
+
+
+def test_writers_report_rows(spark):  # K11
+    rows = silver_rows(spark, [{"appid": i, "snapshot_date": D1} for i in range(4)])
+    path = scratch_path(spark, "t_rows")
+    assert write_fact(build_fact(rows), path, mode="append") == 4
+    assert write_fact(build_fact(rows.where(F.col("appid") < 2)), path, mode="replace_date") == 2
+    assert read_fact(spark, path).count() == 2

@@ -116,3 +116,24 @@ def test_bronze_scan_prunes_partitions(spark, write_jsonl):  # S1, section 4
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [" in plan
     assert [r.appid for r in df.collect()] == [2]
     assert df.schema["year"].dataType.typeName() == "integer"
+
+
+def test_extra_bronze_fields_do_not_pass_through(spark, write_jsonl):  # T12, T34
+    line = json.dumps({"appid": 1, "success": True, "fetched_at": "2024-01-05T00:00:00", "year": "x",
+                       "source": "combined", "data": {"name": "a", "unexpected": {"deep": 1}}})
+    silver = bronze_to_silver(load(spark, write_jsonl, raw_lines=[line]))
+    assert silver_main(silver).columns == SILVER_MAIN_COLUMNS
+    r = silver.first()
+    assert r.name == "a" and r.price is None and r.metacritic_score is None  # absent structs -> NULL
+
+
+def test_compaction_then_dedup_removes_repeats(spark, write_jsonl):  # T13
+    from playlake.sources.bronze import compact_bronze
+
+    root = write_jsonl(f"bronze/{DAY}/tmp_000.jsonl.gz", [rec(1, "2024-01-05T01:00:00", name="a")])
+    write_jsonl(f"bronze/{DAY}/tmp_001.jsonl.gz", [rec(1, "2024-01-05T01:00:00", name="a"),
+                                                  rec(2, "2024-01-05T01:00:00", name="b")])
+    compact_bronze(spark, f"{root}/bronze", "2024-01-05", "2024-01-05")
+    bronze = read_bronze_day(spark, f"{root}/bronze", "2024-01-05")
+    assert bronze.count() == 3
+    assert sorted(r.appid for r in bronze_to_silver(bronze).collect()) == [1, 2]
