@@ -57,7 +57,8 @@ def _updated_at(updated_at) -> Column:
     if isinstance(updated_at, Column):
         return updated_at.cast("timestamp_ntz")
     if isinstance(updated_at, _dt.datetime):
-        return F.lit(updated_at).cast("timestamp_ntz")
+        # Wall-clock text -> NTZ: no dependence on the Python or session time zone.
+        return F.lit(updated_at.isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(str(updated_at)).cast("timestamp_ntz")
 
 
