@@ -196,10 +196,10 @@ def advance_growth(
     staged_path = scratch_path(spark, "growth_combined")
     combine(state, batch).write.mode("overwrite").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
-    run_concurrently([
-        lambda: write_by_month(growth_rows(staged), growth_path, GROWTH_COLUMNS, GROWTH_DDL),
-        lambda: next_state(state, staged).write.mode("errorifexists").parquet(
-            f"{state_root.rstrip('/')}/version={version + 1}"),
-    ])
+    # Growth rows commit before the next state: a run that dies in between is simply
+    # re-run from the old state (replace-date makes the growth write idempotent).
+    write_by_month(growth_rows(staged), growth_path, GROWTH_COLUMNS, GROWTH_DDL)
+    next_state(state, staged).write.mode("errorifexists").parquet(
+        f"{state_root.rstrip('/')}/version={version + 1}")
     return read_table(spark, growth_path, GROWTH_DDL + ", snapshot_month int", start, end,
                       layout="month").select(*GROWTH_COLUMNS)
