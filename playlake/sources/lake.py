@@ -151,10 +151,13 @@ def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode:
         return 0
     df, obs = counted(df)
     months = sorted({d.year * 100 + d.month for d in days})
+    # Month literals prune folders; the loaded days leave by an anti join (the day list
+    # is small and broadcast) rather than a literal list that a backfill makes huge.
+    loaded_days = df.select("snapshot_date").distinct()
     kept = (
         spark.read.schema(ddl + ", snapshot_month int").parquet(path)
         .where(F.col("snapshot_month").isin(months))
-        .where(~F.col("snapshot_date").isin(days))
+        .join(loaded_days, "snapshot_date", "left_anti")
         .select(*columns)
     )
     from playlake.session import scratch_path
