@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 # Fixed values that must match the reference's behaviour:
 #   release dates parse only as "day abbreviated-month, year", e.g. "5 Nov, 2025";
 #   fetch times are ISO local date-times with an optional fraction of up to 6 digits;
-#   bronze/silver day folders are "year=YYYY/month=MM/day=DD".
+#   bronze/silver day folders are "year=YYYY/month=MM/day=DD";
+#   the age keeps every digit and drops every other character.
 RELEASE_DATE_FORMAT = "d MMM, yyyy"
 FETCHED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 PARTITION_PATH_FORMAT = "'year='yyyy'/month='MM'/day='dd"
+NON_DIGITS = r"[^0-9]"
 
 
 def _col(c: Column | str) -> Column:
@@ -44,7 +46,7 @@ def clean_age(c: Column | str) -> Column:
 
     ``16+`` -> 16, ``"18"`` -> 18, ``18.0`` -> 180, ``-`` -> NULL, 20 digits -> NULL.
     """
-    digits = F.regexp_replace(_col(c).cast("string"), r"[^0-9]", "")
+    digits = F.regexp_replace(_col(c).cast("string"), NON_DIGITS, "")
     return digits.try_cast("bigint")
 
 

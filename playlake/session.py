@@ -26,21 +26,43 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster over ~100 TB of input (``build_session(profile="cluster")``).
+# Shuffles start wide and AQE merges them to ~256 MB partitions, splitting skewed ones;
+# parquet scans split at 512 MB. Gzip JSON is not splittable, so bronze parallelism comes
+# from its many small files (<= 1,000 records each), not from split size.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.openCostInBytes": str(8 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     app_name: str = "playlake",
     extra: dict[str, str] | None = None,
+    profile: str = "local",
 ) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
     ``master`` and ``shuffle_partitions`` are only for local runs and tests; on a
-    cluster leave them ``None`` so the submit-time settings win.
+    cluster leave them ``None`` and pass ``profile="cluster"`` for the sizing above
+    (submit-time settings given in ``extra`` still win).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
