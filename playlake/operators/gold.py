@@ -88,7 +88,13 @@ def build_dim(
     when a run covers a date range (T33). ``updated_at`` defaults to the load time (T5);
     pass a value for repeatable runs.
     """
-    main_latest = latest_per_key(silver_main, ["appid"], [F.col("snapshot_date").desc()])
+    # Ties on the latest day (only if silver was not unique per day) go to the latest
+    # fetch, then to a stable row hash, so the chosen version repeats run to run.
+    order = [F.col("snapshot_date").desc()]
+    if "fetched_at" in silver_main.columns:
+        order.append(F.col("fetched_at").desc_nulls_first())
+    order.append(F.xxhash64(*[c for c in silver_main.columns if c != "appid"]).asc())
+    main_latest = latest_per_key(silver_main, ["appid"], order)
     # The bridge filter needs only (appid, latest day): a partial aggregate, not the window,
     # so the copies Catalyst pushes into each bridge branch are one reusable exchange.
     keys = silver_main.groupBy("appid").agg(F.max("snapshot_date").alias("snapshot_date"))
@@ -139,4 +145,5 @@ def latest_dim(dim_log: DataFrame) -> DataFrame:
     order = [F.col("updated_at").desc_nulls_last()]
     if "load_seq" in dim_log.columns:
         order.append(F.col("load_seq").desc_nulls_last())
+    order.append(F.xxhash64(*[c for c in dim_log.columns if c != "appid"]).asc())  # stable tie-break
     return latest_per_key(dim_log, ["appid"], order).select(*DIM_COLUMNS)

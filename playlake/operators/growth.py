@@ -28,8 +28,9 @@ def game_growth(
     """
     if missing not in ("zero", "null"):
         raise ValueError("missing must be 'zero' or 'null'")
-    w = Window.partitionBy("appid").orderBy("snapshot_date")
     v = F.col(value_col)
+    # The value orders twin rows of one day (an appended re-load), so runs repeat.
+    w = Window.partitionBy("appid").orderBy("snapshot_date", value_col)
     growth = [
         (v - (F.lag(v, n, 0) if missing == "zero" else F.lag(v, n)).over(w)).alias(f"rec_growth_{n}d")
         for n in lags
