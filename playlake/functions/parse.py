@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 # Fixed values that must match the reference's behaviour:
 #   release dates parse only as "day abbreviated-month, year", e.g. "5 Nov, 2025";
-#   fetch times are ISO local date-times with an optional fraction of up to 6 digits;
+#   fetch times are ISO local date-times with an optional fraction of up to 9 digits
+#   (kept to the microsecond);
 #   bronze/silver day folders are "year=YYYY/month=MM/day=DD";
 #   the age keeps every digit and drops every other character.
 RELEASE_DATE_FORMAT = "d MMM, yyyy"
-FETCHED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+FETCHED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]"
 PARTITION_PATH_FORMAT = "'year='yyyy'/month='MM'/day='dd"
 NON_DIGITS = r"[^0-9]"
 

@@ -23,9 +23,11 @@ def test_release_date_only_one_shape_parses(spark):  # F2, T8
 
 
 def test_fetched_at_with_and_without_fraction(spark):  # F3, T27
-    got = one_col(spark, ["2024-01-02T01:02:03.123456", "2024-01-02T01:02:03", "bad", None], "string",
-                  parse_fetched_at)
-    assert got == [dt.datetime(2024, 1, 2, 1, 2, 3, 123456), dt.datetime(2024, 1, 2, 1, 2, 3), None, None]
+    got = one_col(spark, ["2024-01-02T01:02:03.123456", "2024-01-02T01:02:03", "bad", None,
+                          "2024-01-02T01:02:03.123456789", "2024-01-02T01:02:03.5", "2024-02-30T01:02:03"],
+                  "string", parse_fetched_at)
+    assert got == [dt.datetime(2024, 1, 2, 1, 2, 3, 123456), dt.datetime(2024, 1, 2, 1, 2, 3), None, None,
+                   dt.datetime(2024, 1, 2, 1, 2, 3, 123456), dt.datetime(2024, 1, 2, 1, 2, 3, 500000), None]
     df = spark.createDataFrame([("2024-01-02T01:02:03",)], "x string").select(parse_fetched_at("x"))
     assert df.schema.fields[0].dataType.typeName() == "timestamp_ntz"
 
