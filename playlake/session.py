@@ -76,13 +76,17 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private folder created
-    and registered as the checkpoint dir.
+    Only when the session names none and runs in local mode (tests) is a private
+    folder created and registered as the checkpoint dir; a cluster session without
+    one is an error rather than a silently machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is invisible to executors on other hosts.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="playlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
