@@ -41,3 +41,34 @@ def test_batch_reaching_back_fails(spark):
     growth, _ = growth_step(state, old)
     with pytest.raises(PySparkException):
         growth.collect()
+
+
+def test_views_over_materialized_growth_push_date_filters(spark):
+    from playlake.plans.medallion import advance_growth, gold_views
+    from playlake.session import scratch_path
+    from playlake.sources.lake import append_dim_versions, table_path, write_fact
+
+    base = scratch_path(spark, "t_matviews")
+    rows = [(dt.date(2024, 1, d), a, 10 * d + a) for d in range(1, 11) for a in (1, 2)]
+    fact = spark.createDataFrame(rows, "snapshot_date date, appid bigint, recommendations_total bigint")
+    full = fact.select(
+        "snapshot_date", "appid", F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("price_usd"),
+        F.lit("USD").alias("currency"), F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
+        F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
+        F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"))
+    write_fact(full, table_path(f"{base}/gold", "fact_game_daily"), mode="append")
+    dim = spark.createDataFrame([(a, f"g{a}", "game", None, 0, 0, ["RPG"], [], [], ["P"], dt.datetime(2024, 2, 1))
+                                 for a in (1, 2)],
+                                "appid bigint, name string, type string, release_date date, required_age smallint, "
+                                "coming_soon smallint, genres array<string>, categories array<string>, "
+                                "developers array<string>, publishers array<string>, updated_at timestamp_ntz")
+    append_dim_versions(dim, table_path(f"{base}/gold", "dim_game"), 1)
+    fact_path = table_path(f"{base}/gold", "fact_game_daily")
+    advance_growth(spark, fact_path, f"{base}/state", f"{base}/growth", "2024-01-01", "2024-01-05")
+    advance_growth(spark, fact_path, f"{base}/state", f"{base}/growth", "2024-01-06", "2024-01-10")
+    plain, mat = gold_views(spark, f"{base}/gold"), gold_views(spark, f"{base}/gold", f"{base}/growth")
+    for name in plain:
+        assert plain[name].exceptAll(mat[name]).count() == 0 and mat[name].exceptAll(plain[name]).count() == 0
+    one_day = mat["view_game_growth"].where(F.col("snapshot_date") == F.lit(dt.date(2024, 1, 7)))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(snapshot_date), EqualTo(snapshot_date" in plan
