@@ -57,7 +57,9 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start,
     bronze = read_bronze(spark, bronze_root, start, end)
     silver = bronze_to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        silver.count()  # materialise once; the four writers below then read the cached blocks
+        # Materialise once; the four writers below then read the cached blocks.
+        if silver.count() == 0:  # S7: empty bronze for the range -> stop, write nothing
+            return dict.fromkeys(("game_daily", "game_genre", "game_category", "game_company"), 0)
         counts = run_concurrently([
             lambda: write_day_partitions(silver_main(silver), table_path(silver_root, "game_daily")),
             lambda: write_day_partitions(genre_bridge(silver), table_path(silver_root, "game_genre")),
