@@ -25,15 +25,15 @@ from playlake.operators.silver import (
 from playlake.operators.targets import daily_targets, full_load_targets, target_sample
 from playlake.plans import bindings as B
 from playlake.plans.medallion import GROWTH_DDL, advance_growth, gold_views, load_gold, load_silver, run_range
-from playlake.schemas import BRONZE_DATA_DDL, FACT_DDL
+from playlake.schemas import FACT_DDL
 from playlake.session import scratch_path
 from playlake.sources.bronze import (
     day_path, file_counts, known_ids, read_active_ids, read_applist, read_bronze,
-    read_bronze_columns, read_bronze_day, write_applist, write_bronze, compact_bronze,
+    compact_bronze, read_bronze_columns, read_bronze_day, write_applist, write_bronze,
 )
 from playlake.sources.landing import fetch_outcomes, unwrap_envelopes, unwrap_pages
 from playlake.sources.lake import (
-    FACT_TABLE, read_fact, read_silver, read_table, replace_fact_date, table_path, write_fact,
+    read_fact, read_silver, read_table, replace_fact_date, write_fact,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

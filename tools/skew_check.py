@@ -24,7 +24,6 @@ def main() -> None:
     log_dir = tempfile.mkdtemp(prefix="playlake-eventlog-")
     from pyspark.sql import functions as F
 
-    from playlake.operators.gold import latest_dim  # noqa: F401
     from playlake.operators.growth import genre_growth
     from playlake.operators.silver import company_bridge, dedup_snapshots
     from playlake.session import build_session, scratch_path
