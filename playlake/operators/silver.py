@@ -12,7 +12,7 @@ from playlake.functions.parse import (
     clean_age, list_field, minor_to_major, parse_fetched_at, parse_release_date, to_date_param,
 )
 from playlake.operators.dedup import latest_per_key
-from playlake.schemas import SILVER_LIST_COLUMNS, SILVER_MAIN_COLUMNS
+from playlake.schemas import SILVER_MAIN_COLUMNS
 
 # A descending sort puts NULL fetch times first, so an unparseable fetch time wins
 # the dedup. Flip to False to prefer the latest parseable time instead.
@@ -118,6 +118,6 @@ def bronze_to_silver(bronze: DataFrame, snapshot_date=None) -> DataFrame:
 
 
 __all__ = [
-    "NULL_FETCHED_AT_WINS", "SILVER_LIST_COLUMNS", "bronze_to_silver", "category_bridge",
+    "NULL_FETCHED_AT_WINS", "bronze_to_silver", "category_bridge",
     "clean_bronze", "company_bridge", "dedup_snapshots", "genre_bridge", "silver_main",
 ]
