@@ -33,7 +33,7 @@ from playlake.sources.bronze import (
 )
 from playlake.sources.landing import fetch_outcomes, unwrap_envelopes, unwrap_pages
 from playlake.sources.lake import (
-    read_fact, read_silver, read_table, replace_fact_date, write_fact,
+    ensure_tables, table_contract, read_fact, read_silver, read_table, replace_fact_date, write_fact,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -604,6 +604,20 @@ def q_cast_checked(spark, sf_dir):
     )
 
 
+@query("schema_contract")
+def q_schema_contract(spark, sf_dir):
+    """K9: the lake built from RAW over the event days, then (table, column, type) per
+    stored table as read from the files. A schema, not values: no SQL oracle (rows-only)."""
+    root = _land_raw(spark, sf_dir)
+    base = scratch_path(spark, "contract")
+    first, last = _event_days(spark, sf_dir)
+    ensure_tables(spark, f"{base}/silver")
+    run_range(spark, root, f"{base}/silver", f"{base}/gold", first, last, updated_at=DIM_LOAD_TIME, load_seq=1)
+    silver = table_contract(spark, f"{base}/silver").where(F.col("table").startswith("game_"))
+    gold = table_contract(spark, f"{base}/gold").where(~F.col("table").startswith("game_"))
+    return silver.unionByName(gold)
+
+
 # ---------------------------------------------------------------------------- composite runs
 @query("date_range_backfill", f"""
 WITH days AS (
