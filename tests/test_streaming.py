@@ -38,3 +38,13 @@ def test_incremental_load_handles_late_files(spark, write_jsonl):
     assert main.count() == 4
     assert main.where((F.col("appid") == 1) & (F.col("snapshot_date") == dt.date(2024, 1, 5))).first().name == "second"
     assert read_fact(spark, table_path(gold, "fact_game_daily")).count() == 4
+
+
+def test_restart_without_new_files_is_a_no_op(spark, write_jsonl):
+    root = write_jsonl("nb/year=2024/month=01/day=05/a.jsonl.gz", [rec(1, "2024-01-05T01:00:00", "a")])
+    silver, ckpt = scratch_path(spark, "t_nsilver"), scratch_path(spark, "t_nckpt")
+    for _ in range(2):
+        q = start_incremental_load(spark, f"{root}/nb", silver, checkpoint=ckpt)
+        q.awaitTermination(300)
+    assert read_silver(spark, silver, "game_daily").count() == 1
+    assert q.lastProgress is None or q.lastProgress["numInputRows"] == 0
