@@ -12,6 +12,7 @@ to whatever runs the command (cron, an orchestrator, spark-submit).
   register-ids   --bronze B --registry R --start D --end D   add newly landed ids to the registry
   growth    --gold G --state S --out O --start D --end D     incremental game growth for new days
   views     --gold G --sql "SELECT ..."                      run SQL over the three gold views
+  compact-dim --gold G                                       keep only each game's newest dim version
 """
 
 from __future__ import annotations
@@ -93,6 +94,10 @@ def main(argv: list[str] | None = None) -> int:
 
         advance_growth(spark, table_path(a.gold, FACT_TABLE), a.state, a.out, _day(a.start), _day(a.end))
         result = {"out": a.out}
+    elif a.task == "compact-dim":
+        from playlake.sources.lake import DIM_TABLE, compact_dim_log, table_path
+
+        result = {"versions_kept": compact_dim_log(spark, table_path(a.gold, DIM_TABLE))}
     elif a.task == "views":
         from playlake.plans.medallion import register_views
 

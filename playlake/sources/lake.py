@@ -231,6 +231,35 @@ def read_dim_log(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, DIM_LOG_DDL)
 
 
+def compact_dim_log(spark: SparkSession, path: str) -> int:
+    """K8's merge: shrink the version log to the newest version of each game.
+
+    The log grows by one version per game per load; compacting keeps every read of the
+    latest dim proportional to the catalogue, not to its history. The newest versions
+    (same ordering as ``latest_dim``, ``load_seq`` kept) go to a staging table under the
+    shared checkpoint folder first; only then is the log replaced from that staging
+    table, so no job reads the folder it overwrites. Run it between loads: a version
+    appended while it runs is not part of the compacted log. Returns the versions kept.
+    """
+    from playlake.operators.dedup import latest_per_key
+    from playlake.session import scratch_path
+
+    log = read_dim_log(spark, path)
+    newest = latest_per_key(log, ["appid"], [
+        F.col("updated_at").desc_nulls_last(),
+        F.col("load_seq").desc_nulls_last(),
+        F.xxhash64(*[c for c in log.columns if c != "appid"]).asc(),
+    ])
+    staging = scratch_path(spark, "dim_compact")
+    newest, obs = counted(newest)
+    newest.write.mode("overwrite").option("compression", "snappy").parquet(staging)
+    kept = rows_of(obs)
+    spark.read.schema(DIM_LOG_DDL).parquet(staging).write.mode("overwrite").option(
+        "compression", "snappy").parquet(path)
+    _delete_path(spark, staging)
+    return kept
+
+
 def ensure_tables(spark: SparkSession, root: str) -> list[str]:
     """K9: create every silver/gold table folder that does not exist yet, empty and typed.
 

@@ -130,3 +130,18 @@ def test_writers_report_rows(spark):  # K11
     assert write_fact(build_fact(rows), path, mode="append") == 4
     assert write_fact(build_fact(rows.where(F.col("appid") < 2)), path, mode="replace_date") == 2
     assert read_fact(spark, path).count() == 2
+
+
+def test_compact_dim_log_keeps_latest(spark):  # K8 merge
+    from playlake.sources.lake import compact_dim_log
+
+    g, c, co = _empty_bridges(spark)
+    path = scratch_path(spark, "t_dimlog")
+    for seq, ts in enumerate((dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)), 1):
+        main = silver_rows(spark, [{"appid": a, "snapshot_date": D1, "name": f"v{seq}-{a}"} for a in (1, 2)])
+        append_dim_versions(build_dim(main, g, c, co, updated_at=ts), path, seq)
+    before = sorted(tuple(r) for r in latest_dim(read_dim_log(spark, path)).collect())
+    assert read_dim_log(spark, path).count() == 6
+    assert compact_dim_log(spark, path) == 2
+    assert read_dim_log(spark, path).count() == 2
+    assert sorted(tuple(r) for r in latest_dim(read_dim_log(spark, path)).collect()) == before
