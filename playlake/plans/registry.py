@@ -202,6 +202,7 @@ def q_publisher_growth(spark, sf_dir):
 # ---------------------------------------------------------------------------- silver
 @query("silver_main", f"WITH {RAW_SILVER_CTE} {SILVER_SELECT}")
 def q_silver_main(spark, sf_dir):
+    """RAW landed as nested gzip JSON, read with the bronze schema, cleaned and deduplicated."""
     root = _land_raw(spark, sf_dir)
     return silver_main(bronze_to_silver(read_bronze(spark, root)))
 
@@ -283,6 +284,7 @@ FROM latest JOIN part p ON p.p_partkey = latest.appid JOIN lists ON lists.appid
 
 @query("dim_build", DIM_SQL)
 def q_dim_build(spark, sf_dir):
+    """D4 on RECORDS: one dim version per part from its latest ship day, four sorted lists."""
     main, lines = _day_records(spark, sf_dir), _line_records(spark, sf_dir)
     return build_dim(
         main, genre_bridge(main), category_bridge(main), company_bridge(lines), updated_at=DIM_LOAD_TIME
@@ -294,6 +296,7 @@ SELECT user_id AS appid, arg_max('app-' || CAST(user_id AS VARCHAR), (ts, event_
        arg_max(event_type, (ts, event_id)) AS type, max(ts) AS updated_at
 FROM events GROUP BY user_id""")
 def q_dim_latest(spark, sf_dir):
+    """Events as a dim version log (version time = ts, load seq = event id); newest per user."""
     ev = _t(spark, sf_dir, "events")
     empty = F.array().cast("array<string>")
     log = ev.select(
@@ -312,6 +315,7 @@ def q_dim_latest(spark, sf_dir):
 
 @query("fact_append", LINEITEM_FACT_SQL)
 def q_fact_append(spark, sf_dir):
+    """K6: the lineitem fact appended in two loads (split at a day), read back whole."""
     fact = build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem")))
     path = scratch_path(spark, "fact_append")
     early = F.col("snapshot_date") < F.lit(APPEND_SPLIT_DAY).cast("date")
@@ -328,6 +332,7 @@ SELECT CAST(ts AS DATE) AS snapshot_date, user_id AS appid, value AS price, valu
 FROM events
 WHERE NOT (CAST(ts AS DATE) = DATE '{REPLACE_DAY}' AND event_type = 'error')""")
 def q_fact_replace_date(spark, sf_dir):
+    """K7: events loaded as facts, then one day replaced by its non-error rows."""
     sm = B.events_silver_main(_t(spark, sf_dir, "events"))
     path = scratch_path(spark, "fact_replace")
     write_fact(build_fact(sm), path, mode="replace_date")
@@ -341,6 +346,7 @@ SELECT CAST(strftime(CAST(l_shipdate AS DATE), '%Y%m') AS INTEGER) AS snapshot_m
        count(*) AS n_rows, count(DISTINCT l_partkey) AS n_appids
 FROM lineitem GROUP BY 1""")
 def q_fact_month_layout(spark, sf_dir):
+    """The lineitem fact written in month folders; rows and games per stored month."""
     path = scratch_path(spark, "fact_layout")
     write_fact(build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem"))), path)
     stored = read_table(spark, path, FACT_DDL + ", snapshot_month int")
@@ -355,6 +361,7 @@ SELECT DISTINCT user_id AS appid FROM events
 WHERE user_id IS NOT NULL AND user_id NOT IN (
   SELECT user_id FROM events WHERE CAST(ts AS DATE) = DATE '{TARGET_DAY}' AND user_id IS NOT NULL)""")
 def q_daily_targets(spark, sf_dir):
+    """Users (as active ids) not in that day's landed bronze."""
     root = _land_raw(spark, sf_dir)
     active = read_active_ids(spark, f"{sf_dir.rstrip('/')}/events.parquet", column="user_id")
     fetched = read_bronze_day(spark, root, TARGET_DAY, schema="appid bigint")
@@ -374,6 +381,7 @@ def q_target_sample(spark, sf_dir):
 SELECT COALESCE(o_custkey, 0) AS appid FROM orders
 WHERE COALESCE(o_custkey, 0) NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""")
 def q_full_load_targets(spark, sf_dir):
+    """Order customers as an app-list snapshot, minus every id ever landed (duplicates kept)."""
     root = _land_raw(spark, sf_dir)
     applist_root = scratch_path(spark, "applist")
     apps = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("appid"))
@@ -384,6 +392,7 @@ def q_full_load_targets(spark, sf_dir):
 
 @query("known_ids", "SELECT DISTINCT user_id AS appid FROM events WHERE user_id IS NOT NULL")
 def q_known_ids(spark, sf_dir):
+    """Distinct ids over every landed bronze day."""
     return known_ids(spark, _land_raw(spark, sf_dir))
 
 
@@ -395,6 +404,7 @@ def q_active_ids(spark, sf_dir):
 # ---------------------------------------------------------------------------- bronze scans and writes
 @query("bronze_scan_day", BRONZE_ROWS_SQL)
 def q_bronze_scan_day(spark, sf_dir):
+    """Landed RAW read back day by day (partition-pruned range covering every event day)."""
     root = _land_raw(spark, sf_dir)
     first, last = _event_days(spark, sf_dir)
     return _bronze_rows(read_bronze(spark, root, first, last))
@@ -405,6 +415,7 @@ SELECT user_id AS appid, CASE WHEN value < 100 THEN event_type END AS kind,
        CASE WHEN value >= 100 THEN value END AS amount, CAST(ts AS DATE) AS snapshot_date
 FROM events""")
 def q_bronze_scan_projected(spark, sf_dir):
+    """S3/U4: two file sets with different columns in the same day folders, merged by name."""
     ev = _t(spark, sf_dir, "events")
     root = scratch_path(spark, "bronze_projected")
     base = [F.col("user_id").alias("appid"), B.iso_micros(F.col("ts")).alias("fetched_at"),
@@ -426,6 +437,7 @@ c AS (SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS n FROM events GROUP
 SELECT days.snapshot_date, CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows
 FROM days LEFT JOIN c USING (snapshot_date)""")
 def q_missing_partition_empty(spark, sf_dir):
+    """Rows per requested day, one day before and after the data, absent days giving 0."""
     root = _land_raw(spark, sf_dir)
     first, last = _event_days(spark, sf_dir)
     s, e = first - _dt.timedelta(days=1), last + _dt.timedelta(days=1)
@@ -442,6 +454,7 @@ def q_missing_partition_empty(spark, sf_dir):
 SELECT CAST(ts AS DATE) AS snapshot_date, CAST(ceil(count(*) / 100.0) AS BIGINT) AS n_files
 FROM events GROUP BY 1""")
 def q_partition_file_counts(spark, sf_dir):
+    """A10: files per day folder after writing at most 100 rows per file."""
     root = _land_raw(spark, sf_dir, rows_per_file=100)
     return file_counts(spark, root, schema="appid bigint")
 
@@ -457,6 +470,7 @@ def q_partition_path(spark, sf_dir):
 
 @query("silver_read_back", f"WITH {RAW_SILVER_CTE} {SILVER_SELECT}")
 def q_silver_read_back(spark, sf_dir):
+    """The silver load over the event days, main table read back."""
     root = _land_raw(spark, sf_dir)
     silver_root = scratch_path(spark, "silver")
     first, last = _event_days(spark, sf_dir)
@@ -466,6 +480,7 @@ def q_silver_read_back(spark, sf_dir):
 
 @query("bronze_batches", BRONZE_ROWS_SQL)
 def q_bronze_batches(spark, sf_dir):
+    """K3: RAW written in files of at most 1,000 rows, read back whole."""
     root = _land_raw(spark, sf_dir, rows_per_file=1000)
     return _bronze_rows(read_bronze(spark, root))
 
@@ -475,6 +490,7 @@ SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS n_rows,
        CAST(ceil(count(*) / 1000.0) AS BIGINT) AS n_files
 FROM events GROUP BY 1""")
 def q_bronze_compact(spark, sf_dir):
+    """K5: 100-row files compacted to 1,000-row files; rows and files per day after the swap."""
     root = _land_raw(spark, sf_dir, rows_per_file=100)
     first, last = _event_days(spark, sf_dir)
     compact_bronze(spark, root, first, last, rows_per_file=1000)
@@ -486,6 +502,7 @@ def q_bronze_compact(spark, sf_dir):
 
 @query("applist_flatten", "SELECT p_partkey AS appid, p_name AS name FROM part")
 def q_applist_flatten(spark, sf_dir):
+    """Parts as nested app-list documents, flattened."""
     path = day_path(scratch_path(spark, "applist_nested"), TARGET_DAY)
     B.part_applist_nested(_t(spark, sf_dir, "part")).write.option("compression", "gzip").json(path)
     return read_applist(spark, path).select("appid", "name")
@@ -493,6 +510,7 @@ def q_applist_flatten(spark, sf_dir):
 
 @query("applist_snapshot", "SELECT p_partkey AS appid, p_name AS name FROM part")
 def q_applist_snapshot(spark, sf_dir):
+    """K4: parts as the day's flat app-list snapshot, read back."""
     root = scratch_path(spark, "applist_flat")
     flat = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
     write_applist(flat, root, TARGET_DAY)
@@ -505,6 +523,7 @@ SELECT user_id AS appid, true AS success, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') A
        event_type AS type, 'app-' || CAST(user_id AS VARCHAR) AS name
 FROM events WHERE event_type NOT IN ('error', 'signup')""")
 def q_envelope_unwrap(spark, sf_dir):
+    """L1: events as keyed detail responses; failures and mis-keyed responses give no row."""
     landed = B.events_as_envelopes(_t(spark, sf_dir, "events"), misaddressed_type="signup")
     rows = unwrap_envelopes(landed)
     return rows.select("appid", "success", "fetched_at", F.col("data.type").alias("type"),
@@ -513,6 +532,7 @@ def q_envelope_unwrap(spark, sf_dir):
 
 @query("page_unwrap", "SELECT p_partkey AS appid, p_name AS name FROM part")
 def q_page_unwrap(spark, sf_dir):
+    """L2: parts as catalogue pages of 100, concatenated up to the last page."""
     return unwrap_pages(B.part_pages(_t(spark, sf_dir, "part"))).select("appid", "name")
 
 
@@ -523,6 +543,7 @@ SELECT CAST(ts AS DATE) AS snapshot_date,
        count(*) AS n_total
 FROM events GROUP BY 1""")
 def q_fetch_outcomes(spark, sf_dir):
+    """Ok / err / total fetch attempts per event day."""
     attempts = _t(spark, sf_dir, "events").select(
         F.to_date("ts").alias("snapshot_date"), (F.col("event_type") != "error").alias("success")
     )
@@ -629,6 +650,7 @@ SELECT days.snapshot_date, CAST(coalesce(s.n, 0) AS BIGINT) AS silver_rows,
        CASE WHEN s.n IS NULL THEN 'skipped' ELSE 'loaded' END AS status
 FROM days LEFT JOIN s USING (snapshot_date)""")
 def q_date_range_backfill(spark, sf_dir):
+    """Silver then gold over a range wider than the data; per-day report."""
     root = _land_raw(spark, sf_dir)
     base = scratch_path(spark, "lake")
     return run_range(spark, root, f"{base}/silver", f"{base}/gold", BACKFILL_START, BACKFILL_END,
@@ -647,6 +669,7 @@ SELECT snapshot_date, appid, rec AS recommendations_total,
        rec - lag(rec, 30, 0) OVER w AS rec_growth_30d
 FROM s WINDOW w AS (PARTITION BY appid ORDER BY snapshot_date)""")
 def q_medallion_end_to_end(spark, sf_dir):
+    """Landed responses -> bronze -> silver -> gold -> game growth view."""
     events = _t(spark, sf_dir, "events")
     base = scratch_path(spark, "medallion")
     # landed responses (JSON lines) -> bronze day folders
