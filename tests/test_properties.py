@@ -64,3 +64,76 @@ def test_company_bridge_is_a_set_per_role(spark, rows):
     want = sorted({(a, c, "developer") for a, dv, _ in rows for c in dv if c is not None}
                   | {(a, c, "publisher") for a, _, pb in rows for c in pb if c is not None})
     assert got == want
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(facts, st.lists(st.integers(1, 39), max_size=3, unique=True))
+def test_incremental_growth_equals_full_window(spark, rows, cuts):
+    from pyspark.sql import functions as F
+
+    from playlake.operators.growth_state import empty_state, growth_step
+
+    df = spark.createDataFrame([(D0 + dt.timedelta(days=d), a, v) for a, d, v in rows],
+                               "snapshot_date date, appid bigint, recommendations_total bigint")
+    bounds = [0, *sorted(cuts), 41]
+    state, got = empty_state(spark), set()
+    for lo, hi in zip(bounds, bounds[1:]):
+        batch = df.where((F.col("snapshot_date") >= F.lit(D0 + dt.timedelta(days=lo)))
+                         & (F.col("snapshot_date") < F.lit(D0 + dt.timedelta(days=hi))))
+        growth, state = growth_step(state, batch)
+        got |= {tuple(r) for r in growth.collect()}
+        state = spark.createDataFrame(state.collect(), state.schema)  # cut lineage between batches
+    assert got == {tuple(r) for r in game_growth(df).collect()}
+
+
+loads = st.lists(st.tuples(st.sampled_from(["replace_date", "append"]),
+                           st.lists(st.tuples(st.integers(0, 40), st.integers(1, 3)), min_size=1, max_size=6)),
+                 min_size=1, max_size=3)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(loads)
+def test_fact_loads_match_a_model(spark, seq):
+    from playlake.operators.gold import build_fact
+    from playlake.schemas import SILVER_MAIN_DDL
+    from playlake.session import scratch_path
+    from playlake.sources.lake import read_fact, write_fact
+
+    path, model = scratch_path(spark, "t_prop_fact"), []
+    cols = [c.split()[0] for c in SILVER_MAIN_DDL.split(", ")]
+    for n, (mode, rows) in enumerate(seq):
+        # day offsets spread over two months so month folders are shared and split
+        batch = [(D0 + dt.timedelta(days=d), a, n) for d, a in rows]
+        data = [tuple({"appid": a, "snapshot_date": day, "recommendations_total": n}.get(c) for c in cols)
+                for day, a, n in batch]
+        write_fact(build_fact(spark.createDataFrame(data, SILVER_MAIN_DDL)), path, mode=mode)
+        if mode == "replace_date" and model:
+            days = {b[0] for b in batch}
+            model = [m for m in model if m[0] not in days]
+        model += batch
+    got = sorted((r.snapshot_date, r.appid, r.recommendations_total) for r in read_fact(spark, path).collect())
+    assert got == sorted(model)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.lists(st.integers(1, 99), max_size=3), st.one_of(st.none(), st.booleans())),
+                min_size=1, max_size=6))
+def test_pages_stop_at_first_final_page(spark, pages):
+    import json
+
+    from playlake.sources.landing import unwrap_pages
+
+    bodies = []
+    for i, (apps, more) in enumerate(pages):
+        resp = {"apps": [{"appid": a + 100 * i} for a in apps]}
+        if more is not None:
+            resp["have_more_results"] = more
+        bodies.append((i, json.dumps({"response": resp})))
+    landed = spark.createDataFrame(bodies, "page_no bigint, body string")
+    got = sorted(r.appid for r in unwrap_pages(landed).collect())
+    want = []
+    for i, (apps, more) in enumerate(pages):
+        want += [a + 100 * i for a in apps]
+        if not more:
+            break
+    assert got == sorted(want)
