@@ -10,7 +10,7 @@ to whatever runs the command (cron, an orchestrator, spark-submit).
   daily-targets  --active P --bronze B --day D --out O       active ids not fetched that day
   full-targets   --applist A --bronze B --out O [--registry R]  app-list ids never fetched
   register-ids   --bronze B --registry R --start D --end D   add newly landed ids to the registry
-  growth    --gold G --state S --out O --start D --end D     incremental game growth for new days
+  growth    --gold G --state S --out O --start D --end D     materialized growth: advance, or rebuild on late data
   views     --gold G --sql "SELECT ..."                      run SQL over the three gold views
   compact-dim --gold G                                       keep only each game's newest dim version
 """
@@ -89,11 +89,11 @@ def main(argv: list[str] | None = None) -> int:
         update_id_registry(spark, a.bronze, a.registry, _day(a.start), _day(a.end))
         result = {"registry": a.registry}
     elif a.task == "growth":
-        from playlake.plans.medallion import advance_growth
+        from playlake.plans.medallion import maintain_growth
         from playlake.sources.lake import FACT_TABLE, table_path
 
-        advance_growth(spark, table_path(a.gold, FACT_TABLE), a.state, a.out, _day(a.start), _day(a.end))
-        result = {"out": a.out}
+        how = maintain_growth(spark, table_path(a.gold, FACT_TABLE), a.state, a.out, _day(a.start), _day(a.end))
+        result = {"out": a.out, "growth": how}
     elif a.task == "compact-dim":
         from playlake.sources.lake import DIM_TABLE, compact_dim_log, table_path
 

@@ -83,3 +83,22 @@ def growth_step(
     """
     combined = combine(state, batch, value_col)
     return growth_rows(combined, lags), next_state(state, combined, lags)
+
+
+def state_from_fact(fact: DataFrame, value_col: str = "recommendations_total",
+                    lags: tuple[int, ...] = GROWTH_LAGS) -> DataFrame:
+    """The state as of the fact's last day: each game's last ``max(lags)`` snapshots.
+
+    ``row_number() <= keep`` plans a partial WindowGroupLimit, so a game's long history
+    never crosses the shuffle whole; the kept rows (at most ``keep`` per game) are then
+    gathered into the sorted array.
+    """
+    from pyspark.sql import Window
+
+    keep = max(lags)
+    w = Window.partitionBy("appid").orderBy(F.col("snapshot_date").desc(), F.col(value_col).desc())
+    tail = fact.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep)
+    return tail.groupBy("appid").agg(
+        F.array_sort(F.collect_list(F.struct(
+            F.col("snapshot_date"), F.col(value_col).cast("bigint").alias("v")))).alias("hist")
+    )

@@ -213,3 +213,48 @@ def advance_growth(
         f"{state_root.rstrip('/')}/version={version + 1}")
     return read_table(spark, growth_path, GROWTH_DDL + ", snapshot_month int", start, end,
                       layout="month").select(*GROWTH_COLUMNS)
+
+
+def rebuild_growth(spark: SparkSession, fact_path: str, state_root: str, growth_path: str) -> None:
+    """Recompute the materialized growth and its state from the whole fact.
+
+    Needed when late data lands for a day the state has already passed (the incremental
+    step refuses to reach back). The new growth rows go to a staging table first and
+    then replace the growth table, so no job reads the folder it overwrites; the new
+    state is written as the next version folder.
+    """
+    from playlake.operators.growth_state import state_from_fact
+    from playlake.session import scratch_path
+
+    fact = read_fact(spark, fact_path).select("snapshot_date", "appid", "recommendations_total")
+    staging = scratch_path(spark, "growth_rebuild")
+    write_by_month(game_growth(fact), staging, GROWTH_COLUMNS, GROWTH_DDL, mode="append")
+    rebuilt = read_table(spark, staging, GROWTH_DDL + ", snapshot_month int")
+    (rebuilt.sortWithinPartitions("snapshot_month", "snapshot_date", "appid")
+     .write.mode("overwrite").option("compression", "snappy")
+     .partitionBy("snapshot_month").parquet(growth_path))
+    from playlake.sources.lake import _delete_path
+
+    _delete_path(spark, staging)
+    version, _ = _latest_version(spark, state_root)
+    state_from_fact(fact).write.mode("errorifexists").parquet(f"{state_root.rstrip('/')}/version={version + 1}")
+
+
+def maintain_growth(spark: SparkSession, fact_path: str, state_root: str, growth_path: str, start, end) -> str:
+    """Bring the materialized growth up to date after fact days ``[start, end]`` were loaded.
+
+    Days strictly after everything in the state advance incrementally; a load that
+    reaches back (late data) triggers a rebuild. Returns ``"advanced"`` or ``"rebuilt"``.
+    """
+    from playlake.operators.growth_state import STATE_DDL
+
+    _, current = _latest_version(spark, state_root)
+    last = None
+    if current:
+        state = spark.read.schema(STATE_DDL).parquet(current)
+        last = state.select(F.max(F.element_at("hist", -1)["snapshot_date"])).first()[0]
+    if last is None or to_date_param(start) > last:
+        advance_growth(spark, fact_path, state_root, growth_path, start, end)
+        return "advanced"
+    rebuild_growth(spark, fact_path, state_root, growth_path)
+    return "rebuilt"

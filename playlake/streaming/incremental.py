@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playlake.plans.medallion import load_gold, load_silver
+from playlake.plans.medallion import load_gold, load_silver, maintain_growth
+from playlake.sources.lake import FACT_TABLE, table_path
 from playlake.schemas import BRONZE_DDL
 from playlake.session import checkpoint_root
 
@@ -37,11 +38,14 @@ def start_incremental_load(
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
     updated_at=None,
+    growth_root: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what has landed and stops.
 
     ``checkpoint`` must be a stable folder per (bronze_root, silver_root) pair; by
-    default it lives under the session's shared checkpoint folder.
+    default it lives under the session's shared checkpoint folder. With ``gold_root``
+    and ``growth_root`` the materialized game growth is maintained too (advanced for
+    new days, rebuilt when late data reaches back).
     """
     key = hashlib.sha1(f"{bronze_root}|{silver_root}|{gold_root}".encode()).hexdigest()[:16]
     ckpt = checkpoint or f"{checkpoint_root(spark)}/playlake/streams/medallion-{key}"
@@ -59,6 +63,9 @@ def start_incremental_load(
             if gold_root:
                 load_gold(spark, silver_root, gold_root, start, end, updated_at=updated_at,
                           load_seq=batch_id)
+                if growth_root:
+                    maintain_growth(spark, table_path(gold_root, FACT_TABLE), f"{growth_root}/state",
+                                    f"{growth_root}/growth", start, end)
 
     writer = files.select("year", "month", "day").writeStream.foreachBatch(process).option(
         "checkpointLocation", ckpt
