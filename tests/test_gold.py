@@ -145,3 +145,17 @@ def test_compact_dim_log_keeps_latest(spark):  # K8 merge
     assert compact_dim_log(spark, path) == 2
     assert read_dim_log(spark, path).count() == 2
     assert sorted(tuple(r) for r in latest_dim(read_dim_log(spark, path)).collect()) == before
+
+
+def test_loads_into_tables_created_empty(spark, tmp_path):  # K9 then K1/K7
+    from playlake.sources.lake import read_silver, write_day_partitions
+
+    root = str(tmp_path / "lake")
+    ensure_tables(spark, root)
+    fact_path = f"{root}/fact_game_daily"
+    assert read_fact(spark, fact_path, D1, D2).count() == 0
+    rows = silver_rows(spark, [{"appid": 1, "snapshot_date": D1}, {"appid": 2, "snapshot_date": D2}])
+    assert write_fact(build_fact(rows), fact_path, mode="replace_date") == 2
+    assert read_fact(spark, fact_path, D2, D2).count() == 1
+    assert write_day_partitions(rows, f"{root}/game_daily") == 2
+    assert read_silver(spark, root, "game_daily", D1, D1).count() == 1
