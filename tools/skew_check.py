@@ -24,7 +24,9 @@ def main() -> None:
     log_dir = tempfile.mkdtemp(prefix="playlake-eventlog-")
     from pyspark.sql import functions as F
 
+    from playlake.operators.gold import latest_dim
     from playlake.operators.growth import genre_growth
+    from playlake.operators.targets import full_load_targets
     from playlake.operators.silver import company_bridge, dedup_snapshots
     from playlake.session import build_session, scratch_path
     from playlake.sources.bronze import write_bronze
@@ -66,6 +68,16 @@ def main() -> None:
                                 F.array(F.when(F.col("id") % 3 == 0, F.lit("Action")).otherwise(
                                     F.concat(F.lit("g"), (F.col("id") % 500).cast("string")))).alias("genres"))
     run("genre growth: one genre in 1/3 of games", genre_growth(growth.dropDuplicates(["appid", "snapshot_date"]), dim))
+    empty = F.array().cast("array<string>")
+    versions = rows.select(
+        "appid", F.lit("n").alias("name"), F.lit("game").alias("type"), F.lit(None).cast("date").alias("release_date"),
+        F.lit(0).cast("smallint").alias("required_age"), F.lit(0).cast("smallint").alias("coming_soon"),
+        empty.alias("genres"), empty.alias("categories"), empty.alias("developers"), empty.alias("publishers"),
+        F.col("fetched_at").alias("updated_at"), F.lit(1).cast("bigint").alias("load_seq"))
+    run("latest dim: one game holds 1/3 of all versions", latest_dim(versions))
+    app_list = base.select(F.when(hot, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("appid"))
+    known = spark.range(0, n, 2).select(F.col("id").alias("appid"))
+    run("full-load targets: 1/3 of the app list lacks an id (-> 0)", full_load_targets(app_list, known))
     out = scratch_path(spark, "skew_bronze")
     bronze = rows.select("appid", "success", F.col("fetched_at").cast("string").alias("fetched_at"), "snapshot_date")
     run("bronze write: one day holds 1/3 of rows", lambda: write_bronze(bronze, out, rows_per_file=1000))
