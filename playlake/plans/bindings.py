@@ -110,6 +110,14 @@ def iso_micros(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def event_genres() -> Column:
+    """The event's genre list: its type, then an entry without a description."""
+    return F.array(
+        F.struct(F.lit("1").alias("id"), F.col("event_type").alias("description")),
+        F.struct(F.lit("2").alias("id"), F.lit(None).cast("string").alias("description")),
+    )
+
+
 def event_payload(e: DataFrame | None = None) -> Column:
     """The nested ``data`` record built from one event (bronze schema)."""
     c = F.col
@@ -133,10 +141,7 @@ def event_payload(e: DataFrame | None = None) -> Column:
             "metacritic"
         ),
         F.struct(F.floor(value / 10).cast("bigint").alias("total")).alias("achievements"),
-        F.array(
-            F.struct(F.lit("1").alias("id"), c("event_type").alias("description")),
-            F.struct(F.lit("2").alias("id"), F.lit(None).cast("string").alias("description")),
-        ).alias("genres"),
+        event_genres().alias("genres"),
         F.array(
             F.struct(
                 F.lit(1).cast("bigint").alias("id"),

@@ -605,7 +605,7 @@ def q_price_minor_major(spark, sf_dir):
 @query("list_field_extract", "SELECT event_id, [event_type, NULL] AS genres FROM events")
 def q_list_field_extract(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    text = F.to_json(B.event_payload()["genres"])
+    text = F.to_json(B.event_genres())
     parsed = F.from_json(text, "array<struct<id:string, description:string>>")
     return ev.select("event_id", list_field(parsed).alias("genres"))
 
