@@ -4,11 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import documents
+from .decontamination import find_leaks
 from .exact_dedup import exact_groups
+from .licenses import license_digest, scan_licenses
+from .line_dedup import repeated_runs
+from .packing import pack
+from .quality import score, train
+from .sharding import shard_documents
 from .simhash import near_duplicates
+from .substring_dedup import repeated_passages
+
+SHARDS = 24
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +35,51 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shard_documents(documents(spark, sf_dir), SHARDS)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(scan_licenses(documents(spark, sf_dir)))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_runs(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_packing": op4_packing,
+    "op5_sharding": op5_sharding,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_license_scan": op8_license_scan,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
+#: DuckDB SQL for the queries it can express; tests/llm holds the others against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH t AS (
