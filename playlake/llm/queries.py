@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .chat import ANSWER_SCHEMA, calls_of_conversations, format_tool_calls
 from .common import documents
 from .decontamination import find_leaks
 from .exact_dedup import exact_groups
@@ -30,6 +31,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_of_conversations(_table(spark, sf_dir, "conversations"))
+    return format_tool_calls(calls, results, {"answer": ANSWER_SCHEMA})
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_groups(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -69,6 +75,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
