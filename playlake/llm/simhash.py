@@ -221,7 +221,7 @@ def drop_near_copies(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int
     per_id = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     both = gone.join(kept.select(F.col("doc_id").alias("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     if per_id.isEmpty() and both.isEmpty():  # ids tell the rows apart
-        gone_ids = gone.select(F.col("doc_id").alias("gone_id")).distinct()
+        gone_ids = gone.select(F.col("doc_id").alias("gone_id")).distinct().hint("merge")
         return docs.join(gone_ids, docs["doc_id"].eqNullSafe(gone_ids["gone_id"]), "left_anti")
     print_of = F.pandas_udf(lambda s: s.fillna("").map(lambda t: _signed(fingerprint(t.encode(), width))), "long")
     keyed = docs.withColumn("_fp", print_of(F.col("text").cast("string")))
