@@ -55,7 +55,9 @@ def _collided(docs: DataFrame, narrow: DataFrame) -> DataFrame:
     """Hashes under which different texts met, by comparing the bytes of every repeated hash."""
     repeated = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     ids = written(narrow.join(repeated, "h", "left_semi").select("doc_id", "h").distinct(), "exact-members")
-    members = id_and_text(docs).alias("d").join(ids.alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")))
+    members = id_and_text(docs).alias("d").join(
+        ids.hint("merge").alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id"))
+    )
     texts = (
         members.select("i.h", "d.text")
         .mapInArrow(_normalised, "h binary, plain binary")
@@ -116,7 +118,7 @@ def drop_exact_copies(docs: DataFrame, hasher=content_hash) -> DataFrame:
     kept_ids = groups.where("kept").select(F.col("doc_id").alias("kept_id"))
     shared = gone.join(kept_ids, F.col("gone_id").eqNullSafe(F.col("kept_id")), "left_semi")
     if repeats.isEmpty() and shared.isEmpty():  # ids tell the rows apart
-        only_ids = gone.select("gone_id").distinct()
+        only_ids = gone.select("gone_id").distinct().hint("merge")
         return docs.join(only_ids, docs["doc_id"].eqNullSafe(only_ids["gone_id"]), "left_anti")
     plain = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANKS, "")
     keyed = docs.withColumn("_sha", F.unhex(F.sha2(plain.cast("binary"), 256)))
