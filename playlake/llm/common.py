@@ -35,6 +35,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """A string column as UTF-8 byte strings, null as empty."""
     wide = pa.types.is_large_string(column.type)

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_and_text, slices, utf8, written
+from .common import free_name, id_and_text, slices, utf8, written
 
 #: Characters that do not count in a comparison: space and the controls tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -121,8 +121,9 @@ def drop_exact_copies(docs: DataFrame, hasher=content_hash) -> DataFrame:
         only_ids = gone.select("gone_id").distinct().hint("merge")
         return docs.join(only_ids, docs["doc_id"].eqNullSafe(only_ids["gone_id"]), "left_anti")
     plain = F.translate(F.coalesce(F.col("text"), F.lit("")), BLANKS, "")
-    keyed = docs.withColumn("_sha", F.unhex(F.sha2(plain.cast("binary"), 256)))
-    left = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["gone_id"]) & (keyed["_sha"] == gone["sha"]), "left_anti")
-    again = left["doc_id"].eqNullSafe(repeats["again_id"]) & (left["_sha"] == repeats["again_sha"])
-    once = left.join(repeats, again, "left_semi").dropDuplicates(["doc_id", "_sha"])
-    return left.join(repeats, again, "left_anti").unionByName(once).drop("_sha")
+    name = free_name(docs, "_sha")
+    keyed = docs.withColumn(name, F.unhex(F.sha2(plain.cast("binary"), 256)))
+    left = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["gone_id"]) & (keyed[name] == gone["sha"]), "left_anti")
+    again = left["doc_id"].eqNullSafe(repeats["again_id"]) & (left[name] == repeats["again_sha"])
+    once = left.join(repeats, again, "left_semi").dropDuplicates(["doc_id", name])
+    return left.join(repeats, again, "left_anti").unionByName(once).drop(name)

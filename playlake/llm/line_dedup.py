@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import id_and_text, slices, utf8
-from .occurrences import FOUND, combined, ids_or_last, places, repeats, spans, spans_by_document
+from .occurrences import FOUND, combined, cut_texts, ids_or_last, places, repeats, spans
 
 RUN = 3
 BLANKS = b" \t\x0b\x0c\r"
@@ -126,14 +126,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
 
 def remove_runs(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs``, all columns, with the runs ``found`` deleted from ``text``; empty lines stay."""
-    cuts = spans_by_document(found)
-    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts["cut_id"]), "left").drop("cut_id")
-
-    @F.pandas_udf("string")
-    def without(texts, cuts):
-        return texts.combine(cuts, _without)
-
-    return joined.withColumn("text", without("text", "cuts")).drop("cuts")
+    return cut_texts(docs, found, _without)
 
 
 def _without(text, cuts):

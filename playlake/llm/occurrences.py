@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .common import free_name
+
 LENGTH_BITS = 17
 LONGEST = 1 << 16
 NO_ID = (1 << 63) - 1
@@ -137,13 +139,21 @@ def _merge(shortest: int):
 def spans(repeated: DataFrame, shortest: int) -> DataFrame:
     """(doc_id, start, length, source_ids) of the stretches that repeats cover, at least ``shortest`` long.
 
-    ``source_ids`` are documents that hold the parts of a stretch earlier, sorted, null last.
+    ``source_ids`` are documents that hold the parts of a stretch earlier, sorted, null last: the
+    first of all, or the first among those of the task that read the document.
     """
     dealt = repeated.repartition("doc").sortWithinPartitions("doc", "place")
     return dealt.mapInArrow(_merge(shortest), SPANS)
 
 
-def spans_by_document(found: DataFrame) -> DataFrame:
-    """(cut_id, cuts): the spans of each document as sorted (start, length) pairs; bounded by its length."""
+def cut_texts(docs: DataFrame, found: DataFrame, cut) -> DataFrame:
+    """``docs``, all columns, with ``cut(text, [{start, length}, ...])`` in place of ``text``.
+
+    The spans of a document come sorted; there are no more of them than its text has room for.
+    """
+    name, key = free_name(docs, "_cuts"), free_name(docs, "_cut_id")
     pairs = F.array_sort(F.collect_list(F.struct("start", "length")))
-    return found.groupBy(F.col("doc_id").alias("cut_id")).agg(pairs.alias("cuts"))
+    cuts = found.groupBy(F.col("doc_id").alias(key)).agg(pairs.alias(name))
+    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts[key]), "left")
+    without = F.pandas_udf(lambda texts, spans: texts.combine(spans, cut), "string")
+    return joined.withColumn("text", without("text", name)).select(docs.columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_and_text, slices, utf8, written
+from .common import free_name, id_and_text, slices, utf8, written
 from .components import connected_components
 
 SHINGLE_WORDS = 4
@@ -224,7 +224,8 @@ def drop_near_copies(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int
         gone_ids = gone.select(F.col("doc_id").alias("gone_id")).distinct().hint("merge")
         return docs.join(gone_ids, docs["doc_id"].eqNullSafe(gone_ids["gone_id"]), "left_anti")
     print_of = F.pandas_udf(lambda s: s.fillna("").map(lambda t: _signed(fingerprint(t.encode(), width))), "long")
-    keyed = docs.withColumn("_fp", print_of(F.col("text").cast("string")))
+    name = free_name(docs, "_fp")
+    keyed = docs.withColumn(name, print_of(F.col("text").cast("string")))
     ids = kept.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct()
-    on = keyed["doc_id"].eqNullSafe(ids["kept_id"]) & (keyed["_fp"] == ids["kept_fp"])
-    return keyed.join(ids, on, "left_semi").dropDuplicates(["doc_id", "_fp"]).drop("_fp")
+    on = keyed["doc_id"].eqNullSafe(ids["kept_id"]) & (keyed[name] == ids["kept_fp"])
+    return keyed.join(ids, on, "left_semi").dropDuplicates(["doc_id", name]).drop(name)

@@ -13,10 +13,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from .common import id_and_text, slices, utf8
-from .occurrences import FOUND, LONGEST, combined, ids_or_last, places, repeats, spans, spans_by_document
+from .occurrences import FOUND, LONGEST, combined, cut_texts, ids_or_last, places, repeats, spans
 
 WINDOW = 16
 ONE_IN = 10
@@ -84,14 +84,7 @@ def repeated_passages(docs: DataFrame, shortest: int = SPAN) -> DataFrame:
 
 def remove_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs``, all columns, with the stretches ``found`` cut out of ``text``."""
-    cuts = spans_by_document(found)
-    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts["cut_id"]), "left").drop("cut_id")
-
-    @F.pandas_udf("string")
-    def without(texts, cuts):
-        return texts.combine(cuts, _without)
-
-    return joined.withColumn("text", without("text", "cuts")).drop("cuts")
+    return cut_texts(docs, found, _without)
 
 
 def _without(text, cuts):

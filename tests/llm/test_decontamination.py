@@ -1,0 +1,98 @@
+"""Decontamination against shingles counted one by one, and the index against full scoring."""
+
+import random
+
+from corpus_rows import ODD, pairs, read, table
+
+from playlake.llm.decontamination import Index, drop_contaminated, find_leaks, question_and_answer, words_of
+
+
+def shingles(words, width=5):
+    width = min(width, len(words))
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if width else set()
+
+
+def expected(docs, items):
+    """(doc, item) pairs with 0.8 of the question's and answer's shingles in the whole document."""
+    found = set()
+    for i, text in docs:
+        words = words_of((text or "").encode())
+        mine = {w: shingles(words, w) for w in range(1, 6)}
+        for k, t in items:
+            q, a = question_and_answer((t or "").encode())
+            parts = [shingles(q), shingles(a)]
+            total = sum(map(len, parts))
+            if total and sum(len(p & mine[len(next(iter(p)))]) for p in parts if p) >= 0.8 * total - 1e-9:
+                found.add((i, k))
+    return found
+
+
+def got(df):
+    return {(r.doc_id, r.item_id) for r in df.collect()}
+
+
+def test_whole_table(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        docs, bench = read(spark, sf, "documents"), read(spark, sf, "benchmark")
+        items = [(r.item_id, r.text) for r in bench.collect()]
+        assert got(find_leaks(docs, bench)) == expected(pairs(docs), items)
+        clean = drop_contaminated(docs, bench)
+        assert clean.count() == docs.count() - len({i for i, _ in expected(pairs(docs), items)})
+
+
+QUESTION = "Which river flows through the old town near the mill and the bridge of stone. It is the long river Lahn."
+
+
+def test_edits_cut_and_position(spark):
+    words = QUESTION.split()
+    filler = " ".join(f"f{i}" for i in range(400))
+    rows = [
+        (1, QUESTION),
+        (2, f"{filler} {QUESTION.upper()} {filler}"),
+        (3, " ".join([*words[:8], "other", *words[9:]])),  # one word changed: five of its shingles go
+        (4, " ".join(words[:-1])),
+        (5, " ".join(words[:10])),
+        (6, f"{' '.join(words[:10])} {filler} {' '.join(words[10:])}"),
+        (7, filler),
+    ]
+    bench = spark.createDataFrame([(9, QUESTION)], "item_id long, text string")
+    assert got(find_leaks(table(spark, rows), bench)) == {(1, 9), (2, 9), (4, 9)}
+    hit = find_leaks(table(spark, rows[1:2]), bench).first()
+    assert hit.overlap == hit.question_overlap == hit.answer_overlap == 1.0 and hit.score > 0
+
+
+def test_odd_rows(spark):
+    items = [(1, "Alpha beta gamma delta epsilon zeta"), (2, "x"), (3, ""), (4, None), (None, "x"), (5, "... !")]
+    bench = spark.createDataFrame([(i, t, "clash") for i, t in items], "item_id long, text string, score string")
+    docs = table(spark, ODD)
+    assert got(find_leaks(docs, bench)) == expected(ODD, items)
+    assert find_leaks(docs, bench).where("doc_id = 9").count() == 4  # two rows, two equal items
+    left = drop_contaminated(docs, bench)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {3, 4, 5, 6, 7, 8, None}
+    assert find_leaks(table(spark, []), bench).count() == 0
+    assert find_leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_search_finds_every_item_above_its_threshold():
+    rng = random.Random(2)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(6, 30))).encode()) for i in range(300)]
+    index = Index(items)
+    for _ in range(60):
+        terms = sorted({index.vocabulary[w.encode()] for w in rng.sample(vocabulary, rng.randint(5, 50))})
+        for block, postings in enumerate(index.postings):
+            scores = {}
+            for t in terms:
+                for item, impact in postings.get(t, ()):
+                    scores[item] = scores.get(item, 0) + impact
+            want = {i for i, s in scores.items() if s >= 1}
+            assert {i for i, _ in index.search(terms, block)} == want
+
+
+def test_shards_of_the_index_cover_every_item(spark, monkeypatch):
+    from playlake.llm import decontamination
+
+    docs, bench = read(spark, "sf0.001", "documents"), read(spark, "sf0.001", "benchmark")
+    whole = got(find_leaks(docs, bench))
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", 2000)
+    assert got(find_leaks(docs, bench)) == whole

@@ -1,0 +1,153 @@
+"""Substring and line dedup against dictionaries of everything seen before, and cleaned texts."""
+
+import numpy as np
+import pytest
+from corpus_rows import ODD, pairs, read, table
+from hypothesis import given, settings, strategies as st
+
+from playlake.llm import line_dedup, substring_dedup
+from playlake.llm.line_dedup import fingerprints, lines_of, remove_runs, repeated_runs
+from playlake.llm.substring_dedup import GEAR, ONE_IN, SHORTEST, SPAN, WINDOW, boundaries, remove_passages, repeated_passages
+
+
+def merged(parts, shortest):
+    out = []
+    for a, b in sorted(parts):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b - a) for a, b in out if b - a >= shortest]
+
+
+def expected(rows, units, shortest):
+    """Spans of the units that an earlier (id, place) holds; a repeated (id, text) is one document."""
+    seen, found = set(), set()
+    for i, text in sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
+        covered = []
+        for value, start, stop in units(text.encode()):
+            if value in seen:
+                covered.append((start, stop))
+            seen.add(value)
+        found |= {(i, *m) for m in merged(covered, shortest)}
+    return found
+
+
+def chunk_units(text):
+    at = boundaries(text).tolist()
+    return [(text[a:b], a, b) for a, b in zip(at, [*at[1:], len(text)], strict=False)]
+
+
+def line_units(text):
+    lines = lines_of(text)
+    return [(tuple(lines[i : i + 3]), i, i + 3) for i in range(len(lines) - 2)]
+
+
+def got(df):
+    return {(r.doc_id, r.start, r.length) for r in df.collect()}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_whole_tables(spark, sf):
+    docs = read(spark, sf, "documents")
+    rows = pairs(docs)
+    assert got(repeated_passages(docs)) == expected(rows, chunk_units, SPAN)
+    assert got(repeated_runs(docs)) == expected(rows, line_units, 3)
+
+
+def test_small_batches_give_the_same(spark, monkeypatch):
+    docs = read(spark, "sf0.001", "documents").repartition(7)
+    passages, runs = got(repeated_passages(docs)), got(repeated_runs(docs))
+    monkeypatch.setattr(substring_dedup, "ROWS_AT_ONCE", 3)
+    monkeypatch.setattr(line_dedup, "ROWS_AT_ONCE", 3)
+    assert got(repeated_passages(docs)) == passages and got(repeated_runs(docs)) == runs
+
+
+def test_odd_rows(spark):
+    distinct = [r for r in ODD if r[0] is not None]
+    docs = table(spark, distinct)
+    assert got(repeated_passages(docs, 5)) == expected(distinct, chunk_units, 5)
+    assert {r.doc_id for r in repeated_passages(table(spark, ODD)).collect()} == {6, 7}
+    assert repeated_runs(table(spark, ODD)).count() == 0
+    for find in (repeated_passages, repeated_runs):
+        assert find(table(spark, [])).count() == 0
+
+
+PASSAGE = " ".join(f"shared{i * 37 % 101} passage" for i in range(40))
+
+
+def test_shifted_passages_are_found_and_cut(spark):
+    fill = [" ".join(f"own{d}word{i}" for i in range(60)) for d in range(6)]
+    rows = [(d, f"{fill[d].upper()[: 97 * d + 30]}é {PASSAGE} {fill[d]}") for d in range(6)]
+    rows.append((6, " ".join(f"clean{i}" for i in range(200))))
+    docs = table(spark, rows)
+    found = repeated_passages(docs)
+    spans = {r.doc_id: r for r in found.collect()}
+    assert set(spans) == {1, 2, 3, 4, 5} and all(set(r.source_ids) <= set(range(r.doc_id)) for r in spans.values())
+    assert all(r.length > 0.7 * len(PASSAGE) for r in spans.values())
+    left = remove_passages(docs, found)
+    assert left.columns == docs.columns
+    texts = dict(pairs(left))
+    assert texts[0] == rows[0][1] and texts[6] == rows[6][1]
+    for d in range(1, 6):
+        r, octets = spans[d], rows[d][1].encode()
+        assert texts[d].encode() == octets[: r.start] + octets[r.start + r.length :]
+
+
+def test_later_runs_are_deleted_and_short_ones_stay(spark):
+    rows = [
+        (1, "a1\nb\nc\n\nd\ne1"),
+        (2, "a2\n b\nc \r\nd\ne2"),  # b c d again, blanks aside
+        (3, "b\nc\ne3"),  # two lines only
+        (4, "x\nb\nc\nd\ny\nb\nc\nd"),
+        (None, "b\nc\nd"),
+    ]
+    docs = table(spark, rows)
+    found = repeated_runs(docs)
+    assert got(found) == {(2, 1, 3), (4, 1, 3), (4, 5, 3), (None, 0, 3)}
+    assert dict(pairs(remove_runs(docs, found))) == {
+        1: rows[0][1], 2: "a2\ne2", 3: rows[2][1], 4: "x\ny", None: ""
+    }
+
+
+def test_hot_line_and_hot_passage(spark):
+    head = "one line at the head of every text"
+    rows = [(i, f"{head}\nline {i} a\nline {i} b\nline {i} c") for i in range(3000)]
+    assert repeated_runs(table(spark, rows)).count() == 0
+    rows = [(i, f"{PASSAGE}\nown text {i} of this document") for i in range(2000)]
+    assert repeated_passages(table(spark, rows)).count() == 1999
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=30))
+def test_window_minima_meet_in_equal_runs(values):
+    hashes = np.array(values, np.int64)
+    at = set(fingerprints(hashes).tolist())
+    for i in range(len(values) - 2):
+        assert at & set(range(i, i + 3))
+        for j in range(i):
+            if values[i : i + 3] == values[j : j + 3]:
+                assert {x - i for x in at if i <= x < i + 3} & {x - j for x in at if j <= x < j + 3}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=400), st.integers(16, 60))
+def test_boundaries_byte_by_byte(noise, piece):
+    text = noise.decode("latin-1").encode()
+    gear = [int(g) for g in GEAR]
+    places = [
+        i for i in range(WINDOW, len(text))
+        if sum(gear[text[i - 1 - age]] << age for age in range(WINDOW)) % 65536 < 65536 // ONE_IN and text[i] & 0xC0 != 0x80
+    ]
+    ends = [*places[1:], len(text)]
+    want = [0, *[a for a, b in zip(places, ends, strict=False) if b - a >= SHORTEST]] if text else []
+    old, substring_dedup.PIECE = substring_dedup.PIECE, piece
+    try:
+        assert boundaries(text).tolist() == want
+    finally:
+        substring_dedup.PIECE = old
+
+
+def test_a_text_without_boundaries_is_cut_at_the_longest_length():
+    at = boundaries(b"a" * 200_000)
+    assert at.tolist() == list(range(0, 200_000, 1 << 16)) or len(at) > 3
