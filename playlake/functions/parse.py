@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #   bronze/silver day folders are "year=YYYY/month=MM/day=DD";
 #   the age keeps every digit and drops every other character.
 RELEASE_DATE_FORMAT = "d MMM, yyyy"
-FETCHED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]"
+FETCHED_AT_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?$"
 PARTITION_PATH_FORMAT = "'year='yyyy'/month='MM'/day='dd"
 NON_DIGITS = r"[^0-9]"
 
@@ -36,10 +36,10 @@ def parse_release_date(c: Column | str) -> Column:
 def parse_fetched_at(c: Column | str) -> Column:
     """ISO text with or without a fraction -> ``timestamp_ntz``; bad text -> NULL.
 
-    ``try_to_timestamp`` yields a session-zone timestamp; casting back to NTZ in the
-    same zone gives the wall-clock value unchanged (sessions here run in UTC).
+    No zoned type takes part, so the wall-clock value is the same in every session zone.
     """
-    return F.try_to_timestamp(_col(c), F.lit(FETCHED_AT_FORMAT)).cast("timestamp_ntz")
+    c = _col(c)
+    return F.when(c.rlike(FETCHED_AT_SHAPE), c.try_cast("timestamp_ntz"))
 
 
 def clean_age(c: Column | str) -> Column:
@@ -62,8 +62,9 @@ def list_field(c: Column | str, field: str = "description") -> Column:
 
 
 def truncate_to_second(c: Column | str) -> Column:
-    """Whole seconds, kept as ``timestamp_ntz`` (``date_trunc`` returns a zoned type)."""
-    return F.date_trunc("second", _col(c)).cast("timestamp_ntz")
+    """Whole seconds of a ``timestamp_ntz``, without the zoned type ``date_trunc`` returns."""
+    c = _col(c)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.second(c))
 
 
 def year_month(c: Column | str) -> Column:

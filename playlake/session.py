@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,22 +73,13 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder for scratch tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none and runs in local mode (tests) is a private
-    folder created and registered as the checkpoint dir; a cluster session without
-    one is an error rather than a silently machine-local folder.
+    A session that names none gets a folder beside its tables, in the warehouse, which every
+    executor of a cluster shares too. Nothing goes to a machine-local temp folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            # A machine-local folder is invisible to executors on other hosts.
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="playlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

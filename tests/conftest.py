@@ -4,16 +4,19 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, REPO)
+# Python workers import the package too.
+os.environ["PYTHONPATH"] = os.pathsep.join([REPO, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from playlake.session import build_session
 
-    # The shared checkpoint folder is read from the session; playlake.session only
-    # registers a private one when the session names none.
-    s = build_session("local[4]", 4, app_name="playlake-tests")
+    shared = tmp_path_factory.mktemp("shared")
+    conf = {"spark.checkpoint.dir": f"file:{shared}/checkpoint", "spark.sql.warehouse.dir": f"file:{shared}/warehouse"}
+    s = build_session("local[4]", 4, app_name="playlake-tests", extra=conf)
     yield s
 
 

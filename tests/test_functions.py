@@ -82,3 +82,19 @@ def test_paths_months_and_date_params(spark):  # S9, F14, F17
     assert to_date_param(None, default=dt.date(2024, 1, 1)) == dt.date(2024, 1, 1)
     with pytest.raises(ValueError):
         to_date_param(None)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC", "Asia/Kolkata"])
+def test_fetch_times_do_not_depend_on_the_session_zone(spark, zone):  # F3, T28
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = ["2024-03-10T02:30:00", "2024-03-10T02:30:00.123456789", "2024-03-10 02:30:00", "2024-03-10T02:30:00Z",
+                 "2024-02-30T00:00:00", "2024-03-10", "", None]
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_fetched_at("t").alias("p"))
+        whole = df.select(F.col("p").cast("string"), truncate_to_second("p").cast("string")).collect()
+        assert [tuple(r) for r in whole] == [
+            ("2024-03-10 02:30:00", "2024-03-10 02:30:00"), ("2024-03-10 02:30:00.123456", "2024-03-10 02:30:00"),
+            *[(None, None)] * 6]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
