@@ -7,6 +7,7 @@ a sample can miss optional structs entirely.
 
 from __future__ import annotations
 
+# Table and column names and types are the contract of the tables.
 # -- bronze -------------------------------------------------------------------
 BRONZE_DATA_DDL = (
     "type string, name string, "
@@ -22,11 +23,13 @@ BRONZE_DATA_DDL = (
 BRONZE_DDL = f"appid bigint, success boolean, fetched_at string, data struct<{BRONZE_DATA_DDL}>"
 BRONZE_COLUMNS = ["appid", "success", "fetched_at", "data"]
 
-# Landed detail envelope: {"<appid>": {"success": ..., "data": {...}}}
-ENVELOPE_DDL = f"map<string, struct<success:boolean, data:struct<{BRONZE_DATA_DDL}>>>"
+# Landed detail envelope: {"<appid>": {"success": ..., "data": {...}}}. The payload stays the
+# text it came as, so bronze keeps fields that no silver column reads.
+ENVELOPE_DDL = "map<string, struct<success:boolean, data:string>>"
 
 # Landed catalogue page: {"response": {"apps": [...], "have_more_results": ..., "last_appid": ...}}
 APP_DDL = "appid bigint, name string, last_modified bigint, price_change_number bigint"
+APPLIST_DDL = f"applist struct<apps:array<struct<{APP_DDL}>>>, {APP_DDL}"
 PAGE_DDL = (
     f"response struct<apps:array<struct<{APP_DDL}>>, have_more_results:boolean, last_appid:bigint>"
 )

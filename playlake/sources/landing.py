@@ -7,10 +7,11 @@ or catalogue rows inside Spark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.schemas import ENVELOPE_DDL, PAGE_DDL
+from playlake.session import scratch_path
 
 
 def unwrap_envelopes(
@@ -23,7 +24,9 @@ def unwrap_envelopes(
 
     With ``requested_col`` only the entry under the requested id counts (an absent id
     gives nothing, like an empty object); without it every entry is returned. Only
-    successful entries survive. Output: ``appid, success, fetched_at, data``.
+    successful entries survive. Output: ``appid, success, fetched_at, data``, where
+    ``data`` is the payload's whole JSON text (``sources.bronze.write_bronze_lines`` lands
+    it unchanged, ``payload`` reads the silver fields).
 
     The body is parsed once per row: the object's entries are emitted by a generator,
     and filters above a generator's output cannot be substituted back into its input
@@ -44,26 +47,87 @@ def unwrap_envelopes(
     )
 
 
-def unwrap_pages(landed: DataFrame, body_col: str = "body", page_col: str = "page_no") -> DataFrame:
-    """Catalogue pages -> one row per app, pages concatenated in order.
+def attempt_outcomes(
+    landed: DataFrame,
+    body_col: str = "body",
+    requested_col: str = "requested_appid",
+    date_col: str = "snapshot_date",
+) -> DataFrame:
+    """L3: one row per landed attempt, ``(date_col, success)``.
 
-    Pages count up to and including the first page that says no more results follow
-    (a missing flag counts as "no more"); pages landed after it are ignored. The stop
-    page is a scalar subquery, not a join. Missing ``apps`` means an empty page. Each
-    body is parsed once (emitted by a one-element generator, see ``unwrap_envelopes``).
+    A body that is not JSON, that lacks the requested id, or whose entry is unsuccessful or
+    says nothing counts as an error, as each was an attempt.
     """
-    parsed = landed.select(
-        F.col(page_col).alias("page_no"),
-        F.explode(F.array(F.from_json(F.col(body_col), PAGE_DDL))).alias("p"),
+    entry = F.try_element_at(F.from_json(F.col(body_col), ENVELOPE_DDL), F.col(requested_col).cast("string"))
+    return landed.select(date_col, F.coalesce(entry["success"], F.lit(False)).alias("success"))
+
+
+def _page_problem(s: str, body_missing: Column, stop: Column, first: Column, n_pages: Column, last: Column) -> Column:
+    """What is wrong with a snapshot's pages, as text; NULL when they are whole."""
+    where = F.concat(F.lit("catalogue snapshot "), F.coalesce(F.col(s).cast("string"), F.lit("NULL")), F.lit(": "))
+    return F.concat(
+        where,
+        F.when(body_missing, F.lit("a page does not parse"))
+        .when(stop.isNull(), F.lit("the last page is missing"))
+        .when(last > stop, F.lit("pages follow the last page"))
+        .when((first > 0) | (n_pages < last - first + 1), F.lit("page numbers have a gap")),
     )
-    pages = parsed.select(
+
+
+def parsed_pages(landed: DataFrame, snapshot_col: str, body_col: str = "body", page_col: str = "page_no") -> DataFrame:
+    """Landed pages parsed once, into a written table: ``snapshot_col, page_no, parsed, have_more, apps``."""
+    # The corrupt-record field tells a body that is no page from one without apps.
+    page = F.from_json(F.col(body_col), f"{PAGE_DDL}, _corrupt_record string").alias("p")
+    path = scratch_path(landed.sparkSession, "pages")
+    landed.select(snapshot_col, F.col(page_col).alias("page_no"), F.explode(F.array(page)).alias("p")).select(
+        snapshot_col,
         "page_no",
+        (F.col("p").isNotNull() & F.col("p._corrupt_record").isNull()).alias("parsed"),
         F.coalesce(F.col("p.response.have_more_results"), F.lit(False)).alias("have_more"),
-        "p",
+        F.coalesce(F.col("p.response.apps"), F.array()).alias("apps"),
+    ).write.parquet(path)
+    return landed.sparkSession.read.parquet(path)
+
+
+def page_report(pages: DataFrame, snapshot_col: str) -> DataFrame:
+    """Per snapshot of ``parsed_pages`` (pages numbered from 0): its stop page and what is wrong with it (NULL: nothing).
+
+    The stop page is the first that says no more results follow (a missing flag says so too).
+    """
+    good = F.col("parsed")
+    stats = pages.groupBy(snapshot_col).agg(
+        F.min(F.when(good & ~F.col("have_more"), F.col("page_no"))).alias("stop"),
+        F.min("page_no").alias("first"),
+        F.max("page_no").alias("last"),
+        F.count_distinct("page_no").alias("n_pages"),
+        F.bool_or(~good).alias("broken"),
     )
-    stop = pages.where(~F.col("have_more")).agg(F.min("page_no")).scalar()
-    kept = pages.where(stop.isNull() | (F.col("page_no") <= stop))
-    return kept.select("page_no", F.inline(F.coalesce(F.col("p.response.apps"), F.array())))
+    c = F.col
+    return stats.withColumn("problem", _page_problem(snapshot_col, c("broken"), c("stop"), c("first"), c("n_pages"), c("last")))
+
+
+def unwrap_pages(
+    landed: DataFrame,
+    snapshot_col: str,
+    body_col: str = "body",
+    page_col: str = "page_no",
+    strict: bool = True,
+) -> DataFrame:
+    """Catalogue pages -> one row per app, each snapshot's pages concatenated.
+
+    A snapshot's pages count up to and including its own stop page. ``strict`` fails the
+    job when a page does not parse, a page number or the last page is missing, or pages
+    follow the last one; without it those pages are left out, and ``page_report`` names
+    the snapshots concerned. A page without ``apps`` is empty. Each body is parsed once.
+    """
+    pages = parsed_pages(landed, snapshot_col, body_col, page_col)
+    report = page_report(pages, snapshot_col).select(F.col(snapshot_col).alias("_snapshot"), "stop", "problem")
+    kept = pages.join(report, F.col(snapshot_col).eqNullSafe(F.col("_snapshot")))
+    if strict:
+        checked = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")).cast("bigint")).otherwise(F.col("page_no"))
+        kept = kept.withColumn("page_no", checked)
+    kept = kept.where(F.col("stop").isNull() | (F.col("page_no") <= F.col("stop")))
+    return kept.select(snapshot_col, "page_no", F.inline("apps"))
 
 
 def fetch_outcomes(attempts: DataFrame, date_col: str = "snapshot_date", success_col: str = "success") -> DataFrame:

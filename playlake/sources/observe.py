@@ -26,6 +26,6 @@ def rows_of(obs: Observation) -> int:
     """
     try:
         value = obs.get.get("rows", 0)
-    except Exception:  # noqa: BLE001 - see docstring
+    except AssertionError:
         value = obs._jo.getAsJava().get("rows")
     return int(value or 0)

@@ -28,7 +28,8 @@ def _glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
 def day_folders(spark: SparkSession, root: str, start: _dt.date, end: _dt.date) -> list[str]:
     """``year=/month=/day=`` folders under ``root`` whose date is in ``[start, end]``."""
     base = root.rstrip("/")
-    years = "{" + ",".join(str(y) for y in range(start.year, end.year + 1)) + "}"
+    span = range(start.year, end.year + 1)
+    years = "{" + ",".join(map(str, span)) + "}" if len(span) < 100 else "*"
     out = []
     for path in _glob_dirs(spark, f"{base}/year={years}/month=*/day=*"):
         m = _DAY.search(path)
@@ -42,6 +43,11 @@ def day_folders(spark: SparkSession, root: str, start: _dt.date, end: _dt.date)
     return sorted(out)
 
 
+def folder_day(path: str) -> _dt.date:
+    """The date of a ``year=/month=/day=`` folder."""
+    return _dt.date(*map(int, _DAY.search(path).groups()))
+
+
 def date_folders(spark: SparkSession, root: str, start: _dt.date, end: _dt.date) -> list[str]:
     """``snapshot_date=`` folders under ``root`` in ``[start, end]``."""
     out = []
