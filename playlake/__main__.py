@@ -10,7 +10,7 @@ to whatever runs the command (cron, an orchestrator, spark-submit).
   daily-targets  --active P --bronze B --day D --out O       active ids not fetched that day
   full-targets   --applist A --bronze B --out O [--registry R]  app-list ids never fetched
   register-ids   --bronze B --registry R --start D --end D   add newly landed ids to the registry
-  growth    --gold G --state S --out O --start D --end D     materialized growth: advance, or rebuild on late data
+  growth    --gold G --out O --start D --end D     materialized growth: advance, or rebuild on late data
   views     --gold G --sql "SELECT ..."                      run SQL over the three gold views
   compact-dim --gold G                                       keep only each game's newest dim version
 """
@@ -34,13 +34,13 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="playlake", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("task")
-    for opt in ("bronze", "silver", "gold", "active", "applist", "out", "registry", "state", "sql"):
+    for opt in ("bronze", "silver", "gold", "active", "applist", "out", "registry", "sql"):
         p.add_argument(f"--{opt}")
     p.add_argument("--start")
     p.add_argument("--end")
     p.add_argument("--day")
     p.add_argument("--append", action="store_true")
-    p.add_argument("--rows-per-file", type=int, default=1000)
+    p.add_argument("--file-bytes", type=int, default=128 * 1024 * 1024)
     p.add_argument("--profile", default="cluster", choices=("cluster", "local"))
     a = p.parse_args(argv)
 
@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.task == "compact":
         from playlake.sources.bronze import compact_bronze
 
-        result = compact_bronze(spark, a.bronze, _day(a.start), _day(a.end), a.rows_per_file)
+        result = compact_bronze(spark, a.bronze, _day(a.start), _day(a.end), a.file_bytes)
     elif a.task == "daily-targets":
         from playlake.operators.targets import daily_targets
         from playlake.sources.bronze import read_active_ids, read_bronze_day
@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         from playlake.plans.medallion import maintain_growth
         from playlake.sources.lake import FACT_TABLE, table_path
 
-        how = maintain_growth(spark, table_path(a.gold, FACT_TABLE), a.state, a.out, _day(a.start), _day(a.end))
+        how = maintain_growth(spark, table_path(a.gold, FACT_TABLE), a.out, _day(a.start), _day(a.end))
         result = {"out": a.out, "growth": how}
     elif a.task == "compact-dim":
         from playlake.sources.lake import DIM_TABLE, compact_dim_log, table_path

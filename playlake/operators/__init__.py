@@ -6,11 +6,11 @@ from playlake.operators.growth import game_growth, genre_growth, publisher_growt
 from playlake.operators.silver import (
     category_bridge, clean_bronze, company_bridge, dedup_snapshots, genre_bridge, silver_main,
 )
-from playlake.operators.targets import daily_targets, full_load_targets, target_sample
+from playlake.operators.targets import daily_targets, full_load_targets
 
 __all__ = [
     "latest_per_key", "build_dim", "build_fact", "latest_dim",
     "game_growth", "genre_growth", "publisher_growth", "segment_growth",
     "category_bridge", "clean_bronze", "company_bridge", "dedup_snapshots", "genre_bridge", "silver_main",
-    "daily_targets", "full_load_targets", "target_sample",
+    "daily_targets", "full_load_targets",
 ]

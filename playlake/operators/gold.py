@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlake.functions.casts import INT16, UINT8, UINT32, checked_cast, fixed_width, not_null
+from playlake.functions.casts import INT16, UINT8, UINT32, checked_cast, fill_default, fixed_width, not_null
 from playlake.functions.parse import truncate_to_second
 from playlake.operators.dedup import latest_per_key
 from playlake.schemas import DIM_COLUMNS, FACT_COLUMNS
@@ -17,13 +17,23 @@ DEFAULT_CURRENCY = "USD"
 DEFAULT_TYPE = "unknown"
 DEFAULT_METACRITIC = -1
 
-# T5: versions of the dim are ordered by load time, like the reference; set to
-# "snapshot_date" to order them by the day the attributes were observed instead.
-VERSION_BY = "updated_at"
+def _small(c: Column, bounds, name: str, default: int) -> Column:
+    return fill_default(checked_cast(c, "smallint", bounds, name), F.lit(default).cast("smallint"))
 
 
-def _small(c: Column, bounds, name: str, default: int) -> Column:
-    return F.coalesce(checked_cast(c, "smallint", bounds, name), F.lit(default).cast("smallint"))
+# The silver columns whose gold type is narrower, with the range it holds.
+NARROW = {
+    "appid": UINT32, "discount_percent": UINT8, "metacritic_score": INT16,
+    "achievements_total": INT16, "required_age": UINT8,
+}
+
+
+def range_problems(silver_main: DataFrame) -> Column:
+    """The names of the columns whose value its gold type cannot hold, as an array."""
+    wrong = [
+        F.when((F.col(c) < lo) | (F.col(c) > hi), F.lit(c)) for c, (lo, hi) in NARROW.items() if c in silver_main.columns
+    ]
+    return F.array_compact(F.array(*wrong, F.when(F.length("currency") > 3, F.lit("currency"))))
 
 
 def build_fact(silver_main: DataFrame, usd_rate: float = 1.0) -> DataFrame:
@@ -39,7 +49,7 @@ def build_fact(silver_main: DataFrame, usd_rate: float = 1.0) -> DataFrame:
         checked_cast(F.col("appid"), "bigint", UINT32, "appid").alias("appid"),
         F.col("price").cast("double").alias("price"),
         (F.col("price").cast("double") * F.lit(float(usd_rate))).alias("price_usd"),
-        fixed_width(F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY)), 3, "currency").alias("currency"),
+        fixed_width(fill_default(F.col("currency"), DEFAULT_CURRENCY), 3, "currency").alias("currency"),
         _small(F.col("discount_percent"), UINT8, "discount_percent", 0).alias("discount_percent"),
         F.coalesce(F.col("recommendations_total").cast("bigint"), F.lit(0).cast("bigint")).alias(
             "recommendations_total"
@@ -68,6 +78,7 @@ def build_dim(
     categories: DataFrame,
     companies: DataFrame,
     updated_at=None,
+    version_by: str = "updated_at",
 ) -> DataFrame:
     """One dim version per game, from its latest silver day.
 
@@ -85,9 +96,12 @@ def build_dim(
     4. one left join on appid; missing lists become ``[]``.
 
     Grouping by game over its latest day only keeps lists from piling up across days
-    when a run covers a date range (T33). ``updated_at`` defaults to the load time (T5);
-    pass a value for repeatable runs.
+    when a run covers a date range (T33). ``updated_at`` orders the versions: the load time by
+    default or a given value for repeatable runs, like the reference; with
+    ``version_by="snapshot_date"`` the day the attributes were observed (T5).
     """
+    if version_by not in ("updated_at", "snapshot_date"):
+        raise ValueError("version_by must be 'updated_at' or 'snapshot_date'")
     # Ties on the latest day (only if silver was not unique per day) go to the latest
     # fetch, then to a stable row hash, so the chosen version repeats run to run.
     order = [F.col("snapshot_date").desc()]
@@ -123,7 +137,7 @@ def build_dim(
     dim = main_latest.select(
         checked_cast(F.col("appid"), "bigint", UINT32, "appid").alias("appid"),
         not_null(F.col("name"), "dim_game.name").alias("name"),
-        F.coalesce(F.col("type"), F.lit(DEFAULT_TYPE)).alias("type"),
+        fill_default(F.col("type"), DEFAULT_TYPE).alias("type"),
         F.col("release_date").cast("date").alias("release_date"),
         _small(F.col("required_age"), UINT8, "required_age", 0).alias("required_age"),
         F.coalesce(F.col("coming_soon").cast("smallint"), F.lit(0).cast("smallint")).alias("coming_soon"),
@@ -132,7 +146,7 @@ def build_dim(
     return dim.select(
         "appid", "name", "type", "release_date", "required_age", "coming_soon",
         *[F.coalesce(F.col(c), empty).alias(c) for c in ("genres", "categories", "developers", "publishers")],
-        (F.col("snapshot_date").cast("timestamp_ntz") if VERSION_BY == "snapshot_date"
+        (F.col("snapshot_date").cast("timestamp_ntz") if version_by == "snapshot_date"
          else _updated_at(updated_at)).alias("updated_at"),
     ).select(*DIM_COLUMNS)
 

@@ -1,104 +1,42 @@
 """Incremental game growth: carry each game's last snapshots, not its history.
 
-The plain view recomputes every lag over the whole fact history. Here a state table
-keeps, per game, its last ``max(lags)`` snapshots as a sorted array. A batch of new
-snapshot days is grouped per game (bounded by the days in the batch), joined to the
-state on appid (one shuffle), and each new row's lags are read by array position -
-still *snapshots back*, not days back (T2), with 0 past the first snapshot (T1). The
-new state is the tail of (old state + batch). Batches must move forward in time per
-game; a batch that reaches back into a game's stored snapshots fails loudly.
-The result equals ``game_growth`` over the full history (tests/test_growth_state.py).
+The plain view recomputes every lag over the whole fact history. Here a tail table keeps,
+per game, the rows of its last ``max(lags)`` snapshots. New days are stacked on the tail, the
+same lag window runs over both, and only the new days' rows come out: lags still count
+*snapshots back*, not days back (T2), with 0 past the first snapshot (T1). The next tail is
+the end of both. The result equals ``game_growth`` over the full history
+(tests/test_growth_state.py) as long as the new days follow the tail.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from playlake.operators.growth import GROWTH_LAGS
-
-STATE_DDL = "appid bigint, hist array<struct<snapshot_date:date, v:bigint>>"
-
-
-def empty_state(spark) -> DataFrame:
-    return spark.createDataFrame([], STATE_DDL)
-
-
-def combine(state: DataFrame, batch: DataFrame, value_col: str = "recommendations_total") -> DataFrame:
-    """Join a batch of new fact rows to the state: ``appid, n_hist, all, new``.
-
-    ``new`` is the game's batch rows sorted by day (bounded by the batch's days),
-    ``all`` = stored snapshots + ``new``. One shuffle on appid.
-    """
-    new = batch.groupBy("appid").agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("snapshot_date"), F.col(value_col).cast("bigint").alias("v")))).alias("new")
-    )
-    empty = F.array().cast("array<struct<snapshot_date:date,v:bigint>>")
-    joined = new.join(state, "appid", "left").select(
-        "appid", "new", F.coalesce(F.col("hist"), empty).alias("hist")
-    )
-    last_hist = F.element_at(F.col("hist"), -1)["snapshot_date"]
-    ordered = F.when(
-        (F.size("hist") > 0) & (F.col("new")[0]["snapshot_date"] <= last_hist),
-        F.raise_error(F.lit("growth batch reaches back into stored snapshots")),
-    ).otherwise(F.concat(F.col("hist"), F.col("new")))
-    return joined.select("appid", F.size("hist").alias("n_hist"), ordered.alias("all"), "new")
-
-
-def growth_rows(combined: DataFrame, lags: tuple[int, ...] = GROWTH_LAGS) -> DataFrame:
-    """The batch's growth rows, lags read by array position (snapshots back, 0 before the first)."""
-    rows = combined.select("appid", "n_hist", "all", F.posexplode("new").alias("i", "e"))
-    pos = F.col("n_hist") + F.col("i") + 1  # 1-based position of the row inside ``all``
-
-    def lagged(n: int) -> Column:
-        return F.when(pos - n >= 1, F.element_at(F.col("all"), (pos - n).cast("int"))["v"]).otherwise(F.lit(0))
+import datetime as _dt
 
-    return rows.select(
-        F.col("e.snapshot_date").alias("snapshot_date"),
-        "appid",
-        F.col("e.v").alias("recommendations_total"),
-        *[(F.col("e.v") - lagged(n)).alias(f"rec_growth_{n}d") for n in lags],
-    )
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
+from playlake.operators.growth import GROWTH_LAGS, game_growth
 
-def next_state(state: DataFrame, combined: DataFrame, lags: tuple[int, ...] = GROWTH_LAGS) -> DataFrame:
-    """Games untouched by the batch keep their state; the others keep the tail of ``all``."""
-    keep = max(lags)
-    tail = F.slice(F.col("all"), F.greatest(F.size("all") - keep + 1, F.lit(1)), keep)
-    carried = state.join(combined.select("appid"), "appid", "left_anti")
-    return carried.unionByName(combined.select("appid", tail.alias("hist")))
+TAIL_COLUMNS = ["appid", "snapshot_date", "recommendations_total"]
+TAIL_DDL = "appid bigint, snapshot_date date, recommendations_total bigint"
 
 
-def growth_step(
-    state: DataFrame,
-    batch: DataFrame,
-    value_col: str = "recommendations_total",
-    lags: tuple[int, ...] = GROWTH_LAGS,
-) -> tuple[DataFrame, DataFrame]:
-    """One batch of new fact rows -> (growth rows of the batch, new state), both lazy.
+def next_tail(rows: DataFrame, lags: tuple[int, ...] = GROWTH_LAGS) -> DataFrame:
+    """Each game's last ``max(lags)`` rows by day.
 
-    For production runs use ``plans.medallion.advance_growth``, which stages the
-    combined frame as a table so both outputs read it once and lineage stays short.
+    ``row_number() <= keep`` plans a partial WindowGroupLimit, so a game's long history
+    never crosses the shuffle whole.
     """
-    combined = combine(state, batch, value_col)
-    return growth_rows(combined, lags), next_state(state, combined, lags)
+    w = Window.partitionBy("appid").orderBy(F.col("snapshot_date").desc(), F.col("recommendations_total").desc())
+    ranked = rows.select(*TAIL_COLUMNS).withColumn("_rn", F.row_number().over(w))
+    return ranked.where(F.col("_rn") <= max(lags)).drop("_rn")
 
 
-def state_from_fact(fact: DataFrame, value_col: str = "recommendations_total",
-                    lags: tuple[int, ...] = GROWTH_LAGS) -> DataFrame:
-    """The state as of the fact's last day: each game's last ``max(lags)`` snapshots.
+def batch_growth(tail: DataFrame, batch: DataFrame, through: _dt.date | None, lags: tuple[int, ...] = GROWTH_LAGS) -> DataFrame:
+    """The growth rows of ``batch``, whose days all follow ``through``, the tail's last day.
 
-    ``row_number() <= keep`` plans a partial WindowGroupLimit, so a game's long history
-    never crosses the shuffle whole; the kept rows (at most ``keep`` per game) are then
-    gathered into the sorted array.
+    One exchange on appid for tail and batch together; a game brings at most ``max(lags)``
+    tail rows and one row per new day to its window.
     """
-    from pyspark.sql import Window
-
-    keep = max(lags)
-    w = Window.partitionBy("appid").orderBy(F.col("snapshot_date").desc(), F.col(value_col).desc())
-    tail = fact.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep)
-    return tail.groupBy("appid").agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col("snapshot_date"), F.col(value_col).cast("bigint").alias("v")))).alias("hist")
-    )
+    growth = game_growth(tail.select(*TAIL_COLUMNS).unionByName(batch.select(*TAIL_COLUMNS)), lags=lags)
+    return growth if through is None else growth.where(F.col("snapshot_date") > F.lit(through))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlake.functions.casts import UINT32, checked_cast
@@ -14,11 +14,6 @@ from playlake.functions.parse import (
 from playlake.operators.dedup import latest_per_key
 from playlake.schemas import SILVER_MAIN_COLUMNS
 
-# A descending sort puts NULL fetch times first, so an unparseable fetch time wins
-# the dedup. Flip to False to prefer the latest parseable time instead.
-NULL_FETCHED_AT_WINS = True
-
-
 def clean_bronze(bronze: DataFrame, snapshot_date: _dt.date | str | None = None) -> DataFrame:
     """Successful bronze rows -> typed silver rows (with list columns).
 
@@ -63,14 +58,17 @@ def dedup_snapshots(
     keys: tuple[str, ...] = ("appid", "snapshot_date"),
     time_col: str = "fetched_at",
     tiebreak: list[str] | None = None,
+    null_time_wins: bool = True,
 ) -> DataFrame:
     """One row per (appid, snapshot_date), the latest fetch winning.
 
     Ties on the fetch time go to the smallest stable hash of the row (or to the
-    ``tiebreak`` columns), so every run keeps the same winner. No global sort.
+    ``tiebreak`` columns), so every run keeps the same winner. No global sort. T9: a
+    descending sort puts NULL fetch times first, so by default an unparseable fetch time
+    wins; without ``null_time_wins`` the latest parseable one does.
     """
     t = F.col(time_col)
-    first = t.desc_nulls_first() if NULL_FETCHED_AT_WINS else t.desc_nulls_last()
+    first = t.desc_nulls_first() if null_time_wins else t.desc_nulls_last()
     cols = tiebreak or [c for c in df.columns if c not in keys]
     tie = [F.col(c).asc_nulls_first() for c in tiebreak] if tiebreak else [F.xxhash64(*cols).asc()]
     return latest_per_key(df, list(keys), [first, *tie])
@@ -102,13 +100,17 @@ def category_bridge(silver: DataFrame) -> DataFrame:
 def company_bridge(silver: DataFrame) -> DataFrame:
     """Developers and publishers with their role, as a set.
 
-    The same company in both roles gives two rows; a repeated name in one role, one.
-    ``distinct`` is a hash aggregate with map-side combine, so a hot company is
+    The same company in both roles gives two rows; a repeated name in one role, one. Both
+    lists are tagged and exploded together, so the input is read once. ``distinct`` is a hash aggregate with map-side combine, so a hot company is
     reduced per task before the shuffle.
     """
-    devs = _explode_list(silver, "developers", "company").withColumn("role", F.lit("developer"))
-    pubs = _explode_list(silver, "publishers", "company").withColumn("role", F.lit("publisher"))
-    return devs.unionByName(pubs).distinct()
+    def tagged(list_col: str, role: str) -> Column:
+        names = F.coalesce(F.col(list_col), F.array().cast("array<string>"))
+        return F.transform(names, lambda c: F.struct(c.alias("company"), F.lit(role).alias("role")))
+
+    both = F.concat(tagged("developers", "developer"), tagged("publishers", "publisher"))
+    rows = silver.select("snapshot_date", "appid", F.inline(both))
+    return rows.where(F.col("company").isNotNull()).distinct()
 
 
 def bronze_to_silver(bronze: DataFrame, snapshot_date=None) -> DataFrame:
@@ -118,6 +120,6 @@ def bronze_to_silver(bronze: DataFrame, snapshot_date=None) -> DataFrame:
 
 
 __all__ = [
-    "NULL_FETCHED_AT_WINS", "bronze_to_silver", "category_bridge",
+    "bronze_to_silver", "category_bridge",
     "clean_bronze", "company_bridge", "dedup_snapshots", "genre_bridge", "silver_main",
 ]

@@ -1,4 +1,4 @@
-"""Which ids to fetch next."""
+"""Which ids to fetch next."""
 
 from __future__ import annotations
 
@@ -22,12 +22,3 @@ def full_load_targets(app_list: DataFrame, known: DataFrame) -> DataFrame:
     apps = app_list.select(F.coalesce(F.col("appid").cast("bigint"), F.lit(0).cast("bigint")).alias("appid"))
     seen = known.select(F.col("appid").cast("bigint").alias("appid")).where(F.col("appid").isNotNull())
     return apps.join(seen, "appid", "left_anti")
-
-
-def target_sample(targets: DataFrame, n: int = 20) -> DataFrame:
-    """O2: the first ``n`` targets by id - the reference's local-run cap, made deterministic.
-
-    ``orderBy().limit()`` plans as a TakeOrderedAndProject: each task keeps its own
-    top ``n`` and only those reach the final merge.
-    """
-    return targets.orderBy("appid").limit(n)

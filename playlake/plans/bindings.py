@@ -118,11 +118,12 @@ def event_genres() -> Column:
     )
 
 
-def event_payload(e: DataFrame | None = None) -> Column:
-    """The nested ``data`` record built from one event (bronze schema)."""
+def event_payload(*extra: Column) -> Column:
+    """The nested ``data`` record built from one event (bronze schema), ``extra`` fields first."""
     c = F.col
     value = c("value")
     data = F.struct(
+        *extra,
         c("event_type").alias("type"),
         F.concat(F.lit("app-"), c("user_id").cast("string")).alias("name"),
         F.struct(
@@ -151,7 +152,8 @@ def event_payload(e: DataFrame | None = None) -> Column:
         F.array(F.concat(F.lit("studio-"), c("event_type"))).alias("developers"),
         F.array(F.concat(F.lit("studio-"), c("event_type")), F.lit("indie house")).alias("publishers"),
     )
-    return data.cast(f"struct<{BRONZE_DATA_DDL}>")
+    more = "".join(f"{name} string, " for name in ["short_description"][: len(extra)])
+    return data.cast(f"struct<{more}{BRONZE_DATA_DDL}>")
 
 
 def events_as_bronze(events: DataFrame) -> DataFrame:
@@ -165,8 +167,10 @@ def events_as_bronze(events: DataFrame) -> DataFrame:
     )
 
 
-def events_as_envelopes(events: DataFrame, misaddressed_type: str | None = None) -> DataFrame:
-    """Landed detail responses: ``requested_appid, body, fetched_at``.
+def events_as_envelopes(events: DataFrame, misaddressed_type: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed detail responses: ``requested_appid, body, fetched_at`` and the ``keep`` columns.
+
+    The payload has a field, ``short_description``, that no silver table knows.
 
     Unsuccessful events land as ``{"<id>": {"success": false}}``. Events of
     ``misaddressed_type`` land keyed by another id, so the requested id is absent.
@@ -176,12 +180,14 @@ def events_as_envelopes(events: DataFrame, misaddressed_type: str | None = None)
     if misaddressed_type is not None:
         key = F.when(c("event_type") == misaddressed_type, F.concat(key, F.lit("-other"))).otherwise(key)
     ok = c("event_type") != "error"
-    entry = F.struct(ok.alias("success"), F.when(ok, event_payload()).alias("data"))
+    about = F.concat(F.lit("about "), c("event_type"))
+    entry = F.struct(ok.alias("success"), F.when(ok, event_payload(about)).alias("data"))
     return events.select(
         c("user_id").alias("requested_appid"),
         F.to_json(F.create_map(key, entry)).alias("body"),
         iso_micros(c("ts")).alias("fetched_at"),
         F.to_date("ts").alias("snapshot_date"),
+        *keep,
     )
 
 
@@ -204,21 +210,29 @@ def events_silver_main(events: DataFrame) -> DataFrame:
 
 
 def part_pages(part: DataFrame, page_size: int = 100) -> DataFrame:
-    """Landed catalogue pages: ``page_no, body``; pages of ``page_size`` ids by key range."""
+    """Landed catalogue pages: ``snapshot, page_no, body``; pages of ``page_size`` ids by key range.
+
+    The first third of the keys is one snapshot, the rest another, so they differ in length.
+    """
     c = F.col
+    top = part.agg(F.max("p_partkey")).first()[0] or 0  # one scalar
+    snapshot = F.when(c("p_partkey") * 3 <= top, 1).otherwise(2)
+    first = F.when(snapshot == 1, 0).otherwise(top // 3)
     apps = part.select(
-        F.floor(c("p_partkey") / page_size).cast("bigint").alias("page_no"),
+        snapshot.alias("snapshot"),
+        F.floor((c("p_partkey") - first - 1) / page_size).cast("bigint").alias("page_no"),
         F.struct(c("p_partkey").alias("appid"), c("p_name").alias("name")).alias("app"),
     )
     # p_partkey is unique, so a page (a key range of page_size) holds at most page_size apps.
-    pages = apps.groupBy("page_no").agg(F.sort_array(F.collect_list("app")).alias("apps"))
-    last = F.lit(pages.agg(F.max("page_no")).first()[0])  # one scalar
+    pages = apps.groupBy("snapshot", "page_no").agg(F.sort_array(F.collect_list("app")).alias("apps"))
+    last = F.floor((F.when(c("snapshot") == 1, top // 3).otherwise(top - top // 3) - 1) / page_size)
+    more = c("page_no") < last
     response = F.struct(
         c("apps"),
-        (c("page_no") < last).alias("have_more_results"),
-        F.when(c("page_no") < last, F.element_at(c("apps"), -1)["appid"]).alias("last_appid"),
+        more.alias("have_more_results"),
+        F.when(more, F.element_at(c("apps"), -1)["appid"]).alias("last_appid"),
     )
-    return pages.select("page_no", F.to_json(F.struct(response.alias("response"))).alias("body"))
+    return pages.select("snapshot", "page_no", F.to_json(F.struct(response.alias("response"))).alias("body"))
 
 
 def part_applist_nested(part: DataFrame, chunk: int = 1000) -> DataFrame:

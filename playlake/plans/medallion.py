@@ -10,24 +10,27 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.functions.parse import date_range, to_date_param
-from playlake.operators.gold import build_dim, build_fact, latest_dim
+from playlake.operators.gold import build_dim, build_fact, latest_dim, range_problems
 from playlake.operators.growth import game_growth, genre_growth, publisher_growth
+from playlake.operators.growth_state import TAIL_COLUMNS, TAIL_DDL, batch_growth, next_tail
 from playlake.operators.silver import (
     bronze_to_silver, category_bridge, company_bridge, genre_bridge, silver_main,
 )
-from playlake.sources.bronze import read_bronze
+from playlake.schemas import BRONZE_DDL, GROWTH_COLUMNS
+from playlake.session import scratch_path
+from playlake.sources.bronze import CORRUPT, read_bronze
 from playlake.sources.lake import (
-    DIM_TABLE, FACT_TABLE, append_dim_versions, read_dim_log, read_fact, read_silver, read_table,
-    table_path, write_by_month, write_day_partitions, write_fact,
+    DIM_TABLE, FACT_TABLE, GOLD_TABLES, _delete_path, _glob, append_dim_versions, drop_days, ensure_tables,
+    read_dim_log, read_fact, read_silver, table_path, write_day_partitions, write_fact,
 )
-from playlake.schemas import GROWTH_COLUMNS
+from playlake.sources.paths import day_folders, folder_day
 
 GROWTH_DDL = (
     "snapshot_date date, appid bigint, recommendations_total bigint, "
@@ -49,26 +52,41 @@ def run_concurrently(jobs: list) -> list:
 def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start, end) -> dict[str, int]:
     """D1+D2: bronze days in ``[start, end]`` -> the four silver tables.
 
-    The cleaned, deduplicated frame feeds four writes, so it is persisted once
-    (memory, spilling to disk); a lost block is recomputed from the bronze files.
-    Days without bronze files are simply absent (T24: skipped, not failed).
-    Returns the rows written per silver table.
+    The cleaned, deduplicated rows are staged once as a table in the shared folder; the four
+    tables are written from it, so a lost executor re-reads parquet and never re-parses
+    bronze. Every day that has bronze files is replaced in all four tables: a day whose
+    re-run gives a table no rows loses that table's folder, after the writes have
+    committed. Days without bronze files stay as they are (T24: skipped, not failed).
+    Returns the rows written per silver table and ``malformed``, the bronze lines that are
+    no JSON record.
     """
-    bronze = read_bronze(spark, bronze_root, start, end)
-    silver = bronze_to_silver(bronze).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # Materialise once; the four writers below then read the cached blocks.
-        if silver.count() == 0:  # S7: empty bronze for the range -> stop, write nothing
-            return dict.fromkeys(("game_daily", "game_genre", "game_category", "game_company"), 0)
-        counts = run_concurrently([
-            lambda: write_day_partitions(silver_main(silver), table_path(silver_root, "game_daily")),
-            lambda: write_day_partitions(genre_bridge(silver), table_path(silver_root, "game_genre")),
-            lambda: write_day_partitions(category_bridge(silver), table_path(silver_root, "game_category")),
-            lambda: write_day_partitions(company_bridge(silver), table_path(silver_root, "game_company")),
-        ])
-    finally:
-        silver.unpersist()
-    return dict(zip(("game_daily", "game_genre", "game_category", "game_company"), counts))
+    landed = [folder_day(p) for p in day_folders(spark, bronze_root, to_date_param(start), to_date_param(end))]
+    bronze = read_bronze(spark, bronze_root, start, end, schema=f"{BRONZE_DDL}, {CORRUPT} string")
+    lines = Observation(f"lines-{uuid.uuid4().hex[:8]}")
+    bronze = bronze.observe(lines, F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"))
+    staging = scratch_path(spark, "silver_staging")
+    bronze_to_silver(bronze).write.parquet(staging)
+    silver = spark.read.parquet(staging)
+    some = lambda c: F.max(F.exists(F.coalesce(c, F.array()), lambda x: x.isNotNull()))
+    held = silver.groupBy("snapshot_date").agg(
+        F.lit(True).alias("game_daily"),
+        some("genres").alias("game_genre"),
+        some("categories").alias("game_category"),
+        F.greatest(some("developers"), some("publishers")).alias("game_company"),
+    ).collect()  # one row per day of the range
+    tables = {"game_daily": silver_main, "game_genre": genre_bridge,
+              "game_category": category_bridge, "game_company": company_bridge}
+
+    def write(table: str) -> int:
+        path = table_path(silver_root, table)
+        days = {r.snapshot_date for r in held if r[table]}
+        rows = write_day_partitions(tables[table](silver), path) if days else 0
+        drop_days(spark, path, set(landed) - days)
+        return rows
+
+    counts = run_concurrently([lambda t=t: write(t) for t in tables])
+    _delete_path(spark, staging)
+    return dict(zip(tables, counts)) | {"malformed": int(lines.get["malformed"]) if landed else 0}
 
 
 def load_gold(
@@ -80,25 +98,39 @@ def load_gold(
     fact_mode: str = "replace_date",
     updated_at=None,
     load_seq: int | None = None,
+    out_of_range: str = "fail",
+    version_by: str = "updated_at",
 ) -> dict[str, int] | None:
     """D3+D4+D12: silver days in ``[start, end]`` -> fact rows and one dim version per game.
 
-    Returns the rows loaded per gold table, or None (nothing written) when the range
-    has no silver rows, like the reference's "no main data - skipping".
+    The gold tables are created first where they do not exist. A row whose value does not fit
+    its gold type fails the load, or with ``out_of_range="quarantine"`` goes to
+    ``<gold>/quarantine`` with the names of its columns while the others load (T16).
+    Returns the rows loaded per gold table, or None (nothing loaded) when the range has no
+    silver rows, like the reference's "no main data - skipping".
     """
+    if out_of_range not in ("fail", "quarantine"):
+        raise ValueError("out_of_range must be 'fail' or 'quarantine'")
+    ensure_tables(spark, gold_root, GOLD_TABLES)
     main = read_silver(spark, silver_root, "game_daily", start, end)
     if main.isEmpty():
         return None
     genres = read_silver(spark, silver_root, "game_genre", start, end)
     categories = read_silver(spark, silver_root, "game_category", start, end)
     companies = read_silver(spark, silver_root, "game_company", start, end)
-    dim = build_dim(main, genres, categories, companies, updated_at=updated_at)
+    loaded: dict[str, int] = {}
+    if out_of_range == "quarantine":
+        flagged = main.withColumn("out_of_range", range_problems(main))
+        loaded["quarantine"] = write_day_partitions(
+            flagged.where(F.size("out_of_range") > 0), f"{gold_root.rstrip('/')}/quarantine")
+        main = flagged.where(F.size("out_of_range") == 0).drop("out_of_range")
+    dim = build_dim(main, genres, categories, companies, updated_at=updated_at, version_by=version_by)
     seq = load_seq if load_seq is not None else time.time_ns() // 1000
     fact_rows, dim_rows = run_concurrently([
         lambda: write_fact(build_fact(main), table_path(gold_root, FACT_TABLE), mode=fact_mode),
         lambda: append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq),
     ])
-    return {FACT_TABLE: fact_rows, DIM_TABLE: dim_rows}
+    return {FACT_TABLE: fact_rows, DIM_TABLE: dim_rows} | loaded
 
 
 def run_range(
@@ -145,14 +177,14 @@ def range_report(spark: SparkSession, silver_root: str, start, end) -> DataFrame
 def gold_views(spark: SparkSession, gold_root: str, growth_path: str | None = None) -> dict[str, DataFrame]:
     """D5-D7 over the stored gold tables; the dim is always the collapsed latest version.
 
-    With ``growth_path`` (the table ``advance_growth`` maintains) the game view reads the
+    With ``growth_path`` (the table ``maintain_growth`` keeps) the game view reads the
     materialized growth rows instead of re-running the window over the whole fact: a
     ``snapshot_date`` filter then reaches the parquet scan (rows are sorted by date, so
     row groups are skipped), which it cannot do through a window.
     """
     dim = latest_dim(read_dim_log(spark, table_path(gold_root, DIM_TABLE)))
     if growth_path is not None:
-        growth = read_table(spark, growth_path, GROWTH_DDL + ", snapshot_month int").select(*GROWTH_COLUMNS)
+        growth = read_growth(spark, growth_path)
     else:
         growth = game_growth(read_fact(spark, table_path(gold_root, FACT_TABLE)))
     return {
@@ -170,91 +202,66 @@ def register_views(spark: SparkSession, gold_root: str, growth_path: str | None
     return sorted(views)
 
 
-def _latest_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/version=*")
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [st.getPath().toString() for st in (fs.globStatus(jpath) or []) if st.isDirectory()]
-    committed = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))]
-    if not committed:
-        return 0, None
-    best = max(committed, key=lambda p: int(p.rsplit("version=", 1)[1]))
-    return int(best.rsplit("version=", 1)[1]), best
-
-
-def advance_growth(
-    spark: SparkSession,
-    fact_path: str,
-    state_root: str,
-    growth_path: str,
-    start,
-    end,
-) -> DataFrame:
-    """SURVEY 7.5: game growth for the fact days ``[start, end]`` without rescanning history.
-
-    Reads only the batch's fact days and the per-game state (last 30 snapshots), stages
-    their combination as a table, writes the batch's growth rows (replacing those days)
-    and the next state as a new version folder (a state is never overwritten in place,
-    so a failed run leaves the previous version current). Returns the growth rows.
-    """
-    from playlake.operators.growth_state import STATE_DDL, combine, growth_rows, next_state
-    from playlake.session import scratch_path
-
-    version, current = _latest_version(spark, state_root)
-    state = spark.read.schema(STATE_DDL).parquet(current) if current else spark.createDataFrame([], STATE_DDL)
-    batch = read_fact(spark, fact_path, start, end)
-    staged_path = scratch_path(spark, "growth_combined")
-    combine(state, batch).write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    # Growth rows commit before the next state: a run that dies in between is simply
-    # re-run from the old state (replace-date makes the growth write idempotent).
-    write_by_month(growth_rows(staged), growth_path, GROWTH_COLUMNS, GROWTH_DDL)
-    next_state(state, staged).write.mode("errorifexists").parquet(
-        f"{state_root.rstrip('/')}/version={version + 1}")
-    return read_table(spark, growth_path, GROWTH_DDL + ", snapshot_month int", start, end,
-                      layout="month").select(*GROWTH_COLUMNS)
-
-
-def rebuild_growth(spark: SparkSession, fact_path: str, state_root: str, growth_path: str) -> None:
-    """Recompute the materialized growth and its state from the whole fact.
-
-    Needed when late data lands for a day the state has already passed (the incremental
-    step refuses to reach back). The new growth rows go to a staging table first and
-    then replace the growth table, so no job reads the folder it overwrites; the new
-    state is written as the next version folder.
-    """
-    from playlake.operators.growth_state import state_from_fact
-    from playlake.session import scratch_path
-
-    fact = read_fact(spark, fact_path).select("snapshot_date", "appid", "recommendations_total")
-    staging = scratch_path(spark, "growth_rebuild")
-    write_by_month(game_growth(fact), staging, GROWTH_COLUMNS, GROWTH_DDL, mode="append")
-    rebuilt = read_table(spark, staging, GROWTH_DDL + ", snapshot_month int")
-    (rebuilt.sortWithinPartitions("snapshot_month", "snapshot_date", "appid")
-     .write.mode("overwrite").option("compression", "snappy")
-     .partitionBy("snapshot_month").parquet(growth_path))
-    from playlake.sources.lake import _delete_path
-
-    _delete_path(spark, staging)
-    version, _ = _latest_version(spark, state_root)
-    state_from_fact(fact).write.mode("errorifexists").parquet(f"{state_root.rstrip('/')}/version={version + 1}")
-
+STEP_DDL = "step bigint, first_step bigint, through date"
 
-def maintain_growth(spark: SparkSession, fact_path: str, state_root: str, growth_path: str, start, end) -> str:
-    """Bring the materialized growth up to date after fact days ``[start, end]`` were loaded.
 
-    Days strictly after everything in the state advance incrementally; a load that
-    reaches back (late data) triggers a rebuild. Returns ``"advanced"`` or ``"rebuilt"``.
+def _growth_step(spark: SparkSession, growth_path: str) -> Row | None:
+    """The last committed step: its number, the first one still valid, the last day processed."""
+    done = _glob(spark, f"{growth_path.rstrip('/')}/step-*/commit/_SUCCESS")
+    if not done:
+        return None
+    newest = max(done, key=lambda p: int(p.split("/step-")[-1].split("/")[0]))
+    return spark.read.schema(STEP_DDL).parquet(newest.rsplit("/", 1)[0]).first()
+
+
+def read_growth(spark: SparkSession, growth_path: str, start=None, end=None) -> DataFrame:
+    """The materialized growth rows, optionally of ``[start, end]``: those of every valid step."""
+    last = _growth_step(spark, growth_path)
+    if last is None:
+        return spark.createDataFrame([], GROWTH_DDL)
+    paths = [f"{growth_path.rstrip('/')}/step-{i}/rows" for i in range(last.first_step, last.step + 1)]
+    df = spark.read.schema(GROWTH_DDL).parquet(*paths)
+    if start is not None:
+        df = df.where(F.col("snapshot_date") >= F.lit(to_date_param(start)))
+    if end is not None:
+        df = df.where(F.col("snapshot_date") <= F.lit(to_date_param(end)))
+    return df
+
+
+def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start, end) -> str:
+    """SURVEY 7.5: bring the materialized growth up to date after fact days ``[start, end]`` were loaded.
+
+    Each run is a step of its own: a folder with the step's growth rows, the tail of every game
+    (its last snapshots) and, written last, a commit that names the last day processed.
+    A step reads the tail and the fact's days after that day up to ``end``, whatever the
+    range asked for, so no day is skipped. A load that reaches back to days already
+    processed, and the first step over a fact that holds days, compute the whole history
+    up to ``end`` and make it the first valid step. Nothing is overwritten; a step that
+    failed is simply run again. Returns ``"advanced"`` or ``"rebuilt"``.
     """
-    from playlake.operators.growth_state import STATE_DDL
-
-    _, current = _latest_version(spark, state_root)
-    last = None
-    if current:
-        state = spark.read.schema(STATE_DDL).parquet(current)
-        last = state.select(F.max(F.element_at("hist", -1)["snapshot_date"])).first()[0]
-    if last is None or to_date_param(start) > last:
-        advance_growth(spark, fact_path, state_root, growth_path, start, end)
-        return "advanced"
-    rebuild_growth(spark, fact_path, state_root, growth_path)
-    return "rebuilt"
+    last = _growth_step(spark, growth_path)
+    start, end = to_date_param(start), to_date_param(end)
+    advance = last is not None and start > last.through
+    number = last.step + 1 if last else 1
+    base = f"{growth_path.rstrip('/')}/step-{number}"
+    _delete_path(spark, base)  # of a step that died before its commit
+    if advance:
+        tail = spark.read.schema(TAIL_DDL).parquet(f"{growth_path.rstrip('/')}/step-{last.step}/tail")
+        batch = read_fact(spark, fact_path, last.through + _dt.timedelta(days=1), end)
+        first, through, until = last.first_step, last.through, end
+    else:
+        until = max(end, last.through) if last else end
+        tail = spark.createDataFrame([], TAIL_DDL)
+        batch = read_fact(spark, fact_path).where(F.col("snapshot_date") <= F.lit(until))
+        first, through = number, None
+    rows = batch_growth(tail, batch, through)
+    sized = rows.select(*GROWTH_COLUMNS).hint("rebalance", "snapshot_date").sortWithinPartitions("snapshot_date", "appid")
+    run_concurrently([
+        lambda: sized.write.option("compression", "snappy").parquet(f"{base}/rows"),
+        lambda: next_tail(tail.unionByName(batch.select(*TAIL_COLUMNS))).write.parquet(f"{base}/tail"),
+    ])
+    spark.createDataFrame([(number, first, until)], STEP_DDL).coalesce(1).write.parquet(f"{base}/commit")
+    if not advance and last:
+        for old in range(last.first_step, number):
+            _delete_path(spark, f"{growth_path.rstrip('/')}/step-{old}")
+    return "advanced" if advance else "rebuilt"

@@ -22,18 +22,19 @@ from playlake.operators.growth import game_growth, genre_growth, publisher_growt
 from playlake.operators.silver import (
     bronze_to_silver, category_bridge, company_bridge, dedup_snapshots, genre_bridge, silver_main,
 )
-from playlake.operators.targets import daily_targets, full_load_targets, target_sample
+from playlake.operators.targets import daily_targets, full_load_targets
 from playlake.plans import bindings as B
-from playlake.plans.medallion import GROWTH_DDL, advance_growth, gold_views, load_gold, load_silver, run_range
+from playlake.plans.medallion import gold_views, load_gold, load_silver, maintain_growth, read_growth, run_range
 from playlake.schemas import FACT_DDL
 from playlake.session import scratch_path
 from playlake.sources.bronze import (
     day_path, file_counts, known_ids, read_active_ids, read_applist, read_bronze,
-    compact_bronze, read_bronze_columns, read_bronze_day, write_applist, write_bronze,
+    compact_bronze, land_lines, read_bronze_columns, read_bronze_day, write_applist, write_bronze, write_bronze_lines,
 )
-from playlake.sources.landing import fetch_outcomes, unwrap_envelopes, unwrap_pages
+from playlake.sources.landing import attempt_outcomes, fetch_outcomes, unwrap_envelopes, unwrap_pages
 from playlake.sources.lake import (
-    ensure_tables, table_contract, read_fact, read_silver, read_table, replace_fact_date, write_fact,
+    DIM_TABLE, GOLD_TABLES, SILVER_TABLES, append_dim_versions, compact_dim_log, ensure_tables, read_dim_log, read_fact,
+    read_silver, read_table, replace_fact_date, table_contract, table_path, write_fact,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -153,8 +154,9 @@ def q_game_growth(spark, sf_dir):
 
 @query("game_growth_incremental", f"WITH {FACT_CTE} SELECT * FROM growth")
 def q_game_growth_incremental(spark, sf_dir):
-    """D5 in the incremental mode of SURVEY 7.5: the fact loaded, then growth advanced
-    over three consecutive day ranges with only per-game state carried between them."""
+    """D5 in the incremental mode of SURVEY 7.5, over a fact that holds its history already:
+    the first step asks for a middle range (and takes in all days before it), the next skips
+    days that the one after it must not lose, and only tails are carried between them."""
     base = scratch_path(spark, "growth_incr")
     fact = _fact(spark, sf_dir)
     fact_path = f"{base}/fact"
@@ -164,14 +166,13 @@ def q_game_growth_incremental(spark, sf_dir):
         F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
         F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
         F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"),
-    ), fact_path, mode="append")
+    ), fact_path, mode="append", layout="month")
     first, last = fact.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
     span = (last - first).days
-    cuts = [first, first + _dt.timedelta(days=span // 3), first + _dt.timedelta(days=2 * span // 3), last]
-    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-        lo = lo if i == 0 else lo + _dt.timedelta(days=1)
-        advance_growth(spark, fact_path, f"{base}/state", f"{base}/growth", lo, hi)
-    return read_table(spark, f"{base}/growth", GROWTH_DDL + ", snapshot_month int").drop("snapshot_month")
+    at = lambda part: first + _dt.timedelta(days=int(span * part))
+    for lo, hi in ((at(0.3), at(0.5)), (at(0.6), at(0.7)), (at(0.95), last)):
+        maintain_growth(spark, fact_path, f"{base}/growth", lo, hi)
+    return read_growth(spark, f"{base}/growth")
 
 
 @query("genre_growth", f"""
@@ -297,19 +298,8 @@ SELECT user_id AS appid, arg_max('app-' || CAST(user_id AS VARCHAR), (ts, event_
 FROM events GROUP BY user_id""")
 def q_dim_latest(spark, sf_dir):
     """Events as a dim version log (version time = ts, load seq = event id); newest per user."""
-    ev = _t(spark, sf_dir, "events")
-    empty = F.array().cast("array<string>")
-    log = ev.select(
-        F.col("user_id").alias("appid"),
-        F.concat(F.lit("app-"), F.col("user_id").cast("string")).alias("name"),
-        F.col("event_type").alias("type"),
-        F.lit(None).cast("date").alias("release_date"),
-        F.lit(0).cast("smallint").alias("required_age"),
-        F.lit(0).cast("smallint").alias("coming_soon"),
-        empty.alias("genres"), empty.alias("categories"), empty.alias("developers"), empty.alias("publishers"),
-        F.col("ts").alias("updated_at"),
-        F.col("event_id").alias("load_seq"),
-    )
+    events = _t(spark, sf_dir, "events")
+    log = _dim_versions(events, F.col("event_id").alias("load_seq"))
     return latest_dim(log).select("appid", "name", "type", "updated_at")
 
 
@@ -319,8 +309,8 @@ def q_fact_append(spark, sf_dir):
     fact = build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem")))
     path = scratch_path(spark, "fact_append")
     early = F.col("snapshot_date") < F.lit(APPEND_SPLIT_DAY).cast("date")
-    write_fact(fact.where(early), path, mode="append")
-    write_fact(fact.where(~early | F.col("snapshot_date").isNull()), path, mode="append")
+    write_fact(fact.where(early), path, mode="append", layout="month")
+    write_fact(fact.where(~early | F.col("snapshot_date").isNull()), path, mode="append", layout="month")
     return read_fact(spark, path)
 
 
@@ -348,7 +338,7 @@ FROM lineitem GROUP BY 1""")
 def q_fact_month_layout(spark, sf_dir):
     """The lineitem fact written in month folders; rows and games per stored month."""
     path = scratch_path(spark, "fact_layout")
-    write_fact(build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem"))), path)
+    write_fact(build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem"))), path, mode="append", layout="month")
     stored = read_table(spark, path, FACT_DDL + ", snapshot_month int")
     return stored.groupBy("snapshot_month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("appid").alias("n_appids")
@@ -368,15 +358,6 @@ def q_daily_targets(spark, sf_dir):
     return daily_targets(active, fetched)
 
 
-@query("target_sample", f"""
-SELECT DISTINCT user_id AS appid FROM events
-WHERE user_id IS NOT NULL AND user_id NOT IN (
-  SELECT user_id FROM events WHERE CAST(ts AS DATE) = DATE '{TARGET_DAY}' AND user_id IS NOT NULL)
-ORDER BY appid LIMIT 20""")
-def q_target_sample(spark, sf_dir):
-    return target_sample(q_daily_targets(spark, sf_dir), 20)
-
-
 @query("full_load_targets", """
 SELECT COALESCE(o_custkey, 0) AS appid FROM orders
 WHERE COALESCE(o_custkey, 0) NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""")
@@ -456,7 +437,7 @@ FROM events GROUP BY 1""")
 def q_partition_file_counts(spark, sf_dir):
     """A10: files per day folder after writing at most 100 rows per file."""
     root = _land_raw(spark, sf_dir, rows_per_file=100)
-    return file_counts(spark, root, schema="appid bigint")
+    return file_counts(spark, root)
 
 
 @query("partition_path", """
@@ -486,18 +467,32 @@ def q_bronze_batches(spark, sf_dir):
 
 
 @query("bronze_compact", """
-SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS n_rows,
-       CAST(ceil(count(*) / 1000.0) AS BIGINT) AS n_files
-FROM events GROUP BY 1""")
+SELECT CAST(ts AS DATE) AS snapshot_date,
+       CASE WHEN event_id % 50 = 0 THEN '{"appid":' || user_id || ',"succ'
+            ELSE '{"appid":' || user_id || ',"success":' || CASE WHEN event_type = 'error' THEN 'false' ELSE 'true' END
+                 || ',"batch":' || event_id || ',"data":{"name":"app-' || user_id || '","short_description":"'
+                 || event_type || '","platforms":{"linux":true}}}' END AS line
+FROM events""")
 def q_bronze_compact(spark, sf_dir):
-    """K5: 100-row files compacted to 1,000-row files; rows and files per day after the swap."""
-    root = _land_raw(spark, sf_dir, rows_per_file=100)
-    first, last = _event_days(spark, sf_dir)
-    compact_bronze(spark, root, first, last, rows_per_file=1000)
-    df = read_bronze(spark, root, schema="appid bigint").withColumn("_file", F.input_file_name())
-    return df.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_file").alias("n_files")
+    """K5: 100-line files, fields beyond the silver contract and broken lines among them,
+    compacted; every line as it is stored afterwards."""
+    c = F.col
+    user = c("user_id").cast("string")
+    whole = F.concat(
+        F.lit('{"appid":'), user, F.lit(',"success":'), F.when(c("event_type") == "error", "false").otherwise("true"),
+        F.lit(',"batch":'), c("event_id").cast("string"), F.lit(',"data":{"name":"app-'), user,
+        F.lit('","short_description":"'), c("event_type"), F.lit('","platforms":{"linux":true}}}'),
     )
+    broken = F.concat(F.lit('{"appid":'), user, F.lit(',"succ'))
+    lines = _t(spark, sf_dir, "events").select(
+        F.when(c("event_id") % 50 == 0, broken).otherwise(whole).alias("value"), F.to_date("ts").alias("snapshot_date")
+    )
+    root = scratch_path(spark, "bronze_lines")
+    land_lines(lines, root, rows_per_file=100)
+    first, last = _event_days(spark, sf_dir)
+    compact_bronze(spark, root, first, last)
+    stored = spark.read.option("basePath", root).option("lineSep", "\n").text(root)
+    return stored.select(F.make_date("year", "month", "day").alias("snapshot_date"), c("value").alias("line"))
 
 
 @query("applist_flatten", "SELECT p_partkey AS appid, p_name AS name FROM part")
@@ -520,34 +515,42 @@ def q_applist_snapshot(spark, sf_dir):
 # ---------------------------------------------------------------------------- landing
 @query("envelope_unwrap", """
 SELECT user_id AS appid, true AS success, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS fetched_at,
-       event_type AS type, 'app-' || CAST(user_id AS VARCHAR) AS name
+       event_type AS type, 'app-' || CAST(user_id AS VARCHAR) AS name, 'about ' || event_type AS short_description
 FROM events WHERE event_type NOT IN ('error', 'signup')""")
 def q_envelope_unwrap(spark, sf_dir):
-    """L1: events as keyed detail responses; failures and mis-keyed responses give no row."""
+    """L1: events as keyed detail responses; failures and mis-keyed responses give no row. The
+    payload comes whole: ``short_description`` is no field of any silver table."""
     landed = B.events_as_envelopes(_t(spark, sf_dir, "events"), misaddressed_type="signup")
-    rows = unwrap_envelopes(landed)
-    return rows.select("appid", "success", "fetched_at", F.col("data.type").alias("type"),
-                       F.col("data.name").alias("name"))
+    fields = F.from_json("data", "type string, name string, short_description string").alias("d")
+    return unwrap_envelopes(landed).select("appid", "success", "fetched_at", fields).select(
+        "appid", "success", "fetched_at", "d.*")
 
 
-@query("page_unwrap", "SELECT p_partkey AS appid, p_name AS name FROM part")
+@query("page_unwrap", """
+SELECT CASE WHEN p_partkey * 3 <= (SELECT max(p_partkey) FROM part) THEN 1 ELSE 2 END AS snapshot,
+       p_partkey AS appid, p_name AS name
+FROM part""")
 def q_page_unwrap(spark, sf_dir):
-    """L2: parts as catalogue pages of 100, concatenated up to the last page."""
-    return unwrap_pages(B.part_pages(_t(spark, sf_dir, "part"))).select("appid", "name")
+    """L2: parts as two catalogue snapshots of different length, pages of 100, each
+    concatenated up to its own last page."""
+    return unwrap_pages(B.part_pages(_t(spark, sf_dir, "part")), "snapshot").select("snapshot", "appid", "name")
 
 
 @query("fetch_outcomes", """
-SELECT CAST(ts AS DATE) AS snapshot_date,
-       count(*) FILTER (WHERE coalesce(event_type <> 'error', false)) AS n_ok,
-       count(*) FILTER (WHERE NOT coalesce(event_type <> 'error', false)) AS n_err,
+WITH a AS (
+  SELECT CAST(ts AS DATE) AS snapshot_date,
+         coalesce(event_type NOT IN ('error', 'signup') AND event_id % 7 <> 0, false) AS ok
+  FROM events)
+SELECT snapshot_date, count(*) FILTER (WHERE ok) AS n_ok, count(*) FILTER (WHERE NOT ok) AS n_err,
        count(*) AS n_total
-FROM events GROUP BY 1""")
+FROM a GROUP BY 1""")
 def q_fetch_outcomes(spark, sf_dir):
-    """Ok / err / total fetch attempts per event day."""
-    attempts = _t(spark, sf_dir, "events").select(
-        F.to_date("ts").alias("snapshot_date"), (F.col("event_type") != "error").alias("success")
-    )
-    return fetch_outcomes(attempts)
+    """Ok / err / total fetch attempts per event day, read from the landed bodies:
+    failures, missing ids and bodies cut short are errors."""
+    landed = B.events_as_envelopes(_t(spark, sf_dir, "events"), misaddressed_type="signup", keep=("event_id",))
+    body = F.col("body")
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring(body, F.lit(1), F.length(body) - 6)).otherwise(body)
+    return fetch_outcomes(attempt_outcomes(landed.withColumn("body", cut)))
 
 
 # ---------------------------------------------------------------------------- column functions
@@ -625,18 +628,186 @@ def q_cast_checked(spark, sf_dir):
     )
 
 
-@query("schema_contract")
+SCHEMA_SQL = """
+SELECT * FROM (VALUES
+  ('game_daily', 'appid', 'bigint'), ('game_daily', 'snapshot_date', 'date'), ('game_daily', 'fetched_at', 'timestamp_ntz'),
+  ('game_daily', 'type', 'string'), ('game_daily', 'name', 'string'), ('game_daily', 'release_date', 'date'),
+  ('game_daily', 'coming_soon', 'boolean'), ('game_daily', 'required_age', 'bigint'), ('game_daily', 'is_free', 'boolean'),
+  ('game_daily', 'price_minor', 'bigint'), ('game_daily', 'price', 'double'), ('game_daily', 'currency', 'string'),
+  ('game_daily', 'discount_percent', 'bigint'), ('game_daily', 'recommendations_total', 'bigint'),
+  ('game_daily', 'metacritic_score', 'bigint'), ('game_daily', 'achievements_total', 'bigint'),
+  ('game_genre', 'snapshot_date', 'date'), ('game_genre', 'appid', 'bigint'), ('game_genre', 'genre', 'string'),
+  ('game_category', 'snapshot_date', 'date'), ('game_category', 'appid', 'bigint'), ('game_category', 'category', 'string'),
+  ('game_company', 'snapshot_date', 'date'), ('game_company', 'appid', 'bigint'), ('game_company', 'company', 'string'),
+  ('game_company', 'role', 'string'),
+  ('fact_game_daily', 'snapshot_month', 'int'), ('fact_game_daily', 'snapshot_date', 'date'),
+  ('fact_game_daily', 'appid', 'bigint'), ('fact_game_daily', 'price', 'double'), ('fact_game_daily', 'price_usd', 'double'),
+  ('fact_game_daily', 'currency', 'string'), ('fact_game_daily', 'discount_percent', 'smallint'),
+  ('fact_game_daily', 'recommendations_total', 'bigint'), ('fact_game_daily', 'metacritic_score', 'smallint'),
+  ('fact_game_daily', 'achievements_total', 'smallint'), ('fact_game_daily', 'is_free', 'smallint'),
+  ('fact_game_daily', 'fetched_at', 'timestamp_ntz'),
+  ('dim_game', 'appid', 'bigint'), ('dim_game', 'name', 'string'), ('dim_game', 'type', 'string'),
+  ('dim_game', 'release_date', 'date'), ('dim_game', 'required_age', 'smallint'), ('dim_game', 'coming_soon', 'smallint'),
+  ('dim_game', 'genres', 'array<string>'), ('dim_game', 'categories', 'array<string>'),
+  ('dim_game', 'developers', 'array<string>'), ('dim_game', 'publishers', 'array<string>'),
+  ('dim_game', 'updated_at', 'timestamp_ntz'), ('dim_game', 'load_seq', 'bigint')
+) AS t("table", "column", "type")"""
+
+
+@query("schema_contract", SCHEMA_SQL)
 def q_schema_contract(spark, sf_dir):
     """K9: the lake built from RAW over the event days, then (table, column, type) per
-    stored table as read from the files. A schema, not values: no SQL oracle (rows-only)."""
+    stored table as read from its files; an absent table would show as such."""
     root = _land_raw(spark, sf_dir)
     base = scratch_path(spark, "contract")
     first, last = _event_days(spark, sf_dir)
-    ensure_tables(spark, f"{base}/silver")
+    ensure_tables(spark, f"{base}/silver", tuple(SILVER_TABLES))
+    ensure_tables(spark, f"{base}/gold", GOLD_TABLES)
+    run_range(spark, root, f"{base}/silver", f"{base}/gold", first, last, updated_at=DIM_LOAD_TIME, load_seq=1)
+    silver = table_contract(spark, f"{base}/silver", tuple(SILVER_TABLES))
+    return silver.unionByName(table_contract(spark, f"{base}/gold", GOLD_TABLES))
+
+
+# ---------------------------------------------------------------------------- stored tables
+def _stored_silver(spark, sf_dir) -> str:
+    """The four silver tables, loaded twice: a second landing replaces every third day after
+    it has lost its genres, its companies or all its successes (by the day's number)."""
+    root, silver_root = scratch_path(spark, "bronze_rerun"), scratch_path(spark, "silver_rerun")
+    first, last = _event_days(spark, sf_dir)
+    raw = B.events_as_bronze(_t(spark, sf_dir, "events"))
+    write_bronze(raw, root)
+    load_silver(spark, root, silver_root, first, last)
+    day = F.dayofmonth("snapshot_date") % 6
+    none = F.lit(None)
+    data = F.col("data")
+    data = F.when(day == 0, data.withField("genres", none.cast(raw.schema["data"].dataType["genres"].dataType))).when(
+        day == 3, data.withField("developers", none.cast("array<string>")).withField("publishers", none.cast("array<string>"))
+    ).otherwise(data)
+    changed = raw.withColumn("success", F.col("success") & (day != 5)).withColumn("data", data)
+    again = scratch_path(spark, "bronze_rerun")
+    write_bronze(changed.where(F.dayofmonth("snapshot_date") % 3 != 1), again)
+    load_silver(spark, again, silver_root, first, last)
+    return silver_root
+
+
+RERUN_CTE = f"""
+{RAW_SILVER_CTE}, stored AS (
+  SELECT *, day(snapshot_date) % 6 AS d FROM silver WHERE day(snapshot_date) % 6 <> 5
+)"""
+
+
+@query("stored_game_daily", f"WITH {RERUN_CTE} {SILVER_SELECT.replace('FROM silver', 'FROM stored')}")
+def q_stored_game_daily(spark, sf_dir):
+    """The main table after a re-run in which some days lost all their successes."""
+    return read_silver(spark, _stored_silver(spark, sf_dir), "game_daily")
+
+
+@query("stored_game_genre", f"""
+WITH {RERUN_CTE}
+SELECT snapshot_date, appid, type AS genre FROM stored WHERE d <> 0""")
+def q_stored_game_genre(spark, sf_dir):
+    """The genre table after a re-run in which some days lost all their genres."""
+    return read_silver(spark, _stored_silver(spark, sf_dir), "game_genre")
+
+
+@query("stored_game_category", f"""
+WITH {RERUN_CTE}
+SELECT snapshot_date, appid, CASE WHEN value >= 100 THEN 'high' ELSE 'low' END AS category
+FROM stored JOIN (SELECT appid, snapshot_date, value FROM dedup) USING (appid, snapshot_date)""")
+def q_stored_game_category(spark, sf_dir):
+    """The category table after the same re-run."""
+    return read_silver(spark, _stored_silver(spark, sf_dir), "game_category")
+
+
+@query("stored_game_company", f"""
+WITH {RERUN_CTE}
+SELECT snapshot_date, appid, 'studio-' || type AS company, 'developer' AS role FROM stored WHERE d <> 3
+UNION ALL
+SELECT snapshot_date, appid, 'studio-' || type, 'publisher' FROM stored WHERE d <> 3
+UNION ALL
+SELECT snapshot_date, appid, 'indie house', 'publisher' FROM stored WHERE d <> 3""")
+def q_stored_game_company(spark, sf_dir):
+    """The company table after a re-run in which some days lost all their companies."""
+    return read_silver(spark, _stored_silver(spark, sf_dir), "game_company")
+
+
+def _dim_versions(events: DataFrame, *more) -> DataFrame:
+    """Events as dim versions: version time = ts."""
+    empty = F.array().cast("array<string>")
+    return events.select(
+        F.col("user_id").alias("appid"),
+        F.concat(F.lit("app-"), F.col("user_id").cast("string")).alias("name"),
+        F.col("event_type").alias("type"),
+        F.lit(None).cast("date").alias("release_date"),
+        F.lit(0).cast("smallint").alias("required_age"),
+        F.lit(0).cast("smallint").alias("coming_soon"),
+        empty.alias("genres"), empty.alias("categories"), empty.alias("developers"), empty.alias("publishers"),
+        F.col("ts").alias("updated_at"),
+        *more,
+    )
+
+
+@query("dim_version_log", """
+SELECT user_id AS appid, arg_max(event_type, (ts, event_id % 3)) AS type, max(ts) AS updated_at
+FROM events GROUP BY user_id""")
+def q_dim_version_log(spark, sf_dir):
+    """K8/W6/D4 as stored: three loads appended, merged after the second, read back newest per game."""
+    path = scratch_path(spark, "dim_log")
+    events = _t(spark, sf_dir, "events")
+    for seq in range(3):
+        append_dim_versions(_dim_versions(events.where(F.col("event_id") % 3 == seq)), path, seq)
+        if seq == 1:
+            compact_dim_log(spark, path)
+    return latest_dim(read_dim_log(spark, path)).select("appid", "type", "updated_at")
+
+
+def _stored_gold(spark, sf_dir) -> str:
+    root, base = _land_raw(spark, sf_dir), scratch_path(spark, "gold_views")
+    first, last = _event_days(spark, sf_dir)
     run_range(spark, root, f"{base}/silver", f"{base}/gold", first, last, updated_at=DIM_LOAD_TIME, load_seq=1)
-    silver = table_contract(spark, f"{base}/silver").where(F.col("table").startswith("game_"))
-    gold = table_contract(spark, f"{base}/gold").where(~F.col("table").startswith("game_"))
-    return silver.unionByName(gold)
+    return f"{base}/gold"
+
+
+STORED_GROWTH_CTE = f"""
+{RAW_SILVER_CTE}, growth AS (
+  SELECT snapshot_date, appid, recommendations_total AS rec,
+         recommendations_total - lag(recommendations_total, 1, 0) OVER w AS g1,
+         recommendations_total - lag(recommendations_total, 7, 0) OVER w AS g7
+  FROM silver WINDOW w AS (PARTITION BY appid ORDER BY snapshot_date)
+), dim AS (
+  SELECT appid, arg_max(type, snapshot_date) AS type FROM silver GROUP BY appid
+)"""
+
+
+@query("stored_dim", f"""
+WITH {RAW_SILVER_CTE}
+SELECT appid, arg_max(name, snapshot_date) AS name, arg_max(type, snapshot_date) AS type,
+       [arg_max(type, snapshot_date)] AS genres, list_sort(['studio-' || arg_max(type, snapshot_date), 'indie house']) AS publishers
+FROM silver GROUP BY appid""")
+def q_stored_dim(spark, sf_dir):
+    """The stored dim of a whole load, newest version per game."""
+    dim = latest_dim(read_dim_log(spark, table_path(_stored_gold(spark, sf_dir), DIM_TABLE)))
+    return dim.select("appid", "name", "type", "genres", "publishers")
+
+
+@query("stored_genre_view", f"""
+WITH {STORED_GROWTH_CTE}
+SELECT g.snapshot_date, d.type AS genre, CAST(sum(g1) AS BIGINT) AS genre_growth_1d,
+       CAST(sum(g7) AS BIGINT) AS genre_growth_7d, avg(rec) AS avg_recommendations
+FROM growth g JOIN dim d USING (appid) GROUP BY 1, 2""")
+def q_stored_genre_view(spark, sf_dir):
+    """The genre view over stored gold."""
+    return gold_views(spark, _stored_gold(spark, sf_dir))["view_genre_growth"]
+
+
+@query("stored_publisher_view", f"""
+WITH {STORED_GROWTH_CTE}, pubs AS (
+  SELECT appid, 'studio-' || type AS publisher FROM dim UNION ALL SELECT appid, 'indie house' FROM dim)
+SELECT g.snapshot_date, p.publisher, CAST(sum(g1) AS BIGINT) AS pub_growth_1d, CAST(sum(g7) AS BIGINT) AS pub_growth_7d
+FROM growth g JOIN pubs p USING (appid) GROUP BY 1, 2""")
+def q_stored_publisher_view(spark, sf_dir):
+    """The publisher view over stored gold."""
+    return gold_views(spark, _stored_gold(spark, sf_dir))["view_publisher_growth"]
 
 
 # ---------------------------------------------------------------------------- composite runs
@@ -677,7 +848,7 @@ def q_medallion_end_to_end(spark, sf_dir):
     B.events_as_envelopes(events).write.option("compression", "gzip").json(landed_path)
     landed = spark.read.schema("requested_appid bigint, body string, fetched_at string").json(landed_path)
     bronze = unwrap_envelopes(landed).withColumn("snapshot_date", F.to_date(F.col("fetched_at").substr(1, 10)))
-    write_bronze(bronze, f"{base}/bronze")
+    write_bronze_lines(bronze, f"{base}/bronze")
     first, last = _event_days(spark, sf_dir)
     load_silver(spark, f"{base}/bronze", f"{base}/silver", first, last)
     load_gold(spark, f"{base}/silver", f"{base}/gold", first, last, updated_at=DIM_LOAD_TIME, load_seq=1)

@@ -4,16 +4,18 @@ Layouts:
 
 * silver tables: ``<root>/<table>/snapshot_date=YYYY-MM-DD/`` - one folder per day,
   rewritten per day with dynamic partition overwrite.
-* gold fact: ``<root>/fact_game_daily/snapshot_month=YYYYMM/`` - monthly folders
-  (the reference's partition key), rows sorted by (snapshot_date, appid) inside each
-  file so parquet row-group statistics prune single days. Day folders were tried and
-  dropped: a multi-year backfill then commits thousands of tiny folders.
-* gold dim: an append-only version log, read back through ``latest_dim``.
+* gold fact: ``<root>/fact_game_daily/snapshot_month=YYYYMM/snapshot_date=YYYY-MM-DD/`` -
+  the reference's monthly partition key with a folder per day inside, so a day is replaced
+  without touching its month. Append-only tables may keep whole months in one folder
+  (``layout="month"``), which spares a multi-year load thousands of folders. Rows are sorted
+  by (snapshot_date, appid) inside each file, so row-group statistics prune either way.
+* gold dim: an append-only version log of load folders, read back through ``latest_dim``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +37,14 @@ SILVER_TABLES = {
 }
 FACT_TABLE = "fact_game_daily"
 TABLE_PARTITIONS = {
-    "game_daily": "snapshot_date",
-    "game_genre": "snapshot_date",
-    "game_category": "snapshot_date",
-    "game_company": "snapshot_date",
-    "fact_game_daily": "snapshot_month",
+    "game_daily": ["snapshot_date"],
+    "game_genre": ["snapshot_date"],
+    "game_category": ["snapshot_date"],
+    "game_company": ["snapshot_date"],
+    "fact_game_daily": ["snapshot_month", "snapshot_date"],
 }
 DIM_TABLE = "dim_game"
+GOLD_TABLES = (FACT_TABLE, DIM_TABLE)
 
 
 def table_path(root: str, table: str) -> str:
@@ -65,6 +68,12 @@ def write_day_partitions(df: DataFrame, path: str, date_col: str = "snapshot_dat
     return rows_of(obs)
 
 
+def drop_days(spark: SparkSession, path: str, days, date_col: str = "snapshot_date") -> None:
+    """Remove the folders of ``days`` (dates of a load, at most one per calendar day)."""
+    for day in days:
+        _delete_path(spark, f"{path.rstrip('/')}/{date_col}={day.isoformat()}")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -104,15 +113,6 @@ def read_silver(spark: SparkSession, root: str, table: str, start=None, end=None
     return read_table(spark, table_path(root, table), SILVER_TABLES[table], start, end, layout="date")
 
 
-def _month_layout(df: DataFrame, columns: list[str]) -> DataFrame:
-    return (
-        df.select(*columns)
-        .withColumn("snapshot_month", year_month("snapshot_date"))
-        .hint("rebalance", "snapshot_month")
-        .sortWithinPartitions("snapshot_date", "appid")
-    )
-
-
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -125,68 +125,48 @@ def _delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def write_by_month(df: DataFrame, path: str, columns: list[str], ddl: str, mode: str = "replace_date") -> int:
-    """Month folders, rows sorted by (snapshot_date, appid); append or replace whole days.
+#: Folder schemes of the fact: whole months for append-only tables, a folder per day inside the
+#: month for tables whose days get replaced.
+LAYOUTS = {"month": ["snapshot_month"], "date": ["snapshot_month", "snapshot_date"]}
 
-    ``replace_date``: every snapshot date present in ``df`` is replaced whole, other dates
-    stay. Only the months the load touches are rewritten: (stored rows of those months
-    minus the loaded dates) + the loaded rows go to a staging table under the shared
-    checkpoint folder first, then replace those month folders with dynamic partition
-    overwrite. Each step is one job commit (T30) and the staging table cuts the lineage,
-    so a retried job never reads the folder it is overwriting.
 
-    Returns the loaded rows (K11: "rows inserted"), counted inside the write job.
+def write_by_month(df: DataFrame, path: str, columns: list[str], mode: str = "replace_date", layout: str = "date") -> int:
+    """Month folders, rows sorted by (snapshot_date, appid); append or replace whole days.
+
+    ``replace_date`` (date layout only): every snapshot date present in ``df`` is replaced
+    whole by dynamic partition overwrite, other days are neither read nor written, and a job
+    that fails leaves the old days in place. Returns the rows loaded (K11), counted inside
+    the write job. ``rebalance`` sizes the files and splits a hot day over several.
     """
     if mode not in ("replace_date", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
-    spark = df.sparkSession
-    if mode == "append" or not _path_exists(spark, path):
-        df, obs = counted(df)
-        _month_layout(df, columns).write.mode("append").option("compression", "snappy").partitionBy(
-            "snapshot_month").parquet(path)
-        return rows_of(obs)
-    # The loaded dates: one value per calendar day of the load, bounded by its date range.
-    days = [r[0] for r in df.select("snapshot_date").distinct().collect()]
-    if not days:
-        return 0
+    if mode == "replace_date" and layout != "date":
+        raise ValueError("replacing days needs the date layout")
+    folders = LAYOUTS[layout]
     df, obs = counted(df)
-    months = sorted({d.year * 100 + d.month for d in days})
-    # Month literals prune folders; the loaded days leave by an anti join (the day list
-    # is small and broadcast) rather than a literal list that a backfill makes huge.
-    loaded_days = df.select("snapshot_date").distinct()
-    kept = (
-        spark.read.schema(ddl + ", snapshot_month int").parquet(path)
-        .where(F.col("snapshot_month").isin(months))
-        .join(loaded_days, "snapshot_date", "left_anti")
-        .select(*columns)
-    )
-    from playlake.session import scratch_path
-
-    staging = scratch_path(spark, "month_staging")
-    _month_layout(kept.unionByName(df.select(*columns)), columns).write.mode("overwrite").option(
-        "compression", "snappy"
-    ).partitionBy("snapshot_month").parquet(staging)
     (
-        spark.read.parquet(staging)
-        .select(*columns, "snapshot_month")
-        .write.mode("overwrite")
+        df.select(*columns)
+        .withColumn("snapshot_month", year_month("snapshot_date"))
+        .hint("rebalance", *folders)
+        .sortWithinPartitions(*folders, "snapshot_date", "appid")
+        .write.mode("append" if mode == "append" else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("snapshot_month")
+        .partitionBy(*folders)
         .parquet(path)
     )
-    _delete_path(spark, staging)
     return rows_of(obs)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "replace_date") -> int:
+def write_fact(fact: DataFrame, path: str, mode: str = "replace_date", layout: str = "date") -> int:
     """Load fact rows into month folders sorted by (snapshot_date, appid).
 
     ``append``: rows are added (a re-run duplicates them, as the reference's loader
     does). ``replace_date`` (default, T3): every snapshot date in ``fact`` is replaced
-    whole, so a re-run gives the same rows (see ``write_by_month``).
+    whole, so a re-run gives the same rows (see ``write_by_month``). A table keeps the
+    layout it was created with.
     """
-    return write_by_month(fact, path, FACT_COLUMNS, FACT_DDL, mode)
+    return write_by_month(fact, path, FACT_COLUMNS, mode, layout)
 
 
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
@@ -198,7 +178,8 @@ def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame
 def replace_fact_date(fact: DataFrame, path: str, day: _dt.date | str) -> int:
     """Delete one snapshot date and insert the given rows for it.
 
-    Raises when no date is given, like the reference; rows for other dates are refused.
+    Raises when no date is given, like the reference; rows for other dates are refused. No
+    rows for the date leave it empty. Only that day's folder is written.
     """
     if day is None:
         raise ValueError("replace_fact_date needs a snapshot date")
@@ -209,26 +190,52 @@ def replace_fact_date(fact: DataFrame, path: str, day: _dt.date | str) -> int:
             F.raise_error(F.lit(f"row outside snapshot date {d}"))
         ).cast("date"),
     )
-    return write_fact(checked, path, mode="replace_date")
+    rows = write_fact(checked, path, mode="replace_date")
+    if not rows:
+        _delete_path(fact.sparkSession, f"{path.rstrip('/')}/snapshot_month={d:%Y%m}/snapshot_date={d.isoformat()}")
+    return rows
 
 
 def append_dim_versions(dim: DataFrame, path: str, load_seq: int) -> int:
     """K8: append one load's dim rows to the version log (never overwrite the dim, T31).
 
-    Returns the versions appended (counted inside the write job).
+    Every load is a folder of its own. Returns the versions appended (counted inside the
+    write job).
     """
     dim, obs = counted(dim)
     (
         dim.withColumn("load_seq", F.lit(load_seq).cast("bigint"))
-        .write.mode("append")
-        .option("compression", "snappy")
-        .parquet(path)
+        .write.option("compression", "snappy")
+        .parquet(f"{path.rstrip('/')}/load-{uuid.uuid4().hex}")
     )
     return rows_of(obs)
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().toString() for st in (fs.globStatus(jpath) or []))
+
+
+def _dim_parts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(folders that make up the log, folders a committed merge has replaced)."""
+    base = path.rstrip("/")
+    loads = [p.rsplit("/", 1)[0] for p in _glob(spark, f"{base}/load-*/_SUCCESS")]
+    merges = [p.rsplit("/", 2)[0] for p in _glob(spark, f"{base}/merge-*/replaced/_SUCCESS")]
+    # A list has one row per load since the merge before.
+    replaced = {r.value for m in merges for r in spark.read.text(f"{m}/replaced").collect()}
+    is_gone = lambda p: p.rsplit("/", 1)[1] in replaced
+    return [p for p in loads + merges if not is_gone(p)], [p for p in loads + merges if is_gone(p)]
+
+
 def read_dim_log(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, DIM_LOG_DDL)
+    """Every version of the log: each committed load or merge that no later merge replaced."""
+    parts, _ = _dim_parts(spark, path)
+    if not parts:
+        return spark.createDataFrame([], DIM_LOG_DDL)
+    files = [f"{p}/rows" if "/merge-" in p else p for p in parts]
+    return spark.read.schema(DIM_LOG_DDL).parquet(*files)
 
 
 def compact_dim_log(spark: SparkSession, path: str) -> int:
@@ -236,61 +243,71 @@ def compact_dim_log(spark: SparkSession, path: str) -> int:
 
     The log grows by one version per game per load; compacting keeps every read of the
     latest dim proportional to the catalogue, not to its history. The newest versions
-    (same ordering as ``latest_dim``, ``load_seq`` kept) go to a staging table under the
-    shared checkpoint folder first; only then is the log replaced from that staging
-    table, so no job reads the folder it overwrites. Run it between loads: a version
-    appended while it runs is not part of the compacted log. Returns the versions kept.
+    (same ordering as ``latest_dim``, ``load_seq`` kept) go to a new merge folder; the list of
+    the folders they replace is written last and commits the merge. Until then readers see
+    the loads, from then on the merge; replaced folders are deleted afterwards, by this
+    run or the next. A version appended meanwhile is in no list and stays. Returns the versions kept.
     """
     from playlake.operators.dedup import latest_per_key
-    from playlake.session import scratch_path
 
+    parts, gone = _dim_parts(spark, path)
+    for folder in gone:
+        _delete_path(spark, folder)
+    if not parts:
+        return 0
     log = read_dim_log(spark, path)
     newest = latest_per_key(log, ["appid"], [
         F.col("updated_at").desc_nulls_last(),
         F.col("load_seq").desc_nulls_last(),
         F.xxhash64(*[c for c in log.columns if c != "appid"]).asc(),
     ])
-    staging = scratch_path(spark, "dim_compact")
+    merge = f"{path.rstrip('/')}/merge-{uuid.uuid4().hex}"
     newest, obs = counted(newest)
-    newest.write.mode("overwrite").option("compression", "snappy").parquet(staging)
-    kept = rows_of(obs)
-    spark.read.schema(DIM_LOG_DDL).parquet(staging).write.mode("overwrite").option(
-        "compression", "snappy").parquet(path)
-    _delete_path(spark, staging)
-    return kept
+    newest.write.option("compression", "snappy").parquet(f"{merge}/rows")
+    names = [(p.rsplit("/", 1)[1],) for p in parts]
+    spark.createDataFrame(names, "value string").coalesce(1).write.text(f"{merge}/replaced")
+    for folder in parts:
+        _delete_path(spark, folder)
+    return rows_of(obs)
 
 
-def ensure_tables(spark: SparkSession, root: str) -> list[str]:
-    """K9: create every silver/gold table folder that does not exist yet, empty and typed.
+def ensure_tables(spark: SparkSession, root: str, tables: tuple[str, ...] = tuple(TABLE_DDL)) -> list[str]:
+    """K9: create every table of ``tables`` under ``root`` that does not exist yet, empty and typed.
 
     Returns the tables that were created. Existing tables are left alone.
     """
     created = []
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for table, ddl in TABLE_DDL.items():
+    for table in tables:
         path = table_path(root, table)
-        if table == FACT_TABLE:
-            ddl = FACT_DDL + ", snapshot_month int"
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        if jpath.getFileSystem(conf).exists(jpath):
+        if _path_exists(spark, path):
             continue
+        ddl = FACT_DDL + ", snapshot_month int" if table == FACT_TABLE else TABLE_DDL[table]
         writer = spark.createDataFrame([], ddl).write.mode("errorifexists")
         if table in TABLE_PARTITIONS:
-            writer = writer.partitionBy(TABLE_PARTITIONS[table])
-        writer.parquet(path)
+            writer = writer.partitionBy(*TABLE_PARTITIONS[table])
+        writer.parquet(f"{path}/load-0" if table == DIM_TABLE else path)
         created.append(table)
     return created
 
 
-def table_contract(spark: SparkSession, root: str) -> DataFrame:
-    """K9: (table, column, type) of every table as stored, read from the files' footers."""
-    rows = []
-    for table, ddl in TABLE_DDL.items():
-        schema = spark.createDataFrame([], ddl).schema
+def table_contract(spark: SparkSession, root: str, tables: tuple[str, ...] = tuple(TABLE_DDL)) -> DataFrame:
+    """K9: (table, column, type) of every table as stored, read from files' footers and folders.
+
+    A table that is not there gives one row without column and type. One that holds no rows
+    yet has no file to read; readers apply the declared types, and so does this.
+    """
+    rows: list[tuple] = []
+    for table in tables:
+        path = table_path(root, table)
+        if not _path_exists(spark, path):
+            rows.append((table, None, None))
+            continue
         try:
-            schema = spark.read.parquet(table_path(root, table)).schema
-        except AnalysisException:
-            pass  # an empty partitioned table has no footer: report the contract
+            paths = _dim_parts(spark, path)[0] if table == DIM_TABLE else [path]
+            schema = spark.read.parquet(*paths).schema
+        except AnalysisException as err:
+            if err.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            schema = spark.createDataFrame([], TABLE_DDL[table]).schema
         rows += [(table, f.name, f.dataType.simpleString()) for f in schema.fields]
     return spark.createDataFrame(rows, "table string, column string, type string")

@@ -27,8 +27,8 @@ def test_cli_growth_then_compact_dim(spark, write_jsonl, capsys):
     main(["backfill", "--bronze", f"{root}/c", "--silver", f"{base}/s", *common, "--start", "2024-01-06",
           "--end", "2024-01-06"])
     capsys.readouterr()
-    assert main(["growth", *common, "--state", f"{base}/state", "--out", f"{base}/growth",
+    assert main(["growth", *common, "--out", f"{base}/growth",
                  "--start", "2024-01-06", "--end", "2024-01-06"]) == 0
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["growth"] == "advanced"
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["growth"] == "rebuilt"
     assert main(["compact-dim", *common]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"versions_kept": 1}

@@ -147,6 +147,71 @@ def test_compact_dim_log_keeps_latest(spark):  # K8 merge
     assert sorted(tuple(r) for r in latest_dim(read_dim_log(spark, path)).collect()) == before
 
 
+def test_a_dim_merge_that_died_loses_nothing(spark, monkeypatch):  # K8
+    from playlake.sources import lake
+
+    g, c, co = _empty_bridges(spark)
+    path = scratch_path(spark, "t_dimdead")
+
+    def load(seq):
+        main = silver_rows(spark, [{"appid": a, "snapshot_date": D1, "name": f"v{seq}-{a}"} for a in (1, 2)])
+        append_dim_versions(build_dim(main, g, c, co, updated_at=dt.datetime(2024, 1, seq)), path, seq)
+
+    def names():
+        return sorted(r.name for r in latest_dim(read_dim_log(spark, path)).collect())
+
+    load(1), load(2)
+    with monkeypatch.context() as m:  # dead after the merge has committed, before it tidied up
+        m.setattr(lake, "_delete_path", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.compact_dim_log(spark, path)
+    assert names() == ["v2-1", "v2-2"] and read_dim_log(spark, path).count() == 2
+    load(3)  # a load meanwhile is in no list
+    assert names() == ["v3-1", "v3-2"] and read_dim_log(spark, path).count() == 4
+    with monkeypatch.context() as m:  # dead while it wrote the merge
+        m.setattr(lake, "rows_of", lambda obs: 0)
+        real = spark.createDataFrame
+        m.setattr(type(spark), "createDataFrame", lambda self, *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.compact_dim_log(spark, path)
+    assert real and read_dim_log(spark, path).count() == 4
+    assert lake.compact_dim_log(spark, path) == 2
+    assert names() == ["v3-1", "v3-2"] and read_dim_log(spark, path).count() == 2
+
+
+def test_replacing_a_day_writes_only_that_day(spark):  # K7
+    import glob
+    import os
+
+    rows = silver_rows(spark, [{"appid": a, "snapshot_date": d} for a in (1, 2) for d in (D1, D2)])
+    path = scratch_path(spark, "t_oneday")
+    write_fact(build_fact(rows), path)
+    local = path.removeprefix("file:")
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{local}/*/*/*.parquet")}
+    assert replace_fact_date(build_fact(rows.where(F.col("appid") == 1)).where(F.col("snapshot_date") == D1), path, D1) == 1
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{local}/*/*/*.parquet")}
+    assert {f for f in before if f"snapshot_date={D2}" in f} == {f for f in after if before.get(f) == after[f]}
+    assert replace_fact_date(build_fact(rows).where("false"), path, D1) == 0
+    assert {r.snapshot_date for r in read_fact(spark, path).collect()} == {D2}
+    with pytest.raises(ValueError):
+        write_fact(build_fact(rows), path, layout="month")
+
+
+def test_contract_names_an_absent_table(spark, tmp_path):  # K9
+    ensure_tables(spark, str(tmp_path / "some"), ("game_daily",))
+    rows = table_contract(spark, str(tmp_path / "some"), ("game_daily", "game_genre")).collect()
+    assert [r.column for r in rows if r.table == "game_genre"] == [None]
+    assert len([r for r in rows if r.table == "game_daily"]) == 16
+
+
+def test_versions_by_snapshot_day(spark):  # T5
+    g, c, co = _empty_bridges(spark)
+    main = silver_rows(spark, [{"appid": 7, "snapshot_date": D1, "name": "n"}])
+    assert build_dim(main, g, c, co, version_by="snapshot_date").first().updated_at.date() == D1
+    with pytest.raises(ValueError):
+        build_dim(main, g, c, co, version_by="other")
+
+
 def test_loads_into_tables_created_empty(spark, tmp_path):  # K9 then K1/K7
     from playlake.sources.lake import read_silver, write_day_partitions
 

@@ -1,71 +1,116 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from playlake.operators.growth import game_growth
-from playlake.operators.growth_state import empty_state, growth_step
+from playlake.operators.growth_state import TAIL_DDL, batch_growth, next_tail
+from playlake.plans import medallion
 from playlake.plans.bindings import fact_from_lineitem, table
+from playlake.plans.medallion import gold_views, maintain_growth, read_growth
+from playlake.schemas import FACT_COLUMNS
+from playlake.session import scratch_path
+from playlake.sources.lake import append_dim_versions, table_path, write_fact
 
 
-def test_incremental_equals_full_window(spark):
+def day(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=n - 1)
+
+
+def fact_rows(spark, rows):
+    """Whole fact rows from (day, appid, total)."""
+    df = spark.createDataFrame(rows, "snapshot_date date, appid bigint, recommendations_total bigint")
+    return df.select(
+        "snapshot_date", "appid", F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("price_usd"),
+        F.lit("USD").alias("currency"), F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
+        F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
+        F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"),
+    ).select(*FACT_COLUMNS)
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_batches_over_tails_equal_the_full_window(spark):
     fact = fact_from_lineitem(table(spark, "/root/testdata/sf0.001", "lineitem")).cache()
-    cuts = [dt.date(1996, 1, 1), dt.date(1997, 6, 1), dt.date(1999, 1, 1)]
-    bounds = [None, *cuts, None]
-    state = empty_state(spark)
-    parts = []
+    bounds = [None, dt.date(1996, 1, 1), dt.date(1997, 6, 1), dt.date(2003, 1, 1)]
+    tail, parts = spark.createDataFrame([], TAIL_DDL), None
     for lo, hi in zip(bounds, bounds[1:]):
-        batch = fact
-        if lo is not None:
-            batch = batch.where(F.col("snapshot_date") >= F.lit(lo))
-        if hi is not None:
-            batch = batch.where(F.col("snapshot_date") < F.lit(hi))
-        growth, state = growth_step(state, batch)
-        parts.append(growth.cache())
-        state = state.cache()
-        state.count()
-    inc = parts[0]
-    for p in parts[1:]:
-        inc = inc.unionByName(p)
-    full = game_growth(fact)
-    assert inc.count() == full.count()
-    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
-
-
-def test_batch_reaching_back_fails(spark):
-    rows = [(dt.date(2024, 1, 2), 1, 10)]
-    fact = spark.createDataFrame(rows, "snapshot_date date, appid bigint, recommendations_total bigint")
-    _, state = growth_step(empty_state(spark), fact)
-    old = spark.createDataFrame([(dt.date(2024, 1, 1), 1, 5)], fact.schema)
-    growth, _ = growth_step(state, old)
-    with pytest.raises(PySparkException):
-        growth.collect()
+        batch = fact.where(F.col("snapshot_date") <= F.lit(hi))
+        batch = batch if lo is None else batch.where(F.col("snapshot_date") > F.lit(lo))
+        growth = batch_growth(tail, batch, lo).cache()
+        parts = growth if parts is None else parts.unionByName(growth)
+        tail = next_tail(tail.unionByName(batch.select("appid", "snapshot_date", "recommendations_total"))).cache()
+        tail.count()
+    assert rows_of(parts) == rows_of(game_growth(fact))
 
 
-def test_views_over_materialized_growth_push_date_filters(spark):
-    from playlake.plans.medallion import advance_growth, gold_views
-    from playlake.session import scratch_path
-    from playlake.sources.lake import append_dim_versions, table_path, write_fact
+@pytest.fixture
+def grown(spark):
+    base = scratch_path(spark, "t_grown")
+    rows = [(day(d), a, d * d + a) for d in range(1, 13) for a in (1, 2) if (d + a) % 5]
+
+    def check(upto):
+        full = game_growth(fact_rows(spark, [r for r in rows if r[0] <= day(upto)]))
+        assert rows_of(read_growth(spark, f"{base}/growth")) == rows_of(full)
+
+    return f"{base}/fact", f"{base}/growth", rows, check
+
+
+def test_a_first_step_takes_in_the_days_before_it(spark, grown):
+    fact, growth, rows, check = grown
+    write_fact(fact_rows(spark, rows), fact, mode="append")
+    assert maintain_growth(spark, fact, growth, day(5), day(6)) == "rebuilt"
+    check(6)
 
+
+def test_a_skipped_range_is_not_lost(spark, grown):
+    fact, growth, rows, check = grown
+    write_fact(fact_rows(spark, rows), fact, mode="append")
+    maintain_growth(spark, fact, growth, day(1), day(2))
+    assert maintain_growth(spark, fact, growth, day(5), day(6)) == "advanced"
+    check(6)
+    assert maintain_growth(spark, fact, growth, day(12), day(12)) == "advanced"
+    check(12)
+    assert rows_of(read_growth(spark, growth, day(7), day(8))) == [
+        r for r in rows_of(read_growth(spark, growth)) if day(7) <= r[0] <= day(8)]
+
+
+def test_late_days_rebuild_and_leave_no_stale_rows(spark, grown):
+    fact, growth, rows, check = grown
+    write_fact(fact_rows(spark, [(day(3), 9, 1), *rows]), fact, mode="append")
+    maintain_growth(spark, fact, growth, day(1), day(12))
+    write_fact(fact_rows(spark, [r for r in rows if r[0] == day(3)]), fact)  # game 9 is gone again
+    assert maintain_growth(spark, fact, growth, day(3), day(3)) == "rebuilt"
+    check(12)
+
+
+def test_a_step_that_died_is_run_again(spark, grown, monkeypatch):
+    fact, growth, rows, check = grown
+    write_fact(fact_rows(spark, rows), fact, mode="append")
+    maintain_growth(spark, fact, growth, day(1), day(4))
+    with monkeypatch.context() as m:
+        m.setattr(medallion, "next_tail", lambda df: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            maintain_growth(spark, fact, growth, day(5), day(8))
+    check(4)  # the rows written without a commit do not show
+    assert maintain_growth(spark, fact, growth, day(5), day(8)) == "advanced"
+    check(8)
+
+
+def test_views_over_materialized_growth_push_date_filters(spark):
     base = scratch_path(spark, "t_matviews")
-    rows = [(dt.date(2024, 1, d), a, 10 * d + a) for d in range(1, 11) for a in (1, 2)]
-    fact = spark.createDataFrame(rows, "snapshot_date date, appid bigint, recommendations_total bigint")
-    full = fact.select(
-        "snapshot_date", "appid", F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("price_usd"),
-        F.lit("USD").alias("currency"), F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
-        F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
-        F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"))
-    write_fact(full, table_path(f"{base}/gold", "fact_game_daily"), mode="append")
+    fact_path = table_path(f"{base}/gold", "fact_game_daily")
+    write_fact(fact_rows(spark, [(day(d), a, 10 * d + a) for d in range(1, 11) for a in (1, 2)]), fact_path, mode="append")
     dim = spark.createDataFrame([(a, f"g{a}", "game", None, 0, 0, ["RPG"], [], [], ["P"], dt.datetime(2024, 2, 1))
                                  for a in (1, 2)],
                                 "appid bigint, name string, type string, release_date date, required_age smallint, "
                                 "coming_soon smallint, genres array<string>, categories array<string>, "
                                 "developers array<string>, publishers array<string>, updated_at timestamp_ntz")
     append_dim_versions(dim, table_path(f"{base}/gold", "dim_game"), 1)
-    fact_path = table_path(f"{base}/gold", "fact_game_daily")
-    advance_growth(spark, fact_path, f"{base}/state", f"{base}/growth", "2024-01-01", "2024-01-05")
-    advance_growth(spark, fact_path, f"{base}/state", f"{base}/growth", "2024-01-06", "2024-01-10")
+    maintain_growth(spark, fact_path, f"{base}/growth", "2024-01-01", "2024-01-05")
+    maintain_growth(spark, fact_path, f"{base}/growth", "2024-01-06", "2024-01-10")
     plain, mat = gold_views(spark, f"{base}/gold"), gold_views(spark, f"{base}/gold", f"{base}/growth")
     for name in plain:
         assert plain[name].exceptAll(mat[name]).count() == 0 and mat[name].exceptAll(plain[name]).count() == 0

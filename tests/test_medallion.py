@@ -1,5 +1,7 @@
 import datetime as dt
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from playlake.operators.gold import latest_dim
@@ -64,3 +66,39 @@ def test_range_run_views_and_invariants(spark, write_jsonl):
     pubs = {(r.snapshot_date.day, r.publisher): r.pub_growth_1d for r in spark.sql(
         "SELECT * FROM view_publisher_growth").collect()}
     assert pubs[(4, "R")] == 4 and pubs[(4, "Q")] == 4
+
+
+def test_a_rerun_replaces_the_day_in_every_table(spark, write_jsonl):  # K1, K2, D2, D11
+    from playlake.plans.medallion import load_silver
+
+    base = scratch_path(spark, "t_rerun")
+    first = write_jsonl("r1/year=2024/month=01/day=01/a.jsonl.gz", [rec(1, 1, 5, ["RPG", "Indie"], ["P"])])
+    write_jsonl("r1/year=2024/month=01/day=02/a.jsonl.gz", [rec(1, 2, 6, ["RPG"], ["P"])])
+    counts = load_silver(spark, f"{first}/r1", f"{base}/silver", "2024-01-01", "2024-01-05")
+    assert counts == {"game_daily": 2, "game_genre": 3, "game_category": 0, "game_company": 4, "malformed": 0}
+    no_genres = rec(1, 1, 5, [], [])
+    no_genres["data"]["developers"] = []
+    write_jsonl("r2/year=2024/month=01/day=01/a.jsonl.gz", [no_genres], raw_lines=None)
+    failed = {"appid": 1, "success": False, "fetched_at": "2024-01-02T01:00:00"}
+    write_jsonl("r2/year=2024/month=01/day=02/a.jsonl.gz", [], raw_lines=[json.dumps(failed), '{"appid": 2, "succ'])
+    counts = load_silver(spark, f"{first}/r2", f"{base}/silver", "2024-01-01", "2024-01-05")
+    assert counts == {"game_daily": 1, "game_genre": 0, "game_category": 0, "game_company": 0, "malformed": 1}
+    assert [r.snapshot_date.day for r in read_silver(spark, f"{base}/silver", "game_daily").collect()] == [1]
+    assert read_silver(spark, f"{base}/silver", "game_genre").count() == 0
+    assert read_silver(spark, f"{base}/silver", "game_company").count() == 0
+
+
+def test_out_of_range_rows_fail_or_go_to_quarantine(spark, write_jsonl):  # T16
+    from playlake.plans.medallion import load_gold, load_silver
+
+    base = scratch_path(spark, "t_quarantine")
+    bad = rec(2, 1, 5, ["RPG"], ["P"])
+    bad["data"]["required_age"] = "999"
+    root = write_jsonl("q/year=2024/month=01/day=01/a.jsonl.gz", [rec(1, 1, 5, ["RPG"], ["P"]), bad])
+    load_silver(spark, f"{root}/q", f"{base}/silver", "2024-01-01", "2024-01-01")
+    with pytest.raises(Exception, match="required_age out of range"):
+        load_gold(spark, f"{base}/silver", f"{base}/gold", "2024-01-01", "2024-01-01")
+    counts = load_gold(spark, f"{base}/silver", f"{base}/gold2", "2024-01-01", "2024-01-01", out_of_range="quarantine")
+    assert counts == {"fact_game_daily": 1, "dim_game": 1, "quarantine": 1}
+    held = spark.read.parquet(f"{base}/gold2/quarantine").first()
+    assert (held.appid, held.out_of_range) == (2, ["required_age"])

@@ -71,18 +71,19 @@ def test_company_bridge_is_a_set_per_role(spark, rows):
 def test_incremental_growth_equals_full_window(spark, rows, cuts):
     from pyspark.sql import functions as F
 
-    from playlake.operators.growth_state import empty_state, growth_step
+    from playlake.operators.growth_state import TAIL_COLUMNS, TAIL_DDL, batch_growth, next_tail
 
     df = spark.createDataFrame([(D0 + dt.timedelta(days=d), a, v) for a, d, v in rows],
                                "snapshot_date date, appid bigint, recommendations_total bigint")
-    bounds = [0, *sorted(cuts), 41]
-    state, got = empty_state(spark), set()
-    for lo, hi in zip(bounds, bounds[1:]):
-        batch = df.where((F.col("snapshot_date") >= F.lit(D0 + dt.timedelta(days=lo)))
-                         & (F.col("snapshot_date") < F.lit(D0 + dt.timedelta(days=hi))))
-        growth, state = growth_step(state, batch)
-        got |= {tuple(r) for r in growth.collect()}
-        state = spark.createDataFrame(state.collect(), state.schema)  # cut lineage between batches
+    ends = [D0 + dt.timedelta(days=d) for d in [*sorted(cuts), 41]]
+    tail, through, got = spark.createDataFrame([], TAIL_DDL), None, set()
+    for end in ends:
+        batch = df.where(F.col("snapshot_date") <= F.lit(end))
+        batch = batch if through is None else batch.where(F.col("snapshot_date") > F.lit(through))
+        got |= {tuple(r) for r in batch_growth(tail, batch, through).collect()}
+        tail = next_tail(tail.unionByName(batch.select(*TAIL_COLUMNS)))
+        tail = spark.createDataFrame(tail.collect(), tail.schema)  # cut lineage between batches
+        through = end
     assert got == {tuple(r) for r in game_growth(df).collect()}
 
 
@@ -128,9 +129,9 @@ def test_pages_stop_at_first_final_page(spark, pages):
         resp = {"apps": [{"appid": a + 100 * i} for a in apps]}
         if more is not None:
             resp["have_more_results"] = more
-        bodies.append((i, json.dumps({"response": resp})))
-    landed = spark.createDataFrame(bodies, "page_no bigint, body string")
-    got = sorted(r.appid for r in unwrap_pages(landed).collect())
+        bodies.append(("s", i, json.dumps({"response": resp})))
+    landed = spark.createDataFrame(bodies, "snapshot string, page_no bigint, body string")
+    got = sorted(r.appid for r in unwrap_pages(landed, "snapshot", strict=False).collect())
     want = []
     for i, (apps, more) in enumerate(pages):
         want += [a + 100 * i for a in apps]

@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from playlake.plans.registry import ORACLE_SQL, QUERIES  # noqa: E402
 from oracle_check import digest, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -24,19 +25,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_but_the_schema_has_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"schema_contract"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-def test_schema_contract_rows(spark):
-    rows = {(r.table, r.column): r.type for r in entry.queries()["schema_contract"](spark, SF).collect()}
-    assert rows[("fact_game_daily", "discount_percent")] == "smallint"
-    assert rows[("dim_game", "genres")] == "array<string>"
-    assert rows[("game_daily", "fetched_at")] == "timestamp_ntz"
-    assert len({t for t, _ in rows}) == 6
-
-
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

@@ -1,11 +1,12 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from playlake.session import scratch_path
 from playlake.sources.lake import read_fact, read_silver, table_path
-from playlake.streaming import start_incremental_load
+from playlake.streaming import drain_incremental_load, start_incremental_load
 from playlake.streaming.incremental import _runs
 
 
@@ -26,14 +27,15 @@ def test_incremental_load_handles_late_files(spark, write_jsonl):
     write_jsonl("b/year=2024/month=01/day=06/a.jsonl.gz", [rec(1, "2024-01-06T01:00:00", "y")])
     bronze, silver, gold = f"{root}/b", scratch_path(spark, "t_silver"), scratch_path(spark, "t_gold")
     ckpt = scratch_path(spark, "t_ckpt")
-    q = start_incremental_load(spark, bronze, silver, gold, checkpoint=ckpt, updated_at=dt.datetime(2024, 2, 1))
-    q.awaitTermination(300)
+    days = drain_incremental_load(spark, bronze, silver, gold, checkpoint=ckpt, updated_at=dt.datetime(2024, 2, 1),
+                                  max_files_per_trigger=1)
+    assert days == [dt.date(2024, 1, 5), dt.date(2024, 1, 6)]
     assert read_silver(spark, silver, "game_daily").count() == 3
     # a late file for day 5 with a newer fetch of app 1, and a new day 7
     write_jsonl("b/year=2024/month=01/day=05/b.jsonl.gz", [rec(1, "2024-01-05T09:00:00", "second")])
     write_jsonl("b/year=2024/month=01/day=07/a.jsonl.gz", [rec(3, "2024-01-07T01:00:00", "z")])
-    q = start_incremental_load(spark, bronze, silver, gold, checkpoint=ckpt, updated_at=dt.datetime(2024, 2, 1))
-    q.awaitTermination(300)
+    days = drain_incremental_load(spark, bronze, silver, gold, checkpoint=ckpt, updated_at=dt.datetime(2024, 2, 2))
+    assert days == [dt.date(2024, 1, 5), dt.date(2024, 1, 7)]
     main = read_silver(spark, silver, "game_daily")
     assert main.count() == 4
     assert main.where((F.col("appid") == 1) & (F.col("snapshot_date") == dt.date(2024, 1, 5))).first().name == "second"
@@ -43,17 +45,38 @@ def test_incremental_load_handles_late_files(spark, write_jsonl):
 def test_restart_without_new_files_is_a_no_op(spark, write_jsonl):
     root = write_jsonl("nb/year=2024/month=01/day=05/a.jsonl.gz", [rec(1, "2024-01-05T01:00:00", "a")])
     silver, ckpt = scratch_path(spark, "t_nsilver"), scratch_path(spark, "t_nckpt")
-    for _ in range(2):
-        q = start_incremental_load(spark, f"{root}/nb", silver, checkpoint=ckpt)
-        q.awaitTermination(300)
+    assert drain_incremental_load(spark, f"{root}/nb", silver, checkpoint=ckpt) == [dt.date(2024, 1, 5)]
+    assert drain_incremental_load(spark, f"{root}/nb", silver, checkpoint=ckpt) == []
+    assert read_silver(spark, silver, "game_daily").count() == 1
+
+
+def test_days_noted_by_a_run_that_died_are_made_up_for(spark, write_jsonl, monkeypatch):
+    from playlake.streaming import incremental
+
+    root = write_jsonl("dd/year=2024/month=01/day=05/a.jsonl.gz", [rec(1, "2024-01-05T01:00:00", "a")])
+    silver, ckpt = scratch_path(spark, "t_dsilver"), scratch_path(spark, "t_dckpt")
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_rebuild", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            drain_incremental_load(spark, f"{root}/dd", silver, checkpoint=ckpt)
+    assert drain_incremental_load(spark, f"{root}/dd", silver, checkpoint=ckpt) == [dt.date(2024, 1, 5)]
+    assert read_silver(spark, silver, "game_daily").count() == 1
+
+
+def test_continuous_stream_rebuilds_touched_days(spark, write_jsonl):
+    root = write_jsonl("cs/year=2024/month=01/day=05/a.jsonl.gz", [rec(1, "2024-01-05T01:00:00", "a")])
+    silver = scratch_path(spark, "t_csilver")
+    q = start_incremental_load(spark, f"{root}/cs", silver, checkpoint=scratch_path(spark, "t_cckpt"), every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
     assert read_silver(spark, silver, "game_daily").count() == 1
-    assert q.lastProgress is None or q.lastProgress["numInputRows"] == 0
 
 
 def test_stream_maintains_growth_and_rebuilds_on_late_data(spark, write_jsonl):
     from playlake.operators.growth import game_growth
-    from playlake.schemas import GROWTH_COLUMNS
-    from playlake.sources.lake import read_table
+    from playlake.plans.medallion import read_growth
 
     def land_day(day, recs, name="a"):
         return write_jsonl(f"g/year=2024/month=01/day={day:02d}/{name}.jsonl.gz", recs)
@@ -70,13 +93,10 @@ def test_stream_maintains_growth_and_rebuilds_on_late_data(spark, write_jsonl):
                 updated_at=dt.datetime(2024, 2, 1))
 
     def run_and_compare():
-        start_incremental_load(spark, f"{root}/g", f"{base}/silver", **args).awaitTermination(300)
+        drain_incremental_load(spark, f"{root}/g", f"{base}/silver", **args)
         fact = read_fact(spark, table_path(f"{base}/gold", "fact_game_daily"))
         full = {tuple(r) for r in game_growth(fact).collect()}
-        mat = {tuple(r) for r in read_table(spark, f"{base}/growth/growth",
-                                            "snapshot_date date, appid bigint, recommendations_total bigint, "
-                                            "rec_growth_1d bigint, rec_growth_7d bigint, rec_growth_30d bigint, "
-                                            "snapshot_month int").select(*GROWTH_COLUMNS).collect()}
+        mat = {tuple(r) for r in read_growth(spark, f"{base}/growth").collect()}
         assert mat == full
         return full
 

@@ -1,4 +1,4 @@
-from playlake.operators.targets import daily_targets, full_load_targets, target_sample
+from playlake.operators.targets import daily_targets, full_load_targets
 
 
 def ids(spark, values):
@@ -16,7 +16,3 @@ def test_full_load_targets_is_a_list(spark):  # D9, J5
     got = sorted(r.appid for r in full_load_targets(ids(spark, [None, 3]), ids(spark, [0])).collect())
     assert got == [3]
 
-
-def test_target_sample_is_first_n_by_id(spark):  # O2
-    got = [r.appid for r in target_sample(ids(spark, list(range(100, 0, -1))), 20).collect()]
-    assert got == list(range(1, 21))
