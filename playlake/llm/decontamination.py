@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_and_text, slices, utf8
+from .common import id_and_text, slices, utf8, written
 
 SHINGLE = 5
 OVERLAP = 0.8
@@ -71,13 +71,27 @@ def question_and_answer(text: bytes) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
+class Statistics(NamedTuple):
+    """Of all items: how many have words, how many words, and how many items hold each word."""
+
+    items: int
+    words: int
+    holding: dict[bytes, int]
+
+
 class Index:
     """Inverted index of some items for block-max WAND, with impacts as shares of the threshold."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]]):
+    def __init__(self, items: list[tuple[int | None, bytes]], all_items: Statistics | None = None):
         parts = [(i, *question_and_answer(t)) for i, t in items]
         parts = [p for p in parts if p[1] or p[2]]
-        df = Counter(w for _, q, a in parts for w in {*q, *a})
+        own = Statistics(
+            len(parts),
+            sum(len(q) + len(a) for _, q, a in parts),
+            Counter(w for _, q, a in parts for w in {*q, *a}),
+        )
+        total, words, df = all_items or own
+        mean = words / max(total, 1)
         # Similar items side by side: their common words, the most common first, in order.
         parts.sort(key=lambda p: sorted((-df[w], w) for w in {*p[1], *p[2]}))
         texts = [q + a for _, q, a in parts]
@@ -87,7 +101,6 @@ class Index:
                 self.vocabulary.setdefault(word, len(self.vocabulary))
         self.longest = max(map(len, texts), default=0)
         self.block_items = max(1, math.ceil(len(texts) / BLOCKS))
-        mean = sum(map(len, texts)) / max(len(texts), 1)
         self.items, self.thresholds = [], []
         self.maxima = np.zeros((len(self.vocabulary), math.ceil(len(texts) / self.block_items)), np.float32)
         #: By block: the (item, impact) entries of each of its terms, in order of the items.
@@ -95,7 +108,7 @@ class Index:
         for number, ((item_id, question, answer), text) in enumerate(zip(parts, texts, strict=True)):
             norm = K1 * (1 - B + B * len(text) / mean)
             weight = {
-                w: math.log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + norm)
+                w: math.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + norm)
                 for w, n in Counter(text).items()
             }
             may_lack = int((1 - OVERLAP) * max(len(text) - SHINGLE + 1, 1) + 1e-9)
@@ -209,16 +222,33 @@ class Index:
 
 
 def _shards(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes of about ``SHARD_BYTES`` of item text each, one after the other."""
+    """Indexes of about ``SHARD_BYTES`` of item text each, one after the other; their statistics
+    are those of the whole benchmark."""
+    spark = benchmark.sparkSession
     items = benchmark.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    per_item = written(items.mapInArrow(_item_words, "words long, distinct array<binary>"), "benchmark-words")
+    n_items, n_words = per_item.where("words > 0").agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
+    holding = per_item.select(F.explode("distinct").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    holding = written(holding, "benchmark-holding")
     count = max(1, math.ceil(total / SHARD_BYTES))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for number in range(count):
-        rows = items.where(shard == number).orderBy("item_id", "text").collect()
-        yield Index([(r.item_id, r.text.encode()) for r in rows])
+        rows = [(r.item_id, r.text.encode()) for r in items.where(shard == number).orderBy("item_id", "text").collect()]
+        own = spark.createDataFrame([(w,) for w in {w for _, t in rows for w in words_of(t)}], "word binary")
+        known = {bytes(r.word): r.n for r in holding.join(own, "word").collect()}  # the words of one shard
+        yield Index(rows, Statistics(n_items, n_words, known))
+
+
+def _item_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [words_of(t) for t in utf8(batch.column(1))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(map(len, words), pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.binary()))],
+            names=["words", "distinct"],
+        )
 
 
 LEAKS = (
