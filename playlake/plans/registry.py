@@ -338,7 +338,8 @@ FROM lineitem GROUP BY 1""")
 def q_fact_month_layout(spark, sf_dir):
     """The lineitem fact written in month folders; rows and games per stored month."""
     path = scratch_path(spark, "fact_layout")
-    write_fact(build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem"))), path, mode="append", layout="month")
+    fact = build_fact(B.silver_main_from_lineitem(_t(spark, sf_dir, "lineitem")))
+    write_fact(fact, path, mode="append", layout="month")
     stored = read_table(spark, path, FACT_DDL + ", snapshot_month int")
     return stored.groupBy("snapshot_month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("appid").alias("n_appids")
