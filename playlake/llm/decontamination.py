@@ -12,7 +12,8 @@ The threshold loses nothing: a passage with ``OVERLAP`` of an item's shingles la
 that many of its words as shingles may be missing, so its score is at least the item's own
 score less its heaviest words. Impacts are stored as shares of that threshold, which makes it
 1 for every item. The documents are scanned once for each shard of the index and never
-shuffled; a shard is bounded by ``SHARD_BYTES`` of item text and is what is broadcast.
+shuffled; a shard is bounded by ``SHARD_BYTES`` of item text and goes to the tasks with their
+function.
 """
 
 from __future__ import annotations
@@ -267,13 +268,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``score`` are that of the best passage. Items and texts without words match nothing,
     repeated items and rows are reported each.
     """
-    spark, source = docs.sparkSession, id_and_text(docs)
-    found = None
+    source, found = id_and_text(docs), None
     for index in _shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+        def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, ROWS_AT_ONCE):
                 rows = [
                     (doc_id, *leak)
@@ -293,12 +291,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item; no shuffle."""
-    spark, at = docs.sparkSession, docs.columns.index("text")
+    at = docs.columns.index("text")
     for index in _shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+        def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, ROWS_AT_ONCE):
                 yield batch.filter(pa.array([not index.leaks(t) for t in utf8(batch.column(at))], pa.bool_()))
 

@@ -9,7 +9,6 @@ window just large enough, and reports span and edits. One scan of the documents,
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -115,9 +114,14 @@ class Scanner:
         return sorted(found, key=lambda s: (s[1], s[2], s[0]))
 
 
-@lru_cache(maxsize=4)
-def _scanner(notices, phrases) -> Scanner:
-    return Scanner(notices, dict(phrases))
+_SCANNERS: dict[tuple, Scanner] = {}
+
+
+def _scanner(notices: tuple, phrases: tuple) -> Scanner:
+    """The process's scanner of those notices and phrases."""
+    if (notices, phrases) not in _SCANNERS:
+        _SCANNERS[notices, phrases] = Scanner(notices, dict(phrases))
+    return _SCANNERS[notices, phrases]
 
 
 SCANNED = (
@@ -160,9 +164,8 @@ def scan_licenses(docs: DataFrame, notices=NOTICES, phrases=PHRASES) -> DataFram
                         ],
                     )
                 )
-            span = pa.struct(
-                [("label", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("edits", pa.int32()), ("likeness", pa.float64())]
-            )
+            places = [(name, pa.int32()) for name in ("start", "stop", "edits")]
+            span = pa.struct([("label", pa.string()), *places, ("likeness", pa.float64())])
             types = [pa.int64()] * 5 + [pa.list_(pa.string()), pa.list_(span)]
             names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "spans"]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]

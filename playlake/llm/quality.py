@@ -190,12 +190,11 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 
     ``score`` is the likelihood of label 1, between 0 and 1; a text without words gets the
     model's bias. ``predicted`` is 1 from ``THRESHOLD`` on. ``held_out`` marks the ids that
-    training never reads; a missing id is one of them.
+    training never reads; a missing id is one of them. The model, one number per bucket, goes
+    to the tasks with the function.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in slices(batches, ROWS_AT_ONCE):
             scores = [score_text(t, model) for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
@@ -211,11 +210,9 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 def keep_quality(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores at least ``threshold``; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in slices(batches, ROWS_AT_ONCE):
             yield batch.filter(pa.array([score_text(t, model) >= threshold for t in utf8(batch.column(at))], pa.bool_()))
 
