@@ -44,9 +44,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--profile", default="cluster", choices=("cluster", "local"))
     a = p.parse_args(argv)
 
-    from playlake.session import build_session
+    from playlake.session import build_session, clear_scratch, scratch_mark
 
-    spark = build_session(profile=a.profile)
+    spark, mark = build_session(profile=a.profile), scratch_mark()
     if a.task in ("silver", "gold", "backfill", "compact", "register-ids", "growth") and not (a.start and a.end):
         p.error("--start and --end are both required (T25)")
     result: object
@@ -106,6 +106,7 @@ def main(argv: list[str] | None = None) -> int:
         result = None
     else:
         p.error(f"unknown task {a.task!r}")
+    clear_scratch(spark, mark)
     if result is not None:
         print(json.dumps(result, default=str))
     return 0

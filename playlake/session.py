@@ -82,6 +82,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
+#: Scratch paths this process has handed out and not cleared.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/playlake/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/playlake/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """A place in the list of scratch paths, for ``clear_scratch``."""
+    return len(_scratch)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete what was written to the scratch paths handed out after ``since``, but for ``keep``.
+
+    Results may still read their scratch tables, so this is for jobs that have written or
+    consumed theirs.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [p for p in _scratch[since:] if p not in keep]:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(conf).delete(jpath, True)
+        _scratch.remove(path)
