@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playlake.llm.common import documents, written
+from playlake.llm.common import documents
 from playlake.llm.decontamination import drop_contaminated
 from playlake.llm.exact_dedup import drop_exact_copies
 from playlake.llm.packing import pack
 from playlake.llm.quality import keep_quality, train
 from playlake.llm.simhash import drop_near_copies
+from playlake.session import clear_scratch, scratch_mark, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,7 +57,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage in order over the whole ``documents`` table."""
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs, start = documents(spark, sf_dir), scratch_mark()
+    for _, stage in STAGES[:-1]:
+        result, path = stage(spark, docs, sf_dir), scratch_path(spark, "pipeline")
+        result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        clear_scratch(spark, start, keep=(path,))  # the stage's own tables and its predecessor's
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -104,9 +104,23 @@ def test_one_conversation_with_most_of_the_rows(spark):
 
 def test_levels_of_a_chain_and_a_cycle_behind_it(spark):
     rows = [(1, f"n{i}", [f"n{i - 1}"] if i else []) for i in range(6)] + [(1, "x", ["y", "n5"]), (1, "y", ["x"]), (1, "z", ["y"])]
-    found = topological_levels(spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>"))
-    levels = {r.call_id: r.level for r in found.collect()}
-    assert levels == {f"n{i}": i for i in range(6)} | {"x": None, "y": None, "z": None}
+    rows += [(2, "a", ["a"]), (2, "b", ["b", "c", "gone"]), (2, "c", [])]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>")
+    one = {f"n{i}": i for i in range(6)} | {"x": None, "y": None, "z": None}
+    for in_task in (100, 5, 1):  # in tasks, the large one in rounds, both in rounds
+        found = topological_levels(calls, in_task).collect()
+        assert {r.call_id: r.level for r in found if r.conv_id == 1} == one
+        assert {r.call_id: r.level for r in found if r.conv_id == 2} == {"a": None, "b": None, "c": 0}
+
+
+def test_a_long_chain_and_many_conversations_in_one_task(spark):
+    rows = [(1, f"n{i}", [f"n{i - 1}"] if i else None) for i in range(3000)]
+    rows += [(c, f"k{i}", [f"k{i + 1}"] if i < 4 else []) for c in range(2, 400) for i in range(5)]
+    found = topological_levels(spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>").repartition(3))
+    levels = {(r.conv_id, r.call_id): r.level for r in found.collect()}
+    assert len(levels) == len(rows)
+    assert all(levels[1, f"n{i}"] == i for i in range(3000))
+    assert all(levels[c, f"k{i}"] == 4 - i for c in range(2, 400) for i in range(5))
 
 
 def test_numbered_over_several_partitions(spark):
