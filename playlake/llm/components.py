@@ -13,7 +13,8 @@ from .common import written
 
 
 def _smallest_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    """Written, so that its join with the edges shuffles both sides itself and may split a hub."""
+    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "smallest")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

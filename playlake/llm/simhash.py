@@ -205,8 +205,10 @@ def near_duplicates(
     named = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
         "fp", F.coalesce("component", "fp").alias("component"), "first_id"
     )
+    # Written, so that each join shuffles both sides itself and may split a hot key.
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = named.join(smallest, "component").select("fp", "component_id")
+    known = named.join(written(smallest, "simhash-smallest"), "component").select("fp", "component_id")
+    known = written(known, "simhash-known")
     return prints.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
