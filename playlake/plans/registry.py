@@ -498,9 +498,12 @@ def q_bronze_compact(spark, sf_dir):
 
 @query("applist_flatten", "SELECT p_partkey AS appid, p_name AS name FROM part")
 def q_applist_flatten(spark, sf_dir):
-    """Parts as nested app-list documents, flattened."""
-    path = day_path(scratch_path(spark, "applist_nested"), TARGET_DAY)
-    B.part_applist_nested(_t(spark, sf_dir, "part")).write.option("compression", "gzip").json(path)
+    """One snapshot in both stored shapes, even parts in nested documents, odd ones as flat rows."""
+    path = day_path(scratch_path(spark, "applist_mixed"), TARGET_DAY)
+    part, even = _t(spark, sf_dir, "part"), F.col("p_partkey") % 2 == 0
+    B.part_applist_nested(part.where(even)).write.option("compression", "gzip").json(path)
+    flat = part.where(~even).select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
+    flat.write.mode("append").option("compression", "gzip").json(path)
     return read_applist(spark, path).select("appid", "name")
 
 
