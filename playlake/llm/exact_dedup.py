@@ -2,7 +2,7 @@
 
 Shuffle plan: a narrow table (id, hash, length, digest) is written in one scan; groups are
 aggregated map-side, so a group holding a third of all rows crosses the shuffle as one row
-per task. Only documents of groups with several members bring their text to the byte
+per task, and adaptive execution splits its narrow rows where they meet the group's. Only documents of groups with several members bring their text to the byte
 comparison, which is a grouping by (hash, text): copies collapse before that shuffle too.
 """
 
@@ -53,7 +53,8 @@ def _normalised(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
 
 def _collided(docs: DataFrame, narrow: DataFrame) -> DataFrame:
     """Hashes under which different texts met, by comparing the bytes of every repeated hash."""
-    repeated = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written, here and below, so that a join shuffles both sides itself and may split a hot group.
+    repeated = written(narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "exact-repeated")
     ids = written(narrow.join(repeated, "h", "left_semi").select("doc_id", "h").distinct(), "exact-members")
     members = id_and_text(docs).alias("d").join(
         ids.hint("merge").alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id"))
@@ -91,7 +92,7 @@ def exact_groups(docs: DataFrame, hasher=content_hash) -> DataFrame:
         )
     first = F.min(F.struct((-F.col("n_points")).alias("shorter"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
     groups = keyed.groupBy("key").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
-    chosen = groups.select("key", F.col("first.doc_id").alias("keep"), "n")
+    chosen = written(groups.select("key", F.col("first.doc_id").alias("keep"), "n"), "exact-chosen")
     alone = F.col("n").isNull()
     return keyed.join(chosen, "key", "left").select(
         "doc_id",
