@@ -1,10 +1,10 @@
 """Chat formatting: tool calls linked to results, ordered by dependency, validated, canonical JSON.
 
 Calls and results are hash-joined by identifier, after several results of one call are reduced
-to the first, so a hot identifier is one row when they meet. Topological order comes in rounds
-of joins that place every call whose dependencies are placed; the number of rounds is the
-longest chain of dependencies, and each dependency is looked at once per round until it goes.
-Steps are numbered from range-dealt rows, so a conversation may be larger than a task.
+to the first, so a hot identifier is one row when they meet. Conversations are ordered one at
+a time inside tasks; one of more than ``IN_TASK`` calls is ordered in rounds of joins instead,
+each of which places every call whose dependencies are placed, so no task ever holds it. Steps are
+numbered from range-dealt rows for the same reason.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from .common import slices, written
 
 ROWS_AT_ONCE = 1000
+IN_TASK = 10_000  # calls of a conversation that one task orders
 NO_CONVERSATION = -(1 << 63)  # stands for a null conversation id in joins
 
 
@@ -85,12 +86,64 @@ def schema_errors(value, schema: dict, path: str = "$") -> list[str]:
     return found
 
 
-def topological_levels(calls: DataFrame) -> DataFrame:
+def levels_of(depends: dict[str, list[str]]) -> dict[str, int]:
+    """Levels of one conversation's calls; calls in or behind a cycle are left out."""
+    waits = {call: {d for d in needed if d in depends} for call, needed in depends.items()}
+    behind: dict[str, list[str]] = {}
+    for call, needed in waits.items():
+        for d in needed:
+            behind.setdefault(d, []).append(call)
+    levels = {call: 0 for call, needed in waits.items() if not needed}
+    queue = list(levels)
+    for done in queue:  # grows while it is read
+        for call in behind.get(done, ()):
+            waits[call].discard(done)
+            if not waits[call]:
+                levels[call] = levels[done] + 1
+                queue.append(call)
+    return levels
+
+
+def _levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (conv_id, call_id, depends_on) by conversation -> (conv_id, call_id, level)."""
+    current, depends = None, {}
+
+    def closed() -> pa.RecordBatch:
+        levels = levels_of(depends)
+        columns = [[current] * len(depends), list(depends), [levels.get(c) for c in depends]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32()), strict=True)],
+            names=["conv_id", "call_id", "level"],
+        )
+
+    for batch in batches:
+        for conv, call, needed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if conv != current and depends:
+                yield closed()
+                depends = {}
+            current = conv
+            depends[call] = needed or []
+    if depends:
+        yield closed()
+
+
+def topological_levels(calls: DataFrame, in_task: int = IN_TASK) -> DataFrame:
     """(conv_id, call_id, level) of each of ``calls(conv_id, call_id, depends_on)``, ids unique in a conversation.
 
     Level 0 depends on nothing in its conversation; any other level is one more than the
     highest among its dependencies. A call in a cycle or behind one has no level (null).
     """
+    sizes = calls.groupBy("conv_id").agg(F.count("*").alias("n"))
+    large = written(sizes.where(F.col("n") > in_task).select("conv_id"), "chat-large")
+    some = not large.isEmpty()
+    small = calls.join(large, "conv_id", "left_anti") if some else calls
+    dealt = small.select("conv_id", "call_id", "depends_on").repartition("conv_id").sortWithinPartitions("conv_id")
+    found = dealt.mapInArrow(_levels, "conv_id long, call_id string, level int")
+    return found.unionByName(_levels_by_rounds(calls.join(large, "conv_id", "left_semi"))) if some else found
+
+
+def _levels_by_rounds(calls: DataFrame) -> DataFrame:
+    """``topological_levels`` by joins: every round places the calls whose dependencies are placed."""
     nodes = calls.select("conv_id", "call_id")
     parents = nodes.withColumnRenamed("call_id", "parent")
     wanted = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("parent"))
@@ -228,7 +281,7 @@ def calls_of_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     assistant's next turn is its result.
 
     The k-th turn of a conversation (k even or odd throughout) depends on the one whose number,
-    halved, lacks k/2's lowest bit. Positions are a hash, as of calls logged out of order.
+    halved, lacks k/2's lowest bit. Positions are scattered, as of calls logged out of order.
     """
     call_id = lambda turn: F.concat_ws("-", F.lit("call"), F.col("conv_id"), turn)
     half = F.floor(F.col("turn") / 2).cast("bigint")
@@ -244,7 +297,7 @@ def calls_of_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.lit("answer").alias("name"),
         arguments.alias("arguments"),
         F.when(half > 0, F.array(call_id(before))).otherwise(F.array().cast("array<string>")).alias("depends_on"),
-        F.xxhash64("conv_id", "turn").alias("position"),
+        ((F.col("turn") * 7919 + F.col("conv_id") * 31) % 1009).alias("position"),
     )
     results = turns.where("role = 'assistant'").select(
         "conv_id", call_id(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"), F.col("turn").alias("position")
