@@ -70,7 +70,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_runs(documents(spark, sf_dir))
+    return repeated_runs(documents(spark, sf_dir)).select("doc_id", "start", "length")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -100,4 +100,54 @@ ORACLE_SQL: dict[str, str] = {
                sha256(t.plain) AS text_sha256
         FROM t JOIN g USING (plain)
     """,
+    "op2_chat_formatting": r"""
+        WITH c AS (
+          SELECT conv_id, turn, text, 'call-' || conv_id || '-' || turn AS call_id, turn // 2 AS half,
+                 len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS words
+          FROM conversations WHERE role = 'user'),
+        p AS (
+          SELECT *, CASE WHEN half > 0 THEN 'call-' || conv_id || '-' || (2 * (half & (half - 1)) + turn % 2) END AS parent
+          FROM c),
+        j AS (
+          SELECT p.*, q.call_id IS NULL AND p.parent IS NOT NULL AS lost, r.text AS content, r.conv_id IS NOT NULL AS answered,
+                 CASE WHEN p.half = 0 OR q.call_id IS NULL THEN 0 ELSE bit_count(p.half) END AS level
+          FROM p LEFT JOIN c q ON q.conv_id = p.conv_id AND q.call_id = p.parent
+          LEFT JOIN conversations r ON r.conv_id = p.conv_id AND r.turn = p.turn + 1 AND r.role = 'assistant'),
+        e AS (
+          SELECT *, list_filter([
+              CASE WHEN length(text) < 1 THEN '$.prompt: shorter than 1' END,
+              CASE WHEN length(text) > 2000 THEN '$.prompt: longer than 2000' END,
+              CASE WHEN words < 1 THEN '$.words: below 1' END,
+              CASE WHEN words > 60 THEN '$.words: above 60' END,
+              CASE WHEN lost THEN 'depends on ' || parent || ', which is missing' END,
+              CASE WHEN NOT answered THEN 'no result' END], lambda x: x IS NOT NULL) AS errors
+          FROM j)
+        SELECT conv_id,
+               row_number() OVER (PARTITION BY conv_id ORDER BY level, (turn * 7919 + conv_id * 31) % 1009, call_id) - 1 AS step,
+               CAST(level AS INTEGER) AS level, call_id, 'answer' AS name, CAST(answered AS BIGINT) AS n_results,
+               len(errors) = 0 AS valid, errors,
+               '{"arguments":{"prompt":' || to_json(text) || ',"turn":' || turn || ',"words":' || words || '},"depends_on":['
+                 || coalesce('"' || parent || '"', '') || '],"id":"' || call_id || '","name":"answer","result":'
+                 || coalesce(to_json(content), 'null') || ',"type":"tool_call"}' AS message
+        FROM e
+    """,
+    "op10_line_dedup": r"""
+        WITH raw AS (
+          SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+          FROM documents),
+        kept AS (
+          SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+          FROM raw WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+        runs AS (
+          SELECT doc_id, pos, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
+          FROM kept WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+        again AS (
+          SELECT doc_id, pos FROM runs WHERE c IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1),
+        marked AS (
+          SELECT *, pos > coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 3, -1) AS opens FROM again),
+        spans AS (
+          SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM marked)
+        SELECT doc_id, min(pos) AS start, max(pos) + 3 - min(pos) AS length FROM spans GROUP BY doc_id, span
+    """,
 }
