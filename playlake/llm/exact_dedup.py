@@ -2,8 +2,9 @@
 
 Shuffle plan: a narrow table (id, hash, length, digest) is written in one scan; groups are
 aggregated map-side, so a group holding a third of all rows crosses the shuffle as one row
-per task, and adaptive execution splits its narrow rows where they meet the group's. Only documents of groups with several members bring their text to the byte
-comparison, which is a grouping by (hash, text): copies collapse before that shuffle too.
+per task, and adaptive execution splits its narrow rows where they meet the group's. Only
+documents of groups with several members bring their text to the byte comparison, which is a
+grouping by (hash, text): copies collapse before that shuffle too.
 """
 
 from __future__ import annotations
