@@ -101,8 +101,9 @@ def company_bridge(silver: DataFrame) -> DataFrame:
     """Developers and publishers with their role, as a set.
 
     The same company in both roles gives two rows; a repeated name in one role, one. Both
-    lists are tagged and exploded together, so the input is read once. ``distinct`` is a hash aggregate with map-side combine, so a hot company is
-    reduced per task before the shuffle.
+    lists are tagged and exploded together, so the input is read once. ``distinct`` is a
+    hash aggregate with map-side combine, so a hot company is reduced per task before the
+    shuffle.
     """
     def tagged(list_col: str, role: str) -> Column:
         names = F.coalesce(F.col(list_col), F.array().cast("array<string>"))
