@@ -63,8 +63,7 @@ def list_field(c: Column | str, field: str = "description") -> Column:
 
 def truncate_to_second(c: Column | str) -> Column:
     """Whole seconds of a ``timestamp_ntz``, without the zoned type ``date_trunc`` returns."""
-    c = _col(c)
-    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.second(c))
+    return F.substring_index(_col(c).cast("string"), ".", 1).cast("timestamp_ntz")
 
 
 def year_month(c: Column | str) -> Column:

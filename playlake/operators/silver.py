@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.functions.casts import UINT32, checked_cast
@@ -101,16 +101,13 @@ def company_bridge(silver: DataFrame) -> DataFrame:
     """Developers and publishers with their role, as a set.
 
     The same company in both roles gives two rows; a repeated name in one role, one. Both
-    lists are tagged and exploded together, so the input is read once. ``distinct`` is a
+    lists are stacked and exploded together, so the input is read once. ``distinct`` is a
     hash aggregate with map-side combine, so a hot company is reduced per task before the
     shuffle.
     """
-    def tagged(list_col: str, role: str) -> Column:
-        names = F.coalesce(F.col(list_col), F.array().cast("array<string>"))
-        return F.transform(names, lambda c: F.struct(c.alias("company"), F.lit(role).alias("role")))
-
-    both = F.concat(tagged("developers", "developer"), tagged("publishers", "publisher"))
-    rows = silver.select("snapshot_date", "appid", F.inline(both))
+    lists = F.stack(F.lit(2), F.lit("developer"), F.col("developers"), F.lit("publisher"), F.col("publishers"))
+    rows = silver.select("snapshot_date", "appid", lists.alias("role", "names"))
+    rows = rows.select("snapshot_date", "appid", F.explode("names").alias("company"), "role")
     return rows.where(F.col("company").isNotNull()).distinct()
 
 

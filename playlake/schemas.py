@@ -26,6 +26,8 @@ BRONZE_COLUMNS = ["appid", "success", "fetched_at", "data"]
 # Landed detail envelope: {"<appid>": {"success": ..., "data": {...}}}. The payload stays the
 # text it came as, so bronze keeps fields that no silver column reads.
 ENVELOPE_DDL = "map<string, struct<success:boolean, data:string>>"
+# The same without the payload, which the parser then skips.
+OUTCOME_DDL = "map<string, struct<success:boolean>>"
 
 # Landed catalogue page: {"response": {"apps": [...], "have_more_results": ..., "last_appid": ...}}
 APP_DDL = "appid bigint, name string, last_modified bigint, price_change_number bigint"

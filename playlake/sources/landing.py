@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlake.schemas import ENVELOPE_DDL, PAGE_DDL
+from playlake.schemas import ENVELOPE_DDL, OUTCOME_DDL, PAGE_DDL
 from playlake.session import scratch_path
 
 
@@ -58,7 +58,7 @@ def attempt_outcomes(
     A body that is not JSON, that lacks the requested id, or whose entry is unsuccessful or
     says nothing counts as an error, as each was an attempt.
     """
-    entry = F.try_element_at(F.from_json(F.col(body_col), ENVELOPE_DDL), F.col(requested_col).cast("string"))
+    entry = F.try_element_at(F.from_json(F.col(body_col), OUTCOME_DDL), F.col(requested_col).cast("string"))
     return landed.select(date_col, F.coalesce(entry["success"], F.lit(False)).alias("success"))
 
 
