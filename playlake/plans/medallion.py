@@ -242,26 +242,39 @@ def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start
     last = _growth_step(spark, growth_path)
     start, end = to_date_param(start), to_date_param(end)
     advance = last is not None and start > last.through
-    number = last.step + 1 if last else 1
-    base = f"{growth_path.rstrip('/')}/step-{number}"
-    _delete_path(spark, base)  # of a step that died before its commit
     if advance:
         tail = spark.read.schema(TAIL_DDL).parquet(f"{growth_path.rstrip('/')}/step-{last.step}/tail")
         batch = read_fact(spark, fact_path, last.through + _dt.timedelta(days=1), end)
-        first, through, until = last.first_step, last.through, end
+        through, until = last.through, end
     else:
-        until = max(end, last.through) if last else end
         tail = spark.createDataFrame([], TAIL_DDL)
+        through, until = None, max(end, last.through) if last else end
         batch = read_fact(spark, fact_path).where(F.col("snapshot_date") <= F.lit(until))
-        first, through = number, None
-    rows = batch_growth(tail, batch, through)
-    sized = rows.select(*GROWTH_COLUMNS).hint("rebalance", "snapshot_date").sortWithinPartitions("snapshot_date", "appid")
+    tails = tail.unionByName(batch.select(*TAIL_COLUMNS))
+    _write_step(spark, growth_path, last, batch_growth(tail, batch, through), lambda: next_tail(tails), until, advance)
+    return "advanced" if advance else "rebuilt"
+
+
+def compact_growth(spark: SparkSession, growth_path: str) -> int:
+    """Fold the valid steps into one, so that readers list one folder again. Returns its number."""
+    last = _growth_step(spark, growth_path)
+    if last is None or last.first_step == last.step:
+        return last.step if last else 0
+    tail = spark.read.schema(TAIL_DDL).parquet(f"{growth_path.rstrip('/')}/step-{last.step}/tail")
+    return _write_step(spark, growth_path, last, read_growth(spark, growth_path), lambda: tail, last.through, False)
+
+
+def _write_step(spark, growth_path: str, last: Row | None, rows: DataFrame, tail, through, advance: bool) -> int:
+    """Write the next step and, last, its commit; without ``advance`` it replaces all steps before it."""
+    root, number = growth_path.rstrip("/"), last.step + 1 if last else 1
+    base, first = f"{root}/step-{number}", last.first_step if advance else number
+    _delete_path(spark, base)  # of a step that died before its commit
+    by_day = rows.select(*GROWTH_COLUMNS).hint("rebalance", "snapshot_date").sortWithinPartitions("snapshot_date", "appid")
     run_concurrently([
-        lambda: sized.write.option("compression", "snappy").parquet(f"{base}/rows"),
-        lambda: next_tail(tail.unionByName(batch.select(*TAIL_COLUMNS))).write.parquet(f"{base}/tail"),
+        lambda: by_day.write.option("compression", "snappy").parquet(f"{base}/rows"),
+        lambda: tail().write.parquet(f"{base}/tail"),
     ])
-    spark.createDataFrame([(number, first, until)], STEP_DDL).coalesce(1).write.parquet(f"{base}/commit")
-    if not advance and last:
-        for old in range(last.first_step, number):
-            _delete_path(spark, f"{growth_path.rstrip('/')}/step-{old}")
-    return "advanced" if advance else "rebuilt"
+    spark.createDataFrame([(number, first, through)], STEP_DDL).coalesce(1).write.parquet(f"{base}/commit")
+    for old in range(last.first_step, first) if last else ():
+        _delete_path(spark, f"{root}/step-{old}")
+    return number

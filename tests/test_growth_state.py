@@ -7,7 +7,7 @@ from playlake.operators.growth import game_growth
 from playlake.operators.growth_state import TAIL_DDL, batch_growth, next_tail
 from playlake.plans import medallion
 from playlake.plans.bindings import fact_from_lineitem, table
-from playlake.plans.medallion import gold_views, maintain_growth, read_growth
+from playlake.plans.medallion import compact_growth, gold_views, maintain_growth, read_growth
 from playlake.schemas import FACT_COLUMNS
 from playlake.session import scratch_path
 from playlake.sources.lake import append_dim_versions, table_path, write_fact
@@ -77,6 +77,19 @@ def test_a_skipped_range_is_not_lost(spark, grown):
         r for r in rows_of(read_growth(spark, growth)) if day(7) <= r[0] <= day(8)]
 
 
+def test_steps_fold_into_one(spark, grown):
+    fact, growth, rows, check = grown
+    write_fact(fact_rows(spark, rows), fact, mode="append")
+    assert compact_growth(spark, growth) == 0
+    for end in (3, 5, 8):
+        maintain_growth(spark, fact, growth, day(end), day(end))
+    assert compact_growth(spark, growth) == 4 and compact_growth(spark, growth) == 4
+    check(8)
+    assert len(read_growth(spark, growth).inputFiles()) <= 4
+    assert maintain_growth(spark, fact, growth, day(9), day(12)) == "advanced"
+    check(12)
+
+
 def test_late_days_rebuild_and_leave_no_stale_rows(spark, grown):
     fact, growth, rows, check = grown
     write_fact(fact_rows(spark, [(day(3), 9, 1), *rows]), fact, mode="append")
@@ -91,7 +104,7 @@ def test_a_step_that_died_is_run_again(spark, grown, monkeypatch):
     write_fact(fact_rows(spark, rows), fact, mode="append")
     maintain_growth(spark, fact, growth, day(1), day(4))
     with monkeypatch.context() as m:
-        m.setattr(medallion, "next_tail", lambda df: 1 / 0)
+        m.setattr(medallion, "next_tail", lambda rows: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             maintain_growth(spark, fact, growth, day(5), day(8))
     check(4)  # the rows written without a commit do not show
