@@ -173,14 +173,15 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS
     found = written(_dealt(keyed).mapInArrow(_compare(max_bits, run), LINKS), "simhash-links")
     links, over = found.where("key is null").select("a", "b"), found.where("key is not null")
     if not over.isEmpty():
-        # A run too long for one task: every two of its pieces meet in a task of their own.
+        # A run too long for one task: every two of its pieces meet in a task of their own, which
+        # compares them whatever their number.
         pieces = over.groupBy("key").agg((F.max("piece") + 1).alias("pieces"))
         meet = over.join(pieces, "key").select(
             F.col("a").alias("fp"), "key", "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
         )
         pair = F.xxhash64("key", F.least("piece", "other"), F.greatest("piece", "other"))
         again = _dealt(meet.select("fp", pair.alias("key")))
-        links = links.unionByName(again.mapInArrow(_compare(max_bits, 2 * run), LINKS).select("a", "b"))
+        links = links.unionByName(again.mapInArrow(_compare(max_bits, 1 << 62), LINKS).select("a", "b"))
     return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
