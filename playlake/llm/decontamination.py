@@ -8,10 +8,10 @@ the threshold are searched, item by item with a pivot as in WAND. All items abov
 threshold come back, and the five-word shingles of question and answer are then looked up in
 the passage.
 
-The threshold loses nothing: a passage with ``OVERLAP`` of an item's shingles lacks at most
-that many of its words as shingles may be missing, so its score is at least the item's own
-score less its heaviest words. Impacts are stored as shares of that threshold, which makes it
-1 for every item. The documents are scanned once for each shard of the index and never
+The threshold loses nothing: a part of an item that keeps a shingle lacks at most as many
+different words as shingles, a part that loses all of them may lack every word, so the score
+of a passage with ``OVERLAP`` of the shingles is at least what the item keeps in the worst of
+these cases. Impacts are stored as shares of that threshold, which makes it 1 for every item. The documents are scanned once for each shard of the index and never
 shuffled; a shard is bounded by ``SHARD_BYTES`` of item text and goes to the tasks with their
 function.
 """
@@ -49,7 +49,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
-def _shingles(ids: list[int], width: int = SHINGLE) -> set[tuple[int, ...]]:
+def _shingles(ids: list, width: int = SHINGLE) -> set[tuple[int, ...]]:
     width = min(width, len(ids))
     return set(zip(*[ids[i:] for i in range(width)], strict=False)) if width else set()
 
@@ -72,6 +72,23 @@ def question_and_answer(text: bytes) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
+def _least_score(question: list[bytes], answer: list[bytes], weight: dict[bytes, float]) -> float:
+    """The least a passage with ``OVERLAP`` of the shingles can score: the weight of the item's
+    words less the heaviest, one a missing shingle, or less all words of the part that is gone."""
+
+    def kept(words: Iterable[bytes], lacking: int) -> float:
+        weights = sorted(weight[w] for w in words)
+        return sum(weights[: max(1, len(weights) - lacking)])
+
+    asked, answered = len(_shingles(question)), len(_shingles(answer))
+    may_lack = int((1 - OVERLAP + 1e-9) * (asked + answered))
+    least = kept(weight, may_lack)
+    for gone, rest in ((asked, answer), (answered, question)):
+        if 0 < gone <= may_lack:
+            least = min(least, kept(set(rest), may_lack - gone))
+    return least
+
+
 class Statistics(NamedTuple):
     """Of all items: how many have words, how many words, and how many items hold each word."""
 
@@ -112,8 +129,7 @@ class Index:
                 w: math.log(1 + (total - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + norm)
                 for w, n in Counter(text).items()
             }
-            may_lack = int((1 - OVERLAP) * max(len(text) - SHINGLE + 1, 1) + 1e-9)
-            threshold = sum(sorted(weight.values())[: max(1, len(weight) - may_lack)]) * (1 - 1e-9)
+            threshold = _least_score(question, answer, weight) * (1 - 1e-9)
             ids = {w: self.vocabulary[w] for w in weight}
             self.items.append(
                 Item(

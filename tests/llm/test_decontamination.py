@@ -96,3 +96,20 @@ def test_shards_of_the_index_cover_every_item(spark, monkeypatch):
     whole = got(find_leaks(docs, bench))
     monkeypatch.setattr(decontamination, "SHARD_BYTES", 2000)
     assert got(find_leaks(docs, bench)) == whole
+
+
+def test_a_part_without_any_shingle_left(spark):
+    rng = random.Random(5)
+    items, rows = [], []
+    for k in range(60):
+        asked = [f"w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(rng.randint(4, 40))]
+        answer = [f"rare{k}x{i}" for i in range(rng.randint(1, 7))]
+        items.append((k, f"{' '.join(asked)}. {' '.join(answer)}."))
+        rows.append((10 * k, " ".join(asked)))
+        rows.append((10 * k + 1, f"{' '.join(asked)} {' '.join(f'other{i}' for i in answer)}"))
+        rows.append((10 * k + 2, " ".join([*asked[1:], "and", *answer[:-1]])))
+    want = expected(rows, items)
+    assert len({i for i, _ in want if i % 10 == 0}) > 20
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert got(find_leaks(table(spark, rows), bench)) == want
+    assert drop_contaminated(table(spark, rows), bench).count() == len(rows) - len({i for i, _ in want})
