@@ -3,7 +3,8 @@
 A notice searched with at most ``k`` edits is split into ``k + 1`` seeds; whatever matches
 within ``k`` edits holds one seed unchanged. One automaton finds all seeds of all notices in a
 text; around each hit the ``regex`` library's bounded-error matching looks for the notice in a
-window just large enough, and reports span and edits. One scan of the documents, no shuffle.
+window just large enough, and reports span and edits; what is left of the window on either side
+of a best match is searched in turn. One scan of the documents, no shuffle.
 """
 
 from __future__ import annotations
@@ -86,7 +87,8 @@ class Scanner:
         return [(plain.count(b" ", 0, at), label) for at, label in sorted(found)]
 
     def spans(self, plain: str) -> list[tuple[str, int, int, int, float]]:
-        """(label, start, end, edits, likeness) of the best match in every candidate window."""
+        """(label, start, end, edits, likeness) of the best matches in every candidate window, none
+        of a notice overlapping."""
         windows: dict[int, list[list[int]]] = {}
         for end, (size, uses) in self.automaton.iter(plain):
             for number, place in uses:
@@ -100,17 +102,22 @@ class Scanner:
                 windows.setdefault(number, []).append(near)
         found = set()
         for number, spans in windows.items():
-            notice, label, _ = self.notices[number]
+            notice, label, edits = self.notices[number]
             merged: list[list[int]] = []
             for low, high in sorted(spans):
                 if merged and low <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], high)
                 else:
                     merged.append([low, high])
-            for low, high in merged:
-                for m in self.fuzzy[number].finditer(plain, low, high):
+            while merged:
+                low, high = merged.pop()
+                if high - low < len(notice) - edits:
+                    continue
+                if m := self.fuzzy[number].search(plain, low, high):
                     wrong = sum(m.fuzzy_counts)
                     found.add((label, m.start(), m.end(), wrong, 1 - wrong / len(notice)))
+                    # The best match may be a later one; the sides end where a word does.
+                    merged += [[low, m.start() - 1], [m.end(), high]]
         return sorted(found, key=lambda s: (s[1], s[2], s[0]))
 
 

@@ -80,3 +80,17 @@ def test_spans_lie_where_the_notice_is():
     (span,) = [s for s in Scanner().spans(plain) if s[0] == "mit" and s[3] <= 1 and s[2] - s[1] > 20]
     assert plain[span[1] : span[2]] == "released under the mit licence" and span[4] > 0.9
     assert len(WORD_BYTES) == 256
+
+
+def test_neighbouring_notices_with_different_edits():
+    for first, second, gap in (
+        ("the mit licens", "the mit license", " "),
+        ("released under the mit licence", "released under the mit license", " foo "),
+        ("gnu general public licence", "gnu general public license", " v2 "),
+    ):
+        for parts in ((first, second), (second, first), (first, second, first), (second, first, first, second)):
+            plain = gap.join(parts)
+            found = {plain[a:b] for _, a, b, _, _ in Scanner().spans(plain)}
+            starts = {a for _, a, b, _, _ in Scanner().spans(plain) if b - a >= len(first)}
+            assert set(parts) <= found
+            assert starts >= {sum(len(p) + len(gap) for p in parts[:i]) for i in range(len(parts))}
