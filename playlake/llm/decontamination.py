@@ -51,7 +51,11 @@ def words_of(text: bytes) -> list[bytes]:
 
 def _shingles(ids: list, width: int = SHINGLE) -> set[tuple[int, ...]]:
     width = min(width, len(ids))
-    return set(zip(*[ids[i:] for i in range(width)], strict=False)) if width else set()
+    return set(_runs(ids, width)) if width else set()
+
+
+def _runs(ids: list, width: int) -> Iterator[tuple]:
+    return zip(*[ids[i:] for i in range(width)], strict=False)
 
 
 class Item(NamedTuple):
@@ -90,10 +94,12 @@ def _least_score(question: list[bytes], answer: list[bytes], weight: dict[bytes,
 
 
 class Statistics(NamedTuple):
-    """Of all items: how many have words, how many words, and how many items hold each word."""
+    """Of all items: how many have words, how many words, the most words of one, and how many
+    items hold each word."""
 
     items: int
     words: int
+    longest: int
     holding: dict[bytes, int]
 
 
@@ -106,9 +112,10 @@ class Index:
         own = Statistics(
             len(parts),
             sum(len(q) + len(a) for _, q, a in parts),
+            max((len(q) + len(a) for _, q, a in parts), default=0),
             Counter(w for _, q, a in parts for w in {*q, *a}),
         )
-        total, words, df = all_items or own
+        total, words, self.longest, df = all_items or own  # passages are the same for every shard
         mean = words / max(total, 1)
         # Similar items side by side: their common words, the most common first, in order.
         parts.sort(key=lambda p: sorted((-df[w], w) for w in {*p[1], *p[2]}))
@@ -117,7 +124,6 @@ class Index:
         for text in texts:
             for word in text:
                 self.vocabulary.setdefault(word, len(self.vocabulary))
-        self.longest = max(map(len, texts), default=0)
         self.block_items = max(1, math.ceil(len(texts) / BLOCKS))
         self.items, self.thresholds = [], []
         self.maxima = np.zeros((len(self.vocabulary), math.ceil(len(texts) / self.block_items)), np.float32)
@@ -206,11 +212,14 @@ class Index:
                 self._verify(terms, int(passage[part[row]]) - 1, term[part[row] : ends[low + row]].tolist(), block, best)
         rows = []
         for number, ((overlap, score, start), asked, answered) in sorted(best.items()):
-            item = self.items[number]
+            item, start = self.items[number], -start
+            ids = terms[start : start + 2 * self.longest].tolist()
+            held = ((item.question, item.width), (item.answer, item.answer_width))
+            first = min(n for part, w in held if w for n, s in enumerate(_runs(ids, w)) if s in part)
             rows.append(
                 (
                     item.item_id,
-                    -start,
+                    start + first,
                     score * self.thresholds[number],
                     asked / len(item.question) if item.question else None,
                     answered / len(item.answer) if item.answer else None,
@@ -247,7 +256,8 @@ def _shards(benchmark: DataFrame) -> Iterator[Index]:
     )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     per_item = written(items.mapInArrow(_item_words, "words long, distinct array<binary>"), "benchmark-words")
-    n_items, n_words = per_item.where("words > 0").agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
+    of_words = [F.coalesce(f("words"), F.lit(0)) for f in (F.sum, F.max)]
+    n_items, n_words, longest = per_item.where("words > 0").agg(F.count("*"), *of_words).first()
     holding = per_item.select(F.explode("distinct").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     holding = written(holding, "benchmark-holding")
     count = max(1, math.ceil(total / SHARD_BYTES))
@@ -256,7 +266,7 @@ def _shards(benchmark: DataFrame) -> Iterator[Index]:
         rows = [(r.item_id, r.text.encode()) for r in items.where(shard == number).orderBy("item_id", "text").collect()]
         own = spark.createDataFrame([(w,) for w in {w for _, t in rows for w in words_of(t)}], "word binary")
         known = {bytes(r.word): r.n for r in holding.join(own, "word").collect()}  # the words of one shard
-        yield Index(rows, Statistics(n_items, n_words, known))
+        yield Index(rows, Statistics(n_items, n_words, longest, known))
 
 
 def _item_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +290,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. ``overlap`` is
     the share of the five-word shingles of question and answer (a shorter part counts as one
-    shingle) found in one passage, at least ``OVERLAP``; ``first_word`` and the BM25
-    ``score`` are that of the best passage. Items and texts without words match nothing,
+    shingle) found in one passage, at least ``OVERLAP``; the BM25 ``score`` is that of the best
+    passage, ``first_word`` the number of the first word of the shingles found in it. Passages
+    are as long for every shard. Items and texts without words match nothing,
     repeated items and rows are reported each.
     """
     source, found = id_and_text(docs), None

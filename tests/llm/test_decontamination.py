@@ -113,3 +113,22 @@ def test_a_part_without_any_shingle_left(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert got(find_leaks(table(spark, rows), bench)) == want
     assert drop_contaminated(table(spark, rows), bench).count() == len(rows) - len({i for i, _ in want})
+
+
+def test_passages_do_not_depend_on_the_shard(spark, monkeypatch):
+    from playlake.llm import decontamination
+
+    gap = " ".join(f"g{i}" for i in range(60))
+    long_item = " ".join(f"l{i}" for i in range(200)) + ". " + " ".join(f"m{i}" for i in range(5))
+    bench = spark.createDataFrame([(k, QUESTION.replace("Lahn", f"Lahn{k}")) for k in range(8)] + [(9, long_item)], "item_id long, text string")
+    asked, answer = QUESTION.split(". ")
+    docs = table(spark, [(1, f"{gap} {asked}. {gap} {answer}"), (2, f"{gap} {gap} {QUESTION}")])
+
+    def found():
+        return {(r.doc_id, r.item_id): (r.first_word, round(r.score, 6), r.overlap) for r in find_leaks(docs, bench).collect()}
+
+    whole = found()
+    assert set(whole) == {(d, k) for d in (1, 2) for k in range(8)}
+    assert {(d, w) for (d, _), (w, _, _) in whole.items()} == {(1, 60), (2, 120)}
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", 100)
+    assert found() == whole
