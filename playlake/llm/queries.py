@@ -17,7 +17,7 @@ from .packing import pack
 from .quality import score, train
 from .sharding import shard_documents
 from .simhash import near_duplicates
-from .substring_dedup import repeated_passages
+from .substring_dedup import pieces, repeated_passages
 
 SHARDS = 24
 
@@ -66,7 +66,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(documents(spark, sf_dir))
+    return repeated_passages(documents(spark, sf_dir), cut=pieces)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 A chunk may begin where the gear hash of the preceding ``WINDOW`` bytes is small, at the first byte
 of a character, and does so if the next such place is at least ``SHORTEST`` bytes on. Both
-rules look at nearby bytes only, so an insertion shifts no boundary but those beside it. Chunks
-tile a text; repeats that touch are joined, and spans of at least ``SPAN`` bytes are reported.
+rules look at nearby bytes only, so an insertion shifts no boundary but those beside it. With
+``pieces`` a chunk of ``LONG`` bytes or more is cut again: text of a short period at its smallest rotation, other
+text at local minima of the hash. Chunks tile a text; repeats that touch are joined, and spans of at least ``SPAN`` bytes are reported.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,11 @@ WINDOW = 16
 ONE_IN = 10
 SHORTEST = 10
 SPAN = 128
+LONG = 96
+PERIODS = 64
+PERIODIC = 64  # bytes of a stretch that repeats itself with some period
+STEP = 16
+NEARBY = 32
 PIECE = 1 << 20
 ROWS_AT_ONCE = 2000
 
@@ -56,29 +62,81 @@ def boundaries(text: bytes) -> np.ndarray:
     return starts
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, ROWS_AT_ONCE):
-        digests, docs, spots = [], [], []
-        for doc, text in zip(ids_or_last(batch.column(0)), utf8(batch.column(1)), strict=True):
-            starts = boundaries(text)
-            stops = np.append(starts[1:], len(text)) if len(starts) else starts
-            pairs = zip(starts.tolist(), stops.tolist(), strict=True)
-            digests.append(np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in pairs], np.uint64))
-            docs.append(np.full(len(starts), doc, np.int64))
-            spots.append(places(starts, stops - starts))
-        yield combined(np.concatenate(digests).view(np.int64), np.concatenate(docs), np.concatenate(spots))
-
-
-def repeated_passages(docs: DataFrame, shortest: int = SPAN) -> DataFrame:
+def _periodic_cuts(octets: np.ndarray) -> list[np.ndarray]:
+    """Cuts inside the stretches of a period of at most ``PERIODS``, the shortest period first:
+    from the first smallest rotation on, whole periods of at least ``STEP`` bytes apart."""
+    found, free = [], np.ones(len(octets), bool)
+    for period in range(1, min(PERIODS, len(octets) - 1) + 1):
+        same = (octets[period:] == octets[:-period]) & free[period:] & free[:-period]
+        edges = np.flatnonzero(np.diff(same, prepend=False, append=False)).reshape(-1, 2)
+        for low, high in edges[edges[:, 1] - edges[:, 0] >= max(PERIODIC - period, period)].tolist():
+            high += period
+            twice = octets[low : low + 2 * period].tobytes()
+            turns = [i for i in range(period) if twice[i] & 0xC0 != 0x80]  # at the first byte of a character
+            if turns:
+                turn = min(turns, key=lambda i: twice[i : i + period])
+                found.append(np.arange(low + turn, high + 1, period * -(-STEP // period)))
+                free[low:high] = False
+    return found
+
+
+def _hash_minima(octets: np.ndarray) -> np.ndarray:
+    """Places whose gear hash is smaller than that of the ``NEARBY`` places on either side."""
+    rolling = _gear(octets)[WINDOW - 1 :]  # the first is the hash before place WINDOW
+    if len(rolling) <= 2 * NEARBY:
+        return np.empty(0, np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(rolling, NEARBY)
+    least = windows.min(axis=1)
+    middle = rolling[NEARBY:-NEARBY]
+    smaller = (middle < least[: len(middle)]) & (middle < least[NEARBY + 1 :])
+    at = WINDOW + NEARBY + np.flatnonzero(smaller)
+    return at[(octets[at] & 0xC0) != 0x80]
+
+
+def pieces(text: bytes) -> np.ndarray:
+    """``boundaries``, and the cuts inside the chunks of ``LONG`` bytes or more."""
+    starts = boundaries(text)
+    lengths = np.diff(starts, append=len(text))
+    octets, inner = np.frombuffer(text, np.uint8), []
+    for at in np.flatnonzero(lengths >= LONG).tolist():
+        start, chunk = starts[at], octets[starts[at] : starts[at] + lengths[at]]
+        inner += [start + cuts for cuts in (*_periodic_cuts(chunk), _hash_minima(chunk))]
+    if not inner:
+        return starts
+    cuts = np.unique(np.concatenate([starts, *inner]))
+    return cuts[cuts < len(text)]
+
+
+def _chunks(cut: Callable[[bytes], np.ndarray]):
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            digests, docs, spots = [], [], []
+            for doc, text in zip(ids_or_last(batch.column(0)), utf8(batch.column(1)), strict=True):
+                starts = cut(text)
+                stops = np.append(starts[1:], len(text)) if len(starts) else starts
+                pairs = zip(starts.tolist(), stops.tolist(), strict=True)
+                digests.append(np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in pairs], np.uint64))
+                docs.append(np.full(len(starts), doc, np.int64))
+                spots.append(places(starts, stops - starts))
+            yield combined(np.concatenate(digests).view(np.int64), np.concatenate(docs), np.concatenate(spots))
+
+    return step
+
+
+def repeated_passages(
+    docs: DataFrame, shortest: int = SPAN, cut: Callable[[bytes], np.ndarray] = boundaries
+) -> DataFrame:
     """One row per repeated stretch: (doc_id, start, length, source_ids), in UTF-8 bytes.
 
     A stretch consists of whole chunks that occur earlier, by (doc_id, place), in any of the
     documents ``source_ids`` (the same document included), and is at least ``shortest`` bytes
     long. The first occurrence of a passage is not reported as a stretch, only as a source.
     Null ids come last and are reported together under null; rows that repeat an id and text
-    count as one document. Empty texts have no chunks.
+    count as one document. Empty texts have no chunks. ``cut`` says where the chunks of a text
+    begin; with ``boundaries`` text of a period under ``SHORTEST`` is one chunk and its repeats
+    are missed, ``pieces`` finds them.
     """
-    found = id_and_text(docs).mapInArrow(_chunks, FOUND)
+    found = id_and_text(docs).mapInArrow(_chunks(cut), FOUND)
     return spans(repeats(found), shortest)
 
 

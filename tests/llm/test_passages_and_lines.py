@@ -7,7 +7,8 @@ from hypothesis import given, settings, strategies as st
 
 from playlake.llm import line_dedup, substring_dedup
 from playlake.llm.line_dedup import fingerprints, lines_of, remove_runs, repeated_runs
-from playlake.llm.substring_dedup import GEAR, ONE_IN, SHORTEST, SPAN, WINDOW, boundaries, remove_passages, repeated_passages
+from playlake.llm.queries import op9_substring_dedup
+from playlake.llm.substring_dedup import GEAR, ONE_IN, SHORTEST, SPAN, WINDOW, boundaries, pieces, remove_passages, repeated_passages
 
 
 def merged(parts, shortest):
@@ -151,3 +152,32 @@ def test_boundaries_byte_by_byte(noise, piece):
 def test_a_text_without_boundaries_is_cut_at_the_longest_length():
     at = boundaries(b"a" * 200_000)
     assert at.tolist() == list(range(0, 200_000, 1 << 16)) or len(at) > 3
+
+
+@pytest.mark.parametrize("passage", ["buy now " * 60, "no " * 200, "0 " * 500, "|--- " * 100, "a" * 5000, "€é" * 100, "b" * 150_000])
+def test_op9_finds_periodic_passages_between_different_texts(spark, tmp_path, passage):
+    own = [" ".join(f"own{d}word{i * (d + 3) % 89}" for i in range(30 + 7 * d)) for d in range(4)]
+    rows = [(d, f"{own[d]} {passage} {own[d].upper()}") for d in range(4)]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spans = sorted((r.doc_id, r.start, r.start + r.length) for r in op9_substring_dedup(spark, str(tmp_path)).collect())
+    size = len(passage.encode())
+    for d in (1, 2, 3):
+        low = len(own[d]) + 1
+        assert sum(min(b, low + size) - max(a, low) for i, a, b in spans if i == d and a < low + size and b > low) > 0.9 * size
+    for d, a, b in spans:
+        assert passage[:1] in rows[d][1].encode()[a:b].decode()
+
+
+def test_pieces_are_spans_of_the_chunks_they_cut(spark):
+    docs = read(spark, "sf0.001", "documents")
+    for _, text in pairs(docs):
+        octets = (text or "").encode()
+        at = pieces(octets).tolist()
+        assert set(boundaries(octets).tolist()) <= set(at) and at == sorted(set(at))
+        assert all(octets[a:b].decode() for a, b in zip(at, [*at[1:], len(octets)], strict=False))
+
+    def units(octets):
+        at = pieces(octets).tolist()
+        return [(octets[a:b], a, b) for a, b in zip(at, [*at[1:], len(octets)], strict=False)]
+
+    assert got(repeated_passages(docs, cut=pieces)) == expected(pairs(docs), units, SPAN)
