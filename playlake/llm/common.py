@@ -7,8 +7,9 @@ their names cannot clash), an empty input gives an empty result with the usual c
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -54,3 +55,21 @@ def slices(batches: Iterable[pa.RecordBatch], size: int) -> Iterable[pa.RecordBa
         for start in range(0, batch.num_rows, size):
             yield batch.slice(start, size)
 
+
+def whole_groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Batches of rows sorted by the long columns ``names`` -> tables that hold whole groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(n).to_numpy() for n in names])
+        if held and (keys[0] != [held[-1].column(n)[held[-1].num_rows - 1].as_py() for n in names]).any():
+            yield pa.Table.from_batches(held)
+            held = []
+        cut = int(np.flatnonzero((keys != keys[-1]).any(axis=1))[-1] + 1) if (keys[0] != keys[-1]).any() else 0
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
