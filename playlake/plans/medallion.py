@@ -25,11 +25,12 @@ from playlake.operators.silver import (
 )
 from playlake.schemas import BRONZE_DDL, GROWTH_COLUMNS
 from playlake.session import scratch_path
-from playlake.sources.bronze import CORRUPT, read_bronze
+from playlake.sources.bronze import CORRUPT, malformed_lines, read_bronze
 from playlake.sources.lake import (
-    DIM_TABLE, FACT_TABLE, GOLD_TABLES, _delete_path, _glob, append_dim_versions, drop_days, ensure_tables,
+    DIM_TABLE, FACT_TABLE, GOLD_TABLES, _delete_path, _glob, _path_exists, append_dim_versions, drop_days, drop_lost_days, ensure_tables,
     read_dim_log, read_fact, read_silver, table_path, write_day_partitions, write_fact,
 )
+from playlake.sources.observe import metric
 from playlake.sources.paths import day_folders, folder_day
 
 GROWTH_DDL = (
@@ -86,7 +87,10 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start,
 
     counts = run_concurrently([lambda t=t: write(t) for t in tables])
     _delete_path(spark, staging)
-    return dict(zip(tables, counts)) | {"malformed": int(lines.get["malformed"]) if landed else 0}
+    malformed = metric(lines, "malformed") if landed else 0
+    if malformed is None:  # no row came through, and the count with it: count alone
+        malformed = malformed_lines(spark, bronze_root, start, end).agg(F.sum("n_malformed")).first()[0] or 0
+    return dict(zip(tables, counts)) | {"malformed": int(malformed)}
 
 
 def load_gold(
@@ -106,30 +110,50 @@ def load_gold(
     The gold tables are created first where they do not exist. A row whose value does not fit
     its gold type fails the load, or with ``out_of_range="quarantine"`` goes to
     ``<gold>/quarantine`` with the names of its columns while the others load (T16).
+    Gold follows silver: once the writes have committed, a day of the range that has no such
+    rows any more loses its folder, in the fact (when days are replaced) and in the quarantine.
     Returns the rows loaded per gold table, or None (nothing loaded) when the range has no
-    silver rows, like the reference's "no main data - skipping".
+    silver rows; where there is no silver table at all nothing is removed.
     """
     if out_of_range not in ("fail", "quarantine"):
         raise ValueError("out_of_range must be 'fail' or 'quarantine'")
+    if fact_mode not in ("replace_date", "append"):
+        raise ValueError(f"unknown load mode {fact_mode!r}")
     ensure_tables(spark, gold_root, GOLD_TABLES)
+    if not _path_exists(spark, table_path(silver_root, "game_daily")):
+        return None
     main = read_silver(spark, silver_root, "game_daily", start, end)
-    if main.isEmpty():
+    flagged = main.withColumn("out_of_range", range_problems(main) if out_of_range == "quarantine" else F.array())
+    held = flagged.groupBy("snapshot_date").agg(
+        F.bool_or(F.size("out_of_range") == 0).alias("good"), F.bool_or(F.size("out_of_range") > 0).alias("bad")
+    ).collect()  # one row per day of the range
+    first, last = to_date_param(start, _dt.date.min), to_date_param(end, _dt.date.max)
+    fact_path, quarantine = table_path(gold_root, FACT_TABLE), f"{gold_root.rstrip('/')}/quarantine"
+
+    def follow() -> None:
+        if fact_mode == "replace_date":
+            drop_lost_days(spark, fact_path, {r.snapshot_date for r in held if r.good}, first, last)
+        drop_lost_days(spark, quarantine, {r.snapshot_date for r in held if r.bad}, first, last)
+
+    if not held:
+        follow()
         return None
     genres = read_silver(spark, silver_root, "game_genre", start, end)
     categories = read_silver(spark, silver_root, "game_category", start, end)
     companies = read_silver(spark, silver_root, "game_company", start, end)
     loaded: dict[str, int] = {}
     if out_of_range == "quarantine":
-        flagged = main.withColumn("out_of_range", range_problems(main))
-        loaded["quarantine"] = write_day_partitions(
-            flagged.where(F.size("out_of_range") > 0), f"{gold_root.rstrip('/')}/quarantine")
+        loaded["quarantine"] = 0
+        if any(r.bad for r in held):
+            loaded["quarantine"] = write_day_partitions(flagged.where(F.size("out_of_range") > 0), quarantine)
         main = flagged.where(F.size("out_of_range") == 0).drop("out_of_range")
     dim = build_dim(main, genres, categories, companies, updated_at=updated_at, version_by=version_by)
     seq = load_seq if load_seq is not None else time.time_ns() // 1000
     fact_rows, dim_rows = run_concurrently([
-        lambda: write_fact(build_fact(main), table_path(gold_root, FACT_TABLE), mode=fact_mode),
+        lambda: write_fact(build_fact(main), fact_path, mode=fact_mode),
         lambda: append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq),
     ])
+    follow()
     return {FACT_TABLE: fact_rows, DIM_TABLE: dim_rows} | loaded
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from playlake.functions.parse import to_date_param, year_month
 from playlake.sources.observe import counted, rows_of
-from playlake.sources.paths import date_folders, month_folders
+from playlake.sources.paths import date_folders, fact_days, month_folders
 from playlake.schemas import (
     CATEGORY_DDL, COMPANY_DDL, DIM_LOG_DDL, FACT_COLUMNS, FACT_DDL, GENRE_DDL,
     SILVER_MAIN_DDL, TABLE_DDL,
@@ -74,6 +74,17 @@ def drop_days(spark: SparkSession, path: str, days, date_col: str = "snapshot_da
         _delete_path(spark, f"{path.rstrip('/')}/{date_col}={day.isoformat()}")
 
 
+def drop_lost_days(spark: SparkSession, path: str, held, start: _dt.date, end: _dt.date) -> list[_dt.date]:
+    """Remove the stored days of ``[start, end]`` that are not in ``held``, from a table with a folder
+    per day (inside month folders or not). Returns the days removed."""
+    stored = fact_days(spark, path, start, end)
+    stored |= {_dt.date.fromisoformat(p.rstrip("/")[-10:]): p for p in date_folders(spark, path, start, end)}
+    lost = sorted(set(stored) - set(held))
+    for day in lost:
+        _delete_path(spark, stored[day])
+    return lost
+
+
 def read_table(
     spark: SparkSession,
     path: str,

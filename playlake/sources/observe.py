@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,15 +18,23 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def rows_of(obs: Observation) -> int:
-    """Rows seen by the finished action that carried ``obs``.
+def metric(obs: Observation, name: str) -> int | None:
+    """The metric ``name`` of the finished action that carried ``obs``, or None if it has none.
 
-    Inside a streaming micro-batch the metrics row of an observed *cached* plan comes
-    back without a schema and PySpark's row conversion asserts; the same metrics are
-    then read through the observation's map view.
+    Adaptive execution replaces a plan whose stages gave no rows by an empty one, and the
+    metrics go with it; reading them then fails an assertion instead of giving nothing.
     """
     try:
-        value = obs.get.get("rows", 0)
+        value = obs.get.get(name)
     except AssertionError:
-        value = obs._jo.getAsJava().get("rows")
-    return int(value or 0)
+        return None
+    except Py4JJavaError as err:
+        if err.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return None
+    return None if value is None else int(value)
+
+
+def rows_of(obs: Observation) -> int:
+    """Rows seen by the finished action that carried ``obs``; no metric means no row."""
+    return metric(obs, "rows") or 0

@@ -58,6 +58,16 @@ def date_folders(spark: SparkSession, root: str, start: _dt.date, end: _dt.date)
     return sorted(out)
 
 
+def fact_days(spark: SparkSession, root: str, start: _dt.date, end: _dt.date) -> dict[_dt.date, str]:
+    """Day folders inside month folders under ``root`` in ``[start, end]``, by day."""
+    out = {}
+    for path in _glob_dirs(spark, f"{root.rstrip('/')}/snapshot_month=*/snapshot_date=*"):
+        m = _DATE.search(path)
+        if m and start.isoformat() <= m.group(1) <= end.isoformat():
+            out[_dt.date.fromisoformat(m.group(1))] = path
+    return out
+
+
 def month_folders(spark: SparkSession, root: str, start: _dt.date, end: _dt.date) -> list[str]:
     """``snapshot_month=`` folders under ``root`` overlapping ``[start, end]``."""
     lo, hi = start.year * 100 + start.month, end.year * 100 + end.month
