@@ -31,9 +31,11 @@ from playlake.sources.bronze import (
     day_path, file_counts, known_ids, read_active_ids, read_applist, read_bronze,
     compact_bronze, land_lines, read_bronze_columns, read_bronze_day, write_applist, write_bronze, write_bronze_lines,
 )
-from playlake.sources.landing import attempt_outcomes, fetch_outcomes, unwrap_envelopes, unwrap_pages
+from playlake.sources.landing import (
+    attempt_outcomes, fetch_outcomes, reconcile_targets, target_counts, unwrap_envelopes, unwrap_pages,
+)
 from playlake.sources.lake import (
-    DIM_TABLE, GOLD_TABLES, SILVER_TABLES, append_dim_versions, compact_dim_log, ensure_tables, read_dim_log, read_fact,
+    DIM_TABLE, FACT_TABLE, GOLD_TABLES, SILVER_TABLES, append_dim_versions, compact_dim_log, ensure_tables, read_dim_log, read_fact,
     read_silver, read_table, replace_fact_date, table_contract, table_path, write_fact,
 )
 
@@ -331,6 +333,19 @@ def q_fact_replace_date(spark, sf_dir):
     return read_fact(spark, path)
 
 
+@query("fact_replace_by_nothing", f"""
+SELECT CAST(ts AS DATE) AS snapshot_date, user_id AS appid, value AS price, event_id AS recommendations_total
+FROM events
+WHERE CAST(ts AS DATE) <> DATE '{REPLACE_DAY}'""")
+def q_fact_replace_by_nothing(spark, sf_dir):
+    """Events loaded as facts, then one day replaced by no rows: the day is gone, no other is."""
+    sm = B.events_silver_main(_t(spark, sf_dir, "events"))
+    path = scratch_path(spark, "fact_replace_none")
+    write_fact(build_fact(sm), path, mode="replace_date")
+    replace_fact_date(build_fact(sm.where("value < 0 AND value > 0")), path, REPLACE_DAY)
+    return read_fact(spark, path).select("snapshot_date", "appid", "price", "recommendations_total")
+
+
 @query("fact_month_layout", """
 SELECT CAST(strftime(CAST(l_shipdate AS DATE), '%Y%m') AS INTEGER) AS snapshot_month,
        count(*) AS n_rows, count(DISTINCT l_partkey) AS n_appids
@@ -557,6 +572,58 @@ def q_fetch_outcomes(spark, sf_dir):
     return fetch_outcomes(attempt_outcomes(landed.withColumn("body", cut)))
 
 
+OUTCOMES_CTE = """
+seen AS (
+  SELECT DISTINCT CAST(ts AS DATE) AS snapshot_date, user_id AS appid FROM events),
+targets AS (
+  SELECT * FROM seen WHERE appid % 11 <> 0
+  UNION SELECT snapshot_date + 1, appid FROM seen WHERE appid % 11 <> 0),
+tried AS (
+  SELECT CAST(ts AS DATE) AS snapshot_date, user_id AS appid, count(*) AS n,
+         bool_or(coalesce(event_type NOT IN ('error', 'signup') AND event_id % 3 = 0, false)) AS ok
+  FROM events GROUP BY 1, 2),
+outcomes AS (
+  SELECT coalesce(p.snapshot_date, t.snapshot_date) AS snapshot_date, coalesce(p.appid, t.appid) AS appid,
+         CASE WHEN p.appid IS NULL THEN 'unplanned' WHEN t.ok THEN 'ok' WHEN t.n > 0 THEN 'err'
+              ELSE 'unanswered' END AS outcome,
+         coalesce(t.n, 0) AS n_attempts
+  FROM targets p FULL JOIN tried t ON p.snapshot_date = t.snapshot_date AND p.appid = t.appid)"""
+
+
+def _reconciled(spark, sf_dir):
+    """Events as attempts; a day's targets are the apps of that day and of the day before, so the
+    latter may stay unanswered; every eleventh app is fetched without a plan, two bodies in three are cut short."""
+    events = _t(spark, sf_dir, "events")
+    landed = B.events_as_envelopes(events, misaddressed_type="signup", keep=("event_id",))
+    body = F.col("body")
+    whole = F.when(F.col("event_id") % 3 == 0, body).otherwise(F.substring(body, F.lit(1), F.length(body) - 6))
+    attempts = attempt_outcomes(landed.withColumn("body", whole), keep=("requested_appid",))
+    seen = events.select(F.to_date("ts").alias("snapshot_date"), F.col("user_id").alias("appid")).where("appid % 11 <> 0")
+    targets = seen.unionByName(seen.withColumn("snapshot_date", F.date_add("snapshot_date", 1)))
+    return reconcile_targets(targets, attempts)
+
+
+@query("target_outcomes", f"WITH {OUTCOMES_CTE} SELECT * FROM outcomes")
+def q_target_outcomes(spark, sf_dir):
+    """L3: planned targets reconciled with landed attempts, retries reduced to one outcome."""
+    return _reconciled(spark, sf_dir)
+
+
+@query("target_counts", f"""
+WITH {OUTCOMES_CTE}
+SELECT snapshot_date, count(*) FILTER (outcome = 'ok') AS n_ok,
+       count(*) FILTER (outcome IN ('err', 'unanswered')) AS n_err,
+       count(*) FILTER (outcome <> 'unplanned') AS n_total,
+       count(*) FILTER (outcome = 'unanswered') AS n_unanswered,
+       count(*) FILTER (outcome = 'unplanned') AS n_unplanned,
+       count(*) FILTER (n_attempts > 1 AND outcome <> 'unplanned') AS n_retried,
+       count(*) FILTER (n_attempts > 1 AND outcome = 'ok') AS n_recovered
+FROM outcomes GROUP BY 1""")
+def q_target_counts(spark, sf_dir):
+    """Ok / err / total per planned target and day."""
+    return target_counts(_reconciled(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------- column functions
 @query("parse_release_date", """
 SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(ts AS DATE) END AS release_date
@@ -673,14 +740,16 @@ def q_schema_contract(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------- stored tables
-def _stored_silver(spark, sf_dir) -> str:
+def _stored_silver(spark, sf_dir, between=lambda root: None) -> str:
     """The four silver tables, loaded twice: a second landing replaces every third day after
-    it has lost its genres, its companies or all its successes (by the day's number)."""
+    it has lost its genres, its companies or all its successes (by the day's number).
+    ``between`` is called with the silver root between the loads."""
     root, silver_root = scratch_path(spark, "bronze_rerun"), scratch_path(spark, "silver_rerun")
     first, last = _event_days(spark, sf_dir)
     raw = B.events_as_bronze(_t(spark, sf_dir, "events"))
     write_bronze(raw, root)
     load_silver(spark, root, silver_root, first, last)
+    between(silver_root)
     day = F.dayofmonth("snapshot_date") % 6
     none = F.lit(None)
     data = F.col("data")
@@ -735,6 +804,26 @@ def q_stored_game_company(spark, sf_dir):
     return read_silver(spark, _stored_silver(spark, sf_dir), "game_company")
 
 
+@query("stored_fact", f"""
+WITH {RERUN_CTE}
+SELECT snapshot_date, appid, price, price * 1.0 AS price_usd, currency,
+       CAST(discount_percent AS SMALLINT) AS discount_percent, recommendations_total,
+       CAST(coalesce(metacritic_score, -1) AS SMALLINT) AS metacritic_score,
+       CAST(achievements_total AS SMALLINT) AS achievements_total,
+       CAST(is_free AS SMALLINT) AS is_free, date_trunc('second', fetched_at) AS fetched_at
+FROM stored""")
+def q_stored_fact(spark, sf_dir):
+    """Gold loaded, then silver re-run so that some days lose all their rows, then gold
+    loaded again: the fact follows and those days are gone."""
+    gold = scratch_path(spark, "gold_rerun")
+    first, last = _event_days(spark, sf_dir)
+    load = lambda silver, seq: load_gold(
+        spark, silver, gold, first, last, updated_at=DIM_LOAD_TIME, load_seq=seq)
+    silver = _stored_silver(spark, sf_dir, between=lambda root: load(root, 1))
+    load(silver, 2)
+    return read_fact(spark, table_path(gold, FACT_TABLE))
+
+
 def _dim_versions(events: DataFrame, *more) -> DataFrame:
     """Events as dim versions: version time = ts."""
     empty = F.array().cast("array<string>")

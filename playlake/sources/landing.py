@@ -52,14 +52,66 @@ def attempt_outcomes(
     body_col: str = "body",
     requested_col: str = "requested_appid",
     date_col: str = "snapshot_date",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """L3: one row per landed attempt, ``(date_col, success)``.
+    """L3: one row per landed attempt, ``(date_col, success)`` and the columns of ``keep``.
 
     A body that is not JSON, that lacks the requested id, or whose entry is unsuccessful or
     says nothing counts as an error, as each was an attempt.
     """
     entry = F.try_element_at(F.from_json(F.col(body_col), OUTCOME_DDL), F.col(requested_col).cast("string"))
-    return landed.select(date_col, F.coalesce(entry["success"], F.lit(False)).alias("success"))
+    return landed.select(date_col, *keep, F.coalesce(entry["success"], F.lit(False)).alias("success"))
+
+
+def reconcile_targets(
+    targets: DataFrame,
+    attempts: DataFrame,
+    id_col: str = "appid",
+    attempt_id_col: str = "requested_appid",
+    date_col: str = "snapshot_date",
+) -> DataFrame:
+    """What became of each planned target, ``(date_col, id_col, outcome, n_attempts)``.
+
+    ``attempts`` is landed bodies with their ``success`` (``attempt_outcomes(..., keep=...)``). All
+    attempts of one app on one day are one fetch: ``ok`` if any of them succeeded, whatever came
+    before, else ``err``. A target without a body is ``unanswered``, an app fetched without a
+    target ``unplanned`` (also when its id or date is null). Targets given twice count once;
+    those without id are ignored.
+
+    Attempts are reduced map-side before the join, so an app retried a million times is a row
+    a task; both sides are hashed by (day, app).
+    """
+    planned = targets.select(F.col(date_col), F.col(id_col).cast("bigint").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
+    tried = attempts.groupBy(F.col(date_col), F.col(attempt_id_col).cast("bigint").alias(id_col)).agg(
+        F.bool_or(F.coalesce(F.col("success"), F.lit(False))).alias("_ok"), F.count(F.lit(1)).alias("_n"))
+    both = planned.withColumn("_planned", F.lit(True)).join(tried, [date_col, id_col], "full_outer")
+    outcome = (
+        F.when(F.col("_planned").isNull(), F.lit("unplanned"))
+        .when(F.col("_ok"), F.lit("ok"))
+        .when(F.col("_n").isNotNull(), F.lit("err"))
+        .otherwise(F.lit("unanswered"))
+    )
+    return both.select(date_col, id_col, outcome.alias("outcome"), F.coalesce("_n", F.lit(0).cast("bigint")).alias("n_attempts"))
+
+
+def target_counts(outcomes: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
+    """A day's report over ``reconcile_targets``: each target counts once.
+
+    ``n_total`` targets are ``n_ok`` and ``n_err``; the unanswered are errors too and are
+    counted apart as well. ``n_retried`` targets took more than one attempt, ``n_recovered`` of them
+    came out ok. Unplanned fetches are no targets.
+    """
+    is_ = lambda *names: F.col("outcome").isin(*names)
+    again = F.col("n_attempts") > 1
+    return outcomes.groupBy(date_col).agg(
+        F.count_if(is_("ok")).alias("n_ok"),
+        F.count_if(is_("err", "unanswered")).alias("n_err"),
+        F.count_if(is_("ok", "err", "unanswered")).alias("n_total"),
+        F.count_if(is_("unanswered")).alias("n_unanswered"),
+        F.count_if(is_("unplanned")).alias("n_unplanned"),
+        F.count_if(again & ~is_("unplanned")).alias("n_retried"),
+        F.count_if(again & is_("ok")).alias("n_recovered"),
+    )
 
 
 def _page_problem(s: str, body_missing: Column, stop: Column, first: Column, n_pages: Column, last: Column) -> Column:
