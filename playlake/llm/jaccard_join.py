@@ -14,7 +14,8 @@ Under a shared token a pair passes on if
 * position: the tokens from the shared one on suffice for the overlap it takes;
 * suffix: the tokens behind it, counted in 16 ranges of hash values, differ by no more than the
   overlap allows (a lower bound of the distance of the suffixes).
-What passes is verified once, on the whole sets.
+The few that pass are held against finer counts, a range for about four tokens of the set, and
+what is left is verified once, on the whole sets.
 
 Pairs of a group are not all listed. Nodes under one token are first tried against the smallest
 of them (stars), then one head of each component so found against the other heads, and at last
@@ -316,8 +317,25 @@ def _bloom(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _sliced(bits.view(np.uint64))
 
 
+def _may_hold(bits: np.ndarray, node: bytes) -> bool:
+    return all(bits[s >> 3] >> (s & 7) & 1 for s in _spots(node))
+
+
+def signature(hashes: np.ndarray) -> bytes:
+    """How many tokens lie in each of 16 or more equal ranges of hash values, about four a range."""
+    bits = max(4, (len(hashes) // 4).bit_length())
+    counts = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype("<u2").tobytes() if counts.max() < 1 << 16 else b""
+
+
+def least_distance(one: bytes, other: bytes) -> int:
+    """A lower bound of the size of the symmetric difference, from two signatures."""
+    x, y = (np.frombuffer(s, "<u2").astype(np.int64) for s in sorted((one, other), key=len))
+    return int(np.abs(y.reshape(len(x), -1).sum(axis=1) - x).sum()) if len(x) else 0
+
+
 def _sets(width: int, wanted):
-    """Documents -> (node, hashes) of the sets that the Bloom filter ``wanted`` may hold."""
+    """Documents -> (node, n, signature, hashes) of the sets that the Bloom filter ``wanted`` may hold."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
@@ -326,19 +344,53 @@ def _sets(width: int, wanted):
             for text in utf8(batch.column(1)):
                 hashes = shingles(text, width)
                 node = node_of(hashes)
-                if node in seen or not all(bits[s >> 3] >> (s & 7) & 1 for s in _spots(node)):
+                if node in seen or not _may_hold(bits, node):
                     continue
                 if len(seen) >= SEEN_AT_ONCE:
                     seen.clear()
                 seen.add(node)
-                out.append((node, hashes.tobytes()))
+                out.append((node, len(hashes), signature(hashes), hashes.tobytes()))
             if out:
-                columns = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "hashes"])
+                columns = [pa.array(c) for c in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "signature", "hashes"])
 
     return run
 
 
+def _near(percent: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = both - 2 * overlap_needed(both, percent)
+            ones, others = batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist()
+            keep = [least_distance(x, y) <= m for x, y, m in zip(ones, others, most.tolist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _held(wanted):
+    """(node, hashes) rows -> those whose node the Bloom filter ``wanted`` may hold."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [_may_hold(wanted.value, node) for node in batch.column(0).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _filter_of(nodes: DataFrame):
+    """A broadcast Bloom filter of ``nodes(node)``, of fixed size."""
+    slices_of = nodes.mapInArrow(_bloom, "slice int, counts binary")
+    bits = _gathered(slices_of, (1 << BLOOM_BITS) // 64 // SLICES, np.bitwise_or)
+    return nodes.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null")
+
+
 def _linked(percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
@@ -353,10 +405,17 @@ def _linked(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach ``percent``, as written links (u, v)."""
-    ones = sets.select(F.col("node").alias("a"), F.col("hashes").alias("of_a"))
-    others = sets.select(F.col("node").alias("b"), F.col("hashes").alias("of_b"))
-    both = pairs.join(ones.hint("merge"), "a").join(others.hint("merge"), "b").select("a", "b", "of_a", "of_b")
+    """The pairs (a, b) whose sets reach ``percent``, as written links (u, v).
+
+    The signatures, a thirtieth of the sets in size, decide first; only sets that are left in a
+    pair are shuffled, in both joins by a hash of their node.
+    """
+    named = lambda end: sets.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}"))
+    signed = pairs.join(named("a").hint("merge"), "a").join(named("b").hint("merge"), "b")
+    near = written(signed.mapInArrow(_near(percent), "a binary, b binary"), "jaccard-near")
+    held = sets.select("node", "hashes").mapInArrow(_held(_filter_of(_ends(near))), "node binary, hashes binary")
+    ones, others = (held.select(F.col("node").alias(end), F.col("hashes").alias(f"of_{end}")).hint("merge") for end in "ab")
+    both = near.join(ones, "a").join(others, "b").select("a", "b", "of_a", "of_b")
     links = both.mapInArrow(_linked(percent), "a binary, b binary")
     return written(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "jaccard-links")
 
@@ -385,12 +444,9 @@ def _links(docs: DataFrame, signed: DataFrame, width: int, percent: int, piece:
     tried = written(_ordered(found.where("b is not null")), "jaccard-tried")
     rest = found.where("b is null").withColumnRenamed("a", "node").drop("b")
 
-    ends = found.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null")
-    wanted = written(ends.distinct(), "jaccard-wanted")
-    bits = _gathered(wanted.mapInArrow(_bloom, "slice int, counts binary"), (1 << BLOOM_BITS) // 64 // SLICES, np.bitwise_or)
-    bloom = spark.sparkContext.broadcast(bits.view(np.uint8))
-    fetched = docs.mapInArrow(_sets(width, bloom), "node binary, hashes binary")
-    sets = written(fetched.groupBy("node").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
+    fetched = docs.mapInArrow(_sets(width, _filter_of(_ends(found))), "node binary, n long, signature binary, hashes binary")
+    row = F.first(F.struct("n", "signature", "hashes")).alias("r")
+    sets = written(fetched.groupBy("node").agg(row).select("node", "r.*"), "jaccard-sets")
 
     links = _verified(tried, sets, percent)
     most = rest.agg(F.max("pieces")).first()[0]

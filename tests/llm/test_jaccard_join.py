@@ -8,7 +8,7 @@ from corpus_rows import LONG, ODD, pairs, read, table
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from playlake.llm.jaccard_join import jaccard_components, overlap_needed, prefix_length, shingles
+from playlake.llm.jaccard_join import jaccard_components, least_distance, overlap_needed, prefix_length, shingles, signature
 
 
 def plain_set(text, width=3):
@@ -73,6 +73,19 @@ def test_prefix_and_overlap():
             assert need == least if least is not None else need > x
 
 
+def test_signatures_bound_the_distance():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 40, 300, 5000):
+        one = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        for share in (0, 0.02, 0.3, 1, 3):
+            other = np.unique(np.concatenate((one[rng.random(len(one)) > share / 2], rng.integers(0, 1 << 64, int(n * share), np.uint64))))
+            apart = len(np.setxor1d(one, other))
+            least = least_distance(signature(one), signature(other))
+            assert least <= apart and least == least_distance(signature(other), signature(one))
+            assert least >= abs(len(one) - len(other)) and (n < 5000 or share > 0.1 or least > 0.5 * apart or not apart)
+    assert least_distance(b"", signature(np.arange(9, dtype=np.uint64))) == 0
+
+
 def test_odd_rows(spark):
     assert found(table(spark, ODD)) == plain(ODD)
 
