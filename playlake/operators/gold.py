@@ -151,13 +151,15 @@ def build_dim(
     ).select(*DIM_COLUMNS)
 
 
-def latest_dim(dim_log: DataFrame) -> DataFrame:
-    """The newest version of each game (max ``updated_at``, then ``load_seq``).
-
-    The views always join this collapsed dim, the stable state after merges.
-    """
+def newest_versions(dim_log: DataFrame) -> DataFrame:
+    """The newest version of each game (max ``updated_at``, then ``load_seq``), all columns."""
     order = [F.col("updated_at").desc_nulls_last()]
     if "load_seq" in dim_log.columns:
         order.append(F.col("load_seq").desc_nulls_last())
     order.append(F.xxhash64(*[c for c in dim_log.columns if c != "appid"]).asc())  # stable tie-break
-    return latest_per_key(dim_log, ["appid"], order).select(*DIM_COLUMNS)
+    return latest_per_key(dim_log, ["appid"], order)
+
+
+def latest_dim(dim_log: DataFrame) -> DataFrame:
+    """The newest version of each game as the dim. The views always join this collapsed state."""
+    return newest_versions(dim_log).select(*DIM_COLUMNS)

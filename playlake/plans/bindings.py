@@ -24,6 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # -- FACT / DIM ---------------------------------------------------------------
+def whole_fact_rows(totals: DataFrame) -> DataFrame:
+    """(snapshot_date, appid, recommendations_total) filled up to whole fact rows."""
+    return totals.select(
+        "snapshot_date", "appid", F.lit(None).cast("double").alias("price"),
+        F.lit(None).cast("double").alias("price_usd"), F.lit("USD").alias("currency"),
+        F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
+        F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
+        F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"),
+    )
+
+
 def fact_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """(snapshot_date, appid, recommendations_total): one row per (part, ship day)."""
     return lineitem.groupBy(

@@ -13,13 +13,15 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from playlake.functions.parse import date_range, to_date_param
+from playlake.functions.parse import date_range, to_date_param, year_month
 from playlake.operators.gold import build_dim, build_fact, latest_dim, range_problems
 from playlake.operators.growth import game_growth, genre_growth, publisher_growth
-from playlake.operators.growth_state import TAIL_COLUMNS, TAIL_DDL, batch_growth, next_tail
+from playlake.operators.growth_state import (
+    TAIL_COLUMNS, TAIL_DDL, batch_growth, changed_games, changed_growth, next_tail,
+)
 from playlake.operators.silver import (
     bronze_to_silver, category_bridge, company_bridge, genre_bridge, silver_main,
 )
@@ -28,7 +30,7 @@ from playlake.session import scratch_path
 from playlake.sources.bronze import CORRUPT, malformed_lines, read_bronze
 from playlake.sources.lake import (
     DIM_TABLE, FACT_TABLE, GOLD_TABLES, _delete_path, _glob, _path_exists, append_dim_versions, drop_days, drop_lost_days, ensure_tables,
-    read_dim_log, read_fact, read_silver, table_path, write_day_partitions, write_fact,
+    read_dim_log, read_fact, read_silver, read_table, table_path, write_day_partitions, write_fact,
 )
 from playlake.sources.observe import metric
 from playlake.sources.paths import day_folders, folder_day
@@ -226,79 +228,122 @@ def register_views(spark: SparkSession, gold_root: str, growth_path: str | None
     return sorted(views)
 
 
-STEP_DDL = "step bigint, first_step bigint, through date"
-
-
-def _growth_step(spark: SparkSession, growth_path: str) -> Row | None:
-    """The last committed step: its number, the first one still valid, the last day processed."""
-    done = _glob(spark, f"{growth_path.rstrip('/')}/step-*/commit/_SUCCESS")
-    if not done:
-        return None
-    newest = max(done, key=lambda p: int(p.split("/step-")[-1].split("/")[0]))
-    return spark.read.schema(STEP_DDL).parquet(newest.rsplit("/", 1)[0]).first()
+def _growth_folder(layout: str) -> tuple[str, Column]:
+    """The partition column of a stored growth table and its value."""
+    if layout not in ("date", "month"):
+        raise ValueError(f"unknown layout {layout!r}")
+    return ("day", F.col("snapshot_date")) if layout == "date" else ("month", year_month("snapshot_date"))
 
 
 def read_growth(spark: SparkSession, growth_path: str, start=None, end=None) -> DataFrame:
-    """The materialized growth rows, optionally of ``[start, end]``: those of every valid step."""
-    last = _growth_step(spark, growth_path)
-    if last is None:
+    """The materialized growth rows, optionally of ``[start, end]``: up to the last day taken in, so that
+    those of a run that failed before its tail do not show."""
+    through = _tail_day(spark, growth_path)
+    if through is None:
         return spark.createDataFrame([], GROWTH_DDL)
-    paths = [f"{growth_path.rstrip('/')}/step-{i}/rows" for i in range(last.first_step, last.step + 1)]
-    df = spark.read.schema(GROWTH_DDL).parquet(*paths)
-    if start is not None:
-        df = df.where(F.col("snapshot_date") >= F.lit(to_date_param(start)))
-    if end is not None:
-        df = df.where(F.col("snapshot_date") <= F.lit(to_date_param(end)))
-    return df
+    end = min(to_date_param(end, through), through)
+    return _stored_growth(spark, growth_path).where(_between(start, end)).select(*GROWTH_COLUMNS)
+
+
+def _stored_growth(spark: SparkSession, growth_path: str) -> DataFrame:
+    """All stored growth rows, with the partition column."""
+    return read_table(spark, f"{growth_path.rstrip('/')}/rows", GROWTH_DDL)
+
 
+def _between(start, end) -> Column:
+    until = F.col("snapshot_date") <= F.lit(to_date_param(end))
+    return until if start is None else until & (F.col("snapshot_date") >= F.lit(to_date_param(start)))
 
-def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start, end) -> str:
+
+def _tail_day(spark: SparkSession, growth_path: str) -> _dt.date | None:
+    """The last day the stored growth covers: that of its newest tail."""
+    done = _glob(spark, f"{growth_path.rstrip('/')}/tail/through=*")
+    return max((_dt.date.fromisoformat(p.rstrip("/")[-10:]) for p in done), default=None)
+
+
+def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start, end, layout: str = "date") -> str:
     """SURVEY 7.5: bring the materialized growth up to date after fact days ``[start, end]`` were loaded.
 
-    Each run is a step of its own: a folder with the step's growth rows, the tail of every game
-    (its last snapshots) and, written last, a commit that names the last day processed.
-    A step reads the tail and the fact's days after that day up to ``end``, whatever the
-    range asked for, so no day is skipped. A load that reaches back to days already
-    processed, and the first step over a fact that holds days, compute the whole history
-    up to ``end`` and make it the first valid step. Nothing is overwritten; a step that
-    failed is simply run again. Returns ``"advanced"`` or ``"rebuilt"``.
+    ``<growth>/rows`` has a folder per day (``layout="month"``: per month, for tables of many
+    years with few rows a day), ``<growth>/tail`` the last snapshots of every game, written last and
+    named by the last day taken in. Folders are only ever replaced whole, by partition overwrite, so a
+    run that failed is run again with the same range.
+
+    * Days after that last one: the lag window runs over the tail and the new days only. Days
+      skipped in between are taken in, whatever the range asked for (``"advanced"``).
+    * Days up to it that changed or went: the games in them, now or before, are recomputed for
+      those days and their next snapshots within the longest lag, and only the folders touched are written
+      (``"repaired"``). Rows of other games are not read from the fact past the semi-join.
+    * No growth yet: the whole history up to ``end`` (``"rebuilt"``).
     """
-    last = _growth_step(spark, growth_path)
+    root, folder = growth_path.rstrip("/"), _growth_folder(layout)
     start, end = to_date_param(start), to_date_param(end)
-    advance = last is not None and start > last.through
-    if advance:
-        tail = spark.read.schema(TAIL_DDL).parquet(f"{growth_path.rstrip('/')}/step-{last.step}/tail")
-        batch = read_fact(spark, fact_path, last.through + _dt.timedelta(days=1), end)
-        through, until = last.through, end
-    else:
-        tail = spark.createDataFrame([], TAIL_DDL)
-        through, until = None, max(end, last.through) if last else end
-        batch = read_fact(spark, fact_path).where(F.col("snapshot_date") <= F.lit(until))
-    tails = tail.unionByName(batch.select(*TAIL_COLUMNS))
-    _write_step(spark, growth_path, last, batch_growth(tail, batch, through), lambda: next_tail(tails), until, advance)
-    return "advanced" if advance else "rebuilt"
-
-
-def compact_growth(spark: SparkSession, growth_path: str) -> int:
-    """Fold the valid steps into one, so that readers list one folder again. Returns its number."""
-    last = _growth_step(spark, growth_path)
-    if last is None or last.first_step == last.step:
-        return last.step if last else 0
-    tail = spark.read.schema(TAIL_DDL).parquet(f"{growth_path.rstrip('/')}/step-{last.step}/tail")
-    return _write_step(spark, growth_path, last, read_growth(spark, growth_path), lambda: tail, last.through, False)
-
-
-def _write_step(spark, growth_path: str, last: Row | None, rows: DataFrame, tail, through, advance: bool) -> int:
-    """Write the next step and, last, its commit; without ``advance`` it replaces all steps before it."""
-    root, number = growth_path.rstrip("/"), last.step + 1 if last else 1
-    base, first = f"{root}/step-{number}", last.first_step if advance else number
-    _delete_path(spark, base)  # of a step that died before its commit
-    by_day = rows.select(*GROWTH_COLUMNS).hint("rebalance", "snapshot_date").sortWithinPartitions("snapshot_date", "appid")
-    run_concurrently([
-        lambda: by_day.write.option("compression", "snappy").parquet(f"{base}/rows"),
-        lambda: tail().write.parquet(f"{base}/tail"),
-    ])
-    spark.createDataFrame([(number, first, through)], STEP_DDL).coalesce(1).write.parquet(f"{base}/commit")
-    for old in range(last.first_step, first) if last else ():
-        _delete_path(spark, f"{root}/step-{old}")
-    return number
+    through = _tail_day(spark, root)
+    until = end if through is None else max(end, through)
+    fact = read_fact(spark, fact_path).select(*TAIL_COLUMNS).where(F.col("snapshot_date") <= F.lit(until))
+    if through is None:
+        _replace_growth(spark, root, folder, game_growth(fact), None, set())
+        _write_tail(spark, root, next_tail(fact), until)
+        return "rebuilt"
+    old_tail = spark.read.schema(TAIL_DDL).parquet(f"{root}/tail/through={through.isoformat()}")
+    before = _stored_growth(spark, root).select(*GROWTH_COLUMNS)
+    new = F.col("snapshot_date") > F.lit(through)
+    # At most one folder per day, also those a failed run has left after the last day.
+    touched = lambda days: {r.p for r in before.where(days).select(folder[1].alias("p")).distinct().collect()}
+    if start > through:
+        batch = read_fact(spark, fact_path, through + _dt.timedelta(days=1), end).select(*TAIL_COLUMNS)
+        _replace_growth(spark, root, folder, batch_growth(old_tail, batch, through), new, touched(new))
+        _write_tail(spark, root, next_tail(old_tail.unionByName(batch)), until)
+        return "advanced"
+    changed = F.col("snapshot_date").between(F.lit(start), F.lit(end)) | new
+    games = changed_games(fact, before, changed)
+    keys = scratch_path(spark, "growth_games")
+    games.write.parquet(keys)  # read by every branch below
+    games = spark.read.schema("appid bigint").parquet(keys)
+    history = fact.join(games, "appid", "left_semi")
+    _replace_growth(spark, root, folder, changed_growth(history, before, changed), changed, touched(changed))
+    others = old_tail.join(games, "appid", "left_anti")
+    _write_tail(spark, root, next_tail(history.unionByName(others.select(*TAIL_COLUMNS))), until)
+    return "repaired"
+
+
+def _replace_growth(spark, root: str, folder: tuple[str, Column], rows: DataFrame, changed: Column | None, touched: set) -> None:
+    """Overwrite the folders of ``rows`` and those ``touched``, keeping their other stored rows: those in no
+    changed day whose game and day are not among ``rows``. A folder left without rows is removed."""
+    name, value = folder
+    path = f"{root}/rows"
+    if changed is not None:
+        staged = scratch_path(spark, "growth_rows")
+        rows.write.parquet(staged)  # what is overwritten must not be read meanwhile
+        rows = spark.read.schema(GROWTH_DDL).parquet(staged)
+        touched = touched | {r.p for r in rows.select(value.alias("p")).distinct().collect()}
+        if not touched:
+            return
+        kept = _stored_growth(spark, root).where(F.col(name).isin(*touched) & ~changed).join(rows.select("appid", "snapshot_date").distinct(), ["appid", "snapshot_date"], "left_anti")
+        whole = scratch_path(spark, "growth_merged")
+        rows.unionByName(kept.select(*GROWTH_COLUMNS)).write.parquet(whole)
+        rows = spark.read.schema(GROWTH_DDL).parquet(whole)
+    (
+        rows.select(*GROWTH_COLUMNS, value.alias(name))
+        .hint("rebalance", name)
+        .sortWithinPartitions(name, "snapshot_date", "appid")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if changed is None else "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(name)
+        .parquet(path)
+    )
+    held = {r.p for r in rows.select(value.alias("p")).distinct().collect()} if touched else set()
+    for gone in touched - held:
+        _delete_path(spark, f"{path}/{name}={gone}")
+
+
+def _write_tail(spark, root: str, tail: DataFrame, through: _dt.date) -> None:
+    """The tail up to ``through``; older ones go once it is there. It may be made from the one it replaces."""
+    staged = scratch_path(spark, "growth_tail")
+    tail.write.parquet(staged)
+    folder = f"{root}/tail/through={through.isoformat()}"
+    spark.read.schema(TAIL_DDL).parquet(staged).write.mode("overwrite").parquet(folder)
+    for old in _glob(spark, f"{root}/tail/through=*"):
+        if not old.endswith(through.isoformat()):
+            _delete_path(spark, old)

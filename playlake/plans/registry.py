@@ -162,18 +162,34 @@ def q_game_growth_incremental(spark, sf_dir):
     base = scratch_path(spark, "growth_incr")
     fact = _fact(spark, sf_dir)
     fact_path = f"{base}/fact"
-    write_fact(fact.select(
-        "snapshot_date", "appid", F.lit(None).cast("double").alias("price"),
-        F.lit(None).cast("double").alias("price_usd"), F.lit("USD").alias("currency"),
-        F.lit(0).cast("smallint").alias("discount_percent"), "recommendations_total",
-        F.lit(-1).cast("smallint").alias("metacritic_score"), F.lit(0).cast("smallint").alias("achievements_total"),
-        F.lit(0).cast("smallint").alias("is_free"), F.lit(None).cast("timestamp_ntz").alias("fetched_at"),
-    ), fact_path, mode="append", layout="month")
+    write_fact(B.whole_fact_rows(fact), fact_path, mode="append", layout="month")
     first, last = fact.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
     span = (last - first).days
     at = lambda part: first + _dt.timedelta(days=int(span * part))
     for lo, hi in ((at(0.3), at(0.5)), (at(0.6), at(0.7)), (at(0.95), last)):
-        maintain_growth(spark, fact_path, f"{base}/growth", lo, hi)
+        maintain_growth(spark, fact_path, f"{base}/growth", lo, hi, layout="month")
+    return read_growth(spark, f"{base}/growth")
+
+
+@query("game_growth_late_days", f"WITH {FACT_CTE} SELECT * FROM growth")
+def q_game_growth_late_days(spark, sf_dir):
+    """D5/W1-W3 with days that come late and days that change: the growth is built over a fact that
+    lacks a week of every game, holds a day too many for some games and wrong totals on another day;
+    then the fact gets its true rows and only what those days reach is recomputed."""
+    base = scratch_path(spark, "growth_late")
+    fact = _fact(spark, sf_dir).where("snapshot_date is not null")
+    first, last = fact.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    at = lambda part: first + _dt.timedelta(days=int((last - first).days * part))
+    week, day = (at(0.4), at(0.4) + _dt.timedelta(days=6)), at(0.7)
+    of = F.col("snapshot_date")
+    wrong = F.col("recommendations_total") + F.when(of == F.lit(day), 5).otherwise(0)
+    extra = fact.where("appid % 3 = 0").groupBy("appid").agg(F.lit(week[0]).alias("snapshot_date"), F.lit(1).cast("bigint").alias("recommendations_total"))
+    early = fact.where(~of.between(*map(F.lit, week))).withColumn("recommendations_total", wrong).unionByName(extra.select(fact.columns))
+    write_fact(B.whole_fact_rows(early), f"{base}/before", mode="append", layout="month")
+    write_fact(B.whole_fact_rows(fact), f"{base}/fact", mode="append", layout="month")
+    maintain_growth(spark, f"{base}/before", f"{base}/growth", first, last, layout="month")
+    maintain_growth(spark, f"{base}/fact", f"{base}/growth", *week, layout="month")
+    maintain_growth(spark, f"{base}/fact", f"{base}/growth", day, day, layout="month")
     return read_growth(spark, f"{base}/growth")
 
 
@@ -844,7 +860,7 @@ def _dim_versions(events: DataFrame, *more) -> DataFrame:
 SELECT user_id AS appid, arg_max(event_type, (ts, event_id % 3)) AS type, max(ts) AS updated_at
 FROM events GROUP BY user_id""")
 def q_dim_version_log(spark, sf_dir):
-    """K8/W6/D4 as stored: three loads appended, merged after the second, read back newest per game."""
+    """K8/W6/D4 as stored: three loads appended, thinned out after the second, read back newest per game."""
     path = scratch_path(spark, "dim_log")
     events = _t(spark, sf_dir, "events")
     for seq in range(3):

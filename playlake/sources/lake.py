@@ -9,13 +9,12 @@ Layouts:
   without touching its month. Append-only tables may keep whole months in one folder
   (``layout="month"``), which spares a multi-year load thousands of folders. Rows are sorted
   by (snapshot_date, appid) inside each file, so row-group statistics prune either way.
-* gold dim: an append-only version log of load folders, read back through ``latest_dim``.
+* gold dim: an append-only version log with a folder per load, read back through ``latest_dim``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,8 @@ from pyspark.sql import functions as F
 
 from playlake.functions.parse import to_date_param, year_month
 from playlake.sources.observe import counted, rows_of
-from playlake.sources.paths import date_folders, fact_days, month_folders
+from playlake.sources.paths import date_folders, fact_days, month_folders, no_such_path
+from playlake.session import scratch_path
 from playlake.schemas import (
     CATEGORY_DDL, COMPANY_DDL, DIM_LOG_DDL, FACT_COLUMNS, FACT_DDL, GENRE_DDL,
     SILVER_MAIN_DDL, TABLE_DDL,
@@ -42,6 +42,7 @@ TABLE_PARTITIONS = {
     "game_category": ["snapshot_date"],
     "game_company": ["snapshot_date"],
     "fact_game_daily": ["snapshot_month", "snapshot_date"],
+    "dim_game": ["load_seq"],
 }
 DIM_TABLE = "dim_game"
 GOLD_TABLES = (FACT_TABLE, DIM_TABLE)
@@ -110,7 +111,7 @@ def read_table(
     try:
         df = spark.read.schema(ddl).option("basePath", path).parquet(*paths)
     except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
+        if no_such_path(err):
             return spark.createDataFrame([], ddl)
         raise
     if start is not None:
@@ -216,8 +217,10 @@ def append_dim_versions(dim: DataFrame, path: str, load_seq: int) -> int:
     dim, obs = counted(dim)
     (
         dim.withColumn("load_seq", F.lit(load_seq).cast("bigint"))
-        .write.option("compression", "snappy")
-        .parquet(f"{path.rstrip('/')}/load-{uuid.uuid4().hex}")
+        .write.mode("append")
+        .option("compression", "snappy")
+        .partitionBy("load_seq")
+        .parquet(path)
     )
     return rows_of(obs)
 
@@ -229,56 +232,39 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(st.getPath().toString() for st in (fs.globStatus(jpath) or []))
 
 
-def _dim_parts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """(folders that make up the log, folders a committed merge has replaced)."""
-    base = path.rstrip("/")
-    loads = [p.rsplit("/", 1)[0] for p in _glob(spark, f"{base}/load-*/_SUCCESS")]
-    merges = [p.rsplit("/", 2)[0] for p in _glob(spark, f"{base}/merge-*/replaced/_SUCCESS")]
-    # A list has one row per load since the merge before.
-    replaced = {r.value for m in merges for r in spark.read.text(f"{m}/replaced").collect()}
-    is_gone = lambda p: p.rsplit("/", 1)[1] in replaced
-    return [p for p in loads + merges if not is_gone(p)], [p for p in loads + merges if is_gone(p)]
-
-
 def read_dim_log(spark: SparkSession, path: str) -> DataFrame:
-    """Every version of the log: each committed load or merge that no later merge replaced."""
-    parts, _ = _dim_parts(spark, path)
-    if not parts:
-        return spark.createDataFrame([], DIM_LOG_DDL)
-    files = [f"{p}/rows" if "/merge-" in p else p for p in parts]
-    return spark.read.schema(DIM_LOG_DDL).parquet(*files)
+    """Every version of the log."""
+    return read_table(spark, path, DIM_LOG_DDL)
 
 
 def compact_dim_log(spark: SparkSession, path: str) -> int:
-    """K8's merge: shrink the version log to the newest version of each game.
-
-    The log grows by one version per game per load; compacting keeps every read of the
-    latest dim proportional to the catalogue, not to its history. The newest versions
-    (same ordering as ``latest_dim``, ``load_seq`` kept) go to a new merge folder; the list of
-    the folders they replace is written last and commits the merge. Until then readers see
-    the loads, from then on the merge; replaced folders are deleted afterwards, by this
-    run or the next. A version appended meanwhile is in no list and stays. Returns the versions kept.
+    """K8: thin the version log out to the newest version of each game.
+
+    The log grows by one version per game per load; without the superseded ones, reads of
+    the latest dim stay proportional to the catalogue. Each load's folder is overwritten with
+    its rows that are still the newest (same order as ``latest_dim``); a load that has none left
+    loses its folder. What ``latest_dim`` gives never changes, whenever this stops, and loads
+    appended meanwhile are not touched. Returns the versions kept.
     """
-    from playlake.operators.dedup import latest_per_key
+    from playlake.operators.gold import newest_versions
 
-    parts, gone = _dim_parts(spark, path)
-    for folder in gone:
-        _delete_path(spark, folder)
-    if not parts:
-        return 0
     log = read_dim_log(spark, path)
-    newest = latest_per_key(log, ["appid"], [
-        F.col("updated_at").desc_nulls_last(),
-        F.col("load_seq").desc_nulls_last(),
-        F.xxhash64(*[c for c in log.columns if c != "appid"]).asc(),
-    ])
-    merge = f"{path.rstrip('/')}/merge-{uuid.uuid4().hex}"
-    newest, obs = counted(newest)
-    newest.write.option("compression", "snappy").parquet(f"{merge}/rows")
-    names = [(p.rsplit("/", 1)[1],) for p in parts]
-    spark.createDataFrame(names, "value string").coalesce(1).write.text(f"{merge}/replaced")
-    for folder in parts:
-        _delete_path(spark, folder)
+    loads = {r.load_seq for r in log.select("load_seq").distinct().collect()}  # one per load
+    if not loads:
+        return 0
+    staged = scratch_path(spark, "dim_newest")
+    newest_versions(log).write.parquet(staged)  # what is overwritten must not be read meanwhile
+    newest, obs = counted(spark.read.schema(DIM_LOG_DDL).parquet(staged))
+    (
+        newest.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy("load_seq")
+        .parquet(path)
+    )
+    left = {r.load_seq for r in spark.read.schema(DIM_LOG_DDL).parquet(staged).select("load_seq").distinct().collect()}
+    for seq in loads - left:
+        _delete_path(spark, f"{path.rstrip('/')}/load_seq={seq}")
     return rows_of(obs)
 
 
@@ -296,7 +282,7 @@ def ensure_tables(spark: SparkSession, root: str, tables: tuple[str, ...] = tupl
         writer = spark.createDataFrame([], ddl).write.mode("errorifexists")
         if table in TABLE_PARTITIONS:
             writer = writer.partitionBy(*TABLE_PARTITIONS[table])
-        writer.parquet(f"{path}/load-0" if table == DIM_TABLE else path)
+        writer.parquet(path)
         created.append(table)
     return created
 
@@ -314,8 +300,7 @@ def table_contract(spark: SparkSession, root: str, tables: tuple[str, ...] = tup
             rows.append((table, None, None))
             continue
         try:
-            paths = _dim_parts(spark, path)[0] if table == DIM_TABLE else [path]
-            schema = spark.read.parquet(*paths).schema
+            schema = spark.read.parquet(path).schema
         except AnalysisException as err:
             if err.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise

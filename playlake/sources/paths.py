@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 _DAY = re.compile(r"year=(\d+)/month=(\d+)/day=(\d+)/?$")
@@ -17,6 +18,10 @@ _DATE = re.compile(r"snapshot_date=(\d{4}-\d{2}-\d{2})/?$")
 _MONTH = re.compile(r"snapshot_month=(\d{6})/?$")
 
 
+def no_such_path(err: AnalysisException) -> bool:
+    return err.getCondition() == "PATH_NOT_FOUND"
+
+
 def _glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(pattern)

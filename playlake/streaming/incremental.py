@@ -6,7 +6,8 @@ checkpoint records which files were already processed (so a restart neither skip
 nor repeats work), and exactly the touched days are rebuilt from
 their whole day folders. Rebuilding whole days keeps the result correct when late
 files arrive for a day already processed (the dedup sees every file of the day) and
-makes a retried batch write the same rows again (replace-date everywhere).
+makes a retried batch write the same rows again (replace-date everywhere). Files a compaction has
+written are known by their names and touch no day.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from playlake.plans.medallion import load_gold, load_silver, maintain_growth
 from playlake.sources.lake import FACT_TABLE, _delete_path, _glob, table_path
 from playlake.schemas import BRONZE_DDL
 from playlake.session import checkpoint_root
+from playlake.sources.bronze import LANDED_GLOB
 
 
 def _touched(batch: DataFrame) -> DataFrame:
@@ -38,6 +40,7 @@ def _landed_files(spark: SparkSession, bronze_root: str, max_files_per_trigger:
         spark.readStream.schema(BRONZE_DDL + ", year int, month int, day int")
         .option("basePath", bronze_root)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("pathGlobFilter", LANDED_GLOB)  # compacted files bring nothing new
         .json(bronze_root)
         .select("year", "month", "day")
     )
@@ -106,7 +109,7 @@ def start_incremental_load(
     """Start a stream that rebuilds the days each micro-batch touches, until it is stopped.
 
     For scheduled runs ``drain_incremental_load`` does less work. Growth is maintained once per
-    micro-batch: advanced for new days, rebuilt when late data reaches back.
+    micro-batch: advanced for new days, repaired when late data reaches back.
     """
     ckpt = _checkpoint(spark, checkpoint, bronze_root, silver_root, gold_root)
 

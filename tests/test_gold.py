@@ -147,36 +147,35 @@ def test_compact_dim_log_keeps_latest(spark):  # K8 merge
     assert sorted(tuple(r) for r in latest_dim(read_dim_log(spark, path)).collect()) == before
 
 
-def test_a_dim_merge_that_died_loses_nothing(spark, monkeypatch):  # K8
+def test_thinning_the_dim_log_out_loses_nothing_wherever_it_stops(spark, monkeypatch):  # K8
     from playlake.sources import lake
 
     g, c, co = _empty_bridges(spark)
     path = scratch_path(spark, "t_dimdead")
 
-    def load(seq):
-        main = silver_rows(spark, [{"appid": a, "snapshot_date": D1, "name": f"v{seq}-{a}"} for a in (1, 2)])
+    def load(seq, apps=(1, 2)):
+        main = silver_rows(spark, [{"appid": a, "snapshot_date": D1, "name": f"v{seq}-{a}"} for a in apps])
         append_dim_versions(build_dim(main, g, c, co, updated_at=dt.datetime(2024, 1, seq)), path, seq)
 
     def names():
         return sorted(r.name for r in latest_dim(read_dim_log(spark, path)).collect())
 
-    load(1), load(2)
-    with monkeypatch.context() as m:  # dead after the merge has committed, before it tidied up
-        m.setattr(lake, "_delete_path", lambda *a: 1 / 0)
+    load(1, (1, 2, 3)), load(2)
+    with monkeypatch.context() as m:  # dead before anything is replaced
+        m.setattr(lake, "counted", lambda df: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             lake.compact_dim_log(spark, path)
-    assert names() == ["v2-1", "v2-2"] and read_dim_log(spark, path).count() == 2
-    load(3)  # a load meanwhile is in no list
-    assert names() == ["v3-1", "v3-2"] and read_dim_log(spark, path).count() == 4
-    with monkeypatch.context() as m:  # dead while it wrote the merge
-        m.setattr(lake, "rows_of", lambda obs: 0)
-        real = spark.createDataFrame
-        m.setattr(type(spark), "createDataFrame", lambda self, *a, **k: 1 / 0)
+    assert names() == ["v1-3", "v2-1", "v2-2"] and read_dim_log(spark, path).count() == 5
+    load(3, (1, 2, 3))
+    with monkeypatch.context() as m:  # dead before the emptied folders are removed
+        m.setattr(lake, "_delete_path", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             lake.compact_dim_log(spark, path)
-    assert real and read_dim_log(spark, path).count() == 4
-    assert lake.compact_dim_log(spark, path) == 2
-    assert names() == ["v3-1", "v3-2"] and read_dim_log(spark, path).count() == 2
+    assert names() == ["v3-1", "v3-2", "v3-3"]
+    load(4, (1,))
+    assert lake.compact_dim_log(spark, path) == 3
+    assert names() == ["v3-2", "v3-3", "v4-1"] and read_dim_log(spark, path).count() == 3
+    assert lake.compact_dim_log(spark, path) == 3
 
 
 def test_replacing_a_day_writes_only_that_day(spark):  # K7

@@ -1,16 +1,17 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from playlake.operators.growth import game_growth
-from playlake.operators.growth_state import TAIL_DDL, batch_growth, next_tail
+from playlake.operators.growth_state import TAIL_DDL, batch_growth, changed_games, next_tail
 from playlake.plans import medallion
 from playlake.plans.bindings import fact_from_lineitem, table
-from playlake.plans.medallion import compact_growth, gold_views, maintain_growth, read_growth
+from playlake.plans.medallion import gold_views, maintain_growth, read_growth
 from playlake.schemas import FACT_COLUMNS
 from playlake.session import scratch_path
-from playlake.sources.lake import append_dim_versions, table_path, write_fact
+from playlake.sources.lake import append_dim_versions, read_fact, replace_fact_date, table_path, write_fact
 
 
 def day(n):
@@ -77,26 +78,65 @@ def test_a_skipped_range_is_not_lost(spark, grown):
         r for r in rows_of(read_growth(spark, growth)) if day(7) <= r[0] <= day(8)]
 
 
-def test_steps_fold_into_one(spark, grown):
+@pytest.mark.parametrize("layout", ["date", "month"])
+def test_late_days_recompute_only_what_they_reach(spark, grown, layout):
+    """A day with a game too many, a day with wrong totals and a missing day, mended one by one."""
     fact, growth, rows, check = grown
-    write_fact(fact_rows(spark, rows), fact, mode="append")
-    assert compact_growth(spark, growth) == 0
-    for end in (3, 5, 8):
-        maintain_growth(spark, fact, growth, day(end), day(end))
-    assert compact_growth(spark, growth) == 4 and compact_growth(spark, growth) == 4
-    check(8)
-    assert len(read_growth(spark, growth).inputFiles()) <= 4
-    assert maintain_growth(spark, fact, growth, day(9), day(12)) == "advanced"
+    wrong = [(d, a, n + (d == day(8))) for d, a, n in rows if d != day(6)]
+    write_fact(fact_rows(spark, [(day(3), 9, 1), (day(5), 9, 4), *wrong]), fact, mode="append")
+    assert maintain_growth(spark, fact, growth, day(1), day(12), layout) == "rebuilt"
+    for d in (3, 5, 6, 8):
+        write_fact(fact_rows(spark, [r for r in rows if r[0] == day(d)]), fact)
+        assert maintain_growth(spark, fact, growth, day(d), day(d), layout) == "repaired"
     check(12)
 
 
-def test_late_days_rebuild_and_leave_no_stale_rows(spark, grown):
-    fact, growth, rows, check = grown
-    write_fact(fact_rows(spark, [(day(3), 9, 1), *rows]), fact, mode="append")
-    maintain_growth(spark, fact, growth, day(1), day(12))
-    write_fact(fact_rows(spark, [r for r in rows if r[0] == day(3)]), fact)  # game 9 is gone again
-    assert maintain_growth(spark, fact, growth, day(3), day(3)) == "rebuilt"
-    check(12)
+@pytest.mark.parametrize("layout", ["date", "month"])
+def test_random_changes_equal_the_full_view(spark, layout):
+    """Games with gaps, twin rows of a day and long histories; days lost, added and changed at random."""
+    rng = random.Random(4)
+    base = scratch_path(spark, "t_random")
+    at = lambda d: dt.date(2024, 1, 1) + dt.timedelta(days=d)
+    make = lambda d: [(at(d), a, rng.randrange(100)) for a in range(12) if rng.random() < 0.7 for _ in range(1 + (a == 3))]
+    days = {d: make(d) for d in range(60)}
+    write = lambda part: write_fact(fact_rows(spark, [r for d in part for r in days[d]]), f"{base}/fact")
+    write(days)
+    maintain_growth(spark, f"{base}/fact", f"{base}/growth", at(0), at(59), layout)
+    for lo, hi in ((10, 12), (0, 1), (58, 63), (30, 30)):
+        for d in range(lo, hi + 1):
+            days[d] = make(d) if d != 11 else []
+        write(range(lo, hi + 1))
+        if lo == 10:
+            replace_fact_date(fact_rows(spark, []), f"{base}/fact", at(11))
+        assert maintain_growth(spark, f"{base}/fact", f"{base}/growth", at(lo), at(hi), layout) == "repaired"
+        full = game_growth(fact_rows(spark, [r for rows in days.values() for r in rows]))
+        assert rows_of(read_growth(spark, f"{base}/growth")) == rows_of(full)
+    days[64] = make(64)
+    write([64])
+    assert maintain_growth(spark, f"{base}/fact", f"{base}/growth", at(64), at(64), layout) == "advanced"
+    assert rows_of(read_growth(spark, f"{base}/growth")) == rows_of(game_growth(fact_rows(spark, [r for rows in days.values() for r in rows])))
+
+
+def test_a_late_day_touches_its_games_and_the_next_snapshots_only(spark):
+    """Of 50 days with games 1 and 2, day 5 of game 1 changes: its days 5 to 35 are written, game 2's are
+    copied, other days' files stay; of the fact only game 1 passes the semi-join."""
+    base = scratch_path(spark, "t_reach")
+    at = lambda d: dt.date(2024, 1, 1) + dt.timedelta(days=d - 1)
+    rows = [(at(d), a, 100 * d + a) for d in range(1, 51) for a in (1, 2)]
+    write_fact(fact_rows(spark, [r for r in rows if r[:2] != (at(5), 2)]), f"{base}/fact")
+    maintain_growth(spark, f"{base}/fact", f"{base}/growth", at(1), at(50))
+    files = lambda: {f: f.split("day=")[1][:10] for f in spark.read.parquet(f"{base}/growth/rows").inputFiles()}
+    before = files()
+    write_fact(fact_rows(spark, [(at(5), 1, 7)]), f"{base}/fact")
+    assert maintain_growth(spark, f"{base}/fact", f"{base}/growth", at(5), at(5)) == "repaired"
+    changed = {day for f, day in files().items() if f not in before}
+    assert changed == {at(d).isoformat() for d in range(5, 36)}
+    fact = read_fact(spark, f"{base}/fact").select("snapshot_date", "appid", "recommendations_total")
+    old = read_growth(spark, f"{base}/growth")
+    only = F.col("snapshot_date") == F.lit(at(5))
+    assert [r.appid for r in changed_games(fact, old, only).collect()] == [1]
+    plan = fact.join(changed_games(fact, old, only), "appid", "left_semi")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
 
 
 def test_a_step_that_died_is_run_again(spark, grown, monkeypatch):
@@ -107,7 +147,7 @@ def test_a_step_that_died_is_run_again(spark, grown, monkeypatch):
         m.setattr(medallion, "next_tail", lambda rows: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             maintain_growth(spark, fact, growth, day(5), day(8))
-    check(4)  # the rows written without a commit do not show
+    check(4)  # the rows written without their tail do not show
     assert maintain_growth(spark, fact, growth, day(5), day(8)) == "advanced"
     check(8)
 

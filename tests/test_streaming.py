@@ -41,6 +41,22 @@ def test_incremental_load_handles_late_files(spark, write_jsonl):
     assert read_fact(spark, table_path(gold, "fact_game_daily")).count() == 4
 
 
+def test_compaction_triggers_nothing(spark, write_jsonl):  # D10
+    from playlake.sources.bronze import compact_bronze, read_bronze
+
+    for n in range(3):
+        root = write_jsonl(f"cp/year=2024/month=01/day=05/{n}.jsonl.gz", [rec(n, f"2024-01-05T0{n}:00:00", "a")])
+    bronze, silver, ckpt = f"{root}/cp", scratch_path(spark, "t_cpsilver"), scratch_path(spark, "t_cpckpt")
+    assert drain_incremental_load(spark, bronze, silver, checkpoint=ckpt) == [dt.date(2024, 1, 5)]
+    assert compact_bronze(spark, bronze, "2024-01-05", "2024-01-05", landed_before=dt.datetime(2020, 1, 1)) == []
+    assert len(compact_bronze(spark, bronze, "2024-01-05", "2024-01-05")) == 1
+    assert read_bronze(spark, bronze).count() == 3 and len(read_bronze(spark, bronze).inputFiles()) == 1
+    assert drain_incremental_load(spark, bronze, silver, checkpoint=ckpt) == []
+    write_jsonl("cp/year=2024/month=01/day=05/late.jsonl.gz", [rec(9, "2024-01-05T09:00:00", "a")])
+    assert drain_incremental_load(spark, bronze, silver, checkpoint=ckpt) == [dt.date(2024, 1, 5)]
+    assert read_silver(spark, silver, "game_daily").count() == 4
+
+
 def test_restart_without_new_files_is_a_no_op(spark, write_jsonl):
     root = write_jsonl("nb/year=2024/month=01/day=05/a.jsonl.gz", [rec(1, "2024-01-05T01:00:00", "a")])
     silver, ckpt = scratch_path(spark, "t_nsilver"), scratch_path(spark, "t_nckpt")
