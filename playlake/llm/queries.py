@@ -69,7 +69,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(documents(spark, sf_dir), cut=pieces)
+    return repeated_passages(documents(spark, sf_dir), cut=pieces).drop("text_key")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,17 +159,26 @@ ORACLE_SQL: dict[str, str] = {
         kept AS (
           SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
           FROM raw WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+        counted AS (
+          SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_lines,
+                 len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words FROM kept),
         runs AS (
-          SELECT doc_id, pos, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
-          FROM kept WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+          SELECT doc_id, pos, k, n_lines, line AS a,
+                 CASE WHEN k > 1 THEN lead(line, 1) OVER w END AS b, CASE WHEN k > 2 THEN lead(line, 2) OVER w END AS c,
+                 words + CASE WHEN k > 1 THEN lead(words, 1) OVER w ELSE 0 END AS words
+          FROM counted, (SELECT unnest([1, 2, 3]) AS k)
+          WINDOW w AS (PARTITION BY doc_id, k ORDER BY pos)),
         again AS (
-          SELECT doc_id, pos FROM runs WHERE c IS NOT NULL
-          QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1),
+          SELECT doc_id, pos, k, n_lines, words FROM runs WHERE pos + k <= n_lines
+          QUALIFY row_number() OVER (PARTITION BY k, a, b, c ORDER BY doc_id, pos) > 1),
+        ends AS (
+          SELECT DISTINCT doc_id, pos AS start, pos + k AS stop FROM again WHERE k = 3 OR words >= 50 OR k = n_lines),
         marked AS (
-          SELECT *, pos > coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 3, -1) AS opens FROM again),
+          SELECT *, start > coalesce(max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS opens
+          FROM ends),
         spans AS (
-          SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM marked)
-        SELECT doc_id, min(pos) AS start, max(pos) + 3 - min(pos) AS length FROM spans GROUP BY doc_id, span
+          SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY start, stop) AS span FROM marked)
+        SELECT doc_id, min(start) AS start, max(stop) - min(start) AS length FROM spans GROUP BY doc_id, span
     """,
     "op11_jaccard_join": r"""
         WITH RECURSIVE w AS (

@@ -16,13 +16,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, slices, utf8
-from .occurrences import FOUND, LONGEST, combined, cut_texts, ids_or_last, places, repeats, spans
+from .common import slices, utf8
+from .occurrences import FOUND, LONGEST, combined, cut_texts, digests, ids_or_last, keyed, places, repeats, spans
 
 WINDOW = 16
 ONE_IN = 10
 SHORTEST = 10
 SPAN = 128
+SPAN_WORDS = 16  # or so many words: of 51 short ones more are left without the partial chunks at both ends
 LONG = 96
 PERIODS = 64
 PERIODIC = 64  # bytes of a stretch that repeats itself with some period
@@ -31,6 +32,8 @@ NEARBY = 32
 PIECE = 1 << 20
 ROWS_AT_ONCE = 2000
 
+IS_BLANK = np.isin(np.arange(256), list(b"\t\n\x0b\x0c\r "))
+
 #: The gear table: 16 bits of each byte value's hash.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 1) & 0xFFFF for b in range(256)], np.uint16)
 
@@ -110,34 +113,44 @@ def pieces(text: bytes) -> np.ndarray:
 def _chunks(cut: Callable[[bytes], np.ndarray]):
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS_AT_ONCE):
-            digests, docs, spots = [], [], []
-            for doc, text in zip(ids_or_last(batch.column(0)), utf8(batch.column(1)), strict=True):
+            chunks, docs, keys, spots = [], [], [], []
+            for doc, text, key in zip(ids_or_last(batch.column(0)), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 starts = cut(text)
-                stops = np.append(starts[1:], len(text)) if len(starts) else starts
-                pairs = zip(starts.tolist(), stops.tolist(), strict=True)
-                digests.append(np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in pairs], np.uint64))
+                if not len(starts):
+                    continue
+                stops = np.append(starts[1:], len(text))
+                chunks += [text[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
                 docs.append(np.full(len(starts), doc, np.int64))
-                spots.append(places(starts, stops - starts))
-            yield combined(np.concatenate(digests).view(np.int64), np.concatenate(docs), np.concatenate(spots))
+                keys.append(np.full(len(starts), key, np.int64))
+                spots.append(places(starts, stops - starts, _words_begun(text, starts)))
+            if chunks:
+                yield combined(*digests(chunks), *map(np.concatenate, (docs, keys, spots)))
 
     return step
 
 
+def _words_begun(text: bytes, starts: np.ndarray) -> np.ndarray:
+    """How many words begin in each chunk."""
+    blank = IS_BLANK[np.frombuffer(text, np.uint8)]
+    begins = ~blank & np.concatenate(([True], blank[:-1]))
+    return np.add.reduceat(begins.astype(np.int64), starts)
+
+
 def repeated_passages(
-    docs: DataFrame, shortest: int = SPAN, cut: Callable[[bytes], np.ndarray] = boundaries
+    docs: DataFrame, shortest: int = SPAN, cut: Callable[[bytes], np.ndarray] = boundaries, words: int | None = SPAN_WORDS
 ) -> DataFrame:
-    """One row per repeated stretch: (doc_id, start, length, source_ids), in UTF-8 bytes.
+    """One row per repeated stretch: (doc_id, start, length, source_ids, text_key), in UTF-8 bytes.
 
     A stretch consists of whole chunks that occur earlier, by (doc_id, place), in any of the
     documents ``source_ids`` (the same document included), and is at least ``shortest`` bytes
-    long. The first occurrence of a passage is not reported as a stretch, only as a source.
-    Null ids come last and are reported together under null; rows that repeat an id and text
-    count as one document. Empty texts have no chunks. ``cut`` says where the chunks of a text
+    long or has ``words`` words. The first occurrence of a passage is not reported as a stretch, only as a source.
+    Rows of one id, or without, and different texts are documents of their own, in the order of
+    ``text_key``, a hash of the text; null ids come last. Rows that repeat an id and text count as one document. Empty texts have no chunks. ``cut`` says where the chunks of a text
     begin; with ``boundaries`` text of a period under ``SHORTEST`` is one chunk and its repeats
     are missed, ``pieces`` finds them.
     """
-    found = id_and_text(docs).mapInArrow(_chunks(cut), FOUND)
-    return spans(repeats(found), shortest)
+    found = keyed(docs).mapInArrow(_chunks(cut), FOUND)
+    return spans(repeats(found), shortest, words)
 
 
 def remove_passages(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -22,12 +22,13 @@ def merged(parts, shortest):
 
 
 def expected(rows, units, shortest):
-    """Spans of the units that an earlier (id, place) holds; a repeated (id, text) is one document."""
+    """Spans of the units that an earlier (id, place) holds; a repeated (id, text) is one document.
+    Units are (value, start, stop, is it a finding itself)."""
     seen, found = set(), set()
     for i, text in sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
         covered = []
-        for value, start, stop in units(text.encode()):
-            if value in seen:
+        for value, start, stop, told in units(text.encode()):
+            if value in seen and told:
                 covered.append((start, stop))
             seen.add(value)
         found |= {(i, *m) for m in merged(covered, shortest)}
@@ -36,12 +37,15 @@ def expected(rows, units, shortest):
 
 def chunk_units(text):
     at = boundaries(text).tolist()
-    return [(text[a:b], a, b) for a, b in zip(at, [*at[1:], len(text)], strict=False)]
+    return [(text[a:b], a, b, True) for a, b in zip(at, [*at[1:], len(text)], strict=False)]
 
 
 def line_units(text):
+    """Runs of three lines; shorter ones of 50 words, and whole documents of fewer lines."""
     lines = lines_of(text)
-    return [(tuple(lines[i : i + 3]), i, i + 3) for i in range(len(lines) - 2)]
+    runs = [(i, k) for i in range(len(lines)) for k in (1, 2, 3) if i + k <= len(lines)]
+    told = lambda i, k: k == 3 or k == len(lines) or len(b" ".join(lines[i : i + k]).split()) >= 50
+    return [(tuple(lines[i : i + k]), i, i + k, told(i, k)) for i, k in runs]
 
 
 def got(df):
@@ -52,8 +56,8 @@ def got(df):
 def test_whole_tables(spark, sf):
     docs = read(spark, sf, "documents")
     rows = pairs(docs)
-    assert got(repeated_passages(docs)) == expected(rows, chunk_units, SPAN)
-    assert got(repeated_runs(docs)) == expected(rows, line_units, 3)
+    assert got(repeated_passages(docs, words=None)) == expected(rows, chunk_units, SPAN)
+    assert got(repeated_runs(docs)) == expected(rows, line_units, 1)
 
 
 def test_small_batches_give_the_same(spark, monkeypatch):
@@ -69,7 +73,7 @@ def test_odd_rows(spark):
     docs = table(spark, distinct)
     assert got(repeated_passages(docs, 5)) == expected(distinct, chunk_units, 5)
     assert {r.doc_id for r in repeated_passages(table(spark, ODD)).collect()} == {6, 7}
-    assert repeated_runs(table(spark, ODD)).count() == 0
+    assert got(repeated_runs(table(spark, ODD))) == {(7, 0, 1), (10, 0, 1), (None, 0, 1)}
     for find in (repeated_passages, repeated_runs):
         assert find(table(spark, [])).count() == 0
 
@@ -99,7 +103,7 @@ def test_later_runs_are_deleted_and_short_ones_stay(spark):
     rows = [
         (1, "a1\nb\nc\n\nd\ne1"),
         (2, "a2\n b\nc \r\nd\ne2"),  # b c d again, blanks aside
-        (3, "b\nc\ne3"),  # two lines only
+        (3, "b\nc\ne3"),  # two lines of few words only
         (4, "x\nb\nc\nd\ny\nb\nc\nd"),
         (None, "b\nc\nd"),
     ]
@@ -111,6 +115,61 @@ def test_later_runs_are_deleted_and_short_ones_stay(spark):
     }
 
 
+def test_short_runs_of_many_words_and_short_documents(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    half = [" ".join(f"{c}{i}" for i in range(25)) for c in "pq"]
+    rows = [
+        (1, f"first\n{long}\nlast"),
+        (2, f"other\n {long} \nend\nmore"),  # one line of 50 words
+        (3, f"x\n{half[0]}\n{half[1]}\ny"),
+        (4, f"{half[0]}\n{half[1]}\nz\nzz"),  # two lines, 50 words together
+        (5, f"{half[0]}\nz5\nzz5\nzzz5"),  # one line of 25 words
+        (6, "last"),  # the whole of a document, a line of another
+        (7, "end\nmore"),
+        (8, "more\nend"),
+        (9, "more\nend"),
+    ]
+    docs = table(spark, rows)
+    found = repeated_runs(docs)
+    assert got(found) == {(2, 1, 1), (4, 0, 2), (6, 0, 1), (7, 0, 2), (9, 0, 2)}
+    assert dict(pairs(remove_runs(docs, found)))[2] == "other\nend\nmore"
+
+
+def test_rows_that_share_an_id_or_have_none_are_told_apart(spark):
+    """A text that nothing repeats stays whole whatever its row's id; copies under one id or none are found."""
+    lines = "w0\nw1\nw2\nw3\nw4\nw5\nw6\nw7\nw8\nw9"
+    for odd in (None, 5):
+        rows = [(1, "a\nb\nc\nd"), (odd, "x\ny\nz\na\nb\nc"), (odd, lines)]
+        docs = table(spark, rows)
+        left = pairs(remove_runs(docs, repeated_runs(docs)))
+        assert (odd, lines) in left and (odd, "x\ny\nz") in left
+        own = " ".join(f"own{i}" for i in range(10))
+        rows = [(1, PASSAGE), (odd, f"{PASSAGE} tail one of this text"), (odd, own)]
+        docs = table(spark, rows)
+        left = [t for i, t in pairs(remove_passages(docs, repeated_passages(docs))) if i == odd]
+        assert own in left and min(map(len, left)) < 200
+    rows = [(None, f"{PASSAGE} first of its kind"), (None, f"second kind {PASSAGE}")]
+    assert len(got(repeated_passages(table(spark, rows)))) == 1
+    top = (1 << 63) - 1
+    rows = [(top, "a\nb\nc"), (None, "q\na\nb\nc"), (-(1 << 63), "z\na\nb\nc")]
+    assert {r.doc_id for r in repeated_runs(table(spark, rows)).collect()} == {top, None}
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 5])
+def test_op9_finds_passages_of_51_short_words(spark, tmp_path, letters):
+    rng = np.random.default_rng(letters)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    rows = []
+    for p in range(60):
+        passage = " ".join(word(letters) for _ in range(51))
+        for copy in range(2):
+            own = [" ".join(word(int(rng.integers(3, 9))) for _ in range(30)) for _ in range(2)]
+            rows.append((100 * copy + p, f"{own[0]} {passage} {own[1]}"))
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spans = {r.doc_id for r in op9_substring_dedup(spark, str(tmp_path)).collect()}
+    assert len(spans & set(range(100, 160))) >= 54 and not spans & set(range(60))
+
+
 def test_hot_line_and_hot_passage(spark):
     head = "one line at the head of every text"
     rows = [(i, f"{head}\nline {i} a\nline {i} b\nline {i} c") for i in range(3000)]
@@ -178,6 +237,6 @@ def test_pieces_are_spans_of_the_chunks_they_cut(spark):
 
     def units(octets):
         at = pieces(octets).tolist()
-        return [(octets[a:b], a, b) for a, b in zip(at, [*at[1:], len(octets)], strict=False)]
+        return [(octets[a:b], a, b, True) for a, b in zip(at, [*at[1:], len(octets)], strict=False)]
 
-    assert got(repeated_passages(docs, cut=pieces)) == expected(pairs(docs), units, SPAN)
+    assert got(repeated_passages(docs, cut=pieces, words=None)) == expected(pairs(docs), units, SPAN)
