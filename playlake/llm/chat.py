@@ -2,14 +2,17 @@
 
 Calls and results are hash-joined by identifier, after several results of one call are reduced
 to the first, so a hot identifier is one row when they meet. Conversations are ordered one at
-a time inside tasks; one of more than ``IN_TASK`` calls is ordered in rounds of joins instead,
-each of which places every call whose dependencies are placed, so no task ever holds it. Steps are
-numbered from range-dealt rows for the same reason.
+a time inside tasks; one of more than ``IN_TASK`` calls is ordered in rounds of joins instead, so no
+task ever holds it: chains of calls with one dependency each are shortened by pointer doubling, in as
+many rounds as their length has binary digits, and the calls with several dependencies are then
+placed round by round. Steps are numbered from range-dealt rows for the same reason.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -20,14 +23,21 @@ from .common import slices, written
 
 ROWS_AT_ONCE = 1000
 IN_TASK = 10_000  # calls of a conversation that one task orders
-NO_CONVERSATION = -(1 << 63)  # stands for a null conversation id in joins
+DEEPEST = 200  # levels of nesting that arguments may have
+LONE = re.compile("[\ud800-\udfff]")  # halves of surrogate pairs, which no UTF-8 text holds
+
+
+def escaped(text: str) -> str:
+    """Lone surrogates as the JSON escapes they came from."""
+    return LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def canonical(value) -> str:
     """JSON with sorted keys and no spaces: equal values give equal text.
 
     Keys sort by their UTF-16 code units; whole floats are written as integers, other floats
-    in their shortest form. Not-a-number and infinities have no JSON and raise ValueError.
+    in their shortest form; lone surrogates stay escapes. Not-a-number and infinities have no
+    JSON and raise ValueError.
     """
     if isinstance(value, dict):
         pairs = sorted(value.items(), key=lambda kv: kv[0].encode("utf-16-be", "surrogatepass"))
@@ -36,7 +46,7 @@ def canonical(value) -> str:
         return "[" + ",".join(map(canonical, value)) + "]"
     if isinstance(value, float) and value.is_integer() and abs(value) < 1e21:
         return str(int(value))
-    text = json.dumps(value, ensure_ascii=False, allow_nan=False)
+    text = escaped(json.dumps(value, ensure_ascii=False, allow_nan=False))
     return text.replace("e-0", "e-") if isinstance(value, float) else text
 
 
@@ -59,7 +69,7 @@ def schema_errors(value, schema: dict, path: str = "$") -> list[str]:
     if kinds and not any(_KINDS[k](value) for k in kinds):
         return [f"{path}: not {' or '.join(kinds)}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):  # true is not 1
         found.append(f"{path}: not among the values allowed")
     if _KINDS["number"](value):
         if value < schema.get("minimum", value):
@@ -86,6 +96,31 @@ def schema_errors(value, schema: dict, path: str = "$") -> list[str]:
     return found
 
 
+def _finite(text: str) -> float:
+    if math.isinf(number := float(text)):
+        raise OverflowError
+    return number
+
+
+def parsed(text: str | None):
+    """(arguments, errors) of a JSON text. What cannot be kept stays the text it is, with one error:
+    no JSON, a number beyond a double, nesting deeper than ``DEEPEST``."""
+    try:
+        value = json.loads(text or "", parse_constant=lambda c: 1 / 0, parse_float=_finite)
+    except RecursionError:
+        return text, ["$: nested too deep"]
+    except OverflowError:
+        return text, ["$: number out of range"]
+    except (ValueError, ZeroDivisionError):
+        return text, ["$: not JSON"]
+    level, depth = [value], 0
+    while level := [v for x in level if isinstance(x, (dict, list)) for v in (x.values() if isinstance(x, dict) else x)]:
+        depth += 1
+        if depth > DEEPEST:
+            return text, ["$: nested too deep"]
+    return value, []
+
+
 def levels_of(depends: dict[str, list[str]]) -> dict[str, int]:
     """Levels of one conversation's calls; calls in or behind a cycle are left out."""
     waits = {call: {d for d in needed if d in depends} for call, needed in depends.items()}
@@ -106,17 +141,18 @@ def levels_of(depends: dict[str, list[str]]) -> dict[str, int]:
 
 def _levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (conv_id, call_id, depends_on) by conversation -> (conv_id, call_id, level)."""
-    current, depends = None, {}
+    current, depends, kind = None, {}, pa.int64()
 
     def closed() -> pa.RecordBatch:
         levels = levels_of(depends)
         columns = [[current] * len(depends), list(depends), [levels.get(c) for c in depends]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32()), strict=True)],
+            [pa.array(c, t) for c, t in zip(columns, (kind, pa.string(), pa.int32()), strict=True)],
             names=["conv_id", "call_id", "level"],
         )
 
     for batch in batches:
+        kind = batch.column(0).type
         for conv, call, needed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if conv != current and depends:
                 yield closed()
@@ -138,27 +174,54 @@ def topological_levels(calls: DataFrame, in_task: int = IN_TASK) -> DataFrame:
     some = not large.isEmpty()
     small = calls.join(large, "conv_id", "left_anti") if some else calls
     dealt = small.select("conv_id", "call_id", "depends_on").repartition("conv_id").sortWithinPartitions("conv_id")
-    found = dealt.mapInArrow(_levels, "conv_id long, call_id string, level int")
+    found = dealt.mapInArrow(_levels, f"conv_id {calls.schema['conv_id'].dataType.simpleString()}, call_id string, level int")
     return found.unionByName(_levels_by_rounds(calls.join(large, "conv_id", "left_semi"))) if some else found
 
 
 def _levels_by_rounds(calls: DataFrame) -> DataFrame:
-    """``topological_levels`` by joins: every round places the calls whose dependencies are placed."""
-    nodes = calls.select("conv_id", "call_id")
+    """``topological_levels`` by joins: chains by pointer doubling, what is left round by round."""
+    name = ["conv_id", "call_id"]
+    nodes = calls.select(*name)
     parents = nodes.withColumnRenamed("call_id", "parent")
-    wanted = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("parent"))
+    wanted = calls.select(*name, F.explode(F.array_distinct("depends_on")).alias("parent"))
     edges = written(wanted.join(parents, ["conv_id", "parent"], "left_semi"), "chat-edges")
-    waiting = edges.select("conv_id", "call_id").distinct()
-    frontier = written(nodes.join(waiting, ["conv_id", "call_id"], "left_anti"), "chat-level")
-    levels, level = frontier.withColumn("level", F.lit(0)), 0
+    degrees = written(edges.groupBy(*name).agg(F.count("*").alias("n")), "chat-degrees")
+    single = degrees.where("n = 1").select(*name)
+    # Each call with one dependency points to it, then to that one's, twice as far in every round, up to a
+    # call that has none or several.
+    chain = written(edges.join(single, name, "left_semi").withColumn("far", F.lit(1)), "chat-chain")
+    for _ in range(max(1, chain.count()).bit_length()):
+        step = chain.select("conv_id", F.col("call_id").alias("parent"), F.col("parent").alias("next"), F.col("far").alias("more"))
+        joined = chain.join(step, ["conv_id", "parent"], "left")
+        chain = written(
+            joined.select(*name, F.coalesce("next", "parent").alias("parent"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far")),
+            "chat-chain",
+        )
+    # A chain that still points into a chain goes round: its calls have no level.
+    ends = chain.select("conv_id", "call_id", F.col("parent").alias("end"), "far")
+    reach = ends.withColumnRenamed("call_id", "parent")
+    several = edges.join(single, name, "left_anti").join(reach, ["conv_id", "parent"], "left").select(
+        *name, F.coalesce("end", "parent").alias("parent"), (F.coalesce("far", F.lit(0)) + 1).alias("far"))
+    edges = written(several.groupBy(*name, "parent").agg(F.max("far").alias("far")), "chat-several")
+    placed = written(nodes.join(degrees, name, "left_anti").withColumn("level", F.lit(0)), "chat-level")
+    frontier = levels = placed
     while not edges.isEmpty() and not frontier.isEmpty():
         done = frontier.withColumnRenamed("call_id", "parent")
-        left = written(edges.join(done, ["conv_id", "parent"], "left_anti"), "chat-edges")
-        still = left.select("conv_id", "call_id").distinct()
-        free = edges.select("conv_id", "call_id").distinct().join(still, ["conv_id", "call_id"], "left_anti")
-        frontier, edges, level = written(free, "chat-level"), left, level + 1
-        levels = levels.unionByName(frontier.withColumn("level", F.lit(level)))
-    return nodes.join(levels, ["conv_id", "call_id"], "left")
+        hit = edges.join(done, ["conv_id", "parent"], "left")
+        # Of a call whose dependencies are placed in part, the highest so far is kept as an edge of no parent.
+        told = hit.withColumn("at", F.coalesce(F.col("level") + F.col("far"), F.when(F.col("parent").isNull(), F.col("far"))))
+        per = told.groupBy(*name).agg(F.max("at").alias("at"), F.count_if(F.col("at").isNull()).alias("open"))
+        per = written(per, "chat-per")
+        frontier = written(per.where("open = 0").select(*name, F.col("at").alias("level")), "chat-level")
+        levels = levels.unionByName(frontier)
+        waiting = per.where("open > 0")
+        left = told.where("at is null").select(*name, "parent", "far")
+        carried = waiting.where("at is not null").select(*name, F.lit(None).cast("string").alias("parent"), F.col("at").alias("far"))
+        edges = written(left.unionByName(carried), "chat-edges")
+    levels = written(levels, "chat-levels")
+    by_chain = ends.join(levels.withColumnRenamed("call_id", "end"), ["conv_id", "end"]).select(
+        *name, (F.col("level") + F.col("far")).alias("level"))
+    return nodes.join(levels.unionByName(by_chain), name, "left")
 
 
 def numbered(df: DataFrame, group: str, order: list) -> DataFrame:
@@ -185,12 +248,7 @@ FORMATTED = (
 
 def _messages(schemas: dict[str, dict]):
     def message(row: dict) -> dict:
-        errors = []
-        try:
-            arguments = json.loads(row["arguments"] or "", parse_constant=lambda c: 1 / 0)
-        except (ValueError, ZeroDivisionError, RecursionError):
-            arguments = row["arguments"]
-            errors.append("$: not JSON")
+        arguments, errors = parsed(row["arguments"])
         if row["name"] not in schemas:
             errors.append("no schema of that name")
         elif not errors:
@@ -210,7 +268,7 @@ def _messages(schemas: dict[str, dict]):
         }
         return {k: row[k] for k in ("conv_id", "step", "level", "call_id", "name", "n_results")} | {
             "valid": not errors,
-            "errors": errors,
+            "errors": [escaped(e) for e in errors],
             "message": canonical(body),
         }
 
@@ -237,13 +295,16 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, d
     without level. Of several calls of one id in a conversation the first by position (then by
     arguments) holds, and so of several results. Calls without id are dropped, as nothing can
     name them. A null conversation is one of its own, results without a call are ignored.
-    ``errors`` names arguments that are not JSON or break the schema of that name, missing
+    ``errors`` names arguments that are not JSON, hold a number beyond a double or nest deeper than
+    ``DEEPEST`` (the message then holds their text), or break the schema of that name, missing
     dependencies and results, and cycles.
     """
     in_order = F.struct("position", "arguments", "name", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
-    unique = calls.where("call_id is not null").groupBy(F.coalesce("conv_id", F.lit(NO_CONVERSATION)).alias("conv_id"), "call_id")
+    # Ids become text inside, so that a null one has a name no number has.
+    conversation = F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv_id")
+    unique = calls.where("call_id is not null").groupBy(conversation, "call_id")
     calls = written(unique.agg(F.min(in_order).alias("c")).select("conv_id", "call_id", "c.*"), "chat-calls")
-    first = results.groupBy(F.coalesce("conv_id", F.lit(NO_CONVERSATION)).alias("conv_id"), "call_id").agg(
+    first = results.groupBy(conversation, "call_id").agg(
         F.min(F.struct("position", "content")).alias("r"), F.count("*").alias("n_results")
     )
     linked = calls.join(first.hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(
@@ -259,7 +320,7 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, d
         F.col("r.content").alias("content"), F.coalesce("n_results", F.lit(0)).alias("n_results"),
     )
     ordered = numbered(rows, "conv_id", [F.col("level").asc_nulls_last(), "position", "call_id"])
-    plain = ordered.withColumn("conv_id", F.when(F.col("conv_id") != NO_CONVERSATION, F.col("conv_id")))
+    plain = ordered.withColumn("conv_id", F.col("conv_id").try_cast("bigint"))
     return plain.mapInArrow(_messages(schemas), FORMATTED)
 
 

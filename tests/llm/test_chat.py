@@ -1,13 +1,15 @@
 """Chat formatting against plain Python, with cycles, missing parts, bad arguments and repeated ids."""
 
 import json
+import random
+import time
 from collections import defaultdict
 
 import pytest
 from corpus_rows import read
 from hypothesis import given, settings, strategies as st
 
-from playlake.llm.chat import ANSWER_SCHEMA, calls_of_conversations, canonical, format_tool_calls, numbered, schema_errors, topological_levels
+from playlake.llm.chat import ANSWER_SCHEMA, calls_of_conversations, canonical, format_tool_calls, levels_of, numbered, schema_errors, topological_levels
 
 CALLS = "conv_id long, call_id string, name string, arguments string, depends_on array<string>, position long, level string, step string"
 RESULTS = "conv_id long, call_id string, content string, position long, valid string"
@@ -158,3 +160,61 @@ def test_schema_rules():
     assert schema_errors({"l": [], "s": ""}, schema) == ["$.l: shorter than 1", "$.s: not among the values allowed", "$.s: shorter than 1"]
     assert schema_errors({"l": [-1, 10, True]}, schema) == ["$.l: longer than 2", "$.l[0]: below 0", "$.l[1]: above 9", "$.l[2]: not number"]
     assert schema_errors(3, schema) == ["$: not object or null"]
+
+
+def test_arguments_no_json_text_can_keep(spark):
+    """Numbers beyond a double, lone surrogates and deep nesting give errors, not a crash."""
+    deep = "[" * 2000 + "]" * 2000
+    calls = [
+        (1, "a", "add", '{"a":1e999}', [], 0),
+        (1, "b", "add", r'{"a":1,"\ud800":"x\udfff"}', [], 1),
+        (1, "c", "add", deep, [], 2),
+        (1, "d", "add", "[" * 200 + "]" * 200, [], 3),
+        (1, "e", "add", '{"a":' + "9" * 5000 + "}", [], 4),
+        (1, "f", "add", '{"a":NaN}', [], 5),
+        (1, "g", "add", r'{"a":1,"z":"\ud83d\ude00"}', [], 6),
+    ]
+    rows = {r.call_id: r for r in run(spark, calls, [(1, c[1], "r", 0) for c in calls])}
+    assert rows["a"].errors == ["$: number out of range"] and json.loads(rows["a"].message)["arguments"] == '{"a":1e999}'
+    assert rows["b"].errors == [r"$.\ud800: unknown"]
+    assert json.loads(rows["b"].message)["arguments"] == {"a": 1, "\ud800": "x\udfff"}
+    assert rows["c"].errors == ["$: nested too deep"] and json.loads(rows["c"].message)["arguments"] == deep
+    assert rows["d"].errors == ["$: not object"]
+    assert rows["e"].errors == ["$: not JSON"] and rows["f"].errors == ["$: not JSON"]
+    assert json.loads(rows["g"].message)["arguments"]["z"] == "\U0001f600"
+
+
+def test_enum_tells_booleans_from_numbers():
+    for value, allowed, fits in ((True, [1], False), (1, [True], False), (1.0, [1], True), (0, [False], False), ([1], [[True]], False),
+                                 ({"a": 1}, [{"a": 1.0}], True), (None, [None], True), ("1", [1], False)):
+        assert (schema_errors(value, {"enum": allowed}) == []) == fits
+
+
+def test_null_conversations_and_extreme_ids_are_told_apart(spark):
+    calls = [(i, "a", "add", '{"a":1}', [], 0) for i in (None, -(1 << 63), (1 << 63) - 1)]
+    rows = run(spark, calls, [(-(1 << 63), "a", "mine", 0)])
+    assert {r.conv_id: r.n_results for r in rows} == {None: 0, -(1 << 63): 1, (1 << 63) - 1: 0}
+
+
+def test_levels_of_random_graphs_by_rounds(spark):
+    rng = random.Random(8)
+    rows, want = [], set()
+    for conv in range(12):
+        depends = {}
+        for i in range(40):
+            pool = range(max(0, i - 6), i) if conv % 3 else range(40)  # every third conversation has cycles
+            depends[f"c{i}"] = [f"c{j}" for j in rng.sample(pool, min(len(pool), rng.choice((0, 1, 1, 1, 2, 3))))]
+        rows += [(conv, c, d) for c, d in depends.items()]
+        levels = levels_of(depends)
+        want |= {(conv, c, levels.get(c)) for c in depends}
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>")
+    assert {tuple(r) for r in topological_levels(calls, in_task=1).collect()} == want
+
+
+def test_a_chain_of_20000_calls_by_rounds(spark):
+    began, size = time.monotonic(), 20_000
+    calls = spark.range(size).selectExpr(
+        "1L AS conv_id", "concat('c', id) AS call_id", "if(id > 0, array(concat('c', id - 1)), array()) AS depends_on")
+    found = topological_levels(calls, in_task=100)
+    assert found.where("level = cast(substring(call_id, 2) AS int)").count() == size
+    assert time.monotonic() - began < 60
