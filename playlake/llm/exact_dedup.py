@@ -45,27 +45,26 @@ def _digests(hasher):
     return run
 
 
-def _normalised(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    for batch in slices(batches, ROWS_AT_ONCE):
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(_plain(batch.column(1)), pa.binary())], names=["h", "plain"]
-        )
+def _normalised(hasher):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in slices(batches, ROWS_AT_ONCE):
+            plain = _plain(batch.column(1))
+            columns = [batch.column(0), *(pa.array(c, pa.binary()) for c in (map(hasher, plain), plain))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "h", "plain"])
 
+    return run
 
-def _collided(docs: DataFrame, narrow: DataFrame) -> DataFrame:
+
+def _collided(docs: DataFrame, narrow: DataFrame, hasher) -> DataFrame:
     """Hashes under which different texts met, by comparing the bytes of every repeated hash."""
     # Written, here and below, so that a join shuffles both sides itself and may split a hot group.
     repeated = written(narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "exact-repeated")
     ids = written(narrow.join(repeated, "h", "left_semi").select("doc_id", "h").distinct(), "exact-members")
-    members = id_and_text(docs).alias("d").join(
-        ids.hint("merge").alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id"))
-    )
-    texts = (
-        members.select("i.h", "d.text")
-        .mapInArrow(_normalised, "h binary, plain binary")
-        .groupBy("h", "plain")
-        .agg(F.count("*").alias("n"))
-    )
+    # By id and hash: rows that share an id, or have none, meet their own hash only.
+    plain = id_and_text(docs).mapInArrow(_normalised(hasher), "doc_id long, h binary, plain binary").alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("d.h") == F.col("i.h"))
+    members = plain.join(ids.hint("merge").alias("i"), same)
+    texts = members.select("d.h", "d.plain").groupBy("h", "plain").agg(F.count("*").alias("n"))
     per_hash = texts.groupBy("h").agg(F.count("*").alias("texts"))
     return written(per_hash.where("texts > 1"), "exact-collided")
 
@@ -83,7 +82,7 @@ def exact_groups(docs: DataFrame, hasher=content_hash) -> DataFrame:
     narrow = written(
         source.mapInArrow(_digests(hasher), "doc_id long, h binary, sha binary, n_points long"), "exact-narrow"
     )
-    collided = _collided(docs, narrow)
+    collided = _collided(docs, narrow, hasher)
     if collided.isEmpty():
         keyed = narrow.withColumnRenamed("h", "key")
     else:  # the digest tells the texts of one hash apart

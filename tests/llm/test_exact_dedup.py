@@ -64,3 +64,13 @@ def test_hot_group(spark):
     rows = [(i, "same text in a third of the rows") for i in range(3000)] + [(i, f"text {i}") for i in range(3000, 9000)]
     left = drop_exact_copies(table(spark, rows))
     assert left.count() == 6001 and left.agg({"doc_id": "min"}).first()[0] == 0
+
+
+def test_rows_without_id_meet_their_own_hash_only(spark):
+    """600 rows without id in 300 pairs: as many texts are compared, and no hash is taken for collided."""
+    from playlake.llm import exact_dedup
+
+    docs = table(spark, [(None, f"text number {i // 2}") for i in range(600)]).repartition(5)
+    narrow = docs.select("doc_id", "text").selectExpr("cast(doc_id AS long) doc_id", "unhex(md5(replace(text, ' ', ''))) AS h")
+    assert exact_dedup._collided(docs, narrow, exact_dedup.content_hash).count() == 0
+    assert sorted({r.group_size for r in exact_dedup.exact_groups(docs).collect()}) == [2]
