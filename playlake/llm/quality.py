@@ -153,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
     """The model of ``docs`` whose ``labels.quality`` (0 or 1) is known.
 
     Only ids whose crc32 modulo ``FOLDS`` is not 0 are learned from. Labels without id or
-    quality are ignored; of several labels of one id the highest holds. ``sample`` bounds
+    quality are ignored; of several labels of one id the highest holds, of several texts the smallest. ``sample`` bounds
     the number of labels used (those of the smallest hashed ids), and so the one task and
     the broadcast of their ids.
     """
@@ -167,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
         .limit(sample)
     )
     rows = id_and_text(docs).join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
-    one_task = rows.select("text", F.col("good").cast("bigint").alias("good"), "doc_id").repartition(1)
+    # One row of each id: a labelled id that repeats without end brings a row a task here.
+    once = rows.groupBy("doc_id", F.col("good").cast("bigint").alias("good")).agg(F.min("text").alias("text"))
+    one_task = once.select("text", "good", "doc_id").repartition(1)
     ordered = one_task.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", "good")
     found = ordered.mapInArrow(_train, "weights binary, bias double").first()
     if found is None:

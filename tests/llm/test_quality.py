@@ -69,3 +69,11 @@ def test_repeated_labels_and_clashing_columns(spark):
     labels = spark.createDataFrame([(i, i % 2, 0, "x") for i in range(200)] * 2, "doc_id long, quality int, toxic int, score string")
     kept = {r.doc_id for r in keep_quality(docs, train(docs, labels)).collect()}
     assert kept == {i for i in range(200) if i % 2}
+
+
+def test_a_labelled_id_that_repeats_is_learned_from_once(spark):
+    docs, labels = read(spark, "sf0.001", "documents"), read(spark, "sf0.001", "labels")
+    one = docs.join(labels, "doc_id").where("doc_id % 7 = 3").select(docs.columns).limit(1)
+    many = docs.unionByName(one.selectExpr("explode(array_repeat(struct(*), 3000)) AS r").select("r.*"))
+    plain, again = train(docs, labels), train(many.repartition(6), labels)
+    assert plain.bias == again.bias and (plain.weights == again.weights).all()
