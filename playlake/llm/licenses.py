@@ -84,7 +84,11 @@ class Scanner:
     def exact_places(self, plain: bytes) -> list[tuple[int, str]]:
         """(word number, label) of every place where a phrase's words stand in a row."""
         found = [(m.start(), label) for pattern, label in self.exact for m in pattern.finditer(plain)]
-        return [(plain.count(b" ", 0, at), label) for at, label in sorted(found)]
+        places, number, last = [], 0, 0
+        for at, label in sorted(found):
+            number, last = number + plain.count(b" ", last, at), at
+            places.append((number, label))
+        return places
 
     def spans(self, plain: str) -> list[tuple[str, int, int, int, float]]:
         """(label, start, end, edits, likeness) of the best matches in every candidate window, none

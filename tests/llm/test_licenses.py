@@ -94,3 +94,13 @@ def test_neighbouring_notices_with_different_edits():
             starts = {a for _, a, b, _, _ in Scanner().spans(plain) if b - a >= len(first)}
             assert set(parts) <= found
             assert starts >= {sum(len(p) + len(gap) for p in parts[:i]) for i in range(len(parts))}
+
+
+def test_a_dense_text_is_counted_once():
+    import time
+
+    plain = b"mit license x " * 60_000
+    began = time.monotonic()
+    found = Scanner().exact_places(plain)
+    assert time.monotonic() - began < 2
+    assert [n for n, _ in found] == list(range(0, 180_000, 3))
