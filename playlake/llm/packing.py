@@ -30,7 +30,8 @@ MAX_TOKENS = 4096
 MAX_SEGMENTS = 256
 MAX_LOSS = 4096
 WAITING = 512
-REMEMBERED = 500_000
+REMEMBERED = 500_000  # words, of up to ``SHORT`` bytes, so that what is remembered is bounded in bytes too
+SHORT = 64
 ROWS_AT_ONCE = 500
 
 #: Letters, digits and signs for which the pre-tokenizer's pattern can be stated in bytes of
@@ -62,9 +63,10 @@ class WordTokenizer:
     def _part(self, part: str) -> bytes:
         spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
         ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-        if len(self.parts) >= REMEMBERED:
-            self.parts.clear()
-        self.parts[part] = ids
+        if len(part) <= SHORT:
+            if len(self.parts) >= REMEMBERED:
+                self.parts.clear()
+            self.parts[part] = ids
         return ids
 
     def _word(self, word: bytes) -> bytes:
@@ -73,9 +75,10 @@ class WordTokenizer:
             ids = b"".join([self.parts.get(p) or self._part(p) for p in PRETOKEN.findall(text.lower())])
         else:
             ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        self.words[word] = ids
+        if len(word) <= SHORT:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[word] = ids
         return ids
 
     def ids(self, text: bytes) -> bytes:
