@@ -189,6 +189,20 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     return id_and_text(docs).mapInArrow(_fingerprints(width), "doc_id long, fp long")
 
 
+def _components(docs: DataFrame, width: int, max_bits: int, blocks: int, run: int) -> DataFrame:
+    """(doc_id, fp, component, component_id) of each row: ``component`` is a fingerprint of its own."""
+    prints = written(fingerprints(docs, width), "simhash-prints")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    labels = connected_components(near_links(nodes.select("fp"), max_bits, blocks, run))
+    named = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), "first_id"
+    )
+    # Written, so that each join shuffles both sides itself and may split a hot key.
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    known = named.join(written(smallest, "simhash-smallest"), "component").select("fp", "component", "component_id")
+    return prints.join(written(known, "simhash-known"), "fp")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, blocks: int = BLOCKS, run: int = RUN
 ) -> DataFrame:
@@ -200,35 +214,25 @@ def near_duplicates(
     the document itself included; null only if nothing reachable has an id. Empty and null
     texts share fingerprint zero and are linked like any other.
     """
-    prints = written(fingerprints(docs, width), "simhash-prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    labels = connected_components(near_links(nodes.select("fp"), max_bits, blocks, run))
-    named = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
-        "fp", F.coalesce("component", "fp").alias("component"), "first_id"
-    )
-    # Written, so that each join shuffles both sides itself and may split a hot key.
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = named.join(written(smallest, "simhash-smallest"), "component").select("fp", "component_id")
-    known = written(known, "simhash-known")
-    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+    return _components(docs, width, max_bits, blocks, run).select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with its own columns and one document of each component: the one with the smallest id.
-
-    Rows that repeat a kept id within its component are reduced to one for each fingerprint.
-    """
-    found = written(near_duplicates(docs, width, max_bits), "simhash-groups")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    per_id = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    both = gone.join(kept.select(F.col("doc_id").alias("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    if per_id.isEmpty() and both.isEmpty():  # ids tell the rows apart
-        gone_ids = gone.select(F.col("doc_id").alias("gone_id")).distinct().hint("merge")
+    """``docs`` with its own columns and one row of each component: the one with the smallest id, null
+    last; of several the one with the smallest fingerprint, and any of those that share both."""
+    found = written(_components(docs, width, max_bits, BLOCKS, RUN), "simhash-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")))
+    kept = written(found.groupBy("component").agg(first.alias("r")).select("component", "r.kept_id", "r.kept_fp"), "simhash-kept")
+    is_kept = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
+    marked = found.join(kept, "component").select("doc_id", "fp", is_kept.alias("kept"))
+    gone = marked.where("not kept").select(F.col("doc_id").alias("gone_id"))
+    again = marked.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    both = gone.join(kept, F.col("gone_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    if again.isEmpty() and both.isEmpty():  # ids tell the rows apart
+        gone_ids = gone.distinct().hint("merge")
         return docs.join(gone_ids, docs["doc_id"].eqNullSafe(gone_ids["gone_id"]), "left_anti")
     print_of = F.pandas_udf(lambda s: s.fillna("").map(lambda t: _signed(fingerprint(t.encode(), width))), "long")
     name = free_name(docs, "_fp")
     keyed = docs.withColumn(name, print_of(F.col("text").cast("string")))
-    ids = kept.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct()
-    on = keyed["doc_id"].eqNullSafe(ids["kept_id"]) & (keyed[name] == ids["kept_fp"])
-    return keyed.join(ids, on, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    on = keyed["doc_id"].eqNullSafe(kept["kept_id"]) & (keyed[name] == kept["kept_fp"])
+    return keyed.join(kept.select("kept_id", "kept_fp"), on, "left_semi").dropDuplicates(["doc_id", name]).drop(name)

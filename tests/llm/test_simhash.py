@@ -117,3 +117,15 @@ def test_one_document_of_each_component_stays(spark):
     left = drop_near_copies(docs)
     assert left.columns == docs.columns
     assert sorted(r.doc_id for r in left.collect()) == [1, 3, 6, 8, 9]
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    base = [f"word{i}" for i in range(4000)]
+    near = [" ".join([*base[:i], "other", *base[i + 1 :]]) for i in (10, 200, 390)] + [" ".join(base)]
+    other = " ".join(f"else{i}" for i in range(400))
+    for ids in ((None,) * 4, (7,) * 4, (7, 7, None, None), (3, 7, None, 3)):
+        rows = [*zip(ids, near, strict=True), (None, other), (7, other), (7, other)]
+        left = pairs(drop_near_copies(table(spark, rows).repartition(3)))
+        assert sorted(t == other for _, t in left) == [False, True], ids
+        assert all(i == min((x for x in ids if x is not None), default=None) for i, t in left if t != other)
+        assert all(i == 7 for i, t in left if t == other)
