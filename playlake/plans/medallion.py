@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,6 +23,7 @@ from playlake.operators.growth import game_growth, genre_growth, publisher_growt
 from playlake.operators.growth_state import (
     TAIL_COLUMNS, TAIL_DDL, batch_growth, changed_games, changed_growth, next_tail,
 )
+from playlake.operators.segment_state import STATE_DDL, added
 from playlake.operators.silver import (
     bronze_to_silver, category_bridge, company_bridge, genre_bridge, silver_main,
 )
@@ -261,7 +263,10 @@ def _tail_day(spark: SparkSession, growth_path: str) -> _dt.date | None:
     return max((_dt.date.fromisoformat(p.rstrip("/")[-10:]) for p in done), default=None)
 
 
-def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start, end, layout: str = "date") -> str:
+def maintain_growth(
+    spark: SparkSession, fact_path: str, growth_path: str, start, end, layout: str = "date",
+    on_change: Callable[[DataFrame, DataFrame], None] | None = None,
+) -> str:
     """SURVEY 7.5: bring the materialized growth up to date after fact days ``[start, end]`` were loaded.
 
     ``<growth>/rows`` has a folder per day (``layout="month"``: per month, for tables of many
@@ -275,6 +280,9 @@ def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start
       those days and their next snapshots within the longest lag, and only the folders touched are written
       (``"repaired"``). Rows of other games are not read from the fact past the semi-join.
     * No growth yet: the whole history up to ``end`` (``"rebuilt"``).
+
+    ``on_change(gone, come)`` is called with the growth rows that go and those that come, before
+    anything is overwritten (``maintain_segments`` makes views of them).
     """
     root, folder = growth_path.rstrip("/"), _growth_folder(layout)
     start, end = to_date_param(start), to_date_param(end)
@@ -282,7 +290,7 @@ def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start
     until = end if through is None else max(end, through)
     fact = read_fact(spark, fact_path).select(*TAIL_COLUMNS).where(F.col("snapshot_date") <= F.lit(until))
     if through is None:
-        _replace_growth(spark, root, folder, game_growth(fact), None, set())
+        _replace_growth(spark, root, folder, game_growth(fact), None, set(), on_change)
         _write_tail(spark, root, next_tail(fact), until)
         return "rebuilt"
     old_tail = spark.read.schema(TAIL_DDL).parquet(f"{root}/tail/through={through.isoformat()}")
@@ -292,7 +300,7 @@ def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start
     touched = lambda days: {r.p for r in before.where(days).select(folder[1].alias("p")).distinct().collect()}
     if start > through:
         batch = read_fact(spark, fact_path, through + _dt.timedelta(days=1), end).select(*TAIL_COLUMNS)
-        _replace_growth(spark, root, folder, batch_growth(old_tail, batch, through), new, touched(new))
+        _replace_growth(spark, root, folder, batch_growth(old_tail, batch, through), new, touched(new), on_change)
         _write_tail(spark, root, next_tail(old_tail.unionByName(batch)), until)
         return "advanced"
     changed = F.col("snapshot_date").between(F.lit(start), F.lit(end)) | new
@@ -301,17 +309,21 @@ def maintain_growth(spark: SparkSession, fact_path: str, growth_path: str, start
     games.write.parquet(keys)  # read by every branch below
     games = spark.read.schema("appid bigint").parquet(keys)
     history = fact.join(games, "appid", "left_semi")
-    _replace_growth(spark, root, folder, changed_growth(history, before, changed), changed, touched(changed))
+    _replace_growth(spark, root, folder, changed_growth(history, before, changed), changed, touched(changed), on_change)
     others = old_tail.join(games, "appid", "left_anti")
     _write_tail(spark, root, next_tail(history.unionByName(others.select(*TAIL_COLUMNS))), until)
     return "repaired"
 
 
-def _replace_growth(spark, root: str, folder: tuple[str, Column], rows: DataFrame, changed: Column | None, touched: set) -> None:
+def _replace_growth(
+    spark, root: str, folder: tuple[str, Column], rows: DataFrame, changed: Column | None, touched: set, on_change=None
+) -> None:
     """Overwrite the folders of ``rows`` and those ``touched``, keeping their other stored rows: those in no
     changed day whose game and day are not among ``rows``. A folder left without rows is removed."""
     name, value = folder
     path = f"{root}/rows"
+    if changed is None and on_change:
+        on_change(spark.createDataFrame([], GROWTH_DDL), rows.select(*GROWTH_COLUMNS))
     if changed is not None:
         staged = scratch_path(spark, "growth_rows")
         rows.write.parquet(staged)  # what is overwritten must not be read meanwhile
@@ -319,7 +331,14 @@ def _replace_growth(spark, root: str, folder: tuple[str, Column], rows: DataFram
         touched = touched | {r.p for r in rows.select(value.alias("p")).distinct().collect()}
         if not touched:
             return
-        kept = _stored_growth(spark, root).where(F.col(name).isin(*touched) & ~changed).join(rows.select("appid", "snapshot_date").distinct(), ["appid", "snapshot_date"], "left_anti")
+        stored = _stored_growth(spark, root).where(F.col(name).isin(*touched)).select(*GROWTH_COLUMNS)
+        days = rows.select("appid", "snapshot_date").distinct()
+        kept = stored.where(~changed).join(days, ["appid", "snapshot_date"], "left_anti")
+        if on_change:
+            again = stored.where(~changed).join(days, ["appid", "snapshot_date"], "left_semi")
+            gone = stored.where(changed).unionByName(again.select(*GROWTH_COLUMNS))
+            gone = gone.where(F.col("snapshot_date") <= F.lit(_tail_day(spark, root)))  # not what a failed run has left
+            on_change(gone.exceptAll(rows.select(*GROWTH_COLUMNS)), rows.select(*GROWTH_COLUMNS).exceptAll(gone))
         whole = scratch_path(spark, "growth_merged")
         rows.unionByName(kept.select(*GROWTH_COLUMNS)).write.parquet(whole)
         rows = spark.read.schema(GROWTH_DDL).parquet(whole)
@@ -338,6 +357,41 @@ def _replace_growth(spark, root: str, folder: tuple[str, Column], rows: DataFram
         _delete_path(spark, f"{path}/{name}={gone}")
 
 
+def read_segments(spark: SparkSession, path: str) -> DataFrame:
+    """The stored sums per (date, segment)."""
+    return read_table(spark, path, STATE_DDL).select(*[c.split()[0] for c in STATE_DDL.split(", ")])
+
+
+def maintain_segments(spark: SparkSession, path: str, deltas: DataFrame, layout: str = "date") -> None:
+    """Add signed deltas (``operators.segment_state``) to the sums stored under ``path``.
+
+    Only the folders of dates that change are read and overwritten, each whole. Adding is not
+    repeatable: a run that failed here is made up for by an empty path and the deltas of all rows.
+    """
+    name, value = _growth_folder(layout)
+    staged, merged = scratch_path(spark, "segment_deltas"), scratch_path(spark, "segment_sums")
+    deltas.write.parquet(staged)
+    deltas = spark.read.schema(STATE_DDL).parquet(staged)
+    touched = {r.p for r in deltas.select(value.alias("p")).distinct().collect()}  # one per day at most
+    if not touched:
+        return
+    state = read_table(spark, path, STATE_DDL)
+    state = state.where(F.col(name).isin(*touched)) if name in state.columns else state
+    added(state, deltas).write.parquet(merged)
+    sums = spark.read.schema(STATE_DDL).parquet(merged)
+    (
+        sums.withColumn(name, value)
+        .hint("rebalance", name)
+        .sortWithinPartitions(name, "snapshot_date", "segment")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(name)
+        .parquet(path)
+    )
+    for gone in touched - {r.p for r in sums.select(value.alias("p")).distinct().collect()}:
+        _delete_path(spark, f"{path.rstrip('/')}/{name}={gone}")
+
+
 def _write_tail(spark, root: str, tail: DataFrame, through: _dt.date) -> None:
     """The tail up to ``through``; older ones go once it is there. It may be made from the one it replaces."""
     staged = scratch_path(spark, "growth_tail")

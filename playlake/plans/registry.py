@@ -19,12 +19,15 @@ from playlake.functions.parse import (
 )
 from playlake.operators.gold import build_dim, build_fact, latest_dim
 from playlake.operators.growth import game_growth, genre_growth, publisher_growth
+from playlake.operators.segment_state import dim_deltas, genre_view, growth_deltas
 from playlake.operators.silver import (
     bronze_to_silver, category_bridge, company_bridge, dedup_snapshots, genre_bridge, silver_main,
 )
 from playlake.operators.targets import daily_targets, full_load_targets
 from playlake.plans import bindings as B
-from playlake.plans.medallion import gold_views, load_gold, load_silver, maintain_growth, read_growth, run_range
+from playlake.plans.medallion import (
+    gold_views, load_gold, load_silver, maintain_growth, maintain_segments, read_growth, read_segments, run_range,
+)
 from playlake.schemas import FACT_DDL
 from playlake.session import scratch_path
 from playlake.sources.bronze import (
@@ -218,6 +221,40 @@ def q_publisher_growth(spark, sf_dir):
     return publisher_growth(game_growth(_fact(spark, sf_dir)), B.dim_from_part(_t(spark, sf_dir, "part")))
 
 
+@query("genre_growth_maintained", f"""
+WITH {FACT_CTE}, dim AS (
+  SELECT p_partkey AS appid, unnest(string_split(p_name, ' ')) AS genre FROM part
+)
+SELECT g.snapshot_date, d.genre,
+       CAST(sum(g.rec_growth_1d) AS BIGINT) AS genre_growth_1d,
+       CAST(sum(g.rec_growth_7d) AS BIGINT) AS genre_growth_7d,
+       avg(g.recommendations_total) AS avg_recommendations
+FROM growth g JOIN dim d ON g.appid = d.appid
+GROUP BY g.snapshot_date, d.genre""")
+def q_genre_growth_maintained(spark, sf_dir):
+    """D6/A6-A8 by signed deltas: genre sums are built over a fact that lacks a week and a dim
+    whose games have other lists; then the dim changes, then the week comes late, and each time only what
+    goes and what comes is added to the stored sums."""
+    base = scratch_path(spark, "segments")
+    fact = _fact(spark, sf_dir).where("snapshot_date is not null")
+    first, last = fact.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    week = first + _dt.timedelta(days=int((last - first).days * 0.4))
+    week = week, week + _dt.timedelta(days=6)
+    dim = B.dim_from_part(_t(spark, sf_dir, "part")).select("appid", "genres")
+    lists = F.when(F.col("appid") % 5 == 0, F.slice("genres", 1, 1)).when(F.col("appid") % 7 == 0, F.array(F.lit("other")))
+    early_dim = dim.select("appid", lists.otherwise(F.col("genres")).alias("genres")).where("appid % 11 <> 0")
+    early = fact.where(~F.col("snapshot_date").between(*map(F.lit, week)))
+    write_fact(B.whole_fact_rows(early), f"{base}/before", mode="append", layout="month")
+    write_fact(B.whole_fact_rows(fact), f"{base}/fact", mode="append", layout="month")
+    growth, sums = f"{base}/growth", f"{base}/genres"
+    keep = lambda of: lambda gone, come: maintain_segments(
+        spark, sums, growth_deltas(gone, come, of, "genres"), layout="month")
+    maintain_growth(spark, f"{base}/before", growth, first, last, layout="month", on_change=keep(early_dim))
+    maintain_segments(spark, sums, dim_deltas(read_growth(spark, growth), early_dim, dim, "genres"), layout="month")
+    maintain_growth(spark, f"{base}/fact", growth, *week, layout="month", on_change=keep(dim))
+    return genre_view(read_segments(spark, sums))
+
+
 # ---------------------------------------------------------------------------- silver
 @query("silver_main", f"WITH {RAW_SILVER_CTE} {SILVER_SELECT}")
 def q_silver_main(spark, sf_dir):
@@ -443,6 +480,31 @@ def q_bronze_scan_projected(spark, sf_dir):
     )
 
 
+@query("bronze_scan_untyped", """
+SELECT user_id AS appid, CAST(ts AS DATE) AS snapshot_date,
+       CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE 'id-' || event_id END AS ref,
+       CASE WHEN event_id % 2 = 0 THEN event_id / 2.0 ELSE user_id::DOUBLE END AS amount,
+       CASE WHEN event_id % 2 = 0 THEN '{"n":' || event_id || '}' ELSE '[' || event_id || ',"x"]' END AS detail,
+       CASE WHEN event_id % 2 = 0 THEN event_type <> 'error' END AS ok,
+       CASE WHEN event_id % 2 = 1 THEN [user_id, event_id] END AS pair
+FROM events""")
+def q_bronze_scan_untyped(spark, sf_dir):
+    """S3/U4/P10 without a schema: two file sets of the same day folders whose fields differ in
+    name and type, read once and merged by name; where types conflict the stated rule decides."""
+    ev = _t(spark, sf_dir, "events")
+    c = F.col
+    number, user, day = c("event_id").cast("string"), c("user_id").cast("string"), F.to_date("ts").alias("snapshot_date")
+    half = (c("event_id") / 2).cast("decimal(20,1)").cast("string")
+    even = F.concat(F.lit('{"appid":'), user, F.lit(',"ref":'), number, F.lit(',"amount":'), half, F.lit(',"detail":{"n":'), number,
+                    F.lit('},"ok":'), F.when(c("event_type") == "error", "false").otherwise("true"), F.lit(',"none":null}'))
+    odd = F.concat(F.lit('{"ref":"id-'), number, F.lit('","amount":'), user, F.lit(',"detail":['), number, F.lit(',"x"],"pair":['),
+                   user, F.lit(","), number, F.lit('],"appid":'), user, F.lit("}"))
+    root = scratch_path(spark, "bronze_untyped")
+    land_lines(ev.where("event_id % 2 = 0").select(even.alias("value"), day), root)
+    land_lines(ev.where("event_id % 2 = 1").select(odd.alias("value"), day), root)
+    return read_bronze_columns(spark, root, ["appid", "snapshot_date", "ref", "amount", "detail", "ok", "pair"])
+
+
 @query("missing_partition_empty", """
 WITH b AS (SELECT min(CAST(ts AS DATE)) - 1 AS s, max(CAST(ts AS DATE)) + 1 AS e FROM events),
 days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS snapshot_date FROM b),
