@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -75,37 +77,49 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for scratch tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    A session that names none gets a folder beside its tables, in the warehouse, which every
-    executor of a cluster shares too. Nothing goes to a machine-local temp folder.
+    A session that names none gets a folder beside its tables, in the warehouse, if that is in a
+    shared store or the session runs on one machine. Otherwise an error is raised, as each
+    executor would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    beside = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not re.match(r"(?!file:)\w+:", beside) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{beside}/_scratch"
 
 
-#: Scratch paths this process has handed out and not cleared.
-_scratch: list[str] = []
+class _Scratch(threading.local):
+    """Scratch paths a thread has handed out and not cleared: a run clears its own, never another's."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_scratch = _Scratch()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     path = f"{checkpoint_root(spark)}/playlake/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
-    _scratch.append(path)
+    _scratch.paths.append(path)
     return path
 
 
 def scratch_mark() -> int:
-    """A place in the list of scratch paths, for ``clear_scratch``."""
-    return len(_scratch)
+    """A place in the thread's list of scratch paths, for ``clear_scratch``."""
+    return len(_scratch.paths)
 
 
 def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
-    """Delete what was written to the scratch paths handed out after ``since``, but for ``keep``.
+    """Delete what was written to the scratch paths this thread got after ``since``, but for ``keep``.
 
     Results may still read their scratch tables, so this is for jobs that have written or
     consumed theirs.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in [p for p in _scratch[since:] if p not in keep]:
+    for path in [p for p in _scratch.paths[since:] if p not in keep]:
         jpath = jvm.org.apache.hadoop.fs.Path(path)
         jpath.getFileSystem(conf).delete(jpath, True)
-        _scratch.remove(path)
+        _scratch.paths.remove(path)

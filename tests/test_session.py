@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from playlake.session import checkpoint_root, clear_scratch, scratch_mark, scratch_path
 
 
@@ -28,3 +30,38 @@ def test_without_a_named_folder_scratch_lies_beside_the_tables(spark):
         conf, sparkContext = Conf(), Context()
 
     assert checkpoint_root(Session()) == "hdfs://shared/warehouse/_scratch"
+
+
+def test_runs_in_other_threads_keep_their_scratch(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from playlake.session import clear_scratch, scratch_mark
+
+    def other():
+        path = scratch_path(spark, "t_other")
+        spark.range(3).write.parquet(path)
+        return path
+
+    mark, mine = scratch_mark(), scratch_path(spark, "t_mine")
+    spark.range(2).write.parquet(mine)
+    with ThreadPoolExecutor(1) as pool:
+        theirs = pool.submit(other).result()
+    clear_scratch(spark, mark)
+    assert spark.read.parquet(theirs).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(mine)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        get = staticmethod(lambda key, default=None: "file:/here/spark-warehouse" if "warehouse" in key else default)
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Cluster())
