@@ -35,7 +35,7 @@ from playlake.sources.bronze import (
     compact_bronze, land_lines, read_bronze_columns, read_bronze_day, write_applist, write_bronze, write_bronze_lines,
 )
 from playlake.sources.landing import (
-    attempt_outcomes, fetch_outcomes, reconcile_targets, target_counts, unwrap_envelopes, unwrap_pages,
+    attempt_outcomes, fetch_outcomes, numbered_pages, reconcile_targets, target_counts, unwrap_envelopes, unwrap_pages,
 )
 from playlake.sources.lake import (
     DIM_TABLE, FACT_TABLE, GOLD_TABLES, SILVER_TABLES, append_dim_versions, compact_dim_log, ensure_tables, read_dim_log, read_fact,
@@ -633,6 +633,24 @@ def q_page_unwrap(spark, sf_dir):
     return unwrap_pages(B.part_pages(_t(spark, sf_dir, "part")), "snapshot").select("snapshot", "appid", "name")
 
 
+@query("page_cursor_unwrap", """
+WITH k AS (SELECT p_partkey + 1 AS id, p_name FROM part), t AS (SELECT max(id) AS top FROM k),
+p AS (SELECT CASE WHEN id * 3 <= top THEN 1 ELSE 2 END AS snapshot, id, p_name, top FROM k, t)
+SELECT snapshot, CAST(floor((id - CASE WHEN snapshot = 1 THEN 0 ELSE top // 3 END - 1) / 100) AS BIGINT) AS page_no,
+       id AS appid, p_name AS name
+FROM p""")
+def q_page_cursor_unwrap(spark, sf_dir):
+    """The same pages without numbers, shuffled and some landed twice: ordered by the cursor
+    each was asked after and the cursor each ends at, then concatenated. Ids begin at 1, as cursor 0 asks
+    for the first page."""
+    pages = B.part_pages(_t(spark, sf_dir, "part").withColumn("p_partkey", F.col("p_partkey") + 1))
+    last = F.get_json_object("body", "$.response.last_appid").cast("bigint")
+    cursors = pages.select("snapshot", (F.col("page_no") + 1).alias("page_no"), last.alias("after"))
+    landed = pages.join(cursors, ["snapshot", "page_no"], "left").drop("page_no")
+    twice = landed.unionByName(landed.where("after % 300 = 0")).orderBy(F.xxhash64("body"))
+    return unwrap_pages(numbered_pages(twice, "snapshot"), "snapshot").select("snapshot", "page_no", "appid", "name")
+
+
 @query("fetch_outcomes", """
 WITH a AS (
   SELECT CAST(ts AS DATE) AS snapshot_date,

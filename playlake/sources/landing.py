@@ -182,6 +182,73 @@ def unwrap_pages(
     return kept.select(snapshot_col, "page_no", F.inline("apps"))
 
 
+def page_chain(landed: DataFrame, snapshot_col: str, body_col: str = "body", after_col: str = "after") -> DataFrame:
+    """The order of catalogue pages that carry no number, ``(snapshot_col, after_col, page_no, problem)``.
+
+    A page was asked for after a cursor (null or 0: the first page) and names the cursor of the
+    next one, ``last_appid``. So pages are a list per snapshot, linked by cursor, and their numbers
+    are ranked by pointer doubling: every page points to the one before it, then twice as far in each
+    round, so a snapshot of n pages takes as many joins as n has binary digits, whatever else is
+    landed. Bodies are read once, for their cursor; only cursors are shuffled.
+
+    The same page landed twice counts once. ``problem`` names what keeps a page from a number: no
+    page ends at its cursor, several pages do, pages of different content follow one cursor,
+    or cursors that lead round.
+    """
+    spark, zero = landed.sparkSession, F.lit(0).cast("bigint")
+    after = F.coalesce(F.col(after_col).cast("bigint"), zero).alias("after")
+    last = F.get_json_object(body_col, "$.response.last_appid").try_cast("bigint").alias("last")
+    links = landed.select(F.col(snapshot_col).alias("s"), after, last, F.xxhash64(body_col).alias("h"))
+    path = scratch_path(spark, "page-links")
+    links.distinct().write.parquet(path)
+    links = spark.read.parquet(path)
+    ends = links.where("last is not null").select("s", "after", "last").distinct().groupBy("s", F.col("last").alias("after")).agg(
+        F.min("after").alias("before"), F.count(F.lit(1)).alias("enders"))
+    links = links.groupBy("s", "after").agg(F.count(F.lit(1)).alias("texts"))
+    same = F.col("a.s").eqNullSafe(F.col("b.s"))
+    first = F.col("a.after") == 0
+    linked = links.alias("a").join(ends.alias("b"), same & (F.col("a.after") == F.col("b.after")), "left").select(
+        "a.s", "a.after", F.when(~first, F.col("b.before")).alias("to"), F.when(first, 0).otherwise(1).cast("bigint").alias("far"),
+        F.when(F.col("a.texts") > 1, F.lit("several pages follow cursor "))
+        .when(~first & F.col("b.before").isNull(), F.lit("no page ends at cursor "))
+        .when(~first & (F.col("b.enders") > 1), F.lit("several pages end at cursor ")).alias("why"))
+    # A page with a problem is an end of the list, which the pages behind it inherit.
+    broken = F.col("why").isNotNull()
+    chain = linked.select("s", "after", F.when(~broken, F.col("to")).alias("to"), F.when(~broken, F.col("far")).otherwise(0).alias("far"),
+                          F.concat("why", F.col("after").cast("string")).alias("problem"))
+    most = links.groupBy("s").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0  # one scalar
+    for _ in range(most.bit_length()):
+        path = scratch_path(spark, "page-chain")
+        chain.write.parquet(path)
+        chain = spark.read.parquet(path)
+        chain = chain.alias("a").join(chain.alias("b"), same & (F.col("a.to") == F.col("b.after")), "left").select(
+            "a.s", "a.after", F.col("b.to").alias("to"), (F.col("a.far") + F.coalesce("b.far", zero)).alias("far"),
+            F.coalesce("a.problem", "b.problem").alias("problem"))
+    round_ = F.when(F.col("to").isNotNull(), F.concat(F.lit("cursors lead round at "), F.col("after").cast("string")))
+    problem = F.coalesce("problem", round_)
+    return chain.select(F.col("s").alias(snapshot_col), F.col("after").alias(after_col),
+                        F.when(problem.isNull(), F.col("far")).alias("page_no"), problem.alias("problem"))
+
+
+def numbered_pages(
+    landed: DataFrame, snapshot_col: str, body_col: str = "body", after_col: str = "after", strict: bool = True
+) -> DataFrame:
+    """Landed pages with their ``page_no`` by cursor, for ``unwrap_pages``: each page once.
+
+    ``strict`` fails the job with the snapshot and the link that is broken; without it such pages are
+    left out, and ``page_chain`` names them.
+    """
+    chain = page_chain(landed, snapshot_col, body_col, after_col).withColumnsRenamed({snapshot_col: "_s", after_col: "_after"})
+    after = F.coalesce(F.col(after_col).cast("bigint"), F.lit(0).cast("bigint"))
+    once = landed.groupBy(F.col(snapshot_col), after.alias(after_col)).agg(F.min(body_col).alias(body_col))
+    both = once.join(chain, F.col(snapshot_col).eqNullSafe(F.col("_s")) & (F.col(after_col) == F.col("_after")))
+    number = F.col("page_no")
+    if strict:
+        where = F.concat(F.lit("catalogue snapshot "), F.coalesce(F.col(snapshot_col).cast("string"), F.lit("NULL")), F.lit(": "), F.col("problem"))
+        number = F.when(F.col("problem").isNotNull(), F.raise_error(where).cast("bigint")).otherwise(number)
+    return both.select(snapshot_col, number.alias("page_no"), body_col).where("page_no is not null")
+
+
 def fetch_outcomes(attempts: DataFrame, date_col: str = "snapshot_date", success_col: str = "success") -> DataFrame:
     """Ok / err / total fetch attempts per day (``count_if``, one pass)."""
     ok = F.coalesce(F.col(success_col), F.lit(False))

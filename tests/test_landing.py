@@ -118,3 +118,49 @@ def test_applist_shapes_may_mix(spark, write_jsonl):  # S4
     rows = read_applist(spark, f"{root}/both").collect()
     assert sorted((r.appid, r.name, r.last_modified) for r in rows) == [
         (31, "n", None), (32, "m", None), (33, "f", 5), (34, "g", None)]
+
+
+def cursor_pages(spark, rows):
+    """Landed pages (snapshot, after, app ids, next cursor)."""
+    def body(ids, last):
+        return json.dumps({"response": {"apps": [{"appid": i} for i in ids], "have_more_results": last is not None, "last_appid": last}})
+
+    return spark.createDataFrame([(s, after, body(ids, last)) for s, after, ids, last in rows], "snapshot int, after bigint, body string")
+
+
+def test_pages_without_numbers_are_ordered_by_cursor(spark):
+    import random
+
+    from playlake.sources.landing import numbered_pages
+
+    rows = [(s, 10 * p or None, [10 * p + 1, 10 * p + 10], 10 * (p + 1) if p < n - 1 else None) for s, n in ((1, 1), (2, 37), (None, 3)) for p in range(n)]
+    shuffled = rows + rows[::5]
+    random.Random(1).shuffle(shuffled)
+    numbered = numbered_pages(cursor_pages(spark, shuffled), "snapshot")
+    got = sorted((str(r.snapshot), r.page_no, r.appid) for r in unwrap_pages(numbered, "snapshot").collect())
+    assert got == sorted((str(s), (a or 0) // 10, i) for s, a, ids, _ in rows for i in ids)
+
+
+def test_broken_cursors_are_named(spark):
+    from playlake.sources.landing import numbered_pages, page_chain
+
+    rows = [
+        (1, None, [1], 1), (1, 1, [2], 2), (1, 5, [6], 6), (1, 6, [7], None),  # the page that ends at 5 is missing
+        (2, None, [1], 1), (2, 1, [2], 2), (2, 1, [3], 3), (2, 2, [9], None),  # two pages follow cursor 1
+        (3, None, [1], 1), (3, 2, [1], 3), (3, 3, [2], 2),  # 2 and 3 lead round
+        (4, 0, [1], None),
+        (5, None, [1], 7), (5, 3, [2], 7), (5, 7, [3], None),
+    ]
+    landed = cursor_pages(spark, rows)
+    got = {(r.snapshot, r.after): r.problem or r.page_no for r in page_chain(landed, "snapshot").collect()}
+    assert got == {
+        (1, 0): 0, (1, 1): 1, (1, 5): "no page ends at cursor 5", (1, 6): "no page ends at cursor 5",
+        (2, 0): 0, (2, 1): "several pages follow cursor 1", (2, 2): "several pages follow cursor 1",
+        (3, 0): 0, (3, 2): "cursors lead round at 2", (3, 3): "cursors lead round at 3",
+        (4, 0): 0, (5, 0): 0, (5, 3): "no page ends at cursor 3", (5, 7): "several pages end at cursor 7",
+    }
+    with pytest.raises(Exception, match="catalogue snapshot"):
+        numbered_pages(landed, "snapshot").collect()
+    kept = numbered_pages(landed, "snapshot", strict=False).collect()
+    assert {(r.snapshot, r.page_no) for r in kept} == {(1, 0), (1, 1), (2, 0), (3, 0), (4, 0), (5, 0)}
+    assert page_chain(cursor_pages(spark, []), "snapshot").count() == 0
