@@ -108,6 +108,7 @@ def load_gold(
     load_seq: int | None = None,
     out_of_range: str = "fail",
     version_by: str = "updated_at",
+    clustered: bool = False,
 ) -> dict[str, int] | None:
     """D3+D4+D12: silver days in ``[start, end]`` -> fact rows and one dim version per game.
 
@@ -116,6 +117,7 @@ def load_gold(
     ``<gold>/quarantine`` with the names of its columns while the others load (T16).
     Gold follows silver: once the writes have committed, a day of the range that has no such
     rows any more loses its folder, in the fact (when days are replaced) and in the quarantine.
+    ``clustered`` writes the fact so that a filter on a game reads one file of a day (``write_by_month``).
     Returns the rows loaded per gold table, or None (nothing loaded) when the range has no
     silver rows; where there is no silver table at all nothing is removed.
     """
@@ -154,7 +156,7 @@ def load_gold(
     dim = build_dim(main, genres, categories, companies, updated_at=updated_at, version_by=version_by)
     seq = load_seq if load_seq is not None else time.time_ns() // 1000
     fact_rows, dim_rows = run_concurrently([
-        lambda: write_fact(build_fact(main), fact_path, mode=fact_mode),
+        lambda: write_fact(build_fact(main), fact_path, mode=fact_mode, clustered=clustered),
         lambda: append_dim_versions(dim, table_path(gold_root, DIM_TABLE), seq),
     ])
     follow()

@@ -414,6 +414,21 @@ def q_fact_month_layout(spark, sf_dir):
     )
 
 
+@query("fact_clustered", f"""
+WITH f AS ({LINEITEM_FACT_SQL})
+SELECT f.*, (SELECT max(l_partkey) FROM lineitem) // 2 < appid AS upper FROM f""")
+def q_fact_clustered(spark, sf_dir):
+    """The lineitem fact in files that do not overlap in (day, appid); the halves of the
+    catalogue are read through a filter each."""
+    path = scratch_path(spark, "fact_clustered")
+    lines = _t(spark, sf_dir, "lineitem")
+    write_fact(build_fact(B.silver_main_from_lineitem(lines)), path, mode="append", layout="month", clustered=True)
+    middle = lines.agg(F.max("l_partkey")).first()[0] // 2
+    upper = F.col("appid") > middle
+    half = lambda which, name: read_fact(spark, path).where(which).withColumn("upper", F.lit(name))
+    return half(upper, True).unionByName(half(~upper, False))
+
+
 # ---------------------------------------------------------------------------- planning
 @query("daily_targets", f"""
 SELECT DISTINCT user_id AS appid FROM events

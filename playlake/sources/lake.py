@@ -142,25 +142,32 @@ def _delete_path(spark: SparkSession, path: str) -> None:
 LAYOUTS = {"month": ["snapshot_month"], "date": ["snapshot_month", "snapshot_date"]}
 
 
-def write_by_month(df: DataFrame, path: str, columns: list[str], mode: str = "replace_date", layout: str = "date") -> int:
+def write_by_month(
+    df: DataFrame, path: str, columns: list[str], mode: str = "replace_date", layout: str = "date", clustered: bool = False
+) -> int:
     """Month folders, rows sorted by (snapshot_date, appid); append or replace whole days.
 
     ``replace_date`` (date layout only): every snapshot date present in ``df`` is replaced
     whole by dynamic partition overwrite, other days are neither read nor written, and a job
     that fails leaves the old days in place. Returns the rows loaded (K11), counted inside
-    the write job. ``rebalance`` sizes the files and splits a hot day over several.
+    the write job. ``rebalance`` sizes the files and splits a hot day over several; each of those
+    holds ids from the whole range, so a filter on one game reads them all. ``clustered`` deals the
+    rows by ranges of (day, appid) instead, whose bounds Spark samples in a pass of its own: files of a
+    day then hold ranges of ids that do not overlap, and a game lies in one of them.
     """
     if mode not in ("replace_date", "append"):
         raise ValueError(f"unknown load mode {mode!r}")
     if mode == "replace_date" and layout != "date":
         raise ValueError("replacing days needs the date layout")
     folders = LAYOUTS[layout]
-    df, obs = counted(df)
+    rows = df.select(*columns).withColumn("snapshot_month", year_month("snapshot_date"))
+    if clustered:  # counted behind the exchange, as sampling its bounds runs what is before it once more
+        dealt, obs = counted(rows.repartitionByRange(*folders, "snapshot_date", "appid"))
+    else:
+        rows, obs = counted(rows)
+        dealt = rows.hint("rebalance", *folders)
     (
-        df.select(*columns)
-        .withColumn("snapshot_month", year_month("snapshot_date"))
-        .hint("rebalance", *folders)
-        .sortWithinPartitions(*folders, "snapshot_date", "appid")
+        dealt.sortWithinPartitions(*folders, "snapshot_date", "appid")
         .write.mode("append" if mode == "append" else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -170,15 +177,15 @@ def write_by_month(df: DataFrame, path: str, columns: list[str], mode: str = "re
     return rows_of(obs)
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "replace_date", layout: str = "date") -> int:
+def write_fact(fact: DataFrame, path: str, mode: str = "replace_date", layout: str = "date", clustered: bool = False) -> int:
     """Load fact rows into month folders sorted by (snapshot_date, appid).
 
     ``append``: rows are added (a re-run duplicates them, as the reference's loader
     does). ``replace_date`` (default, T3): every snapshot date in ``fact`` is replaced
     whole, so a re-run gives the same rows (see ``write_by_month``). A table keeps the
-    layout it was created with.
+    layout it was created with. ``clustered``: files of a day do not overlap in ``appid``.
     """
-    return write_by_month(fact, path, FACT_COLUMNS, mode, layout)
+    return write_by_month(fact, path, FACT_COLUMNS, mode, layout, clustered)
 
 
 def read_fact(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:

@@ -223,3 +223,28 @@ def test_loads_into_tables_created_empty(spark, tmp_path):  # K9 then K1/K7
     assert read_fact(spark, fact_path, D2, D2).count() == 1
     assert write_day_partitions(rows, f"{root}/game_daily") == 2
     assert read_silver(spark, root, "game_daily", D1, D1).count() == 1
+
+
+def test_clustered_files_of_a_hot_day_do_not_overlap(spark):  # K10, O3
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.range(40_000).select(
+        (F.col("id") * 7919 % 10_007).alias("appid"), F.when(F.col("id") % 10 == 0, F.lit(D2)).otherwise(F.lit(D1)).alias("snapshot_date"))
+    main = silver_rows(spark, [{"appid": 1, "snapshot_date": D1}]).limit(0).unionByName(rows, allowMissingColumns=True)
+    path = scratch_path(spark, "t_clustered")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert write_fact(build_fact(main), path, clustered=True) == 40_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = glob.glob(f"{path.removeprefix('file:')}/*/snapshot_date={D1}/*.parquet")
+    at = pq.read_schema(files[0]).names.index("appid")
+    spans = sorted(
+        (min(g.column(at).statistics.min for g in groups), max(g.column(at).statistics.max for g in groups))
+        for groups in ([m.row_group(i) for i in range(m.num_row_groups)] for m in map(pq.read_metadata, files)))
+    assert len(spans) >= 3 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    for appid in (5, 5000, 10_000):
+        assert sum(low <= appid <= high for low, high in spans) <= 2
+    assert read_fact(spark, path, D1, D1).where("appid = 5000").count() == rows.where(f"appid = 5000 AND id % 10 <> 0").count()
