@@ -11,8 +11,8 @@ the passage.
 The threshold loses nothing: a part of an item that keeps a shingle lacks at most as many
 different words as shingles, a part that loses all of them may lack every word, so the score
 of a passage with ``OVERLAP`` of the shingles is at least what the item keeps in the worst of
-these cases. Impacts are stored as shares of that threshold, which makes it 1 for every item. The documents are scanned once for each shard of the index and never
-shuffled; a shard is bounded by ``SHARD_BYTES`` of item text and goes to the tasks with their
+these cases. Impacts are stored as shares of that threshold, which makes it 1 for every item. The documents are scanned once for each ``SHARDS_AT_ONCE`` shards of the index and
+never shuffled; a shard is bounded by ``SHARD_BYTES`` of item text and goes to the tasks with their
 function.
 """
 
@@ -22,6 +22,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import batched
 from typing import NamedTuple
 
 import numpy as np
@@ -35,6 +36,7 @@ OVERLAP = 0.8
 K1, B = 1.2, 0.75
 BLOCKS = 64  # of an index; the block maxima are a table of terms by blocks
 SHARD_BYTES = 1 << 20
+SHARDS_AT_ONCE = 8  # shards that one scan of the documents asks, and a task holds
 ROWS_AT_ONCE = 200
 BOUNDS_AT_ONCE = 1 << 17
 SLACK = 1e-4  # for sums of single-precision maxima
@@ -296,13 +298,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     repeated items and rows are reported each.
     """
     source, found = id_and_text(docs), None
-    for index in _shards(benchmark):
+    for indexes in batched(_shards(benchmark), SHARDS_AT_ONCE):
 
-        def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterable[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, ROWS_AT_ONCE):
                 rows = [
                     (doc_id, *leak)
                     for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True)
+                    for index in indexes
                     for leak in index.leaks(text)
                 ]
                 if rows:
@@ -319,11 +322,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item; no shuffle."""
     at = docs.columns.index("text")
-    for index in _shards(benchmark):
+    for indexes in batched(_shards(benchmark), SHARDS_AT_ONCE):
 
-        def run(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterable[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, ROWS_AT_ONCE):
-                yield batch.filter(pa.array([not index.leaks(t) for t in utf8(batch.column(at))], pa.bool_()))
+                clean = [not any(index.leaks(t) for index in indexes) for t in utf8(batch.column(at))]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -94,8 +94,15 @@ def test_shards_of_the_index_cover_every_item(spark, monkeypatch):
 
     docs, bench = read(spark, "sf0.001", "documents"), read(spark, "sf0.001", "benchmark")
     whole = got(find_leaks(docs, bench))
+    clean = drop_contaminated(docs, bench).count()
     monkeypatch.setattr(decontamination, "SHARD_BYTES", 2000)
     assert got(find_leaks(docs, bench)) == whole
+    monkeypatch.setattr(decontamination, "SHARDS_AT_ONCE", 2)
+    found = find_leaks(docs, bench)
+    scans = found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert got(found) == whole and drop_contaminated(docs, bench).count() == clean
+    shards = len(list(decontamination._shards(bench)))
+    assert shards > 2 and scans == -(-shards // 2)
 
 
 def test_a_part_without_any_shingle_left(spark):
