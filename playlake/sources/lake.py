@@ -298,7 +298,8 @@ def table_contract(spark: SparkSession, root: str, tables: tuple[str, ...] = tup
     """K9: (table, column, type) of every table as stored, read from files' footers and folders.
 
     A table that is not there gives one row without column and type. One that holds no rows
-    yet has no file to read; readers apply the declared types, and so does this.
+    yet has no file to read; readers apply the declared types, and so does this, also for the columns
+    that are folder names and have no type of their own.
     """
     rows: list[tuple] = []
     for table in tables:
@@ -312,5 +313,7 @@ def table_contract(spark: SparkSession, root: str, tables: tuple[str, ...] = tup
             if err.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             schema = spark.createDataFrame([], TABLE_DDL[table]).schema
-        rows += [(table, f.name, f.dataType.simpleString()) for f in schema.fields]
+        declared = {f.name: f.dataType for f in spark.createDataFrame([], TABLE_DDL[table]).schema.fields}
+        in_path = {c: declared[c] for c in TABLE_PARTITIONS.get(table, []) if c in declared}
+        rows += [(table, f.name, in_path.get(f.name, f.dataType).simpleString()) for f in schema.fields]
     return spark.createDataFrame(rows, "table string, column string, type string")
