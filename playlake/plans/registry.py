@@ -19,6 +19,7 @@ from playlake.functions.parse import (
 )
 from playlake.operators.gold import build_dim, build_fact, latest_dim
 from playlake.operators.growth import game_growth, genre_growth, publisher_growth
+from playlake.operators.id_bitmaps import bitmap_ids, id_bitmaps, merged_bitmaps, not_in_bitmaps
 from playlake.operators.segment_state import dim_deltas, genre_view, growth_deltas
 from playlake.operators.silver import (
     bronze_to_silver, category_bridge, company_bridge, dedup_snapshots, genre_bridge, silver_main,
@@ -461,6 +462,24 @@ def q_known_ids(spark, sf_dir):
     return known_ids(spark, _land_raw(spark, sf_dir))
 
 
+@query("known_ids_bitmap", "SELECT DISTINCT user_id AS appid FROM events WHERE user_id IS NOT NULL")
+def q_known_ids_bitmap(spark, sf_dir):
+    """S2/A9 as bitmaps: the set of each half of the days, merged and read back as ids."""
+    root = _land_raw(spark, sf_dir)
+    day = lambda which: id_bitmaps(read_bronze(spark, root, schema="appid bigint").where(which))
+    return bitmap_ids(merged_bitmaps(day("day % 2 = 0"), day("day % 2 = 1")))
+
+
+@query("full_load_targets_bitmap", """
+SELECT COALESCE(o_custkey, 0) AS appid FROM orders
+WHERE COALESCE(o_custkey, 0) NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""")
+def q_full_load_targets_bitmap(spark, sf_dir):
+    """J5/D9 as bitmaps: order customers whose bit is not set among the ids landed."""
+    known = id_bitmaps(read_bronze(spark, _land_raw(spark, sf_dir), schema="appid bigint"))
+    apps = _t(spark, sf_dir, "orders").select(F.coalesce(F.col("o_custkey").cast("bigint"), F.lit(0)).alias("appid"))
+    return not_in_bitmaps(apps, known)
+
+
 @query("active_ids", "SELECT CAST(c_custkey AS BIGINT) AS appid FROM customer WHERE c_custkey IS NOT NULL")
 def q_active_ids(spark, sf_dir):
     return read_active_ids(spark, f"{sf_dir.rstrip('/')}/customer.parquet", column="c_custkey")
