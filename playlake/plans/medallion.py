@@ -25,17 +25,17 @@ from playlake.operators.growth_state import (
 )
 from playlake.operators.segment_state import STATE_DDL, added
 from playlake.operators.silver import (
-    bronze_to_silver, category_bridge, company_bridge, genre_bridge, silver_main,
+    bronze_to_silver, category_bridge, company_bridge, dedup_snapshots, genre_bridge, silver_main,
 )
-from playlake.schemas import BRONZE_DDL, GROWTH_COLUMNS
+from playlake.schemas import BRONZE_DDL, GROWTH_COLUMNS, SILVER_KEPT_DDL
 from playlake.session import scratch_path
 from playlake.sources.bronze import CORRUPT, malformed_lines, read_bronze
 from playlake.sources.lake import (
-    DIM_TABLE, FACT_TABLE, GOLD_TABLES, _delete_path, _glob, _path_exists, append_dim_versions, drop_days, drop_lost_days, ensure_tables,
+    DIM_TABLE, FACT_TABLE, GOLD_TABLES, KEPT_TABLE, SILVER_TABLES, _delete_path, _glob, _path_exists, append_dim_versions, drop_days, drop_lost_days, ensure_tables,
     read_dim_log, read_fact, read_silver, read_table, table_path, write_day_partitions, write_fact,
 )
 from playlake.sources.observe import metric
-from playlake.sources.paths import day_folders, folder_day
+from playlake.sources.paths import date_folders, day_folders, day_runs, folder_day
 
 GROWTH_DDL = (
     "snapshot_date date, appid bigint, recommendations_total bigint, "
@@ -54,7 +54,7 @@ def run_concurrently(jobs: list) -> list:
         return [fut.result() for fut in [pool.submit(job) for job in jobs]]
 
 
-def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start, end) -> dict[str, int]:
+def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start, end, keep_state: bool = False) -> dict[str, int]:
     """D1+D2: bronze days in ``[start, end]`` -> the four silver tables.
 
     The cleaned, deduplicated rows are staged once as a table in the shared folder; the four
@@ -62,6 +62,8 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start,
     bronze. Every day that has bronze files is replaced in all four tables: a day whose
     re-run gives a table no rows loses that table's folder, after the writes have
     committed. Days without bronze files stay as they are (T24: skipped, not failed).
+    ``keep_state`` stores the staged rows too, as what ``merge_silver`` merges late files into; a silver
+    root that has them keeps them up to date with every load.
     Returns the rows written per silver table and ``malformed``, the bronze lines that are
     no JSON record.
     """
@@ -71,30 +73,67 @@ def load_silver(spark: SparkSession, bronze_root: str, silver_root: str, start,
     bronze = bronze.observe(lines, F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"))
     staging = scratch_path(spark, "silver_staging")
     bronze_to_silver(bronze).write.parquet(staging)
-    silver = spark.read.parquet(staging)
+    counts = _replace_silver_days(spark, spark.read.parquet(staging), silver_root, landed, keep_state)
+    _delete_path(spark, staging)
+    malformed = metric(lines, "malformed") if landed else 0
+    if malformed is None:  # no row came through, and the count with it: count alone
+        malformed = malformed_lines(spark, bronze_root, start, end).agg(F.sum("n_malformed")).first()[0] or 0
+    return counts | {"malformed": int(malformed)}
+
+
+def _replace_silver_days(spark: SparkSession, silver: DataFrame, silver_root: str, days, keep_state: bool) -> dict[str, int]:
+    """The deduplicated rows of whole ``days`` (a stored table) as the silver tables' new content of them."""
     some = lambda c: F.max(F.exists(F.coalesce(c, F.array()), lambda x: x.isNotNull()))
     held = silver.groupBy("snapshot_date").agg(
         F.lit(True).alias("game_daily"),
         some("genres").alias("game_genre"),
         some("categories").alias("game_category"),
         F.greatest(some("developers"), some("publishers")).alias("game_company"),
+        F.lit(True).alias(KEPT_TABLE),
     ).collect()  # one row per day of the range
     tables = {"game_daily": silver_main, "game_genre": genre_bridge,
               "game_category": category_bridge, "game_company": company_bridge}
+    if keep_state or _path_exists(spark, table_path(silver_root, KEPT_TABLE)):
+        tables[KEPT_TABLE] = lambda rows: rows
 
     def write(table: str) -> int:
         path = table_path(silver_root, table)
-        days = {r.snapshot_date for r in held if r[table]}
-        rows = write_day_partitions(tables[table](silver), path) if days else 0
-        drop_days(spark, path, set(landed) - days)
+        full = {r.snapshot_date for r in held if r[table]}
+        rows = write_day_partitions(tables[table](silver), path) if full else 0
+        drop_days(spark, path, set(days) - full)
         return rows
 
-    counts = run_concurrently([lambda t=t: write(t) for t in tables])
-    _delete_path(spark, staging)
-    malformed = metric(lines, "malformed") if landed else 0
-    if malformed is None:  # no row came through, and the count with it: count alone
-        malformed = malformed_lines(spark, bronze_root, start, end).agg(F.sum("n_malformed")).first()[0] or 0
-    return dict(zip(tables, counts)) | {"malformed": int(malformed)}
+    return dict(zip(tables, run_concurrently([lambda t=t: write(t) for t in tables])))
+
+
+def merge_silver(spark: SparkSession, late: DataFrame, bronze_root: str, silver_root: str) -> dict[str, int]:
+    """Bronze rows of new files merged into the silver days they belong to.
+
+    ``late`` holds the rows of the new files, with ``snapshot_date``. Of the row kept so far and the new
+    ones the dedup keeps the same row as of all of the day's files, as its order is total; so only the
+    new files are parsed, and the kept rows of these days are read as parquet. A day without kept
+    rows (new, all failures so far, or loaded without ``keep_state``) is loaded from its bronze folder, which
+    must hold the new files too. A batch merged again changes nothing, so a run that failed is run
+    again. Rows whose day is null belong to no day and are left out.
+    Returns the rows now stored per silver table in the days merged or loaded.
+    """
+    path = table_path(silver_root, KEPT_TABLE)
+    touched = {r[0] for r in late.select("snapshot_date").distinct().collect()} - {None}  # calendar days
+    kept = {_dt.date.fromisoformat(p.rstrip("/")[-10:]) for p in date_folders(spark, path, _dt.date.min, _dt.date.max)}
+    loads = [load_silver(spark, bronze_root, silver_root, *run, keep_state=True) for run in day_runs(sorted(touched - kept))]
+    if touched & kept:
+        staging, merged = scratch_path(spark, "silver_late"), scratch_path(spark, "silver_merged")
+        bronze_to_silver(late.where(F.col("snapshot_date").isin(sorted(touched & kept)))).write.parquet(staging)
+        new = spark.read.parquet(staging)
+        days = sorted(r[0] for r in new.select("snapshot_date").distinct().collect())
+        if days:
+            state = read_table(spark, path, SILVER_KEPT_DDL, days[0], days[-1], layout="date")
+            state = state.where(F.col("snapshot_date").isin(days)).select(*new.columns)
+            dedup_snapshots(state.unionByName(new)).write.parquet(merged)
+            loads.append(_replace_silver_days(spark, spark.read.parquet(merged), silver_root, days, True))
+            _delete_path(spark, merged)
+        _delete_path(spark, staging)
+    return {table: sum((load[table] for load in loads), 0) for table in (*SILVER_TABLES, KEPT_TABLE)}
 
 
 def load_gold(

@@ -27,7 +27,7 @@ from playlake.operators.silver import (
 from playlake.operators.targets import daily_targets, full_load_targets
 from playlake.plans import bindings as B
 from playlake.plans.medallion import (
-    gold_views, load_gold, load_silver, maintain_growth, maintain_segments, read_growth, read_segments, run_range,
+    gold_views, load_gold, load_silver, maintain_growth, maintain_segments, merge_silver, read_growth, read_segments, run_range,
 )
 from playlake.schemas import FACT_DDL
 from playlake.session import scratch_path
@@ -587,6 +587,21 @@ def q_silver_read_back(spark, sf_dir):
     return read_silver(spark, silver_root, "game_daily", first, last)
 
 
+@query("silver_merged", f"WITH {RAW_SILVER_CTE} {SILVER_SELECT}")
+def q_silver_merged(spark, sf_dir):
+    """D1/W4 by merging: every third event lands late, in two goes; each is merged into the rows the
+    dedup has kept of the others, and the main table read back."""
+    base, events = scratch_path(spark, "silver_merged"), _t(spark, sf_dir, "events")
+    first, last = _event_days(spark, sf_dir)
+    parts = [events.where("event_id % 3 <> 0"), events.where("event_id % 6 = 0"), events.where("event_id % 6 = 3")]
+    write_bronze(B.events_as_bronze(parts[0]), f"{base}/bronze")
+    load_silver(spark, f"{base}/bronze", f"{base}/silver", first, last, keep_state=True)
+    for n, part in enumerate(parts[1:]):
+        write_bronze(B.events_as_bronze(part), f"{base}/late-{n}")
+        merge_silver(spark, read_bronze(spark, f"{base}/late-{n}"), f"{base}/bronze", f"{base}/silver")
+    return read_silver(spark, f"{base}/silver", "game_daily", first, last)
+
+
 @query("bronze_batches", BRONZE_ROWS_SQL)
 def q_bronze_batches(spark, sf_dir):
     """K3: RAW written in files of at most 1,000 rows, read back whole."""

@@ -49,6 +49,8 @@ SILVER_MAIN_DDL = (
     "price_minor bigint, price double, currency string, discount_percent bigint, "
     "recommendations_total bigint, metacritic_score bigint, achievements_total bigint"
 )
+# The rows the dedup has kept, lists and all: what late files are merged into.
+SILVER_KEPT_DDL = SILVER_MAIN_DDL + "".join(f", {c} array<string>" for c in SILVER_LIST_COLUMNS)
 GENRE_DDL = "snapshot_date date, appid bigint, genre string"
 CATEGORY_DDL = "snapshot_date date, appid bigint, category string"
 COMPANY_DDL = "snapshot_date date, appid bigint, company string, role string"

@@ -35,6 +35,7 @@ SILVER_TABLES = {
     "game_category": CATEGORY_DDL,
     "game_company": COMPANY_DDL,
 }
+KEPT_TABLE = "game_kept"  # beside the four, where late files are merged (``merge_silver``)
 FACT_TABLE = "fact_game_daily"
 TABLE_PARTITIONS = {
     "game_daily": ["snapshot_date"],

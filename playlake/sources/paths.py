@@ -53,6 +53,17 @@ def folder_day(path: str) -> _dt.date:
     return _dt.date(*map(int, _DAY.search(path).groups()))
 
 
+def day_runs(days: list[_dt.date]) -> list[tuple[_dt.date, _dt.date]]:
+    """Contiguous runs of sorted days, so each run is one range job over exactly those days."""
+    runs: list[tuple[_dt.date, _dt.date]] = []
+    for d in days:
+        if runs and (d - runs[-1][1]).days == 1:
+            runs[-1] = (runs[-1][0], d)
+        else:
+            runs.append((d, d))
+    return runs
+
+
 def date_folders(spark: SparkSession, root: str, start: _dt.date, end: _dt.date) -> list[str]:
     """``snapshot_date=`` folders under ``root`` in ``[start, end]``."""
     out = []

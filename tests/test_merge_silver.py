@@ -1,0 +1,113 @@
+"""Late files merged into the kept rows against the rebuild from all files."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from playlake.plans.medallion import load_silver, merge_silver
+from playlake.session import scratch_path
+from playlake.sources.bronze import read_bronze
+from playlake.sources.lake import KEPT_TABLE, SILVER_TABLES, read_silver, table_path
+from playlake.streaming import drain_incremental_load
+
+DAYS = [dt.date(2024, 1, d) for d in (5, 6, 8)]
+
+
+def rec(appid, ts, **data):
+    return {"appid": appid, "success": True, "fetched_at": ts, "data": {"type": "game", **data}}
+
+
+def folder(day):
+    return f"year={day.year}/month={day.month:02d}/day={day.day:02d}"
+
+
+def tables(spark, root):
+    return {t: sorted(map(repr, (tuple(r) for r in read_silver(spark, root, t).collect()))) for t in SILVER_TABLES}
+
+
+def some_records(rng, day, n):
+    out = []
+    for _ in range(n):
+        ts = rng.choice([None, "no time", f"{day}T0{rng.randrange(4)}:00:00"])
+        genres = rng.choice([None, [], [{"id": "1", "description": rng.choice("abc")}], [{"id": "2", "description": None}]])
+        data = {"name": f"n{rng.randrange(4)}", "genres": genres, "developers": rng.choice([None, [], ["x"], ["x", "y"]])}
+        out.append(rng.choice([rec(rng.randrange(12), ts, **data)] * 5 + [
+            {"appid": rng.randrange(12), "success": False, "fetched_at": ts, "data": None}]))
+    return out
+
+
+def test_merged_equals_the_rebuild_and_reads_only_new_files(spark, write_jsonl):
+    rng = random.Random(4)
+    silver, whole = scratch_path(spark, "t_merged"), scratch_path(spark, "t_whole")
+    for part in range(4):  # part 0 is loaded, the others come late; day 8 is new in part 2
+        for day in DAYS[: 3 if part >= 2 else 2]:
+            rows = some_records(rng, day, 40)
+            write_jsonl(f"mg/part{part}/{folder(day)}/f{part}.jsonl.gz", rows)
+            root = write_jsonl(f"mg/all/{folder(day)}/f{part}.jsonl.gz", rows)
+        if part == 0:
+            load_silver(spark, f"{root}/mg/part0", silver, DAYS[0], DAYS[-1], keep_state=True)
+        else:  # the folder handed over holds the new files alone: what was there before comes from the state
+            merge_silver(spark, read_bronze(spark, f"{root}/mg/part{part}"), f"{root}/mg/part{part}", silver)
+        load_silver(spark, f"{root}/mg/all", whole, DAYS[0], DAYS[-1])
+        assert tables(spark, silver) == tables(spark, whole)
+    again = merge_silver(spark, read_bronze(spark, f"{root}/mg/part1"), f"{root}/mg/none", silver)
+    assert tables(spark, silver) == tables(spark, whole)  # merged twice: as once
+    assert again["game_daily"] == read_silver(spark, silver, "game_daily").where(F.col("snapshot_date").isin(DAYS[:2])).count()
+
+
+def test_a_newer_row_takes_the_last_genre_of_a_day(spark, write_jsonl):
+    silver = scratch_path(spark, "t_lastgenre")
+    day = DAYS[0]
+    root = write_jsonl(f"lg/a/{folder(day)}/a.jsonl.gz", [rec(1, f"{day}T01:00:00", genres=[{"id": "1", "description": "g"}])])
+    write_jsonl(f"lg/b/{folder(day)}/b.jsonl.gz", [rec(1, f"{day}T02:00:00")])
+    load_silver(spark, f"{root}/lg/a", silver, day, day, keep_state=True)
+    assert read_silver(spark, silver, "game_genre").count() == 1
+    counts = merge_silver(spark, read_bronze(spark, f"{root}/lg/b"), f"{root}/lg/b", silver)
+    assert counts == {"game_daily": 1, "game_genre": 0, "game_category": 0, "game_company": 0, KEPT_TABLE: 1}
+    assert read_silver(spark, silver, "game_genre").count() == 0
+
+
+def test_days_without_kept_rows_come_from_bronze(spark, write_jsonl):
+    silver = scratch_path(spark, "t_nokept")
+    day = DAYS[0]
+    root = write_jsonl(f"nk/{folder(day)}/a.jsonl.gz", [rec(1, f"{day}T01:00:00"), rec(2, f"{day}T01:00:00")])
+    load_silver(spark, f"{root}/nk", silver, day, day)
+    write_jsonl(f"nk/{folder(day)}/b.jsonl.gz", [rec(2, f"{day}T03:00:00", name="late")])
+    late = read_bronze(spark, f"{root}/nk").where(F.input_file_name().contains("b.jsonl"))
+    assert merge_silver(spark, late, f"{root}/nk", silver)["game_daily"] == 2
+    assert {r.appid: r.name for r in read_silver(spark, silver, "game_daily").collect()} == {1: None, 2: "late"}
+
+
+def test_no_rows_and_only_failures_change_nothing(spark, write_jsonl):
+    silver, day = scratch_path(spark, "t_nolate"), DAYS[0]
+    root = write_jsonl(f"nl/a/{folder(day)}/a.jsonl.gz", [rec(1, f"{day}T01:00:00")])
+    load_silver(spark, f"{root}/nl/a", silver, day, day, keep_state=True)
+    before = tables(spark, silver)
+    none = read_bronze(spark, f"{root}/nl/a").limit(0)
+    assert set(merge_silver(spark, none, f"{root}/nl/a", silver).values()) == {0}
+    write_jsonl(f"nl/b/{folder(day)}/b.jsonl.gz", [{"appid": 1, "success": False, "fetched_at": f"{day}T05:00:00", "data": None}])
+    merge_silver(spark, read_bronze(spark, f"{root}/nl/b"), f"{root}/nl/b", silver)
+    assert tables(spark, silver) == before
+
+
+def test_the_whole_load_keeps_the_kept_rows_up_to_date(spark, write_jsonl):
+    silver, day = scratch_path(spark, "t_both"), DAYS[0]
+    root = write_jsonl(f"bo/a/{folder(day)}/a.jsonl.gz", [rec(1, f"{day}T09:00:00", name="old")])
+    write_jsonl(f"bo/b/{folder(day)}/a.jsonl.gz", [rec(2, f"{day}T01:00:00", name="new")])
+    load_silver(spark, f"{root}/bo/a", silver, day, day, keep_state=True)
+    load_silver(spark, f"{root}/bo/b", silver, day, day)  # replaces the day, in the kept rows too
+    kept = spark.read.parquet(table_path(silver, KEPT_TABLE))
+    assert [(r.appid, r.name) for r in kept.collect()] == [(2, "new")]
+
+
+def test_the_stream_merges_late_files(spark, write_jsonl):
+    rng = random.Random(9)
+    merged, plain, ckpt = (scratch_path(spark, f"t_st{n}") for n in range(3))
+    for part in range(3):
+        for day in DAYS[: part + 1]:
+            root = write_jsonl(f"st/{folder(day)}/f{part}.jsonl.gz", some_records(rng, day, 30))
+        days = drain_incremental_load(spark, f"{root}/st", merged, checkpoint=ckpt, merge=True, max_files_per_trigger=1)
+        assert days == DAYS[: part + 1]
+        load_silver(spark, f"{root}/st", plain, DAYS[0], DAYS[-1])
+        assert tables(spark, merged) == tables(spark, plain)

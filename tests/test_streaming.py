@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from playlake.session import scratch_path
 from playlake.sources.lake import read_fact, read_silver, table_path
 from playlake.streaming import drain_incremental_load, start_incremental_load
-from playlake.streaming.incremental import _runs
+from playlake.sources.paths import day_runs
 
 
 def rec(appid, ts, name):
@@ -17,7 +17,7 @@ def rec(appid, ts, name):
 def test_runs_split_on_gaps():
     d = dt.date(2024, 1, 1)
     days = [d, d + dt.timedelta(1), d + dt.timedelta(3)]
-    assert _runs(days) == [(d, d + dt.timedelta(1)), (d + dt.timedelta(3), d + dt.timedelta(3))]
+    assert day_runs(days) == [(d, d + dt.timedelta(1)), (d + dt.timedelta(3), d + dt.timedelta(3))]
 
 
 def test_incremental_load_handles_late_files(spark, write_jsonl):
