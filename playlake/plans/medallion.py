@@ -29,6 +29,7 @@ from playlake.operators.silver import (
 )
 from playlake.schemas import BRONZE_DDL, GROWTH_COLUMNS, SILVER_KEPT_DDL
 from playlake.session import scratch_path
+from playlake.sources.by_game import read_by_game
 from playlake.sources.bronze import CORRUPT, malformed_lines, read_bronze
 from playlake.sources.lake import (
     DIM_TABLE, FACT_TABLE, GOLD_TABLES, KEPT_TABLE, SILVER_TABLES, _delete_path, _glob, _path_exists, append_dim_versions, drop_days, drop_lost_days, ensure_tables,
@@ -243,17 +244,25 @@ def range_report(spark: SparkSession, silver_root: str, start, end) -> DataFrame
     )
 
 
-def gold_views(spark: SparkSession, gold_root: str, growth_path: str | None = None) -> dict[str, DataFrame]:
+def gold_views(
+    spark: SparkSession, gold_root: str, growth_path: str | None = None, buckets: int | None = None
+) -> dict[str, DataFrame]:
     """D5-D7 over the stored gold tables; the dim is always the collapsed latest version.
 
     With ``growth_path`` (the table ``maintain_growth`` keeps) the game view reads the
     materialized growth rows instead of re-running the window over the whole fact: a
     ``snapshot_date`` filter then reaches the parquet scan (rows are sorted by date, so
-    row groups are skipped), which it cannot do through a window.
+    row groups are skipped), which it cannot do through a window. With ``buckets`` fact and
+    dim are read from the copy ``refresh_by_game`` keeps, where window and join move nothing.
     """
-    dim = latest_dim(read_dim_log(spark, table_path(gold_root, DIM_TABLE)))
+    if buckets is not None:
+        fact, dim = read_by_game(spark, gold_root, buckets)
+    else:
+        dim = latest_dim(read_dim_log(spark, table_path(gold_root, DIM_TABLE)))
     if growth_path is not None:
         growth = read_growth(spark, growth_path)
+    elif buckets is not None:
+        growth = game_growth(fact)
     else:
         growth = game_growth(read_fact(spark, table_path(gold_root, FACT_TABLE)))
     return {
@@ -263,9 +272,11 @@ def gold_views(spark: SparkSession, gold_root: str, growth_path: str | None = No
     }
 
 
-def register_views(spark: SparkSession, gold_root: str, growth_path: str | None = None) -> list[str]:
+def register_views(
+    spark: SparkSession, gold_root: str, growth_path: str | None = None, buckets: int | None = None
+) -> list[str]:
     """K9: expose the three views to SQL as temp views."""
-    views = gold_views(spark, gold_root, growth_path)
+    views = gold_views(spark, gold_root, growth_path, buckets)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)

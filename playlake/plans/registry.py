@@ -35,6 +35,7 @@ from playlake.sources.bronze import (
     day_path, file_counts, known_ids, read_active_ids, read_applist, read_bronze,
     compact_bronze, land_lines, read_bronze_columns, read_bronze_day, write_applist, write_bronze, write_bronze_lines,
 )
+from playlake.sources.by_game import BUCKETS, refresh_by_game
 from playlake.sources.landing import (
     attempt_outcomes, fetch_outcomes, numbered_pages, reconcile_targets, target_counts, unwrap_envelopes, unwrap_pages,
 )
@@ -1038,6 +1039,14 @@ def q_stored_genre_view(spark, sf_dir):
     return gold_views(spark, _stored_gold(spark, sf_dir))["view_genre_growth"]
 
 
+@query("stored_genre_view_by_game", ORACLE_SQL["stored_genre_view"])
+def q_stored_genre_view_by_game(spark, sf_dir):
+    """The genre view over stored gold dealt by game: fact and dim in the same buckets of appid."""
+    gold = _stored_gold(spark, sf_dir)
+    refresh_by_game(spark, gold)
+    return gold_views(spark, gold, buckets=BUCKETS)["view_genre_growth"]
+
+
 @query("stored_publisher_view", f"""
 WITH {STORED_GROWTH_CTE}, pubs AS (
   SELECT appid, 'studio-' || type AS publisher FROM dim UNION ALL SELECT appid, 'indie house' FROM dim)
