@@ -89,10 +89,11 @@ def build_dim(
     2. the four bridges are stacked into one tall frame and semi-joined to the
        (appid, latest day) keys - the keys are one row per game, so AQE can broadcast
        them at run time when small, and the history of older days is dropped before
-       any shuffle;
-    3. ONE ``groupBy(appid)`` builds all four sorted lists at once (``collect_list``
-       skips the NULLs of the other kinds), the lists being bounded by one game's own
-       record;
+       any shuffle. The day is compared by range, which leaves appid the only key: rows
+       that come dealt by game stay where they are, and others move once;
+    3. ONE ``groupBy(appid)``, dealt like the join, builds all four sorted lists at once
+       (``collect_list`` skips the NULLs of the other kinds), the lists being bounded by
+       one game's own record;
     4. one left join on appid; missing lists become ``[]``.
 
     Grouping by game over its latest day only keeps lists from piling up across days
@@ -111,7 +112,8 @@ def build_dim(
     main_latest = latest_per_key(silver_main, ["appid"], order)
     # The bridge filter needs only (appid, latest day): a partial aggregate, not the window,
     # so the copies Catalyst pushes into each bridge branch are one reusable exchange.
-    keys = silver_main.groupBy("appid").agg(F.max("snapshot_date").alias("snapshot_date"))
+    keys = silver_main.groupBy(F.col("appid").alias("_game")).agg(F.max("snapshot_date").alias("_latest"))
+    on_latest_day = (F.col("appid") == F.col("_game")) & F.col("snapshot_date").between(F.col("_latest"), F.col("_latest"))
     tall = (
         genres.select("snapshot_date", "appid", F.lit("genre").alias("kind"), F.col("genre").alias("value"))
         .unionByName(categories.select("snapshot_date", "appid", F.lit("category").alias("kind"),
@@ -124,7 +126,7 @@ def build_dim(
         return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("value"))))
 
     lists = (
-        tall.join(keys, ["appid", "snapshot_date"], "left_semi")
+        tall.join(keys, on_latest_day, "left_semi")
         .groupBy("appid")
         .agg(
             _list("genre").alias("genres"),

@@ -54,13 +54,27 @@ def dim_from_part(part: DataFrame) -> DataFrame:
 
 
 # -- RECORDS ------------------------------------------------------------------
+# Line items one task groups by part: what it holds at once stays the same, whatever the table's size.
+LINES_PER_TASK = 125_000
+
+
+def lines_by_part(lineitem: DataFrame) -> DataFrame:
+    """Line items dealt by part, so that what follows groups and joins by part without another shuffle.
+
+    There are as many partitions as the rows ask for: a fixed number would have every task's hash
+    tables and sorts grow with the table.
+    """
+    tasks = max(lineitem.sparkSession.sparkContext.defaultParallelism, -(-lineitem.count() // LINES_PER_TASK))
+    return lineitem.repartition(tasks, "l_partkey")
+
+
 def part_day_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Silver-shaped main records, one per (part, ship day), with the part's attributes.
 
-    The (part, day) keys come from a ``distinct`` (a partial aggregate), so no group is
-    ever gathered whole, however many line items share a part and day.
+    The (part, day) keys come from a ``distinct``, a streamed aggregate that keeps one row of a
+    group, however many line items share a part and day.
     """
-    keys = lineitem.select(
+    keys = lines_by_part(lineitem).select(
         F.col("l_partkey").alias("appid"), F.to_date("l_shipdate").alias("snapshot_date")
     ).distinct()
     attrs = part.select(
@@ -91,7 +105,7 @@ def line_records(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     them row by row and keeps the distinct set.
     """
     known = part.select(F.col("p_partkey").alias("appid"))
-    return lineitem.select(
+    return lines_by_part(lineitem).select(
         F.col("l_partkey").alias("appid"),
         F.to_date("l_shipdate").alias("snapshot_date"),
         F.array("l_returnflag").alias("developers"),
