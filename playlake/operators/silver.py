@@ -97,18 +97,21 @@ def category_bridge(silver: DataFrame) -> DataFrame:
     return _explode_list(silver, "categories", "category")
 
 
-def company_bridge(silver: DataFrame) -> DataFrame:
+def company_bridge(silver: DataFrame, one_row_per_day: bool = False) -> DataFrame:
     """Developers and publishers with their role, as a set.
 
     The same company in both roles gives two rows; a repeated name in one role, one. Both
     lists are stacked and exploded together, so the input is read once. ``distinct`` is a
     hash aggregate with map-side combine, so a hot company is reduced per task before the
-    shuffle.
+    shuffle. With ``one_row_per_day`` (silver as the dedup leaves it) a name can only be repeated inside its
+    own list, so each list is made a set where it is and nothing is shuffled.
     """
     lists = F.stack(F.lit(2), F.lit("developer"), F.col("developers"), F.lit("publisher"), F.col("publishers"))
     rows = silver.select("snapshot_date", "appid", lists.alias("role", "names"))
-    rows = rows.select("snapshot_date", "appid", F.explode("names").alias("company"), "role")
-    return rows.where(F.col("company").isNotNull()).distinct()
+    names = F.array_distinct("names") if one_row_per_day else F.col("names")
+    rows = rows.select("snapshot_date", "appid", F.explode(names).alias("company"), "role")
+    rows = rows.where(F.col("company").isNotNull())
+    return rows if one_row_per_day else rows.distinct()
 
 
 def bronze_to_silver(bronze: DataFrame, snapshot_date=None) -> DataFrame:

@@ -13,6 +13,7 @@ import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def _replace_silver_days(spark: SparkSession, silver: DataFrame, silver_root: st
         F.lit(True).alias(KEPT_TABLE),
     ).collect()  # one row per day of the range
     tables = {"game_daily": silver_main, "game_genre": genre_bridge,
-              "game_category": category_bridge, "game_company": company_bridge}
+              "game_category": category_bridge, "game_company": partial(company_bridge, one_row_per_day=True)}
     if keep_state or _path_exists(spark, table_path(silver_root, KEPT_TABLE)):
         tables[KEPT_TABLE] = lambda rows: rows
 
